@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat_format, decontaminate, knn, line_dedup, pack, token_count
+from notewright.llm import chat_format, decontaminate, jaccard, knn, line_dedup, pack, token_count
 
 
 def tokenizer_path(name: str) -> str:
@@ -38,6 +38,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents and each one's number of links."""
+    return jaccard.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return pack.pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -59,7 +64,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_decontaminate, op5_pack, op9_line_dedup, op10_chat_format)}
+    return {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_pack, op9_line_dedup, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
