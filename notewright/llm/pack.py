@@ -168,30 +168,79 @@ class ChunkEncoder:
     """Identifiers of whole texts by the tokenizers library, as little-endian bytes.
 
     The tokenizer drops white space and never joins across it, so a text is encoded blank-separated chunk
-    by chunk; chunks not met before go to the library in one batch, and a bounded cache keeps them.
+    by chunk.  A chunk of letters, or of letters and closing punctuation, is two pre-tokens at most; letters
+    not met before go to the library in one call, and bounded caches keep what it says.
     """
 
-    def __init__(self, path: str, cache_size: int = 600_000):
+    def __init__(self, path: str, chunks: int = 500_000, words: int = 600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-        self.cache_size = cache_size
+        self.chunks: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.max_chunks, self.max_words = chunks, words
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words of letters only, all in one text; each must be one pre-token of it."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        of = np.array(found.word_ids, np.int64)
+        ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(of)).tolist() if len(of) else []
+        if len(ends) == len(words):
+            raw, at = np.array(found.ids, "<u4").tobytes(), 0
+            for w, end in zip(words, ends):
+                self.words[w] = raw[4 * at : 4 * end]
+                at = end
+        else:
+            self._one_by_one(words, self.words)
+
+    def _one_by_one(self, texts: list[str], into: dict[str, bytes]) -> None:
+        for t, e in zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            into[t] = np.array(e.ids, "<u4").tobytes()
+
+    def _fill(self, new: list[str]) -> None:
+        """Put chunks into the cache."""
+        split, odd = [], []
+        words = self.words
+        for c in new:
+            core = c.rstrip(".,;:!?|%$&*")
+            word = core.lower()
+            if word.isalpha() and core.isalpha():
+                if not core.isascii():
+                    word = core
+                split.append((c, word, c[len(core) :]))
+            else:
+                odd.append(c)
+        unknown = {w for _, w, _ in split}.difference(words)
+        odd += {t for _, _, t in split if t}.difference(words)
+        if unknown:
+            self._learn(list(unknown))
+        others: dict[str, bytes] = {}
+        if odd:
+            self._one_by_one(list(dict.fromkeys(odd)), others)
+        chunks = self.chunks
+        chunks.update((c, others[c]) for c in odd)
+        for c, word, tail in split:
+            if tail and tail not in words:
+                words[tail] = others[tail]
+            chunks[c] = words[word] + words[tail] if tail else words[word]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out = []
-        for at in range(0, len(texts), 256):
-            split = [t.split(" ") if t else [] for t in texts[at : at + 256]]
-            if len(self.cache) > self.cache_size:
-                self.cache.clear()
-            cache = self.cache
-            new = [c for c in {c for s in split for c in s} if c not in cache]
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                cache[c] = np.array(e.ids, "<u4").tobytes()
-            out += [b"".join([cache[c] for c in s]) for s in split]
+        for at in range(0, len(texts), 512):
+            split = [t.replace("\n", " ").split(" ") if t else [] for t in texts[at : at + 512]]
+            if len(self.chunks) > self.max_chunks:
+                self.chunks.clear()
+            if len(self.words) > self.max_words:
+                self.words.clear()
+            chunks = self.chunks
+            new = list(set().union(*split) - chunks.keys())
+            if new:
+                self._fill(new)
+            out += [b"".join(map(chunks.__getitem__, s)) for s in split]
             for c in new:
                 if len(c) > 64:
-                    del cache[c]
+                    del chunks[c]
+                    self.words.pop(c, None)
         return out
 
 
