@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat_format, decontaminate, jaccard, knn, line_dedup, pack, token_count, toxicity
+from notewright.llm import chat_format, decontaminate, jaccard, knn, line_dedup, lm_score, pack, token_count, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -53,6 +53,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document; a seventh is held out from training."""
+    docs = _read(spark, sf_dir, "documents")
+    held = toxicity.held_out("doc_id", 7)
+    scored = lm_score.lm_scores(docs, docs.where(~held)).withColumn("held_out", held)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that many share."""
     return line_dedup.dedup_lines(_read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
@@ -69,7 +77,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_pack, op7_toxicity, op9_line_dedup, op10_chat_format)}
+    return {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_pack, op7_toxicity, op8_lm_score, op9_line_dedup, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:
