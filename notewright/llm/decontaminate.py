@@ -115,13 +115,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_w
     return out.select(*columns, *(["text"] if keep_text else []))
 
 
+def _searchers(windows) -> list[WuManber]:
+    """One searcher for each length of window."""
+    by_length: dict[int, list] = {}
+    for p in windows:
+        by_length.setdefault(len(p), []).append(p)
+    return [WuManber(m, ps) for m, ps in by_length.items()]
+
+
 def _search(state: DataFrame, part) -> DataFrame:
     def search(batches):
         owners = part.value
-        by_length: dict[int, list] = {}
-        for p in owners:
-            by_length.setdefault(len(p), []).append(p)
-        searchers = [WuManber(m, ps) for m, ps in by_length.items()]
+        searchers = _searchers(owners)
         for b in batches:
             all_spans, all_items, n_words = [], [], []
             for text, spans, items in zip(b.column("text").to_pylist(), b.column("hit_spans").to_pylist(), b.column("items").to_pylist()):
@@ -143,6 +148,24 @@ def _search(state: DataFrame, part) -> DataFrame:
     return rows.mapInArrow(search, "doc_id long, text string, hit_spans array<long>, items array<long>, n_words long")
 
 
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_windows: int = 200_000) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no benchmark window occurs; as ``contamination`` otherwise."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    for part in _blocks(items, window, max_windows):
+        docs = docs.mapInArrow(_without(docs.sparkSession.sparkContext.broadcast(part)), docs.schema)
+    return docs
+
+
+def _without(part):
+    def clean(batches):
+        searchers = _searchers(part.value)
+        for b in batches:
+            words = map(ascii_words, b.column("text").to_pylist())
+            yield b.filter(pa.array([not any(next(s.scan(w), None) for s in searchers) for w in words], pa.bool_()))
+
+    return clean
+
+
 #: The same result in SQL, for small tables.
 ORACLE = r"""
 WITH dw AS (

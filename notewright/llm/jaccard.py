@@ -187,6 +187,30 @@ def near_duplicates(
     joins its two texts, which at the threshold has a probability of less than 1 - ``recall``.
     A task holds two blocks of a group, each of about ``block_rows`` rows or ``block_shingles`` shingles.
     """
+    signed, full = _classes(docs, threshold, width, recall, max_hashes, block_rows, block_shingles)
+    named = full.groupBy("root").agg(F.min("least").alias("class_id"))
+    found = full.join(named, "root").select("fp", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("copies").alias("n_copies"))
+    linked = signed.where(F.col("fp").isNotNull()).select("doc_id", "fp").join(found, "fp").select("doc_id", "class_id", "n_links", "n_copies")
+    alone = signed.where(F.col("fp").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"))
+    return linked.unionAll(alone)
+
+
+def one_of_each(docs: DataFrame, threshold: float = 0.8, width: int = 5, **bounds) -> DataFrame:
+    """The rows of ``docs``, all columns, without those near another: of each class the least doc_id stays.
+
+    A null id stays only where its class has no other; of rows with that id, those of one text, once.  Texts
+    without words all stay.  As ``near_duplicates`` otherwise.
+    """
+    signed, full = _classes(docs, threshold, width, **bounds)
+    member = signed.where(F.col("fp").isNotNull()).select("doc_id", "md5", "fp").join(full.select("fp", "root"), "fp")
+    best = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "md5")).alias("m")).select(F.col("m.doc_id").alias("_id"), F.col("m.md5").alias("_of"))
+    marked = docs.withColumn("_md5", F.unhex(F.md5(F.col("text").cast("string")))).withColumn("_worded", F.coalesce(F.col("text").rlike("[0-9A-Za-z]|[^\\x00-\\x7F]"), F.lit(False)))
+    kept = marked.where("_worded").join(best, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_of")), "left_semi").dropDuplicates(["doc_id", "_md5"])
+    return kept.unionByName(marked.where("not _worded")).drop("_md5", "_worded")
+
+
+def _classes(docs: DataFrame, threshold: float, width: int, recall: float = 0.9995, max_hashes: int = 160, block_rows: int = 1536, block_shingles: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, md5, fp) of all documents, and their nodes (fp, copies, least, links, root)."""
     exact = Fraction(threshold).limit_denominator(10_000)
     bands, rows = banding(threshold, recall, max_hashes)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("md5", F.unhex(F.md5("text")))
@@ -211,8 +235,4 @@ def near_duplicates(
     classes = components(verified.select(F.col("fp").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "fp")
     links = verified.groupBy("fp").agg(F.sum("links").alias("links"))
     full = nodes.select("fp", "copies", "least").join(links, "fp", "left").join(classes, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = full.groupBy("root").agg(F.min("least").alias("class_id"))
-    found = full.join(named, "root").select("fp", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("copies").alias("n_copies"))
-    linked = signed.where(F.col("fp").isNotNull()).select("doc_id", "fp").join(found, "fp").select("doc_id", "class_id", "n_links", "n_copies")
-    alone = signed.where(F.col("fp").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"))
-    return linked.unionAll(alone)
+    return signed.drop("bands", "size"), full

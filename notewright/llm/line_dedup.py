@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from notewright.llm.common import table
 
@@ -107,7 +108,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     doc_id, n_lines (before), n_dropped, kept_sha256, text (what is kept; null stays null).
 
     Null or empty texts have one empty line.  Rows with one doc_id are one document: each row is cleaned,
-    all count once.  Null ids are one document, smaller than any other.  Other columns are ignored.
+    all count once.  Null ids are one document, smaller than any other.  Other columns go along in a struct
+    ``rest``.
     """
     spark = docs.sparkSession
     keys = document_keys(docs, min_chars).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
@@ -121,10 +123,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
 
 
 def drop_lines(docs: DataFrame, lost: DataFrame, min_chars: int = 20) -> DataFrame:
-    """Take the lines ``lost`` (doc_id, h1, h2; distinct) out of ``docs``; the columns of ``dedup_lines``."""
+    """Take the lines ``lost`` (doc_id, h1, h2; distinct) out of ``docs``; the columns of ``dedup_lines``.
+
+    Other columns go along in a struct ``rest``, null if there are none.
+    """
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*others) if others else F.lit(None).cast("int")
     per_doc = lost.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("h1", "h2")).alias("lost"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    joined = rows.withColumn("_id", F.coalesce("doc_id", F.lit(_NO_ID))).join(per_doc, "_id", "left").select("doc_id", "text", "lost")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), rest.alias("rest"))
+    joined = rows.withColumn("_id", F.coalesce("doc_id", F.lit(_NO_ID))).join(per_doc, "_id", "left").select("doc_id", "text", "rest", "lost")
 
     def clean(batches):
         for b in batches:
@@ -147,9 +154,10 @@ def drop_lines(docs: DataFrame, lost: DataFrame, min_chars: int = 20) -> DataFra
                 n_dropped.append(len(lines) - len(kept))
                 sha.append(hashlib.sha256(data).hexdigest())
                 kept_text.append(None if text is None else data.decode("utf-8", "surrogatepass") if n else text)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(sha), pa.array(kept_text, pa.string())], ["doc_id", "n_lines", "n_dropped", "kept_sha256", "text"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(sha), pa.array(kept_text, pa.string()), b.column("rest")], ["doc_id", "n_lines", "n_dropped", "kept_sha256", "text", "rest"])
 
-    return joined.mapInArrow(clean, "doc_id long, n_lines long, n_dropped long, kept_sha256 string, text string")
+    schema = T.StructType.fromDDL("doc_id long, n_lines long, n_dropped long, kept_sha256 string, text string")
+    return joined.mapInArrow(clean, schema.add(joined.schema["rest"]))
 
 
 #: The same result in SQL.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat_format, decontaminate, jaccard, knn, line_dedup, lm_score, pack, token_count, toxicity
+from notewright.llm import chat_format, decontaminate, jaccard, knn, line_dedup, lm_score, pack, quality, token_count, toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -48,6 +48,11 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack_documents(_read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by two co-trained views."""
+    return quality.quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, restored from its disguises."""
     return toxicity.toxicity_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
@@ -77,7 +82,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_pack, op7_toxicity, op8_lm_score, op9_line_dedup, op10_chat_format)}
+    return {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_pack, op6_quality, op7_toxicity, op8_lm_score, op9_line_dedup, op10_chat_format)}
 
 
 def oracle_sql() -> dict[str, str]:

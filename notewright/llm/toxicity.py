@@ -295,3 +295,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(x >= threshold) for x in scores], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 
     return rows.mapInArrow(score, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_labelled: int = 20_000) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``threshold``; as ``toxicity_scores`` otherwise."""
+    scorer = train(docs, labels, max_labelled)
+    shared = docs.sparkSession.sparkContext.broadcast((scorer.weights, scorer.base, scorer.model))
+
+    def clean(batches):
+        s = Scorer(*shared.value)
+        for b in batches:
+            yield b.filter(pa.array([s.score(t) < threshold for t in b.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
