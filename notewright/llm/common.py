@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -40,6 +42,13 @@ def table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut small, so that few texts at a time are Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def ascii_words(text: str | None) -> list[bytes]:
     """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text with A-Z lower-cased, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").translate(_WORD_TABLE).split() if text else []
@@ -85,7 +94,7 @@ def _shingles(texts, width):
         raw = t.encode("utf-8", "surrogatepass") if t else b""
         group.append(raw)
         size += len(raw) + 1
-        if size > 2_000_000:
+        if size > 300_000:
             yield from _shingle_group(group, width)
             group, size = [], 0
     if group:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import ascii_words
+from notewright.llm.common import ascii_words, slices
 
 
 class WuManber:
@@ -127,7 +127,7 @@ def _search(state: DataFrame, part) -> DataFrame:
     def search(batches):
         owners = part.value
         searchers = _searchers(owners)
-        for b in batches:
+        for b in slices(batches):
             all_spans, all_items, n_words = [], [], []
             for text, spans, items in zip(b.column("text").to_pylist(), b.column("hit_spans").to_pylist(), b.column("items").to_pylist()):
                 words = ascii_words(text)
@@ -159,7 +159,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10,
 def _without(part):
     def clean(batches):
         searchers = _searchers(part.value)
-        for b in batches:
+        for b in slices(batches):
             words = map(ascii_words, b.column("text").to_pylist())
             yield b.filter(pa.array([not any(next(s.scan(w), None) for s in searchers) for w in words], pa.bool_()))
 

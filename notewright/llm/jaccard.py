@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import mix64, shingle_sets, table
+from notewright.llm.common import mix64, shingle_sets, slices, table
 from notewright.llm.components import components
 
 
@@ -48,8 +48,8 @@ class MinHasher:
     def __call__(self, shingles: np.ndarray) -> np.ndarray:
         low = (shingles >> np.uint64(32)).astype(np.uint32)
         least = None
-        for at in range(0, len(low), 4096):
-            x = (low[at : at + 4096, None] ^ self.xor) * self.odd
+        for at in range(0, len(low), 1024):
+            x = (low[at : at + 1024, None] ^ self.xor) * self.odd
             x ^= x >> np.uint32(15)
             found = (x * np.uint32(0x2C1B3C6D)).min(axis=0)
             least = found if least is None else np.minimum(least, found)
@@ -64,7 +64,7 @@ class MinHasher:
 def _signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
     def sign(batches):
         hasher = MinHasher(bands, rows)
-        for b in batches:
+        for b in slices(batches):
             fp, size, keys = [], [], []
             for s in shingle_sets(b.column("text").to_pylist(), width):
                 fp.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
@@ -90,8 +90,8 @@ def compare(sets: list[np.ndarray], left: int, threshold: Fraction) -> np.ndarra
     held = np.diff(np.append(first, len(flat)))
     common = np.zeros((n, n), np.float32)
     heavy = np.flatnonzero(held > 24)
-    for at in range(0, len(heavy), 2048):
-        part = heavy[at : at + 2048]
+    for at in range(0, len(heavy), 1024):
+        part = heavy[at : at + 1024]
         cells = np.concatenate([np.arange(first[c], first[c] + held[c]) for c in part])
         dense = np.zeros((n, len(part)), np.float32)
         dense[owner[cells], np.repeat(np.arange(len(part)), held[part])] = 1
@@ -105,8 +105,9 @@ def compare(sets: list[np.ndarray], left: int, threshold: Fraction) -> np.ndarra
         np.add.at(common, (a, b), times)
         np.add.at(common, (b, a), times)
     p, q = threshold.numerator, threshold.denominator
-    inter = common.astype(np.int64)
-    linked = inter * (p + q) >= p * (size[:, None] + size[None, :])
+    linked = np.empty((n, n), bool)
+    for at in range(0, n, 256):
+        linked[at : at + 256] = common[at : at + 256].astype(np.int64) * (p + q) >= p * (size[at : at + 256, None] + size)
     np.fill_diagonal(linked, False)
     if left:
         linked[:left, :left] = False
@@ -147,7 +148,7 @@ def _verify(width: int, threshold: Fraction):
                 o.clear()
             return pa.RecordBatch.from_arrays(made, ["fp", "links", "root"])
 
-        for b in batches:
+        for b in slices(batches):
             for row in zip(*(b.column(c).to_pylist() for c in ("root", "i", "j", "fp", "copies", "side", "text"))):
                 if row[:3] != key:
                     if len(block) > 1:
@@ -171,8 +172,8 @@ def near_duplicates(
     width: int = 5,
     recall: float = 0.9995,
     max_hashes: int = 160,
-    block_rows: int = 1536,
-    block_shingles: int = 1_000_000,
+    block_rows: int = 1024,
+    block_shingles: int = 500_000,
 ) -> DataFrame:
     """Join documents whose sets of ``width``-word shingles have a Jaccard similarity of at least ``threshold``.
 
@@ -209,7 +210,7 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, width: int = 5, **bound
     return kept.unionByName(marked.where("not _worded")).drop("_md5", "_worded")
 
 
-def _classes(docs: DataFrame, threshold: float, width: int, recall: float = 0.9995, max_hashes: int = 160, block_rows: int = 1536, block_shingles: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+def _classes(docs: DataFrame, threshold: float, width: int, recall: float = 0.9995, max_hashes: int = 160, block_rows: int = 1024, block_shingles: int = 500_000) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, md5, fp) of all documents, and their nodes (fp, copies, least, links, root)."""
     exact = Fraction(threshold).limit_denominator(10_000)
     bands, rows = banding(threshold, recall, max_hashes)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notewright.llm.common import table
+from notewright.llm.common import slices, table
 
 _STRIP = b" \t\n\x0b\x0c\r"
 _RUN = "h1 long, h2 long, n_docs long, max_doc long"
@@ -39,7 +39,7 @@ def document_keys(docs: DataFrame, min_chars: int) -> DataFrame:
     """The distinct line keys of each row of ``docs``: doc_id, h1, h2."""
 
     def keys(batches):
-        for b in batches:
+        for b in slices(batches):
             ids, found = [], []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
                 if text:
@@ -134,7 +134,7 @@ def drop_lines(docs: DataFrame, lost: DataFrame, min_chars: int = 20) -> DataFra
     joined = rows.withColumn("_id", F.coalesce("doc_id", F.lit(_NO_ID))).join(per_doc, "_id", "left").select("doc_id", "text", "rest", "lost")
 
     def clean(batches):
-        for b in batches:
+        for b in slices(batches):
             n_lines, n_dropped, sha, kept_text = [], [], [], []
             lost_column = b.column("lost")
             flat = lost_column.flatten()

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notewright.llm.common import table
+from notewright.llm.common import slices, table
 
 CAPACITY = 2048
 
@@ -263,7 +263,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
 
     def cut(batches):
         e = encoder(tokenizer_path)
-        for b in batches:
+        for b in slices(batches):
             out: list[list] = [[], [], [], [], [], []]
             for doc_id, ids in zip(b.column("doc_id").to_pylist(), e.encode(b.column("text").to_pylist())):
                 ids += b"\0\0\0\0"
@@ -300,7 +300,7 @@ def best_fit_pack(pieces: DataFrame, capacity: int = CAPACITY, rows_per_group: i
         at = shared.value
         span = int(at["first"].max(initial=0)) + 2
         keys = at["length"] * span + at["first"]
-        for b in batches:
+        for b in slices(batches):
             w, rank = (b.column(n).to_numpy(zero_copy_only=False) for n in ("length", "_rank"))
             i = np.searchsorted(keys, w * span + np.minimum(rank, span - 1), side="right") - 1
             columns = [*(b.column(n) for n in names), pa.array(at["sequence"][i] + rank - at["first"][i]), pa.array(at["offset"][i])]

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from notewright.llm.common import slices
+
 SHAPES, SOURCES, LANGS = 192, 48, 16
 _SHAPE = ((re.compile(r"[^\W\d_a-zA-Z]"), "a"), (re.compile(r"[a-z]+"), "a"), (re.compile(r"[A-Z]+"), "A"), (re.compile(r"\d+"), "0"), (re.compile(r"(.)\1+"), r"\1"))
 
@@ -136,7 +138,7 @@ def _vectors(rows: DataFrame, extra: list[str]) -> DataFrame:
 
     def run(batches):
         v = Views()
-        for b in batches:
+        for b in slices(batches):
             raw = [b.column(c).to_pylist() for c in ("lang", "source", "n_chars", "text")]
             columns = [*(b.column(c) for c in extra), pa.array([v.text(t).tolist() for t in raw[3]], pa.list_(pa.float32())), pa.array([v.meta(*r).tolist() for r in zip(*raw)], pa.list_(pa.float32()))]
             yield pa.RecordBatch.from_arrays(columns, [*extra, "text_view", "meta_view"])
@@ -185,7 +187,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, *
     def score(batches):
         model, share = shared.value
         v = Views()
-        for b in batches:
+        for b in slices(batches):
             for at in range(0, b.num_rows, 1000):
                 raw = [b.column(c).slice(at, 1000).to_pylist() for c in ("lang", "source", "n_chars", "text")]
                 n = len(raw[0])

@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from notewright.llm.common import slices
+
 #: Fixed values of the tokenizer's split pattern; white space is listed, as libraries differ on control characters.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SPLIT_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
@@ -144,7 +146,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, max_tokens: int = 1024, i
 
     def count(batches):
         c = counter(tokenizer_path)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column("text").to_pylist()
             n = [c.count(t) for t in texts]
             size = [len(t.encode("utf-8", "surrogatepass")) if t else 0 for t in texts]

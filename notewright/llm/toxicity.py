@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import mix64, table
+from notewright.llm.common import mix64, slices, table
 
 #: What a character may stand for.
 LEET = {
@@ -165,7 +165,7 @@ class Scorer:
                 if len(t) <= 40:
                     cache[t] = hits
             found.update(hits)
-        if len(cache) > 600_000:
+        if len(cache) > 300_000:
             cache.clear()
         run: list[int] = []
         for i in [i for i, t in enumerate(tokens) if len(t) == 1] + [-1]:
@@ -230,11 +230,16 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Sco
 
     def trigrams(batches):
         tri = bi = np.zeros(1 << LM_BITS, np.int64)
-        for b in batches:
-            texts = [t.lower() for t in b.column("text").to_pylist() if t]
-            for at in range(0, len(texts), 256):
-                x, y = trigram_counts(texts[at : at + 256])
-                tri, bi = tri + x, bi + y
+        for b in slices(batches):
+            texts, size = [], 0
+            for t in b.column("text").to_pylist():
+                texts.append((t or "").lower())
+                size += len(texts[-1])
+                if size > 200_000:
+                    x, y = trigram_counts(texts)
+                    tri, bi, texts, size = tri + x, bi + y, [], 0
+            x, y = trigram_counts(texts)
+            tri, bi = tri + x, bi + y
         slot = np.flatnonzero(tri + bi)
         yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(tri[slot]), pa.array(bi[slot])], ["slot", "tri", "bi"])
 
@@ -252,7 +257,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Sco
     def count(batches):
         seen: Counter = Counter()
         bad: Counter = Counter()
-        for b in batches:
+        for b in slices(batches):
             for text, toxic in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
                 (bad if toxic else seen).update(text_features(text))
         names = list(bad)  # a feature of no toxic document here is counted where it has one
@@ -264,7 +269,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Sco
     shared = spark.sparkContext.broadcast(stats)
 
     def keep(batches):
-        for b in batches:
+        for b in slices(batches):
             pairs = [sorted(feature_contexts(t, shared.value)) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"toxic": b.column("toxic"), "features": [[f for f, _ in p] for p in pairs], "contexts": [[c for _, c in p] for p in pairs]}, schema=kept)
 
@@ -290,7 +295,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
 
     def score(batches):
         s = Scorer(*shared.value)
-        for b in batches:
+        for b in slices(batches):
             scores = [s.score(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(scores, pa.float64()), pa.array([int(x >= threshold) for x in scores], pa.int32())], ["doc_id", "held_out", "score", "predicted"])
 
@@ -304,7 +309,7 @@ def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max
 
     def clean(batches):
         s = Scorer(*shared.value)
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array([s.score(t) < threshold for t in b.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)
