@@ -204,10 +204,12 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, width: int = 5, **bound
     """
     signed, full = _classes(docs, threshold, width, **bounds)
     member = signed.where(F.col("fp").isNotNull()).select("doc_id", "md5", "fp").join(full.select("fp", "root"), "fp")
-    best = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "md5")).alias("m")).select(F.col("m.doc_id").alias("_id"), F.col("m.md5").alias("_of"))
-    marked = docs.withColumn("_md5", F.unhex(F.md5(F.col("text").cast("string")))).withColumn("_worded", F.coalesce(F.col("text").rlike("[0-9A-Za-z]|[^\\x00-\\x7F]"), F.lit(False)))
-    kept = marked.where("_worded").join(best, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_of")), "left_semi").dropDuplicates(["doc_id", "_md5"])
-    return kept.unionByName(marked.where("not _worded")).drop("_md5", "_worded")
+    best = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "md5")).alias("m")).select(F.col("m.doc_id").alias("best_id"), F.col("m.md5").alias("best_md5"))
+    text = F.col("text").cast("string")
+    worded = F.coalesce(text.rlike("[0-9A-Za-z]|[^\\x00-\\x7F]"), F.lit(False))
+    marked = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.unhex(F.md5(text)).alias("md5"), worded.alias("worded"))
+    kept = marked.where("worded").join(best, F.col("id").eqNullSafe(F.col("best_id")) & (F.col("md5") == F.col("best_md5")), "left_semi").dropDuplicates(["id", "md5"])
+    return kept.unionByName(marked.where("not worded")).select("row.*")
 
 
 def _classes(docs: DataFrame, threshold: float, width: int, recall: float = 0.9995, max_hashes: int = 160, block_rows: int = 1024, block_shingles: int = 500_000) -> tuple[DataFrame, DataFrame]:

@@ -164,10 +164,10 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000, max_poo
     rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     found = _vectors(rows, ["doc_id", "quality"]).collect()
     found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
-    text, meta = (np.array([r[c] for r in found], np.float64).reshape(len(found), -1) for c in ("text_view", "meta_view"))
     y = np.array([r["quality"] for r in found], np.float64)
     if not (y >= 0).any():
         return None, 1.0
+    text, meta = (np.array([r[c] for r in found], np.float64) for c in ("text_view", "meta_view"))
     return co_train(text[y >= 0], meta[y >= 0], y[y >= 0], text[y < 0], meta[y < 0]), float(y[y >= 0].mean())
 
 
