@@ -83,6 +83,12 @@ def dataset_stats(samples: DataFrame, max_tokens: int = 512) -> DataFrame:
     return samples.select(ok.alias("ok")).agg(F.count("*").alias("total_samples"), F.count_if("ok").alias("valid_samples"), F.count_if(~F.col("ok")).alias("invalid_samples"))
 
 
+def dataset_errors(samples: DataFrame, max_tokens: int = 512, pos: str = "pos") -> DataFrame:
+    """note_id and errors of each faulty sample; of repeated ids the last one's."""
+    faulty = samples.select("note_id", pos, sample_errors(F.col("messages"), max_tokens).alias("errors")).where(F.size("errors") > 0)
+    return faulty.groupBy("note_id").agg(F.max_by("errors", pos).alias("errors"))
+
+
 def chatml_text(messages: Column) -> Column:
     """Messages as ChatML text."""
     return F.array_join(F.transform(messages, lambda m: F.concat(F.lit("<|im_start|>"), m["role"], F.lit("\n"), m["content"], F.lit("<|im_end|>"))), "\n")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from notewright import constants as K
 from notewright.functions import parsing, text
-from notewright.operators import catalog, chat, metrics, prompting, registry, rules, sampling, split, stats
+from notewright.operators import catalog, chat, metrics, prompting, records, registry, rules, sampling, split, stats
 from notewright.plans import evaluate, generate, prepare
 from notewright.sources import notes as note_source
 from notewright.sources import sinks
@@ -469,6 +469,39 @@ def eval_summary(spark, d):
     return _rounded(metrics.summary(_pairs(spark, d)))
 
 
+def _records(spark, d) -> DataFrame:
+    """Validated notes with the fields that generation gives them."""
+    notes = rules.validate(_notes(spark, d)).withColumn("note_type", F.lit("PROGRESS_NOTE")).withColumn("model", F.lit("stub")).withColumnRenamed("lang", "profile")
+    at = F.timestamp_seconds(F.col("doc_id"))
+    return notes.select("*", at.alias("generated_at"), records.note_id(at, F.col("doc_id")).alias("note_id"), (F.col("doc_id") % 2).alias("n_removed"))
+
+
+@_query(f"""WITH {_VALID_SQL}, v AS (SELECT doc_id, lang, len(crit) = 0 AND score >= 70 AS ok, score FROM val)
+  SELECT 'note_' || strftime(make_timestamp(doc_id * 1000000), '%Y%m%d_%H%M%S') || '_' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8) AS note_id, CASE WHEN ok THEN 'VALID' ELSE 'INVALID' END AS validation_status,
+  score AS confidence_score, lang AS generation_profile, strftime(make_timestamp(doc_id * 1000000), '%Y-%m-%dT%H:%M:%S.%f') AS generated_at, array_to_string([ c.code for c in n.codes ], ',') AS codes
+  FROM v JOIN notes n USING (doc_id, lang)""")
+def note_records(spark, d):
+    out = records.serialized(_records(spark, d))
+    return out.select("note_id", "validation_status", "confidence_score", "generation_profile", "generated_at", _joined(F.col("assigned_icd10_codes"), ",").alias("codes"))
+
+
+@_query(f"""WITH {_NOTES_SQL} SELECT md5(text) AS input_md5, array_to_string([ c.code for c in codes ], ',') AS output, lang AS profile FROM notes""")
+def training_form(spark, d):
+    return records.training_form(_records(spark, d)).select(F.md5("input").alias("input_md5"), _joined(F.col("output"), ",").alias("output"), "metadata.profile")
+
+
+@_query(f"""WITH {_VALID_SQL} SELECT count(*) AS notes_generated, count(*) FILTER (WHERE len(crit) = 0 AND score >= 70) AS notes_valid, count(*) FILTER (WHERE doc_id % 2 = 1) AS notes_sanitized,
+  round(count(*) FILTER (WHERE len(crit) = 0 AND score >= 70) * 100.0 / count(*), 6) AS validation_rate, round(count(*) FILTER (WHERE doc_id % 2 = 1) * 100.0 / count(*), 6) AS sanitization_rate FROM val""")
+def run_counters(spark, d):
+    return _rounded(records.run_counters(_records(spark, d)))
+
+
+@_query(f"WITH {_GATE_SQL} SELECT 'n' || CAST(doc_id % 300 AS VARCHAR) AS note_id, arg_max(array_to_string(errors, '|'), doc_id) AS errors FROM gate WHERE len(errors) > 0 GROUP BY 1")
+def gate_errors(spark, d):
+    samples = _samples(spark, d).select(F.concat(F.lit("n"), (F.col("doc_id") % 300).cast("string")).alias("note_id"), F.col("doc_id").alias("pos"), "messages")
+    return chat.dataset_errors(samples, 1024).select("note_id", _joined(F.col("errors")).alias("errors"))
+
+
 # --- Registry, events, whole plans ---
 
 

@@ -1,3 +1,4 @@
+import io
 import json
 
 import pytest
@@ -7,7 +8,9 @@ from pyspark.sql import functions as F
 
 from notewright import constants as K
 from notewright import queries
-from notewright.errors import CodeNotFoundError, DatasetLoadError, InsufficientCodesError, RateLimitError
+from notewright.config import PrepareSettings, Settings
+from notewright.errors import CodeNotFoundError, ConfigurationError, DatasetLoadError, InsufficientCodesError, RateLimitError
+from notewright.eventlog import EventLog
 from notewright.functions import parsing, text
 from notewright.operators import catalog, chat, metrics, registry, rules, sampling, split, stats, textgen
 from notewright.sources import catalog as catalog_source
@@ -176,3 +179,23 @@ def test_retries_and_registry(spark):
     assert registry.model(spark, "phi3")["context_length"] == 4096
     with pytest.raises(ValueError, match="phi3"):
         registry.model(spark, "other")
+
+
+def test_settings():
+    s = Settings.from_environment({"OPENAI_API_KEY": "k", "MAX_CODES_PER_NOTE": "7", "ENABLE_VALIDATION": "false"}).check()
+    assert (s.llm_provider, s.max_codes_per_note, s.enable_validation) == ("openai", 7, False)
+    for bad in ({}, {"GEMINI_API_KEY": "k", "MIN_CODES_PER_NOTE": "9"}, {"GEMINI_API_KEY": "k", "CONFIDENCE_THRESHOLD": "101"}, {"GEMINI_API_KEY": "k", "ICD10_DATASET_PATH": "/none.json"}):
+        with pytest.raises(ConfigurationError):
+            Settings.from_environment(bad).check()
+    assert PrepareSettings.from_environment({"FT_VALIDATION_SPLIT": "0.1"}).validation_split == 0.1
+
+
+def test_event_log():
+    out = io.StringIO()
+    log = EventLog(out)
+    log.set_context(run=1)
+    with log.within(run=2):
+        log.metric("loss", 0.5)
+    log.event("epoch_end", epoch=1)
+    first, second = map(json.loads, out.getvalue().splitlines())
+    assert (first["run"], first["value"], second["run"], second["epoch"]) == (2, 0.5, 1, 1) and first["timestamp"].endswith("Z")
