@@ -1,9 +1,10 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 A run is a Parquet table of (h1, h2, n_docs, max_doc), one row per line key,
-sorted by the 128-bit hash within hash ranges.  Each batch of documents is
+sorted by the 128-bit hash within partitions.  Each batch of documents is
 merge-anti-joined against the runs, which tells its new lines from the known
-ones, and adds a run of its own.  When a level holds ``fanout`` runs they are
+ones, and adds a run of its own.  Batches come with falling doc_ids, so a known
+line has been held by a larger one.  When a level holds ``fanout`` runs they are
 merged into one run of the next level, so a key is rewritten a logarithmic
 number of times.  Everything is a Spark job; runs live in the shared folder.
 """
@@ -11,6 +12,7 @@ number of times.  Everything is a Spark job; runs live in the shared folder.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +95,16 @@ class LineRuns:
             self._add(level + 1, self._merged(full))
             level += 1
 
+    def repeats(self, keys: DataFrame) -> DataFrame:
+        """Take in a batch; its rows whose line an earlier batch holds, or a larger doc_id of this batch.
+
+        Batches must come with falling doc_ids for the rest to be each line's largest holder.
+        """
+        first = self.new_lines(keys).groupBy("h1", "h2").agg(F.max("doc_id").alias("first"))
+        again = keys.join(first, ["h1", "h2"], "left").where(F.col("first").isNull() | (F.col("doc_id") < F.col("first")))
+        self.append(keys)
+        return again.select("doc_id", "h1", "h2")
+
     def _add(self, level: int, run: DataFrame) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
@@ -112,13 +124,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     ``rest``.
     """
     spark = docs.sparkSession
-    keys = document_keys(docs, min_chars).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
-    keys = table(keys, "line-keys", ["batch"])
-    runs = LineRuns(spark, fanout)
-    for i in range(batches):
-        runs.append(keys.where(F.col("batch") == i).drop("batch"))
-    common = runs.merged().where(F.col("n_docs") >= min_docs).drop("n_docs")
-    lost = keys.drop("batch").join(common, ["h1", "h2"]).where(F.col("doc_id") < F.col("max_doc"))
+    cuts = docs.select(F.col("doc_id").cast("long").alias("doc_id")).approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)
+    batch = sum(((F.col("doc_id") < c).cast("int") for c in cuts), F.lit(0))
+    keys = table(document_keys(docs, min_chars).withColumn("batch", batch), "line-keys", ["batch"])
+    runs, again = LineRuns(spark, fanout), []
+    for i in range(len(cuts) + 1):  # from the largest doc_ids down
+        again.append(runs.repeats(keys.where(F.col("batch") == i).drop("batch")))
+    common = runs.merged().where(F.col("n_docs") >= min_docs).select("h1", "h2")
+    lost = reduce(DataFrame.unionAll, again).join(common, ["h1", "h2"])
     return drop_lines(docs, lost.select("doc_id", "h1", "h2").distinct(), min_chars)
 
 

@@ -379,6 +379,12 @@ def test_line_runs_compact_and_anti_join(spark):
         batch = keys([(i, i, 0), (i, 99, 0), (i, 99, 0)])
         assert runs.new_lines(batch).select("h1").distinct().count() == (2 if i == 0 else 1)
         runs.append(batch)
+    late = runs.repeats(keys([(-1, 99, 0), (-1, 50, 0), (-2, 50, 0), (-3, 51, 0)]))
+    assert sorted((r["doc_id"], r["h1"]) for r in late.collect()) == [(-2, 50), (-1, 99)]
+    assert {r["h1"]: (r["n_docs"], r["max_doc"]) for r in runs.merged().collect()}[99] == (6, 4)
+    runs = line_dedup.LineRuns(spark, fanout=2)
+    for i in range(5):
+        runs.append(keys([(i, i, 0), (i, 99, 0), (i, 99, 0)]))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     assert {r["h1"]: (r["n_docs"], r["max_doc"]) for r in runs.merged().collect()}[99] == (5, 4)
 
