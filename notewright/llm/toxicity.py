@@ -245,8 +245,9 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Sco
 
     counted = rows.select("text").mapInArrow(trigrams, "slot long, tri long, bi long").groupBy("slot").agg(F.sum("tri").alias("tri"), F.sum("bi").alias("bi"))
     tri, bi = np.zeros(1 << LM_BITS), np.zeros(1 << LM_BITS)
-    for r in counted.collect():  # at most 2**LM_BITS rows
-        tri[r["slot"]], bi[r["slot"]] = r["tri"], r["bi"]
+    found = counted.toArrow()  # at most 2**LM_BITS rows
+    slot = found.column("slot").to_numpy()
+    tri[slot], bi[slot] = found.column("tri").to_numpy(), found.column("bi").to_numpy()
 
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out("doc_id", 4))
