@@ -27,14 +27,23 @@ from pyspark.sql import functions as F
 
 from notewright.llm.common import _powers, mix64, slices, table
 
-#: Hashed slots (as powers of two) of each context: the last three bytes, the last five, the word so far.
-SLOT_BITS = (18, 21, 21)
+#: The fewest hashed slots (as powers of two) of each context: the last three bytes, the last five, the word so far,
+#: the word so far and the word before.
+SLOT_BITS = (18, 21, 21, 21)
+SLOT_BYTES = 128  # training bytes for each slot of the longer contexts
+DENSE_BITS = 22  # contexts of more slots are counted as sorted runs
 END = 10  # no token holds a line feed, so its byte ends a text
 _PAD = b"\n" * 5
-GATES = 12
+GATES = 24
 STEP = 16.0  # log odds are kept as whole sixteenths
 
 
+def slot_bits(n_bytes: int) -> tuple[int, ...]:
+    """Slots (as powers of two) for ``n_bytes`` of training text: in proportion to it, up to 2**30 (128 GiB)."""
+    more = max(0, math.ceil(math.log2(max(1, n_bytes) / SLOT_BYTES)) - max(SLOT_BITS))
+    return tuple(min(30, bits + more) for bits in SLOT_BITS)
+
+
 def tokens(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, as UTF-8; the end is not among them."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
@@ -79,7 +88,7 @@ def huffman(counts: np.ndarray) -> Code:
 class Events:
     """The bits of some texts: for each, its slots by context, its value, its depth; ``bounds`` cuts them by text."""
 
-    def __init__(self, canonical: list[bytes], code: Code):
+    def __init__(self, canonical: list[bytes], code: Code, slot_bits: tuple[int, ...] = SLOT_BITS):
         joined = _PAD + _PAD.join(c for c in canonical) + _PAD
         buf = np.frombuffer(joined, np.uint8)
         size = np.array([len(c) + 1 for c in canonical])
@@ -96,7 +105,7 @@ class Events:
         self.depth = code.depth.take(step)
         names = code.name.take(step)
         self.slots = []
-        for context, bits in zip(self._contexts(buf, at), SLOT_BITS):
+        for context, bits in zip(self._contexts(buf, at), slot_bits):
             slot = context.take(place)
             slot ^= names
             slot &= np.int32((1 << bits) - 1)
@@ -122,8 +131,13 @@ class Events:
             np.maximum.accumulate(opens, out=opens)
             prefix -= prefix[opens]
             prefix *= q[opens]
+            blank = np.maximum(opens - 1, 0)  # what stands before a word's first byte, after the word before
+            pair = prefix[blank]
+            pair *= np.uint64(0x9E3779B97F4A7C15)
+            pair ^= pair >> np.uint64(29)
+            pair += prefix
             out = []
-            for i, x in enumerate((three, five, prefix)):
+            for i, x in enumerate((three, five, prefix, pair)):
                 x += np.uint64(1 + i)
                 x *= np.uint64(0xD6E8FEB86659FD93)
                 x ^= x >> np.uint64(31)
@@ -156,7 +170,7 @@ class Mixer:
 
     def log10(self, canonical: list[bytes], block: int = 2048, rate: float = 0.2) -> list[float]:
         """Log10 probability of each text."""
-        events = Events(canonical, self.code)
+        events = Events(canonical, self.code, tuple(len(o).bit_length() - 1 for o in self.odds))
         x = np.empty((len(SLOT_BITS), len(events.bit)), np.float32)
         for row, odds, slot in zip(x, self.odds, events.slots):
             row[:] = odds.take(slot)
@@ -187,8 +201,9 @@ class Mixer:
 
 
 def gates(x: np.ndarray, depth: np.ndarray) -> np.ndarray:
-    """The weight set of each bit: by depth (0, 1, more) and whether the two longer contexts have been seen."""
-    out = depth * np.int8(4)
+    """The weight set of each bit: by depth (0, 1, more) and whether the three longer contexts have been seen."""
+    out = depth * np.int8(8)
+    out += (x[3] != 0) * np.int8(4)
     out += (x[2] != 0) * np.int8(2)
     out += x[1] != 0
     return out
@@ -199,18 +214,25 @@ def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.log((ones + 0.3) / (zeros + 0.3))
 
 
+def _whole_odds(zeros: np.ndarray, ones: np.ndarray, step: int = 1 << 20) -> np.ndarray:
+    out = np.empty(len(zeros), np.int8)
+    for at in range(0, len(out), step):
+        out[at : at + step] = np.clip(np.round(log_odds(zeros[at : at + step], ones[at : at + step]) * STEP), -127, 127)
+    return out
+
+
 def fit_weights(samples: list[bytes], code: Code, zeros: list[np.ndarray], ones: list[np.ndarray], steps: int = 25) -> np.ndarray:
     """Gate weights by Newton steps on sample texts, each predicted from all counts but its own."""
     rows, gate, bits = [], [], []
     for text in samples:
-        events = Events([text], code)
+        events = Events([text], code, tuple(len(z).bit_length() - 1 for z in zeros))
         x = np.empty((len(SLOT_BITS), len(events.bit)))
         one = events.bit.astype(np.float64)
         for i, slot in enumerate(events.slots):
             _, which = np.unique(slot, return_inverse=True)
             own = np.bincount(which, weights=one)[which]
             all_own = np.bincount(which)[which]
-            x[i] = log_odds(np.maximum(zeros[i][slot] - (all_own - own), 0), np.maximum(ones[i][slot] - own, 0))
+            x[i] = log_odds(np.maximum(zeros[i][slot].astype(np.int64) - (all_own - own), 0), np.maximum(ones[i][slot].astype(np.int64) - own, 0))
         x = np.clip(np.round(x * STEP), -127, 127) / STEP
         rows.append(x)
         gate.append(gates(x, events.depth))
@@ -229,10 +251,57 @@ def fit_weights(samples: list[bytes], code: Code, zeros: list[np.ndarray], ones:
     return weights
 
 
-def _bit_counts(training: DataFrame, code: Code, part: int = 1 << 14, salts: int = 64) -> DataFrame:
+class Tally:
+    """How often keys (slot * 2 + bit) were seen: a table of all, or sorted runs where that would be too large."""
+
+    def __init__(self, bits: int):
+        self.dense = np.zeros(2 << bits, np.int32) if bits <= DENSE_BITS else None
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, keys: np.ndarray) -> None:
+        if self.dense is not None:
+            np.add(self.dense, np.bincount(keys, minlength=len(self.dense)), out=self.dense, casting="unsafe")
+            return
+        new = np.unique(keys, return_counts=True)
+        while self.runs and len(self.runs[-1][0]) <= 2 * len(new[0]):
+            new = self._merge(self.runs.pop(), new)
+        self.runs.append(new)
+
+    @staticmethod
+    def _merge(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = np.concatenate((a[0], b[0])), np.concatenate((a[1], b[1]))
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        return keys[first], np.add.reduceat(counts, first)
+
+    def held(self) -> int:
+        return sum(len(keys) for keys, _ in self.runs)
+
+    def parts(self, part: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Zeros and ones of every ``part`` slots that hold any, with the parts' numbers; then it is empty."""
+        if self.dense is not None:
+            for at in range(0, len(self.dense), 2 * part):
+                own = self.dense[at : at + 2 * part]
+                if own.any():
+                    yield at // (2 * part), own.reshape(-1, 2).T.astype(np.int64)
+            self.dense[:] = 0
+            return
+        while len(self.runs) > 1:
+            self.runs.append(self._merge(self.runs.pop(), self.runs.pop()))
+        for keys, counts in self.runs:
+            cut = np.flatnonzero(np.concatenate(([True], keys[1:] // (2 * part) != keys[:-1] // (2 * part))))
+            for a, b in zip(cut, [*cut[1:], len(keys)]):
+                own = np.zeros(2 * part, np.int64)
+                own[keys[a:b] % (2 * part)] = counts[a:b]
+                yield int(keys[a]) // (2 * part), own.reshape(-1, 2).T
+        self.runs.clear()
+
+
+def _bit_counts(training: DataFrame, code: Code, slot_bits: tuple[int, ...] = SLOT_BITS, part: int = 1 << 14, salts: int = 64, most: int = 8_000_000) -> DataFrame:
     """Counts of zeros and ones by context and slot, in parts of at most ``part`` slots: (context, part, counts).
 
-    Each task counts into tables of fixed size; their parts are added up by salted groups first.
+    Each task counts into tables, or into runs of ``most`` keys in all; their parts are added up by salted groups first.
     """
     shared = training.sparkSession.sparkContext.broadcast(code)
     schema = "context int, part int, salt int, counts binary"
@@ -244,28 +313,33 @@ def _bit_counts(training: DataFrame, code: Code, part: int = 1 << 14, salts: int
 
     def count(batches):
         salt = TaskContext.get().partitionId() % salts
-        total, waiting, size = [np.zeros(2 << bits, np.int64) for bits in SLOT_BITS], [[] for _ in SLOT_BITS], 0
+        total, waiting, size = [Tally(bits) for bits in slot_bits], [[] for _ in slot_bits], 0
 
         def flush():
             for t, w in zip(total, waiting):
                 if w:
-                    t += np.bincount(np.concatenate(w), minlength=len(t))
+                    t.add(np.concatenate(w))
                     w.clear()
 
+        def rows():
+            for i, t in enumerate(total):
+                yield packed([(i, at, salt, own) for at, own in t.parts(part)])
+
         for b in slices(batches):
             for _, group in _groups([tokens(t) for t in b.column("text").to_pylist()]):
-                events = Events(group, shared.value)
+                events = Events(group, shared.value, slot_bits)
                 for w, slot in zip(waiting, events.slots):
                     slot <<= 1
                     slot |= events.bit
                     w.append(slot)
                 size += len(events.bit)
-                if size > 5_000_000:
+                if size > 4_000_000:
                     flush()
                     size = 0
+                    if sum(t.held() for t in total) > most:
+                        yield from rows()
         flush()
-        total = [t.reshape(-1, 2).T for t in total]
-        yield packed([(i, at // part, salt, t[:, at : at + part]) for i, t in enumerate(total) for at in range(0, t.shape[1], part) if t[:, at : at + part].any()])
+        yield from rows()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, total, key = zstandard.ZstdDecompressor().decompress, 0, None
@@ -330,16 +404,18 @@ def train(training: DataFrame, max_common: int = 200_000, max_samples: int = 200
     for r in counted.where(F.col("byte").isNotNull()).collect():  # 256 rows
         by_byte[r["byte"]] = r["n"]
     code = huffman(by_byte)
-    zeros, ones = ([np.zeros(1 << bits, np.int64) for bits in SLOT_BITS] for _ in range(2))
+    bits = slot_bits(int(by_byte.sum()))
+    zeros, ones = ([np.zeros(1 << b, np.uint32) for b in bits] for _ in range(2))
     unpack = zstandard.ZstdDecompressor().decompress
-    for r in _bit_counts(training, code).toArrow().to_pylist():  # sum(2**SLOT_BITS) slots in all
-        pair = np.frombuffer(unpack(r["counts"]), np.int64).reshape(2, -1)
-        at = r["part"] * pair.shape[1]
-        zeros[r["context"]][at : at + pair.shape[1]], ones[r["context"]][at : at + pair.shape[1]] = pair
+    for b in _bit_counts(training, code, bits).toArrow().to_batches(max_chunksize=100):
+        for r in b.to_pylist():
+            pair = np.minimum(np.frombuffer(unpack(r["counts"]), np.int64).reshape(2, -1), 2**32 - 1)
+            at = r["part"] * pair.shape[1]
+            zeros[r["context"]][at : at + pair.shape[1]], ones[r["context"]][at : at + pair.shape[1]] = pair
     short = F.substring(F.coalesce("text", F.lit("")), 1, sample_bytes)
     sample = training.select(short.alias("text"), F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(max_samples)
     weights = fit_weights([b" ".join(tokens(r["text"])) for r in sample.collect()], code, zeros, ones)
-    odds = [np.clip(np.round(log_odds(z, o) * STEP), -127, 127).astype(np.int8) for z, o in zip(zeros, ones)]
+    odds = [_whole_odds(z, o) for z, o in zip(zeros, ones)]
     return Trained(counts, size["total"], size["distinct"], common, Mixer(code, odds, weights))
 
 

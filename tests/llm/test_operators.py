@@ -345,6 +345,26 @@ def test_lm_beats_uniform_and_learns(spark, texts):
     assert np.median([r["bits_per_byte"] for r in got]) < 3.2
 
 
+def test_lm_slots_grow_and_word_pairs_count(spark, monkeypatch):
+    sizes = [sum(1 << b for b in lm_score.slot_bits(n)) for n in (10**6, 10**9, 3 * 10**10)]
+    assert sizes[0] < sizes[1] < sizes[2] and sizes[2] >= 3 * 3 * 10**10 / lm_score.SLOT_BYTES
+    code = lm_score.huffman(np.ones(256))
+    a, b, c = (lm_score.Events([t], code) for t in (b"aaaaaaa bbbbbbb x", b"ccccccc bbbbbbb x", b"ccccccc bbbbbbb x"))
+    at = slice(int(sum(code.length[x] for x in b"aaaaaaa bbbbbbb")) - 8, -8)
+    assert not any((a.slots[i][at] != b.slots[i][at]).any() for i in range(3))
+    assert (a.slots[3][at] != b.slots[3][at]).any() and (b.slots[3] == c.slots[3]).all()
+    docs = spark.createDataFrame([(f"one two {i} three",) for i in range(300)], "text string")
+    counts = lambda most: {(r["context"], r["part"]): lm_score.zstandard.decompress(r["counts"]) for r in lm_score._bit_counts(docs, code, lm_score.SLOT_BITS, most=most).collect()}
+    dense = counts(10)
+    monkeypatch.setattr(lm_score, "DENSE_BITS", 3)
+    runs = lm_score.Tally(5)
+    for keys in ([3, 3, 9], [9, 60], [3], [1, 2, 3, 4]):
+        runs.add(np.array(keys, np.int32))
+    got = {(at * 8 + i) * 2 + bit: int(n) for at, pair in runs.parts(8) for bit, row in enumerate(pair) for i, n in enumerate(row) if n}
+    assert got == {1: 1, 2: 1, 3: 4, 4: 1, 9: 2, 60: 1} and not runs.held()
+    assert dense and sum(np.frombuffer(v, np.int64).sum() for (i, _), v in dense.items() if i == 3) == sum(len(lm_score.Events([f"one two {i} three".encode()], code).bit) for i in range(300))
+
+
 # 9
 
 
