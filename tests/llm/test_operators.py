@@ -365,6 +365,38 @@ def test_lm_slots_grow_and_word_pairs_count(spark, monkeypatch):
     assert dense and sum(np.frombuffer(v, np.int64).sum() for (i, _), v in dense.items() if i == 3) == sum(len(lm_score.Events([f"one two {i} three".encode()], code).bit) for i in range(300))
 
 
+def test_lm_weights_come_from_all_texts_whole(spark):
+    """Newton steps in Spark reach the optimum over all events; a tail beyond 20,000 characters and a 201st text count."""
+    rng = random.Random(4)
+    rows = [" ".join(rng.choices(["red", "green", "blue", "grey"], k=12)) for _ in range(203)] + ["red " * 6000 + " ".join(rng.choices(["up", "down"], k=400))]
+    docs = spark.createDataFrame([(t,) for t in rows], "text string").repartition(3)
+    raw = [b" ".join(lm_score.tokens(t)) for t in rows]
+    code = lm_score.huffman(np.bincount(np.frombuffer(b"\n".join(raw), np.uint8), minlength=256))
+    events = [lm_score.Events([t], code) for t in raw]
+    zeros, ones = ([sum(np.bincount(e.slots[i][e.bit == bit], minlength=1 << b) for e in events).astype(np.uint32) for i, b in enumerate(lm_score.SLOT_BITS)] for bit in (0, 1))
+    got = lm_score.fit_weights(docs, code, zeros, ones, enough=1e-9)
+    x, gate, bit = [], [], []
+    for e in events:
+        own = np.stack([[np.bincount(s[e.bit == b], minlength=1 << 21)[s] for s in e.slots] for b in (0, 1)])
+        left = [np.maximum(np.stack([c[s] for c, s in zip(counts, e.slots)]).astype(float) - o, 0) for counts, o in zip((zeros, ones), own)]
+        x.append(np.clip(np.round(lm_score.log_odds(*left) * lm_score.STEP), -127, 127) / lm_score.STEP)
+        gate.append(lm_score.gates(x[-1], e.depth))
+        bit.append(e.bit)
+    x, gate, bit = np.concatenate(x, axis=1), np.concatenate(gate), np.concatenate(bit)
+    for g in range(lm_score.GATES):
+        xs, y = x[:, gate == g], bit[gate == g]
+        pull = xs @ (y - 1 / (1 + np.exp(-np.clip(got[g] @ xs, -30, 30)))) - lm_score.RIDGE * (got[g] - 1 / 4)
+        assert np.abs(pull).max() < 1e-3 * max(1, len(y)), g
+
+
+def test_lm_refines_short_texts():
+    code = lm_score.huffman(np.ones(256))
+    odds = [np.random.default_rng(5).integers(-60, 60, 1 << b).astype(np.int8) for b in lm_score.SLOT_BITS]
+    mixer = lm_score.Mixer(code, odds, np.full((lm_score.GATES, len(odds)), 0.25))
+    text = [b"a short text of some dozens of bytes"]
+    assert mixer.log10(text) != mixer.log10(text, rate=0.0)
+
+
 # 9
 
 
