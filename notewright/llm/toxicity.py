@@ -27,9 +27,11 @@ LEET = {
 }
 _SEPARATORS = frozenset(".,-_~*'’·:;/\\|=+^`\"!?()[]{}<>#%&​‌‍­")
 _EDGE = re.compile(r"^[^\w@$!|+(€£¡*#]+|[^\w]+$", re.UNICODE)
+_LEAD = re.compile(r"^[^\w@$!|+(€£¡*#]+", re.UNICODE)
 _PIECES = re.compile(r"[^\W\d_]+", re.UNICODE)
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
 _LONG_RUN = re.compile(r"(.)\1\1", re.DOTALL)
+_DOUBLE = re.compile(r"(.)\1", re.DOTALL)
 LM_BITS = 18
 BEGIN, END = 2, 3
 
@@ -84,10 +86,12 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(token: str, model: CharModel) -> str:
-    """The most likely reading of ``token``: Viterbi over the lattice, states are the last two characters."""
+def readings(token: str, model: CharModel, least: int) -> list[str]:
+    """The most likely reading of each beginning of ``token`` of ``least`` characters or more that ends with a run:
+    Viterbi over the lattice, states are the last two characters."""
     states: dict[tuple[int, int], tuple[float, object]] = {(BEGIN, BEGIN): (0.0, None)}
-    for ways in lattice(token):
+    found = []
+    for run, ways in zip(_RUN.finditer(token), lattice(token)):
         new: dict = {}
         for (a, b), (score, back) in states.items():
             for text, weight in ways:
@@ -98,12 +102,19 @@ def restore(token: str, model: CharModel) -> str:
                 if (x, y) not in new or s > new[x, y][0]:
                     new[x, y] = (s, link)
         states = new
-    _, link = max(((s + model.log_prob(a, b, END), link) for (a, b), (s, link) in states.items()), key=lambda r: r[0])
-    out = []
-    while link:
-        link, c = link
-        out.append(c)
-    return "".join(reversed(out))
+        if run.end() >= least:
+            _, link = max(((s + model.log_prob(a, b, END), link) for (a, b), (s, link) in states.items()), key=lambda r: r[0])
+            out = []
+            while link:
+                link, c = link
+                out.append(c)
+            found.append("".join(reversed(out)))
+    return found
+
+
+def restore(token: str, model: CharModel) -> str:
+    """The most likely reading of ``token``."""
+    return readings(token, model, len(token))[-1] if token else ""
 
 
 def word_features(word: str) -> list[str]:
@@ -142,12 +153,14 @@ class Scorer:
     def token(self, token: str) -> tuple[str, ...]:
         """Features of a lower-cased token, as it stands and restored."""
         core = _EDGE.sub("", token)
-        if core.isalpha() and not _LONG_RUN.search(core):
-            found = self._hits(core)
-        else:
-            found = [f for p in _PIECES.findall(core) for f in self._hits(p)]
-            if any(c.isalpha() for c in core):
-                found += self._hits(restore(core, self.model))
+        tail = _LEAD.sub("", token)[len(core) :]
+        while tail and tail[-1] not in LEET:
+            tail = tail[:-1]
+        plain = core.isalpha() and not _LONG_RUN.search(core)
+        found = self._hits(core) if plain else [f for p in _PIECES.findall(core) for f in self._hits(p)]
+        if any(c.isalpha() for c in core) and (tail or not plain or (not found and _DOUBLE.search(core))):
+            for word in readings(core + tail, self.model, len(core)):
+                found += self._hits(word)
         return tuple(found)
 
     def spaced(self, letters: str) -> list[str]:

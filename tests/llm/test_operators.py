@@ -254,6 +254,14 @@ def test_near_duplicates(spark, odd, empty):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, i) for i in (1, 2, 3, 7, 9, 10, 100, 300)] + [(True, 0)]
 
 
+def test_links_count_once_beside_empty_parts(spark, block_shingles):
+    """Blocks smaller than one text leave parts empty; a link inside the other part is not counted again."""
+    base = [f"word{i}" for i in range(120)]
+    rows = [(i, " ".join([*base, *(f"end{i}x{j}" for j in range(3))])) for i in range(3)] + [(9, "something else altogether in a text alone")]
+    got = jaccard.near_duplicates(documents(spark, rows), block_shingles=block_shingles).select("doc_id", "class_id", "n_links").collect()
+    assert sorted(map(tuple, got)) == sorted(brute_classes(rows)) == [(0, 0, 2), (1, 0, 2), (2, 0, 2), (9, 9, 0)]
+
+
 def test_banding_reaches_recall():
     bands, rows = jaccard.banding(0.8, 0.9995, 160)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9995 and bands * rows <= 160
@@ -306,6 +314,14 @@ def test_toxicity(spark, odd, empty, labels):
     assert clean.columns == odd.columns and clean.count() == len(ODD)
 
 
+def test_doubled_letters_and_final_symbols_are_restored(spark):
+    scorer = toxicity.train(*(spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels")))
+    for bad in ("stuupid", "iddiot", "worthles$", "worthle$$", "idio+", '"idio+",', "worthles$!", "stuupid!"):
+        assert scorer.score(f"you are {bad} today") >= 0.3, bad
+    for good in ("a good letter will follow", "cool!", "hello $", "it costs 5$ + tax", "summer+"):
+        assert scorer.score(good) < 0.3, good
+
+
 # 8
 
 
