@@ -129,10 +129,12 @@ def _roots(linked: np.ndarray) -> np.ndarray:
 
 
 def _verify(width: int, threshold: Fraction):
-    def links(block: list[tuple]) -> tuple[list, list, list]:
+    def links(block: list[tuple], diagonal: bool) -> tuple[list, list, list]:
         """Rows (fp, copies, side, text) of one block, by fp -> fp, links, least linked fp."""
         block.sort(key=lambda r: (r[2], r[0]))
-        left = sum(r[2] == 0 for r in block) if block[-1][2] else 0
+        left = 0 if diagonal else sum(r[2] == 0 for r in block)
+        if not diagonal and left in (0, len(block)):  # the other part is empty
+            return [], [], []
         linked = compare(list(shingle_sets([r[3] for r in block], width)), left, threshold)
         copies = np.array([r[1] for r in block], np.int64)
         fps = [r[0] for r in block]
@@ -152,14 +154,14 @@ def _verify(width: int, threshold: Fraction):
             for row in zip(*(b.column(c).to_pylist() for c in ("root", "i", "j", "fp", "copies", "side", "text"))):
                 if row[:3] != key:
                     if len(block) > 1:
-                        for o, x in zip(out, links(block)):
+                        for o, x in zip(out, links(block, key[1] == key[2])):
                             o.extend(x)
                     if len(out[0]) > 10_000:
                         yield flush()
                     key, block = row[:3], []
                 block.append(row[3:])
         if len(block) > 1:
-            for o, x in zip(out, links(block)):
+            for o, x in zip(out, links(block, key[1] == key[2])):
                 o.extend(x)
         yield flush()
 

@@ -254,6 +254,7 @@ def test_near_duplicates(spark, odd, empty):
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, i) for i in (1, 2, 3, 7, 9, 10, 100, 300)] + [(True, 0)]
 
 
+@pytest.mark.parametrize("block_shingles", [40, 10])
 def test_links_count_once_beside_empty_parts(spark, block_shingles):
     """Blocks smaller than one text leave parts empty; a link inside the other part is not counted again."""
     base = [f"word{i}" for i in range(120)]
