@@ -1,8 +1,8 @@
 """Quality classifier by co-training of two views.
 
 One classifier sees a document's text content, the other its page metadata
-(language, source, size and layout).  Over some rounds each labels the pool
-documents it is surest of for the other; the two, calibrated on labelled
+(language, source, size and layout).  Over some rounds each labels all
+unlabelled documents it is sure of for the other; the two, calibrated on labelled
 documents that neither was fitted on, are combined to score all documents.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import slices
+from notewright.llm.common import slices, table
 
 SHAPES, SOURCES, LANGS = 192, 48, 16
 _SHAPE = ((re.compile(r"[^\W\d_a-zA-Z]"), "a"), (re.compile(r"[a-z]+"), "a"), (re.compile(r"[A-Z]+"), "A"), (re.compile(r"\d+"), "0"), (re.compile(r"(.)\1+"), r"\1"))
@@ -87,6 +88,26 @@ class Logistic:
             w += np.clip(step, -3, 3)
         return Logistic(w, mean, scale)
 
+    def sums(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """What rows add to the gradient and the Hessian at these weights, as one vector."""
+        z = np.concatenate(((x - self.mean) / self.scale, np.ones((len(x), 1))), axis=1)
+        p = 1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30)))
+        return np.concatenate((z.T @ (y - p), ((z * (p * (1 - p))[:, None]).T @ z).ravel()))
+
+    def step(self, sums: np.ndarray, ridge: float = 1.0) -> float:
+        """A Newton step by the sums of all rows; how far the weights moved."""
+        n = len(self.weights)
+        keep = np.full(n, ridge)
+        keep[-1] = 1e-3
+        change = np.clip(np.linalg.solve(sums[n:].reshape(n, n) + np.diag(keep), sums[:n] - keep * self.weights), -3, 3)
+        self.weights = self.weights + change
+        return float(np.abs(change).max())
+
+    def rescaled(self, mean: np.ndarray, scale: np.ndarray) -> Logistic:
+        """The same function of a row, to be fitted on at another mean and scale."""
+        w = self.weights[:-1] / self.scale
+        return Logistic(np.append(w * scale, self.weights[-1] + w @ (mean - self.mean)), mean, scale)
+
     def logit(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.scale, -20, 20) @ self.weights[:-1] + self.weights[-1]
 
@@ -102,37 +123,115 @@ class CoTrained:
         return self.combined.logit(np.stack((np.clip(self.text.logit(text), -15, 15), np.clip(self.meta.logit(meta), -15, 15)), axis=1))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = 4, per_round: int = 400, sure: float = 0.97) -> CoTrained | None:
-    """Fit both views on labelled rows and on what each, when ``sure``, labels in the pool for the other.
+Gather = Callable[[Callable[[np.ndarray, np.ndarray], np.ndarray]], np.ndarray]
+
 
-    Every fifth labelled row only calibrates and combines.  None if the labels are all alike.
+def _cutoffs(z: np.ndarray, y: np.ndarray, sure: float) -> tuple[float, float]:
+    """The logits from which on a view is sure of a bad and of a good document: their probability, calibrated on labelled
+    rows that the view was not fitted on, is at least ``sure``."""
+    model, far = Logistic.fit(np.clip(z, -15, 15)[:, None], y, ridge=0.1), math.log(sure / (1 - sure))
+    slope = model.weights[0] / model.scale[0]
+    if slope <= 0:
+        return -math.inf, math.inf
+    middle = model.mean[0] - model.weights[1] / slope
+    return min(middle - far / slope, -far), max(middle + far / slope, far)
+
+
+def _given(history: list[tuple], text: np.ndarray, meta: np.ndarray) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """By view, the pool rows that the other has labelled for it, and the labels: those of the first round it was sure.
+
+    ``history`` has the models of each round, and from where on each is sure.
+    """
+    out = {}
+    for v, other, x in (("text", "meta", meta), ("meta", "text", text)):
+        said = np.full(len(x), -1.0)
+        for models, cutoffs in history:
+            z = models[other].logit(x)
+            low, high = cutoffs[other]
+            now = (said < 0) & ((z <= low) | (z >= high))
+            said[now] = z[now] > 0
+        rows = np.flatnonzero(said >= 0)
+        out[v] = (rows, said[rows])
+    return out
+
+
+def _moments(x: np.ndarray) -> np.ndarray:
+    return np.concatenate(([len(x)], x.sum(axis=0), (x * x).sum(axis=0)))
+
+
+def co_train_all(text: np.ndarray, meta: np.ndarray, y: np.ndarray, gather: Gather, rounds: int = 4, sure: float = 0.97, steps: int = 12) -> CoTrained | None:
+    """Fit both views on labelled rows and on all that each, when ``sure``, labels in the pool for the other.
+
+    ``gather`` sums a function of the two views' rows over the whole pool.  Every fifth labelled row only
+    calibrates and combines.  None if the labels are all alike.
     """
     part = np.arange(len(y)) % 5 == 0
     if len(set(y[~part])) < 2 or len(set(y[part])) < 2:
         return None
-    own = {"text": (text[~part], y[~part]), "meta": (meta[~part], y[~part])}
-    pools = {"text": pool_text, "meta": pool_meta}
-    free = {v: np.ones(len(pool_text), bool) for v in own}  # pool rows this view has not been given yet
-    exchanged, models = 0, {}
-    for r in range(rounds + 1):
-        models = {v: Logistic.fit(*own[v]) for v in own}
-        if r == rounds or not len(pool_text):
+    own = {"text": text[~part], "meta": meta[~part]}
+    models = {v: Logistic.fit(x, y[~part]) for v, x in own.items()}
+    size = {v: x.shape[1] for v, x in own.items()}
+    history: list[tuple] = []
+    exchanged = 0
+    for _ in range(rounds):
+        history.append((models, {v: _cutoffs(models[v].logit(x[part]), y[part], sure) for v, x in (("text", text), ("meta", meta))}))
+
+        def moments(pool_text, pool_meta, history=tuple(history)):
+            given = _given(history, pool_text, pool_meta)
+            return np.concatenate([_moments(x[given[v][0]]) for v, x in (("text", pool_text), ("meta", pool_meta))])
+
+        total = np.split(gather(moments), [1 + 2 * size["text"]])
+        exchanged = int(total[0][0] + total[1][0])
+        if not exchanged:
             break
-        given = {}
-        for v, other in (("text", "meta"), ("meta", "text")):
-            z = models[v].logit(pools[v])
-            p = np.where(free[other], 1 / (1 + np.exp(-np.clip(z, -30, 30))), 0.5)
-            chosen = np.concatenate((np.argsort(-p, kind="stable")[:per_round], np.argsort(p, kind="stable")[:per_round]))
-            chosen = chosen[np.maximum(p[chosen], 1 - p[chosen]) >= sure]
-            given[other] = (chosen, (p[chosen] > 0.5).astype(float))
-        for v, (rows, said) in given.items():
-            free[v][rows] = False
-            exchanged += len(rows)
-            own[v] = (np.concatenate((own[v][0], pools[v][rows])), np.concatenate((own[v][1], said)))
+        fresh = {}
+        for v, t in zip(own, total):
+            t = t + _moments(own[v])
+            mean = t[1 : 1 + size[v]] / t[0]
+            fresh[v] = models[v].rescaled(mean, np.sqrt(np.maximum(t[1 + size[v] :] / t[0] - mean * mean, 0)) + 1e-3)
+        models = fresh
+        for _ in range(steps):
+
+            def newton(pool_text, pool_meta, history=tuple(history), models=models):
+                given = _given(history, pool_text, pool_meta)
+                return np.concatenate([models[v].sums(x[given[v][0]], given[v][1]) for v, x in (("text", pool_text), ("meta", pool_meta))])
+
+            n = size["text"] + 1
+            total = np.split(gather(newton), [n + n * n])
+            if max([models[v].step(t + models[v].sums(own[v], y[~part])) for v, t in zip(own, total)]) < 0.01:
+                break
     logits = np.stack([np.clip(models[v].logit(x[part]), -15, 15) for v, x in (("text", text), ("meta", meta))], axis=1)
     return CoTrained(models["text"], models["meta"], Logistic.fit(logits, y[part], ridge=0.1), exchanged)
 
 
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = 4, sure: float = 0.97) -> CoTrained | None:
+    """``co_train_all`` with a pool in memory."""
+    return co_train_all(text, meta, y, lambda f: f(pool_text, pool_meta), rounds, sure)
+
+
+def _gather(pool: DataFrame) -> Gather:
+    """Sums over a table of views (as bytes of 32-bit floats), in tasks, then in a few."""
+
+    def gather(f):
+        def run(batches):
+            total = f(np.zeros((0, SHAPES + 6)), np.zeros((0, LANGS + SOURCES + 5)))
+            for b in slices(batches):
+                views = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.float32).reshape(b.num_rows, -1).astype(np.float64) for c in ("text_view", "meta_view")]
+                total = total + f(*views)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        def add(batches):
+            total = [np.frombuffer(x, np.float64) for b in batches for x in b.column("sums").to_pylist()]
+            if total:
+                yield pa.RecordBatch.from_arrays([pa.array([sum(total).tobytes()], pa.binary())], ["sums"])
+
+        found = pool.select("text_view", "meta_view").mapInArrow(run, "sums binary").repartition(8).mapInArrow(add, "sums binary").collect()
+        empty = f(np.zeros((0, SHAPES + 6)), np.zeros((0, LANGS + SOURCES + 5)))
+        return sum((np.frombuffer(r["sums"], np.float64) for r in found), empty)
+
+    return gather
+
+
 def _vectors(rows: DataFrame, extra: list[str]) -> DataFrame:
     """The two feature vectors of each row."""
 
@@ -147,28 +246,40 @@ def _vectors(rows: DataFrame, extra: list[str]) -> DataFrame:
     return rows.mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in extra) + ", " * bool(extra) + "text_view array<float>, meta_view array<float>")
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000, max_pool: int = 8_000) -> tuple[CoTrained | None, float]:
+def _packed_vectors(docs: DataFrame) -> DataFrame:
+    """The two feature vectors of each row as bytes of 32-bit floats, with its doc_id."""
+
+    def run(batches):
+        v = Views()
+        for b in slices(batches):
+            raw = [b.column(c).to_pylist() for c in ("lang", "source", "n_chars", "text")]
+            columns = [b.column("doc_id"), pa.array([v.text(t).tobytes() for t in raw[3]], pa.binary()), pa.array([v.meta(*r).tobytes() for r in zip(*raw)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_view", "meta_view"])
+
+    return docs.mapInArrow(run, "doc_id long, text_view binary, meta_view binary")
+
+
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000) -> tuple[CoTrained | None, float]:
     """The classifier and the share of good documents among the labelled.
 
-    At most ``max_labelled`` labelled and ``max_pool`` unlabelled documents are used, those of the smallest hashes of
-    doc_id.  Ids whose crc32 (as text) leaves 2 modulo 4 stay out, so that they can test the result.
+    At most ``max_labelled`` labelled documents are used, those of the smallest hashes of doc_id, and all unlabelled
+    ones.  Ids whose crc32 (as text) leaves 2 modulo 4 stay out, so that they can test the result.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     test = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = known.where(~test).orderBy(*order).limit(max_labelled)
-    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    pool = ids.where(~test).join(known, "doc_id", "left_anti").orderBy(*order).limit(max_pool).withColumn("quality", F.lit(-1))
-    chosen = chosen.unionByName(pool)  # at most max_labelled + max_pool rows
     rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
     found = _vectors(rows, ["doc_id", "quality"]).collect()
     found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
     y = np.array([r["quality"] for r in found], np.float64)
-    if not (y >= 0).any():
+    if not len(y):
         return None, 1.0
     text, meta = (np.array([r[c] for r in found], np.float64) for c in ("text_view", "meta_view"))
-    return co_train(text[y >= 0], meta[y >= 0], y[y >= 0], text[y < 0], meta[y < 0]), float(y[y >= 0].mean())
+    held = F.coalesce(test, F.lit(False))  # a null id is unlabelled
+    pool = table(_packed_vectors(docs.where(~held)).join(known.select("doc_id"), "doc_id", "left_anti"), "pool")
+    return co_train_all(text, meta, y, _gather(pool)), float(y.mean())
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **bounds: int) -> DataFrame:

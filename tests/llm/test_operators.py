@@ -297,6 +297,22 @@ def test_co_training_exchanges_labels():
     assert model.exchanged > 200 and ((model.logit(text, meta) > 0) == (y == 1)).mean() > 0.98
 
 
+def test_co_training_uses_the_whole_pool(spark):
+    """More documents than 400 a class and round can be exchanged, and Spark's sums are those of one block."""
+    rng = np.random.default_rng(1)
+    y = rng.integers(0, 2, 9000).astype(float)
+    views = [np.zeros((9000, n), np.float32) for n in (quality.SHAPES + 6, quality.LANGS + quality.SOURCES + 5)]
+    for x in views:
+        x[:, 0], x[:, 1] = y * 8 - 4 + rng.normal(size=9000), rng.normal(size=9000)
+    rows = [(i, bytearray(views[0][i].tobytes()), bytearray(views[1][i].tobytes())) for i in range(200, 9000)]
+    pool = spark.createDataFrame(rows, "doc_id long, text_view binary, meta_view binary").repartition(5)
+    text, meta = (x.astype(float) for x in views)
+    one = quality.co_train(text[:200], meta[:200], y[:200], text[200:], meta[200:])
+    many = quality.co_train_all(text[:200], meta[:200], y[:200], quality._gather(pool))
+    assert one.exchanged == many.exchanged > 8 * 4 * 400
+    assert np.allclose(one.text.weights, many.text.weights, atol=1e-6) and np.allclose(one.meta.weights, many.meta.weights, atol=1e-6)
+
+
 def test_toxicity(spark, odd, empty, labels):
     got = toxicity.toxicity_scores(odd, labels).collect()
     assert len(got) == len(ODD) and all(0 <= r["score"] <= 1 for r in got)
