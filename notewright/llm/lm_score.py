@@ -1,13 +1,20 @@
 """Language-model scores by online logistic context mixing.
 
-A text is its tokens joined by blanks, then an end.  Each byte is a path of bits
-in a Huffman tree of the corpus' bytes, and each bit is predicted by several
-models: hashed contexts of the bytes and words before it, with counts of zeros
-and ones over the whole training corpus.  Their log odds are combined by a
-weight vector that a gate chooses (how deep the bit lies, and which contexts
-have been seen), and while a text is read a correction of the weights is refined
-block by block from the bits already coded.  The total of code lengths is the
-text's log probability: bits per byte, or log10 as asked.
+A text is its tokens, then an end.  A token that training holds often is one
+symbol; any other is an escape, then its bytes and a blank.  A symbol is a path
+of bits in a Huffman tree (one of words, one of bytes), and each bit is
+predicted by several models: the tree's own counts, and hashed contexts of the
+words, or of the bytes of the word, before it.  A hashed slot's counts of zeros
+and ones over the whole training corpus are a state, whose log odds come from
+what followed that state in training.  The log odds are combined by weights that
+a gate chooses (how deep the bit lies, which contexts have been seen); while a
+text is read, each gate's weights are refined block by block from the bits
+already coded.  The total of code lengths is the text's log probability: bits
+per byte, or log10 as asked.
+
+What the contexts hold: every distinct (context, symbol) pair of the training
+texts is counted exactly, pre-aggregated in tasks and merged by owners, each of
+a range of contexts; an owner turns its pairs into counts of bits.
 """
 
 from __future__ import annotations
@@ -17,31 +24,36 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notewright.llm.common import _powers, mix64, slices, table
 
-#: The fewest hashed slots (as powers of two) of each context: the last three bytes, the last five, the word so far,
-#: the word so far and the word before.
-SLOT_BITS = (18, 21, 21, 21)
-SLOT_BYTES = 128  # training bytes for each slot of the longer contexts
-DENSE_BITS = 22  # contexts of more slots are counted as sorted runs
-END = 10  # no token holds a line feed, so its byte ends a text
-_PAD = b"\n" * 5
-GATES = 24
-STEP = 16.0  # log odds are kept as whole sixteenths
+BLANK = 32  # no token holds a blank, so it ends a spelled one
+SYMBOL_BITS = 18
+MAX_WORDS = (1 << SYMBOL_BITS) - 512  # symbols of the word tree; other tokens are spelled
+TABLES = 3  # of words: the word before, the two before, their last letters; of bytes: the last three, the last five, the word so far
+LEVELS = 16
+OWNED_BITS = 15  # an owner's slots, as a power of two
+GROUP_BYTES = 200_000  # word numbers of the texts that are laid out together
+LEAST_VISITS = 6  # bits of a context that training met less often are not kept
+STATES = 32
 
 
-def slot_bits(n_bytes: int) -> tuple[int, ...]:
-    """Slots (as powers of two) for ``n_bytes`` of training text: in proportion to it, up to 2**30 (128 GiB)."""
-    more = max(0, math.ceil(math.log2(max(1, n_bytes) / SLOT_BYTES)) - max(SLOT_BITS))
-    return tuple(min(30, bits + more) for bits in SLOT_BITS)
+def slot_bits(n_bytes: int, most: int = 30) -> int:
+    """Slots of a word context, as a power of two, for ``n_bytes`` of training text.
+
+    They grow as the text's square root, as vocabularies do: 2**22 for 100 MB, 2**26 for 50 GB; ``most`` bounds
+    a task's memory (a slot is two bytes while weights are fitted, then one).  A byte context has a quarter of them.
+    """
+    return max(12, min(most, int(22.5 + 0.5 * math.log2(max(1, n_bytes) / 2**27))))
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -49,486 +61,716 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+# Symbols and their bits
+
+
 @dataclass(frozen=True)
 class Code:
-    """A Huffman code of the 256 bytes: by byte, where its path starts and how long it is; the steps of all paths:
-    a hash of the node, the bit taken there, how deep it lies."""
+    """Huffman codes of words (symbols from 0, the escape last of them) and of the 256 bytes (the symbols after).
 
+    By symbol: where its path starts, its length, its bits from the highest down.  By step of all paths, as bits of
+    a number from the lowest up: a hash of the node (32 bits), the bit taken there (1), how deep it lies (2: 0, 1, or 2
+    for more), the log odds of a one by the tree's counts (6: sixteenths above -2).
+    """
+
+    escape: int
     start: np.ndarray
     length: np.ndarray
-    name: np.ndarray
-    bit: np.ndarray
-    depth: np.ndarray
+    path: np.ndarray
+    node: np.ndarray
+
 
+TREE_ODDS = (np.arange(64) / 16 - 2).astype(np.float32)
 
-def huffman(counts: np.ndarray) -> Code:
-    """The code of byte counts; every byte gets one, as each counts once more."""
-    heap = [(int(n) + 1, b, None) for b, n in enumerate(counts)]
+
+def _tree(weights: np.ndarray, salt: int) -> tuple[np.ndarray, ...]:
+    """Of a Huffman tree over positive weights: lengths and paths of its leaves, and what Code has by step."""
+    n = len(weights)
+    parent, side = np.zeros(2 * n - 1, np.int64), np.zeros(2 * n - 1, np.int8)
+    heap = [(int(w), i) for i, w in enumerate(weights)]
     heapq.heapify(heap)
-    fresh = 256
-    while len(heap) > 1:
+    pair = np.ones((2, 2 * n - 1))
+    for node in range(n, 2 * n - 1):
         x, y = heapq.heappop(heap), heapq.heappop(heap)
-        heapq.heappush(heap, (x[0] + y[0], fresh, (x, y)))
-        fresh += 1
-    paths: dict[int, list[tuple[int, int]]] = {}
-    stack = [(heap[0], [])]
-    while stack:
-        (_, name, kids), path = stack.pop()
-        if kids is None:
-            paths[name] = path
-        else:
-            stack += [(kid, [*path, (name, i)]) for i, kid in enumerate(kids)]
-    length = np.array([len(paths[b]) for b in range(256)])
-    flat = [step for b in range(256) for step in paths[b]]
-    name = (mix64(np.array([n + 77 for n, _ in flat], np.uint64)) >> np.uint64(33)).astype(np.int32)
-    depth = np.concatenate([np.arange(n) for n in length]).clip(max=2).astype(np.int8)
-    return Code(np.concatenate(([0], np.cumsum(length)[:-1])), length, name, np.array([b for _, b in flat], np.int8), depth)
-
-
-class Events:
-    """The bits of some texts: for each, its slots by context, its value, its depth; ``bounds`` cuts them by text."""
-
-    def __init__(self, canonical: list[bytes], code: Code, slot_bits: tuple[int, ...] = SLOT_BITS):
-        joined = _PAD + _PAD.join(c for c in canonical) + _PAD
-        buf = np.frombuffer(joined, np.uint8)
-        size = np.array([len(c) + 1 for c in canonical])
-        begin = len(_PAD) + np.concatenate(([0], np.cumsum(size + len(_PAD) - 1)[:-1]))
-        at = np.arange(size.sum()) + np.repeat(begin - np.concatenate(([0], np.cumsum(size)[:-1])), size)
-        symbol = buf[at]
-        n_bits = code.length[symbol]
-        ends = np.cumsum(n_bits)
-        total = int(ends[-1]) if len(ends) else 0
-        place = np.repeat(np.arange(len(at), dtype=np.int32), n_bits)
-        step = (code.start[symbol] - (ends - n_bits)).astype(np.int32).take(place)
-        step += np.arange(total, dtype=np.int32)
-        self.bit = code.bit.take(step)
-        self.depth = code.depth.take(step)
-        names = code.name.take(step)
-        self.slots = []
-        for context, bits in zip(self._contexts(buf, at), slot_bits):
-            slot = context.take(place)
-            slot ^= names
-            slot &= np.int32((1 << bits) - 1)
-            self.slots.append(slot)
-        self.bounds = np.concatenate(([0], ends[np.cumsum(size) - 1])) if len(size) else np.zeros(1, np.int64)
+        parent[x[1]] = parent[y[1]] = node
+        side[y[1]] = 1
+        pair[0, node], pair[1, node] = x[0], y[0]
+        heapq.heappush(heap, (x[0] + y[0], node))
+    leaf, at, found = np.arange(n), np.arange(n), []
+    length = np.zeros(n, np.int64)
+    while len(leaf):
+        found.append((leaf, parent[at], side[at]))
+        length[leaf] += 1
+        at = parent[at]
+        leaf, at = leaf[at != 2 * n - 2], at[at != 2 * n - 2]
+    start = np.cumsum(length) - length
+    node, bit, deep, path = np.zeros(length.sum(), np.int64), np.zeros(length.sum(), np.int8), np.zeros(length.sum(), np.int8), np.zeros(n, np.uint64)
+    for up, (leaf, above, taken) in enumerate(found):
+        place = length[leaf] - 1 - up
+        node[start[leaf] + place], bit[start[leaf] + place], deep[start[leaf] + place] = above, taken, np.minimum(place, 2)
+        path[leaf] |= taken.astype(np.uint64) << (63 - place).astype(np.uint64)
+    name = (mix64(node.astype(np.uint64) + np.uint64(salt)) >> np.uint64(32)).astype(np.int64)
+    level = np.clip(np.round(16 * np.log(pair[1, node] / pair[0, node])) + 32, 0, 63).astype(np.int64)
+    return length, path, name | bit.astype(np.int64) << 32 | deep.astype(np.int64) << 33 | level << 35
+
+
+def make_code(words: np.ndarray, spelled: np.ndarray) -> Code:
+    """The code of words' counts (the escape's last) and of the spelled bytes' counts; each counts once more."""
+    parts = [np.concatenate(p) for p in zip(_tree(words + 1, 77), _tree(spelled + 1, 1 << 40))]
+    return Code(len(words) - 1, np.cumsum(parts[0]) - parts[0], *parts)
 
-    @staticmethod
-    def _contexts(buf: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-        """Hashes (31 bits) of each context before the bytes ``at``; at least five bytes stand before each."""
-        n = len(buf)
-        with np.errstate(over="ignore"):
-            p, q = _powers(n + 1)
-            b = buf.astype(np.uint64)
-            three = np.zeros(n, np.uint64)
-            three[5:] = b[2:-3] << np.uint64(16) | b[3:-2] << np.uint64(8) | b[4:-1]
-            five = three.copy()
-            five[5:] |= b[:-5] << np.uint64(32) | b[1:-4] << np.uint64(24)
-            prefix = np.zeros(n, np.uint64)
-            b += np.uint64(1)
-            np.cumsum((b * p[:n])[:-1], out=prefix[1:])
-            opens = np.zeros(n, np.int64)  # where the word that holds a byte begins
-            opens[1:] = np.where((buf[:-1] == 32) | (buf[:-1] == END), np.arange(1, n), 0)
-            np.maximum.accumulate(opens, out=opens)
-            prefix -= prefix[opens]
-            prefix *= q[opens]
-            blank = np.maximum(opens - 1, 0)  # what stands before a word's first byte, after the word before
-            pair = prefix[blank]
-            pair *= np.uint64(0x9E3779B97F4A7C15)
-            pair ^= pair >> np.uint64(29)
-            pair += prefix
-            out = []
-            for i, x in enumerate((three, five, prefix, pair)):
-                x += np.uint64(1 + i)
-                x *= np.uint64(0xD6E8FEB86659FD93)
-                x ^= x >> np.uint64(31)
-                x *= np.uint64(0xBF58476D1CE4E5B9)
-                x >>= np.uint64(33)
-                out.append(x.astype(np.int32)[at])
-            return out
-
-
-def _groups(texts: list[list[bytes]], most: int = 60_000):
-    """Texts in groups of about ``most`` bytes, each as (first index, canonical texts)."""
-    group, size, first = [], 0, 0
-    for i, t in enumerate(texts):
-        group.append(b" ".join(t))
-        size += len(group[-1]) + 1
-        if size > most:
-            yield first, group
-            group, size, first = [], 0, i + 1
-    if group:
-        yield first, group
 
+@dataclass(frozen=True)
+class Layout:
+    """Where a context's bits are: ``bits`` of slots in all, an owner's ``own`` of them, contexts as hashes of ``bits`` + 4."""
 
-@dataclass
-class Mixer:
-    """Log odds by context and slot, gate weights, and how a text is scored."""
+    bits: int
 
-    code: Code
-    odds: list[np.ndarray]
-    weights: np.ndarray
-
-    def log10(self, canonical: list[bytes], block: int = 2048, rate: float = 0.2, first: int = 128) -> list[float]:
-        """Log10 probability of each text; its weights are refined after ``first`` bits, then after twice as many, up to ``block``."""
-        events = Events(canonical, self.code, tuple(len(o).bit_length() - 1 for o in self.odds))
-        x = np.empty((len(SLOT_BITS), len(events.bit)), np.float32)
-        for row, odds, slot in zip(x, self.odds, events.slots):
-            row[:] = odds.take(slot)
-        gate = gates(x, events.depth)
-        base = np.zeros(len(gate), np.float32)
-        for w, row in zip(np.ascontiguousarray(self.weights.T / STEP, np.float32), x):
-            base += w.take(gate) * row
-        sign = (1 - 2 * events.bit).astype(np.float32)  # -1 where the bit is 1
-        rate /= STEP * STEP
-        out = []
-        for a, b in zip(events.bounds[:-1].tolist(), events.bounds[1:].tolist()):
-            change, total = np.zeros(len(x), np.float32), 0.0
-            j, size = a, min(first, block)
-            while j < b:
-                i, j = j, min(j + size, b)
-                size = min(2 * size, block)
-                z = base[i:j]
-                if i > a:
-                    z = z + change @ x[:, i:j]
-                z = np.minimum(z * sign[i:j], 30)
-                np.exp(z, out=z)
-                one = z + 1
-                total += float(np.log(one).sum(dtype=np.float64))
-                if j < b:
-                    z /= one
-                    z *= sign[i:j]
-                    change -= rate / block * (x[:, i:j] @ z)
-            out.append(-total / math.log(10))
-        return out
+    @property
+    def own(self) -> int:
+        return min(self.bits, OWNED_BITS)
 
+    def hashed(self, context: np.ndarray) -> np.ndarray:
+        """Contexts (64 bits, any) as hashes; the highest bits say which owner's they are."""
+        return mix64(context) >> np.uint64(60 - self.bits)
 
-def gates(x: np.ndarray, depth: np.ndarray) -> np.ndarray:
-    """The weight set of each bit: by depth (0, 1, more) and whether the three longer contexts have been seen."""
-    out = depth * np.int8(8)
-    out += (x[3] != 0) * np.int8(4)
-    out += (x[2] != 0) * np.int8(2)
-    out += x[1] != 0
-    return out
+    def first(self, hashed: np.ndarray) -> np.ndarray:
+        """A context's slots, before the nodes' names are mixed into the owner's bits."""
+        hashed = hashed.astype(np.int64)
+        return hashed >> (4 + self.own) << self.own | hashed & ((1 << self.own) - 1)
 
 
-def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Smoothed log odds of a one; 0 where nothing was seen (and, next to it, where both are as many)."""
-    return np.log((ones + 0.3) / (zeros + 0.3))
+def layouts(n_bytes: int) -> list[Layout]:
+    bits = slot_bits(n_bytes)
+    return [Layout(bits)] * TABLES + [Layout(max(10, bits - 2))] * TABLES
 
 
-def _whole_odds(zeros: np.ndarray, ones: np.ndarray, step: int = 1 << 20) -> np.ndarray:
-    out = np.empty(len(zeros), np.int8)
-    for at in range(0, len(out), step):
-        out[at : at + step] = np.clip(np.round(log_odds(zeros[at : at + step], ones[at : at + step]) * STEP), -127, 127)
-    return out
+def endings(words: list[bytes]) -> np.ndarray:
+    """The last two bytes of each word as a number; then that of the escape."""
+    return np.array([int.from_bytes(w[-2:]) + 1 for w in words] + [0], np.uint64)
 
 
-RIDGE = 2.0
+def word_contexts(ids: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Contexts (64 bits) of each word: the word before, the two before, the last two letters of both.
 
-
-class Own:
-    """Log odds of a text's bits from all counts but its own."""
-
-    def __init__(self, zeros: list[np.ndarray], ones: list[np.ndarray]):
-        self.zeros, self.ones = zeros, ones
-        most = max(map(len, zeros))
-        self.scratch = np.zeros(2 * most, np.int32) if most <= 1 << DENSE_BITS else None
-
-    def odds(self, slots: list[np.ndarray], bit: np.ndarray) -> np.ndarray:
-        x = np.empty((len(slots), len(bit)), np.float32)
-        for row, slot, zeros, ones in zip(x, slots, self.zeros, self.ones):
-            if self.scratch is not None:
-                at = slot.astype(np.intp)
-                at *= 2
-                np.add.at(self.scratch, at + bit, np.int32(1))
-                own_zeros, own_ones = self.scratch.take(at), self.scratch.take(at + 1)
-                self.scratch[at] = 0
-                self.scratch[at + 1] = 0
-            else:
-                _, which = np.unique(slot, return_inverse=True)
-                own_ones = np.bincount(which, weights=bit).astype(np.int64)[which]
-                own_zeros = np.bincount(which)[which] - own_ones
-            left = [np.maximum(all_of.take(slot).astype(np.int64) - own, 0).astype(np.float32) for all_of, own in ((zeros, own_zeros), (ones, own_ones))]
-            row[:] = log_odds(*left)
-        return np.clip(np.round(x * STEP), -127, 127) / np.float32(STEP)
-
-
-def weight_sums(x: np.ndarray, gate: np.ndarray, bit: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """By gate, the gradient of the bits' log likelihood and its negated Hessian, without the ridge."""
-    n = len(x)
-    pull, curve = np.zeros((GATES, n)), np.zeros((GATES, n, n))
-    order = np.argsort(gate, kind="stable")
-    bounds = np.searchsorted(gate[order], np.arange(GATES + 1))
-    for g, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-        if a < b:
-            xs, y = x[:, order[a:b]], bit[order[a:b]]
-            p = 1 / (1 + np.exp(-np.clip(weights[g].astype(np.float32) @ xs, -30, 30)))
-            pull[g] = xs @ (y - p)
-            curve[g] = (xs * (p * (1 - p))) @ xs.T
-    return pull, curve
-
-
-def fit_weights(training: DataFrame, code: Code, zeros: list[np.ndarray], ones: list[np.ndarray], enough: float = 1e-4, passes: int = 25) -> np.ndarray:
-    """Gate weights by Newton steps on all texts of ``training``, whole, each predicted from all counts but its own.
-
-    A step is a pass over the texts; the last is the one that can gain less than ``enough`` nats a bit.  Steps on a
-    sixteenth of the texts come first, to start near: the optimum does not depend on where the steps start.
+    ``begins`` is where texts begin; ``ends`` has words' endings.
     """
-    n = len(zeros)
-    weights = np.full((GATES, n), 1.0 / n)
-    bits = tuple(len(z).bit_length() - 1 for z in zeros)
-    shared = training.sparkSession.sparkContext.broadcast((code, zeros, ones))
-    width, settled = n + n * n, False
-
-    def step(texts: DataFrame, weights: np.ndarray) -> DataFrame:
-        def run(batches):
-            code, zeros, ones = shared.value
-            own, sums, seen = Own(zeros, ones), np.zeros((GATES, width)), 0
-            for b in slices(batches):
-                for _, group in _groups([tokens(t) for t in b.column("text").to_pylist()]):
-                    events = Events(group, code, bits)
-                    cut = list(zip(events.bounds[:-1].tolist(), events.bounds[1:].tolist()))
-                    x = np.concatenate([own.odds([s[i:j] for s in events.slots], events.bit[i:j]) for i, j in cut], axis=1)
-                    pull, curve = weight_sums(x, gates(x, events.depth), events.bit.astype(np.float32), weights)
-                    sums += np.concatenate((pull, curve.reshape(GATES, -1)), axis=1)
-                    seen += len(events.bit)
-            at = np.arange(sums.size + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.append(sums.ravel(), seen))], ["at", "value"])
-
-        return texts.select("text").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
-
-    near = training.where(F.xxhash64("text") % 16 == 0)
-    for texts in [near] * passes + [training] * passes:
-        if texts is near and settled:
-            continue
-        flat = np.zeros(GATES * width + 1)
-        for r in step(texts, weights).collect():  # GATES * (n + n * n) + 1 rows
-            flat[r["at"]] = r["value"]
-        sums = flat[:-1].reshape(GATES, width)
-        pull = sums[:, :n] - RIDGE * (weights - 1.0 / n)
-        curve = sums[:, n:].reshape(GATES, n, n) + RIDGE * np.eye(n)
-        full = np.linalg.solve(curve, pull[:, :, None])[:, :, 0]
-        weights += np.clip(full, -1, 1)
-        gain = 0.5 * float((pull * full).sum())
-        settled = gain <= enough * max(1.0, flat[-1])
-        if settled and texts is training:
-            break
-    shared.unpersist()
-    return weights
+    before, two, last, third = (np.zeros(len(ids), np.uint64) for _ in range(4))
+    before[1:] = ids[:-1] + 2
+    before[begins] = 1
+    two[1:] = before[:-1]
+    two[begins] = 0
+    last[1:] = ends.take(ids[:-1])
+    last[begins] = 1 << 20
+    third[1:] = last[:-1]
+    third[begins] = 0
+    return [before + np.uint64(1 << 60), (before << np.uint64(20) | two) + np.uint64(1 << 61), (last << np.uint64(21) | third) + np.uint64(1 << 62)]
+
+
+def byte_contexts(buf: np.ndarray) -> list[np.ndarray]:
+    """Contexts (64 bits) of each byte of spelled words: the word's last three bytes, its last five, all so far."""
+    n = len(buf)
+    with np.errstate(over="ignore"):
+        p, q = _powers(n + 1)
+        opens = np.zeros(n, np.int64)
+        opens[1:] = np.where(buf[:-1] == BLANK, np.arange(1, n), 0)
+        np.maximum.accumulate(opens, out=opens)
+        inside = np.arange(n) - opens
+        b, last = buf.astype(np.uint64), np.zeros(n, np.uint64)
+        out = []
+        for back in range(1, 6):
+            last[back:] |= np.where(inside[back:] >= back, b[:-back] << np.uint64(8 * back), np.uint64(0))
+            if back in (3, 5):
+                out.append(last + np.uint64(back))
+        prefix = np.zeros(n, np.uint64)
+        np.cumsum((mix64(b + np.uint64(1)) * p[:n])[:-1], out=prefix[1:])
+        out.append(mix64((prefix - prefix[opens]) * q[opens]) + inside.astype(np.uint64))
+        return out
+
+
+# Counts
 
 
-class Tally:
-    """How often keys (slot * 2 + bit) were seen: a table of all, or sorted runs where that would be too large."""
+class Pairs:
+    """Counts of (context's hash, symbol) keys of one table: sorted, merged as they come."""
 
-    def __init__(self, bits: int):
-        self.dense = np.zeros(2 << bits, np.int32) if bits <= DENSE_BITS else None
+    def __init__(self):
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(self, keys: np.ndarray) -> None:
-        if self.dense is not None:
-            np.add(self.dense, np.bincount(keys, minlength=len(self.dense)), out=self.dense, casting="unsafe")
-            return
-        new = np.unique(keys, return_counts=True)
+    def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
+        """Keys in any order, each once or ``counts`` times."""
+        order = np.argsort(keys, kind="stable") if counts is not None else None
+        new = self._summed(np.sort(keys), np.ones(len(keys), np.int64)) if order is None else self._summed(keys[order], counts[order])
         while self.runs and len(self.runs[-1][0]) <= 2 * len(new[0]):
-            new = self._merge(self.runs.pop(), new)
+            old = self.runs.pop()
+            keys, counts = np.concatenate((old[0], new[0])), np.concatenate((old[1], new[1]))
+            order = np.argsort(keys, kind="stable")
+            new = self._summed(keys[order], counts[order])
         self.runs.append(new)
 
     @staticmethod
-    def _merge(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = np.concatenate((a[0], b[0])), np.concatenate((a[1], b[1]))
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        return keys[first], np.add.reduceat(counts, first)
-
-    def held(self) -> int:
-        return sum(len(keys) for keys, _ in self.runs)
-
-    def parts(self, part: int) -> Iterator[tuple[int, np.ndarray]]:
-        """Zeros and ones of every ``part`` slots that hold any, with the parts' numbers; then it is empty."""
-        if self.dense is not None:
-            for at in range(0, len(self.dense), 2 * part):
-                own = self.dense[at : at + 2 * part]
-                if own.any():
-                    yield at // (2 * part), own.reshape(-1, 2).T.astype(np.int64)
-            self.dense[:] = 0
-            return
+    def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
+        return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
+        """All keys, sorted, and their counts; then it is empty."""
         while len(self.runs) > 1:
-            self.runs.append(self._merge(self.runs.pop(), self.runs.pop()))
-        for keys, counts in self.runs:
-            cut = np.flatnonzero(np.concatenate(([True], keys[1:] // (2 * part) != keys[:-1] // (2 * part))))
-            for a, b in zip(cut, [*cut[1:], len(keys)]):
-                own = np.zeros(2 * part, np.int64)
-                own[keys[a:b] % (2 * part)] = counts[a:b]
-                yield int(keys[a]) // (2 * part), own.reshape(-1, 2).T
-        self.runs.clear()
+            (a, x), (b, y) = self.runs.pop(), self.runs.pop()
+            keys = np.concatenate((a, b))
+            order = np.argsort(keys, kind="stable")
+            self.runs.append(self._summed(keys[order], np.concatenate((x, y))[order]))
+        return self.runs.pop() if self.runs else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+PAIRS = "at int, owner int, salt int, keys binary, counts binary"
 
 
-def _bit_counts(training: DataFrame, code: Code, slot_bits: tuple[int, ...] = SLOT_BITS, part: int = 1 << 14, salts: int = 64, most: int = 8_000_000) -> DataFrame:
-    """Counts of zeros and ones by context and slot, in parts of at most ``part`` slots: (context, part, counts).
+def _planes(x: np.ndarray, width: int, pack) -> bytes:
+    return pack(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1)[:, :width].T).tobytes())
 
-    Each task counts into tables, or into runs of ``most`` keys in all; their parts are added up by salted groups first.
+
+def _unplanes(raw: bytes, width: int, unpack) -> np.ndarray:
+    flat = np.frombuffer(unpack(raw), np.uint8).reshape(width, -1)
+    out = np.zeros((flat.shape[1], 8), np.uint8)
+    out[:, :width] = flat.T
+    return out.view(np.uint64)[:, 0]
+
+
+def pack_pairs(at: int, layout: Layout, salt: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Sorted keys and counts as a row for each owner: differences of keys and counts, by planes of bytes."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    owner = (keys >> np.uint64(SYMBOL_BITS + 4 + layout.own)).astype(np.int64)
+    cut = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), owner[1:] != owner[:-1])))
+    rows = []
+    for a, b in zip(cut, [*cut[1:], len(keys)]):
+        rows.append((int(owner[a]), _planes(np.diff(keys[a:b], prepend=np.uint64(0)), 8, pack), _planes(counts[a:b], 8, pack)))
+    own, packed, times = zip(*rows) if rows else ((), (), ())
+    n = len(rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([at] * n, pa.int32()), pa.array(own, pa.int32()), pa.array([salt] * n, pa.int32()), pa.array(packed, pa.binary()), pa.array(times, pa.binary())],
+        ["at", "owner", "salt", "keys", "counts"],
+    )
+
+
+def _unpack_pairs(batches: Iterator[pa.RecordBatch]) -> tuple[tuple[int, int], Pairs]:
+    """The (table, owner) of a group of packed rows, and its pairs."""
+    unpack, pairs, key, waiting, size = zstandard.ZstdDecompressor().decompress, Pairs(), None, [], 0
+    for b in batches:
+        for r in b.to_pylist():
+            key = (r["at"], r["owner"])
+            waiting.append((np.cumsum(_unplanes(r["keys"], 8, unpack), dtype=np.uint64), _unplanes(r["counts"], 8, unpack).astype(np.int64)))
+            size += len(waiting[-1][0])
+            if size > 2_000_000:
+                pairs.add(*map(np.concatenate, zip(*waiting)))
+                waiting, size = [], 0
+    if waiting:
+        pairs.add(*map(np.concatenate, zip(*waiting)))
+    return key, pairs
+
+
+def bit_counts(keys: np.ndarray, counts: np.ndarray, code: Code, layout: Layout, least: int = LEAST_VISITS) -> np.ndarray:
+    """Zeros and ones of an owner's slots from its sorted pairs: for each context, down the tree from the root.
+
+    A node is kept while training came by it ``least`` times in this context.
     """
-    shared = training.sparkSession.sparkContext.broadcast(code)
-    schema = "context int, part int, salt int, counts binary"
+    context, symbol = keys >> np.uint64(SYMBOL_BITS), (keys & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.int64)
+    order = np.lexsort((code.path[symbol], context))
+    context, symbol, counts = context[order], symbol[order], counts[order]
+    first, path = layout.first(context) & ((1 << layout.own) - 1), code.path[symbol]
+    apart = np.ones(len(context), bool)  # begins another node than the entry before
+    apart[1:] = context[1:] != context[:-1]
+    total = np.zeros((2, 1 << layout.own))
+    depth = 0
+    while len(symbol):
+        cut = np.flatnonzero(apart)
+        step = code.start[symbol] + depth
+        one = code.node[step] >> 32 & 1
+        visits = np.add.reduceat(counts, cut)
+        ones = np.add.reduceat(counts * one, cut)
+        kept = visits >= least
+        slot = first[cut] ^ (code.node[step[cut]] & ((1 << layout.own) - 1))
+        total[0] += np.bincount(slot[kept], (visits - ones)[kept], 1 << layout.own)
+        total[1] += np.bincount(slot[kept], ones[kept], 1 << layout.own)
+        apart[1:] |= one[1:] != one[:-1]
+        depth += 1
+        stay = np.repeat(kept, np.diff(np.append(cut, len(symbol)))) & (code.length[symbol] > depth)
+        group = np.cumsum(apart)[stay]
+        context, symbol, counts, first, path = context[stay], symbol[stay], counts[stay], first[stay], path[stay]
+        apart = np.ones(len(symbol), bool)
+        apart[1:] = group[1:] != group[:-1]
+    return total
+
+
+def packed_counts(total: np.ndarray) -> np.ndarray:
+    """Zeros and ones as two bytes of a number: scaled down, where one is over 255, so that neither gets lost."""
+    most = np.maximum(total.max(axis=0), 1)
+    small = np.ceil(total * np.minimum(1, 255 / most)).astype(np.uint16)
+    return small[1] << np.uint16(8) | small[0]
+
+
+def _states() -> tuple[np.ndarray, np.ndarray]:
+    """The state of each packed pair of counts; and, by bit, that of the pair without one such bit."""
+    zeros, ones = np.meshgrid(np.arange(256), np.arange(256))
+    zeros, ones = zeros.ravel(), ones.ravel()  # index: ones << 8 | zeros
+    n = zeros + ones
+    sure = np.searchsorted([1, 2, 3, 5, 9, 17], n, side="right")  # 1 to 6
+    odds = np.clip(np.round(2 * np.log((ones + 0.4) / (zeros + 0.4))) + 9, 0, 18)
+    state = np.where(n == 0, 0, np.where(ones == 0, sure, np.where(zeros == 0, 6 + sure, 13 + odds))).astype(np.uint8)
+    whole = np.maximum(zeros, ones) < 255  # not scaled down
+    index = np.arange(1 << 16)
+    return state, np.concatenate((state[index - ((zeros > 0) & whole)], state[index - 256 * ((ones > 0) & whole)]))
+
+
+STATE, STATE_WITHOUT = _states()
+
+
+# Bits and their mixing
 
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
-        pack = zstandard.ZstdCompressor(level=1).compress
-        columns = [pa.array([r[k] for r in rows], pa.int32()) for k in range(3)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array([pack(r[3].tobytes()) for r in rows], pa.binary())], ["context", "part", "salt", "counts"])
 
-    def count(batches):
-        salt = TaskContext.get().partitionId() % salts
-        total, waiting, size = [Tally(bits) for bits in slot_bits], [[] for _ in slot_bits], 0
+@dataclass
+class Stream:
+    """One tree's side of the model: its tables (packed counts, states once it is fitted), the states' log odds by
+    table, weights by gate and input (the tree's own log odds first)."""
+
+    first_symbol: int
+    layout: Layout
+    tables: list[np.ndarray]
+    odds: np.ndarray | None = None
+    weights: np.ndarray | None = None
+
+
+GATES = 3 << TABLES
+CELLS = 3 * LEVELS * STATES**TABLES * 2
+
+
+def layout_bits(code: Code, stream: Stream, symbols: np.ndarray, contexts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of symbols in a row: how many bits each has; the nodes of all bits; what each table holds for every bit."""
+    symbols = symbols + stream.first_symbol
+    n_bits = code.length.take(symbols)
+    step = np.repeat(code.start.take(symbols) - (np.cumsum(n_bits) - n_bits), n_bits)
+    step += np.arange(len(step))
+    node = code.node.take(step)
+    name = node & ((1 << stream.layout.own) - 1)
+    held = []
+    for rows, context in zip(stream.tables, contexts):
+        slot = np.repeat(stream.layout.first(stream.layout.hashed(context)), n_bits)
+        slot ^= name
+        held.append(rows.take(slot))
+    return n_bits, node, held
+
+
+def gates(node: np.ndarray, states: list[np.ndarray]) -> np.ndarray:
+    """The weight set of each bit: by depth (0, 1, more) and which contexts have been seen."""
+    out = node >> 33 & 3
+    for s in states:
+        out <<= 1
+        out |= s != 0
+    return out
 
-        def flush():
-            for t, w in zip(total, waiting):
-                if w:
-                    t.add(np.concatenate(w))
-                    w.clear()
 
-        def rows():
-            for i, t in enumerate(total):
-                yield packed([(i, at, salt, own) for at, own in t.parts(part)])
-
-        for b in slices(batches):
-            for _, group in _groups([tokens(t) for t in b.column("text").to_pylist()]):
-                events = Events(group, shared.value, slot_bits)
-                for w, slot in zip(waiting, events.slots):
-                    slot <<= 1
-                    slot |= events.bit
-                    w.append(slot)
-                size += len(events.bit)
-                if size > 4_000_000:
-                    flush()
-                    size = 0
-                    if sum(t.held() for t in total) > most:
-                        yield from rows()
-        flush()
-        yield from rows()
+def cells(node: np.ndarray, counts: list[np.ndarray]) -> np.ndarray:
+    """The cell of each bit: depth, level of the tree's log odds, states without the bit itself, bit."""
+    cell = node >> 33 & 3
+    cell *= LEVELS
+    cell += node >> 37
+    bit = node >> 32 & 1
+    without = bit << 16
+    for held in counts:
+        cell *= STATES
+        cell += STATE_WITHOUT.take(without | held)
+    cell <<= 1
+    cell |= bit
+    return cell
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack, total, key = zstandard.ZstdDecompressor().decompress, 0, None
-        for b in batches:
-            key = [b.column(i)[0].as_py() for i in range(3)]
-            for raw in b.column(3).to_pylist():
-                total = total + np.frombuffer(unpack(raw), np.int64)
-        yield packed([(*key, total)])
 
-    counted = training.select("text").mapInArrow(count, schema).groupBy("context", "part", "salt").applyInArrow(add, schema)
-    return counted.groupBy("context", "part").applyInArrow(add, schema)
+RIDGE = 2.0
+
+
+def fit(counted: np.ndarray, stream: Stream, passes: int = 30) -> None:
+    """Set the states' log odds and the gates' weights of ``stream`` from how often each cell occurs in all training bits.
+
+    A state's log odds are those of the bits that followed it; the weights are the ridge-penalised optimum of
+    each gate, by Newton steps on the cells.
+    """
+    shape = (3, LEVELS, *[STATES] * TABLES, 2)
+    cube = counted.reshape(shape)
+    stream.odds = np.zeros((TABLES, STATES), np.float32)
+    for i in range(TABLES):
+        seen = cube.sum(axis=tuple(j for j in range(len(shape) - 1) if j != 2 + i))
+        stream.odds[i] = np.log((seen[:, 1] + 0.5) / (seen[:, 0] + 0.5))
+    at = np.flatnonzero(cube.reshape(-1, 2).any(axis=1))
+    zeros, ones = cube.reshape(-1, 2)[at].T.astype(float)
+    index = np.unravel_index(at, shape[:-1])
+    x = np.stack([(index[1] * 4 + 1.5) / 16 - 2, *(stream.odds[i][index[2 + i]] for i in range(TABLES))])
+    gate = index[0].copy()
+    for i in range(TABLES):
+        gate = gate << 1 | (index[2 + i] != 0)
+    start = np.array([1.0] + [0.0] * TABLES)
+    stream.weights = np.tile(start, (GATES, 1))
+    for g in range(GATES):
+        own = gate == g
+        xs, n, y = x[:, own], (zeros + ones)[own], ones[own]
+        for _ in range(passes if own.any() else 0):
+            w = stream.weights[g]
+            p = 1 / (1 + np.exp(-np.clip(w @ xs, -30, 30)))
+            pull = xs @ (y - n * p) - RIDGE * (w - start)
+            move = np.linalg.solve((xs * (n * p * (1 - p))) @ xs.T + RIDGE * np.eye(len(w)), pull)
+            stream.weights[g] += np.clip(move, -1, 1)
+            if float(pull @ move) <= 1e-9 * max(1.0, n.sum()):
+                break
+
+
+BLOCKS = np.concatenate(([0], np.cumsum([8, 16, 32, 64, 128, 256])))
+
+
+def block_of(place: np.ndarray) -> np.ndarray:
+    """The block of a text's symbols: 8, then 16 and so on up to 256, then always 512."""
+    early = np.searchsorted(BLOCKS, place, side="right") - 1
+    return np.where(place < BLOCKS[-1], early, len(BLOCKS) - 1 + (place - BLOCKS[-1]) // 512)
+
+
+def code_lengths(code: Code, stream: Stream, symbols: np.ndarray, contexts: list[np.ndarray], sizes: np.ndarray, rate: float = 4.0, calm: float = 60.0) -> np.ndarray:
+    """Nats of each text's symbols, ``sizes`` of them in turn; a text's weights are refined after each of its blocks.
+
+    All texts go a block at a time together: their bits lie in the order of blocks, texts, symbols.
+    """
+    n = len(sizes)
+    text = np.repeat(np.arange(n), sizes)
+    block = block_of(np.arange(len(symbols)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
+    order = np.argsort(block, kind="stable")
+    n_bits, node, states = layout_bits(code, stream, symbols[order], [c[order] for c in contexts])
+    texts = np.repeat(text[order], n_bits)
+    set_of = texts * GATES
+    set_of += gates(node, states)
+    x = [TREE_ODDS.take(node >> 35), *(odds.take(s) for odds, s in zip(stream.odds, states))]
+    sign = (1 - 2 * (node >> 32 & 1)).astype(np.float32)  # -1 where the bit is 1
+    held = [np.tile(w, n).astype(np.float32) for w in stream.weights.T]
+    seen, lost = np.zeros(n * GATES), np.empty(len(sign), np.float32)
+    bounds = np.cumsum(n_bits)[np.searchsorted(block[order], np.arange(int(block.max()) + 1), side="right") - 1] if len(symbols) else []
+    i = 0
+    for j in bounds:
+        own = set_of[i:j]
+        z = held[0].take(own) * x[0][i:j]
+        for w, row in zip(held[1:], x[1:]):
+            z += w.take(own) * row[i:j]
+        z *= sign[i:j]
+        np.minimum(z, 60, out=z)
+        np.exp(z, out=z)
+        np.add(z, 1, out=lost[i:j])
+        if j < len(sign):
+            z /= lost[i:j]
+            z *= sign[i:j]
+            seen += np.bincount(own, minlength=len(seen))
+            slow = rate / (calm + seen)
+            for w, row in zip(held, x):
+                w -= slow * np.bincount(own, z * row[i:j], len(seen))
+        i = j
+    np.log(lost, out=lost)
+    return np.bincount(texts, lost, n)
+
+
+@dataclass
+class Model:
+    code: Code
+    ends: np.ndarray
+    words: Stream
+    spelled: Stream
+
+    def streams(self, ids: list[np.ndarray], spelled: list[bytes]):
+        """For some texts, each stream with its symbols, their contexts and each text's number of them."""
+        sizes = np.array([len(x) for x in ids])
+        symbols = np.concatenate(ids)
+        yield self.words, symbols, word_contexts(symbols, np.cumsum(sizes) - sizes, self.ends), sizes
+        sizes = np.array([len(x) for x in spelled])
+        if sizes.sum():
+            buf = np.frombuffer(b"".join(spelled), np.uint8)
+            yield self.spelled, buf.astype(np.int64), byte_contexts(buf), sizes
+
+    def log10(self, ids: list[np.ndarray], spelled: list[bytes]) -> np.ndarray:
+        """Log10 probability of each text."""
+        return -sum(code_lengths(self.code, *s) for s in self.streams(ids, spelled)) / math.log(10)
+
+
+# The job
+
+
+def _batches(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut where the bytes of ``column`` exceed ``most``; no value is cut."""
+    for b in slices(batches):
+        size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)) // most
+        cut = np.flatnonzero(np.diff(size, prepend=-1, append=-1))
+        for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            yield b.slice(i, j - i)
 
 
 def _token_counts(training: DataFrame) -> DataFrame:
-    """Counts of the tokens, the end as the empty one: (token, n); with the bytes' counts in rows of ``byte``."""
+    """Counts of the tokens, the end as the empty one: (token, n)."""
 
     def count(batches):
         seen: Counter = Counter()
-        bytes_seen = np.zeros(256, np.int64)
 
         def rows():
             found = list(seen.items())
             seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.binary()), pa.nulls(len(found), pa.int32()), pa.array([n for _, n in found], pa.int64())], ["token", "byte", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.binary()), pa.array([n for _, n in found], pa.int64())], ["token", "n"])
+
+        for b in _batches(batches, "text", 1_000_000):
+            texts = b.column("text").to_pylist()
+            seen.update(b"\n".join([t.encode("utf-8", "surrogatepass") for t in texts if t]).lower().split())
+            seen[b""] += len(texts)
+            if len(seen) > 400_000:
+                yield rows()
+        yield rows()
+
+    return training.select("text").mapInArrow(count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+ENCODED = "doc_id long, trains boolean, scored boolean, n_tokens long, known long, part double, size long, ids binary, spelled binary, rare array<binary>, times array<long>"
 
-        for b in slices(batches):
+
+def _encode(docs: DataFrame, words: dict[bytes, int], logs: np.ndarray) -> DataFrame:
+    """Each text (doc_id, text, trains, scored) as words' numbers and the other tokens' bytes, with sums over its common tokens."""
+    shared = docs.sparkSession.sparkContext.broadcast((words, logs))
+
+    def encode(batches):
+        number, logs = shared.value
+        escape = len(number)
+        for b in _batches(batches, "text", 1_000_000):
+            out = []
             for text in b.column("text").to_pylist():
-                words = tokens(text)
-                seen.update(words)
-                seen[b""] += 1
-                bytes_seen += np.bincount(np.frombuffer(b" ".join(words) + b"\n", np.uint8), minlength=256)
-                if len(seen) > 400_000:
-                    yield rows()
-        yield rows()
-        yield pa.RecordBatch.from_arrays([pa.nulls(256, pa.binary()), pa.array(np.arange(256), pa.int32()), pa.array(bytes_seen)], ["token", "byte", "n"])
+                found = [*tokens(text), b""]
+                ids = np.fromiter(map(number.get, found, repeat(escape)), np.int32, len(found))
+                other = [found[i] for i in np.flatnonzero(ids == escape).tolist()]
+                rare = Counter(other)
+                size = sum(map(len, found)) + len(found) - (len(found) > 1)
+                out.append((len(found), len(found) - len(other), float(logs.take(ids).sum()), size, ids.tobytes(), b"".join([w + b" " for w in other]), list(rare), list(rare.values())))
+            columns = list(zip(*out))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+            names = ("n_tokens", "known", "part", "size", "ids", "spelled", "rare", "times")
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("trains"), b.column("scored"), *map(pa.array, columns, kinds)], ["doc_id", "trains", "scored", *names])
+
+    return docs.mapInArrow(encode, ENCODED)
+
+
+def _word_pairs(encoded: DataFrame, ends: np.ndarray, held: list[Layout], salts: int, most: int = 2_000_000) -> DataFrame:
+    """Packed (context, word) counts of all training texts."""
+
+    def count(batches):
+        salt = TaskContext.get().partitionId() % salts
+        waiting, size = [[] for _ in range(TABLES)], 0
+
+        def flush():
+            for at, (layout, w) in enumerate(zip(held, waiting)):
+                if w:
+                    pairs = Pairs()
+                    pairs.add(np.concatenate(w))
+                    w.clear()
+                    yield pack_pairs(at, layout, salt, *pairs.all())
+
+        for b in _batches(batches, "ids", 1_000_000):
+            ids = [np.frombuffer(x, np.int32) for x in b.column("ids").to_pylist()]
+            sizes = np.array([len(x) for x in ids])
+            symbols = np.concatenate(ids)
+            for layout, w, context in zip(held, waiting, word_contexts(symbols, np.cumsum(sizes) - sizes, ends)):
+                w.append(layout.hashed(context) << np.uint64(SYMBOL_BITS) | symbols.astype(np.uint64))
+            size += len(symbols)
+            if size > most:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+    return encoded.where("trains").select("ids").mapInArrow(count, PAIRS)
+
+
+def _byte_pairs(counts: DataFrame, words: dict[bytes, int], held: list[Layout], salts: int, first: int) -> DataFrame:
+    """Packed (context, byte) counts of all tokens that are spelled, each as often as training holds it."""
+    shared = counts.sparkSession.sparkContext.broadcast(words)
+
+    def count(batches):
+        salt = TaskContext.get().partitionId() % salts
+        total = [Pairs() for _ in range(TABLES)]
+        for b in slices(batches, 50_000):
+            other = [(t, n) for t, n in zip(b.column("token").to_pylist(), b.column("n").to_pylist()) if t not in shared.value]
+            if other:
+                buf = np.frombuffer(b"".join([t + b" " for t, _ in other]), np.uint8)
+                times = np.repeat(np.array([n for _, n in other]), [len(t) + 1 for t, _ in other])
+                for layout, pairs, context in zip(held[TABLES:], total, byte_contexts(buf)):
+                    pairs.add(layout.hashed(context) << np.uint64(SYMBOL_BITS) | (buf.astype(np.uint64) + np.uint64(first)), times)
+        for at, (layout, pairs) in enumerate(zip(held[TABLES:], total)):
+            yield pack_pairs(TABLES + at, layout, salt, *pairs.all())
+
+    return counts.mapInArrow(count, PAIRS)
+
+
+def _tables(pairs: DataFrame, code: Code, held: list[Layout], salts: int) -> list[np.ndarray]:
+    """The tables' packed counts: pairs are merged by salted groups first where ``salts`` is over 1, then by owner."""
+    shared = pairs.sparkSession.sparkContext.broadcast(code)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (at, _), own = _unpack_pairs(batches)
+        yield pack_pairs(at, held[at], 0, *own.all())
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (at, owner), own = _unpack_pairs(batches)
+        counts = zstandard.ZstdCompressor(level=1).compress(packed_counts(bit_counts(*own.all(), shared.value, held[at])).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([owner], pa.int32()), pa.array([counts], pa.binary())], ["at", "owner", "counts"])
+
+    if salts > 1:
+        pairs = pairs.groupBy("at", "owner", "salt").applyInArrow(merge, PAIRS)
+    closed = pairs.groupBy("at", "owner").applyInArrow(close, "at int, owner int, counts binary")
+    out = [np.zeros(1 << h.bits, np.uint16) for h in held]
+    unpack = zstandard.ZstdDecompressor().decompress
+    for b in closed.toArrow().to_batches(max_chunksize=100):  # two bytes a slot at most
+        for r in b.to_pylist():
+            own = np.frombuffer(unpack(r["counts"]), np.uint16)
+            out[r["at"]][r["owner"] * len(own) : (r["owner"] + 1) * len(own)] = own
+    return out
 
-    return training.select("text").mapInArrow(count, "token binary, byte int, n long").groupBy("token", "byte").agg(F.sum("n").alias("n"))
+
+def _histograms(encoded: DataFrame, model: Model, part: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """The histograms of all bits of all training texts, whole, by stream."""
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
+    schema = "at int, counts binary"
+
+    def packed(rows):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([pack(r[1].tobytes()) for r in rows], pa.binary())], ["at", "counts"])
+
+    def count(batches):
+        model = shared.value
+        both = (model.words, model.spelled)
+        total, waiting, size = [np.zeros(CELLS, np.int64) for _ in both], [[], []], [0, 0]
+
+        def flush(i):
+            if waiting[i]:
+                total[i] += np.bincount(np.concatenate(waiting[i]), minlength=len(total[i]))
+                waiting[i], size[i] = [], 0
+
+        for b in _batches(batches, "ids", GROUP_BYTES):
+            ids = [np.frombuffer(x, np.int32) for x in b.column("ids").to_pylist()]
+            for i, (stream, symbols, contexts, _) in enumerate(model.streams(ids, b.column("spelled").to_pylist())):
+                waiting[i].append(cells(*layout_bits(model.code, stream, symbols, contexts)[1:]))
+                size[i] += len(waiting[i][-1])
+                if size[i] > 4_000_000:
+                    flush(i)
+        flush(0)
+        flush(1)
+        flat = np.concatenate(total)
+        own = [(at // part, flat[at : at + part]) for at in range(0, len(flat), part)]
+        yield packed([r for r in own if r[1].any()])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, total, at = zstandard.ZstdDecompressor().decompress, 0, None
+        for b in batches:
+            for r in b.to_pylist():
+                at, total = r["at"], total + np.frombuffer(unpack(r["counts"]), np.int64)
+        yield packed([(at, total)])
+
+    out = np.zeros(2 * CELLS, np.int64)
+    unpack = zstandard.ZstdDecompressor().decompress
+    for r in encoded.where("trains").select("ids", "spelled").mapInArrow(count, schema).groupBy("at").applyInArrow(add, schema).collect():  # a row for each part
+        own = np.frombuffer(unpack(r["counts"]), np.int64)
+        out[r["at"] * part : r["at"] * part + len(own)] = own
+    shared.unpersist()
+    return out[:CELLS], out[CELLS:]
 
 
 @dataclass
 class Trained:
+    encoded: DataFrame
     counts: DataFrame  # (token, n)
     total: int
     distinct: int
-    common: dict[bytes, int]
-    mixer: Mixer
+    model: Model
 
 
-def train(training: DataFrame, max_common: int = 200_000) -> Trained:
-    """Learn from all rows of ``training`` (doc_id, text).
+def train(docs: DataFrame, max_words: int = MAX_WORDS) -> Trained:
+    """Learn from all rows of ``docs`` (doc_id, text, trains, scored) that train.
 
-    Token, byte and bit counts cover every row.  At most ``max_common`` frequent tokens' counts are kept in
-    memory, the others stay a table.  The gate weights are fitted on all texts, whole.
+    Counts and weights cover every such text, whole.  The word tree holds at most ``max_words`` tokens, of two
+    occurrences at least; the others are spelled, and their exact counts stay a table.
     """
-    counted = table(_token_counts(training), "tokens")
-    counts = counted.where(F.col("token").isNotNull()).select("token", "n")
-    size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).head()
-    most = counts.orderBy(F.desc("n"), "token").limit(max_common).toArrow()
+    counts = table(_token_counts(docs.where("trains")), "tokens")
+    size = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct"), F.coalesce(F.sum(F.col("n") * (F.length("token") + 1)), F.lit(0)).alias("bytes")).head()
+    most = counts.where("n > 1 or token = x''").orderBy(F.desc("n"), "token").limit(max_words - 1).toArrow()
     common = dict(zip(most.column("token").to_pylist(), most.column("n").to_pylist()))
-    by_byte = np.zeros(256, np.int64)
-    for r in counted.where(F.col("byte").isNotNull()).collect():  # 256 rows
-        by_byte[r["byte"]] = r["n"]
-    code = huffman(by_byte)
-    bits = slot_bits(int(by_byte.sum()))
-    zeros, ones = ([np.zeros(1 << b, np.uint32) for b in bits] for _ in range(2))
-    unpack = zstandard.ZstdDecompressor().decompress
-    for b in _bit_counts(training, code, bits).toArrow().to_batches(max_chunksize=100):
-        for r in b.to_pylist():
-            pair = np.minimum(np.frombuffer(unpack(r["counts"]), np.int64).reshape(2, -1), 2**32 - 1)
-            at = r["part"] * pair.shape[1]
-            zeros[r["context"]][at : at + pair.shape[1]], ones[r["context"]][at : at + pair.shape[1]] = pair
-    weights = fit_weights(training, code, zeros, ones)
-    odds = [_whole_odds(z, o) for z, o in zip(zeros, ones)]
-    return Trained(counts, size["total"], size["distinct"], common, Mixer(code, odds, weights))
+    end = common.setdefault(b"", 0)
+    words = {t: i for i, t in enumerate(common)}
+    n = np.array([*common.values(), 0], np.int64)
+    n[-1] = size["total"] - n.sum()
+    logs = np.log10(n + 1.0)
+    logs[-1] = 0
+    if not end:
+        logs[words[b""]] = 0
+    encoded = table(_encode(docs, words, logs), "encoded")
+    held = layouts(size["bytes"])
+    salts = 1 + size["bytes"] // (1 << 32)
+    code = make_code(n, _spelled_bytes(counts, words))
+    ends = endings(list(words))
+    pairs = _word_pairs(encoded, ends, held, salts).unionByName(_byte_pairs(counts, words, held, salts, code.escape + 1))
+    tables = _tables(pairs, code, held, salts)
+    model = Model(code, ends, Stream(0, held[0], tables[:TABLES]), Stream(code.escape + 1, held[-1], tables[TABLES:]))
+    for stream, counted in zip((model.words, model.spelled), _histograms(encoded, model)):
+        fit(counted, stream)
+        stream.tables = [STATE.take(t) for t in stream.tables]
+    return Trained(encoded, counts, size["total"], size["distinct"], model)
+
+
+def _spelled_bytes(counts: DataFrame, words: dict[bytes, int]) -> np.ndarray:
+    """How often each byte occurs in spelled tokens, with the blank that ends each."""
+    shared = counts.sparkSession.sparkContext.broadcast(words)
+
+    def count(batches):
+        total = np.zeros(256)
+        for b in slices(batches, 50_000):
+            other = [(t, n) for t, n in zip(b.column("token").to_pylist(), b.column("n").to_pylist()) if t not in shared.value]
+            buf = np.frombuffer(b"".join([t + b" " for t, _ in other]), np.uint8)
+            total += np.bincount(buf, np.repeat(np.array([n for _, n in other], float), [len(t) + 1 for t, _ in other]), 256)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256), pa.int32()), pa.array(total.astype(np.int64))], ["byte", "n"])
+
+    out = np.zeros(256, np.int64)
+    for r in counts.mapInArrow(count, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect():  # 256 rows
+        out[r["byte"]] = r["n"]
+    return out
 
 
-def lm_scores(docs: DataFrame, training: DataFrame) -> DataFrame:
-    """Score all rows of ``docs`` (doc_id, text) under a model of ``training`` (the same columns).
+def lm_scores(docs: DataFrame, training: DataFrame | Column) -> DataFrame:
+    """Score all rows of ``docs`` (doc_id, text) under a model of ``training``: the same columns, or a condition on ``docs``.
 
     doc_id, n_tokens (words and the end), n_known (those in training), train_tokens, base_score (log10 by
     add-one unigrams), score (log10 by context mixing), bits_per_byte (of the lower-cased, blank-joined text
     and its end).  A null text is empty: the end alone.  Ids may be null or repeated; each row is scored by
-    itself.  An empty training table gives uniform predictions.  Other columns are ignored.
+    itself.  An empty training table gives the predictions of untrained trees.  Other columns are ignored.
     """
     spark = docs.sparkSession
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
-    model = train(training.select(*columns))
-    shared = spark.sparkContext.broadcast((model.mixer, {t: math.log10(n + 1) for t, n in model.common.items()}))
+    if isinstance(training, Column):
+        rows = docs.select(*columns, F.coalesce(training, F.lit(False)).alias("trains"), F.lit(True).alias("scored"))
+    else:
+        rows = docs.select(*columns, F.lit(False).alias("trains"), F.lit(True).alias("scored")).unionByName(training.select(*columns, F.lit(True).alias("trains"), F.lit(False).alias("scored")))
+    known = train(rows)
+    shared = spark.sparkContext.broadcast(known.model)
 
     def score(batches):
-        mixer, logs = shared.value
-        for b in slices(batches):
-            texts = [tokens(t) for t in b.column("text").to_pylist()]
-            n_tokens, known, part, rare, times, size = [], [], [], [], [], []
-            for words in texts:
-                words = [*words, b""]
-                found = [x for x in map(logs.get, words) if x is not None]
-                other = Counter(w for w in words if w not in logs)
-                n_tokens.append(len(words))
-                known.append(len(found))
-                part.append(math.fsum(found))
-                rare.append(list(other))
-                times.append(list(other.values()))
-                size.append(sum(map(len, words)) + len(words) - (len(words) > 1))
-            scores = []
-            for _, group in _groups(texts):
-                scores += mixer.log10(group)
-            bits = [-s / math.log10(2) / n for s, n in zip(scores, size)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(part, pa.float64()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64()), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],
-                ["doc_id", "n_tokens", "known", "part", "score", "bits_per_byte", "rare", "times"],
-            )
-
-    schema = "doc_id long, n_tokens long, known long, part double, score double, bits_per_byte double, rare array<binary>, times array<long>"
-    scored = table(docs.select(*columns).mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+        model = shared.value
+        for b in _batches(batches, "ids", GROUP_BYTES):
+            scores = model.log10([np.frombuffer(x, np.int32) for x in b.column("ids").to_pylist()], b.column("spelled").to_pylist())
+            bits = -scores / math.log10(2) / np.array(b.column("size").to_pylist())
+            kept = ["doc_id", "n_tokens", "known", "part", "rare", "times"]
+            yield pa.RecordBatch.from_arrays([*map(b.column, kept), pa.array(scores), pa.array(bits)], [*kept, "score", "bits_per_byte"])
+
+    schema = "doc_id long, n_tokens long, known long, part double, rare array<binary>, times array<long>, score double, bits_per_byte double"
+    found = known.encoded.where("scored").select("doc_id", "n_tokens", "known", "part", "size", "ids", "spelled", "rare", "times").mapInArrow(score, schema)
+    scored = table(found.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("token"), "r.times")
-    found = rare.join(model.counts, "token").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs"))
-    below = math.log10(model.total + model.distinct + 1)
-    return scored.join(found, "row", "left").select(
+    more = rare.join(known.counts, "token").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs"))
+    below = math.log10(known.total + known.distinct + 1)
+    return scored.join(more, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
+        F.lit(known.total).cast("long").alias("train_tokens"),
         (F.col("part") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * below).alias("base_score"),
         "score",
         "bits_per_byte",

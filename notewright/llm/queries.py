@@ -62,7 +62,7 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document; a seventh is held out from training."""
     docs = _read(spark, sf_dir, "documents")
     held = toxicity.held_out("doc_id", 7)
-    scored = lm_score.lm_scores(docs, docs.where(~held)).withColumn("held_out", held)
+    scored = lm_score.lm_scores(docs, ~held).withColumn("held_out", held)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
