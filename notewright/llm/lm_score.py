@@ -34,14 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import _powers, mix64, slices, table
+from notewright.llm.common import _powers, keep_freed_memory, mix64, slices, table
 
 BLANK = 32  # no token holds a blank, so it ends a spelled one
 SYMBOL_BITS = 18
 MAX_WORDS = (1 << SYMBOL_BITS) - 512  # symbols of the word tree; other tokens are spelled
 TABLES = 3  # of words: the word before, the two before, their last letters; of bytes: the last three, the last five, the word so far
 LEVELS = 16
-OWNED_BITS = 15  # an owner's slots, as a power of two
 GROUP_BYTES = 200_000  # word numbers of the texts that are laid out together
 LEAST_VISITS = 6  # bits of a context that training met less often are not kept
 STATES = 32
@@ -64,29 +63,35 @@ def tokens(text: str | None) -> list[bytes]:
 # Symbols and their bits
 
 
-@dataclass(frozen=True)
 class Code:
     """Huffman codes of words (symbols from 0, the escape last of them) and of the 256 bytes (the symbols after).
 
-    By symbol: where its path starts, its length, its bits from the highest down.  By step of all paths, as bits of
-    a number from the lowest up: a hash of the node (32 bits), the bit taken there (1), how deep it lies (2: 0, 1, or 2
-    for more), the log odds of a one by the tree's counts (6: sixteenths above -2).
+    By symbol: where its path starts, its length, its bits from the highest down, its rank among its tree's leaves in
+    the order of paths (``leaves`` leads back).  By step of all paths, as bits of a number from the lowest up: a hash
+    of the node (32 bits), the bit taken there (1), how deep it lies (2: 0, 1, or 2 for more), the log odds of a one by
+    the tree's counts (6: sixteenths above -2).  Tasks get the two trees and derive the rest.
     """
 
-    escape: int
-    start: np.ndarray
-    length: np.ndarray
-    path: np.ndarray
-    node: np.ndarray
+    def __init__(self, *trees: tuple[np.ndarray, np.ndarray, np.ndarray]):
+        self.trees = trees
+        parts = [np.concatenate(p) for p in zip(*(_paths(*t, salt) for t, salt in zip(trees, (77, 1 << 40))))]
+        self.length, self.path, self.node = parts
+        self.start = np.cumsum(self.length) - self.length
+        self.escape = (len(trees[0][0]) + 1) // 2 - 1
+        self.leaves = [np.argsort(self.path[: self.escape + 1]), np.argsort(self.path[self.escape + 1 :])]
+        self.rank = np.concatenate([np.argsort(x) for x in self.leaves]).astype(np.uint64)
+
+    def __reduce__(self):
+        return Code, self.trees
 
 
 TREE_ODDS = (np.arange(64) / 16 - 2).astype(np.float32)
 
 
-def _tree(weights: np.ndarray, salt: int) -> tuple[np.ndarray, ...]:
-    """Of a Huffman tree over positive weights: lengths and paths of its leaves, and what Code has by step."""
+def _tree(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A Huffman tree over positive weights, leaves first: each node's parent, its side, its level of log odds."""
     n = len(weights)
-    parent, side = np.zeros(2 * n - 1, np.int64), np.zeros(2 * n - 1, np.int8)
+    parent, side = [0] * (2 * n - 1), [0] * (2 * n - 1)
     heap = [(int(w), i) for i, w in enumerate(weights)]
     heapq.heapify(heap)
     pair = np.ones((2, 2 * n - 1))
@@ -96,39 +101,42 @@ def _tree(weights: np.ndarray, salt: int) -> tuple[np.ndarray, ...]:
         side[y[1]] = 1
         pair[0, node], pair[1, node] = x[0], y[0]
         heapq.heappush(heap, (x[0] + y[0], node))
+    level = np.clip(np.round(16 * np.log(pair[1] / pair[0])) + 32, 0, 63)
+    return np.array(parent, np.int32), np.array(side, np.int8), level.astype(np.int8)
+
+
+def _paths(parent: np.ndarray, side: np.ndarray, level: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths and paths of a tree's leaves, and their steps."""
+    root = len(parent) - 1
+    n = (len(parent) + 1) // 2
     leaf, at, found = np.arange(n), np.arange(n), []
-    length = np.zeros(n, np.int64)
+    length, path = np.zeros(n, np.int64), np.zeros(n, np.uint64)
     while len(leaf):
         found.append((leaf, parent[at], side[at]))
         length[leaf] += 1
         at = parent[at]
-        leaf, at = leaf[at != 2 * n - 2], at[at != 2 * n - 2]
+        leaf, at = leaf[at != root], at[at != root]
     start = np.cumsum(length) - length
-    node, bit, deep, path = np.zeros(length.sum(), np.int64), np.zeros(length.sum(), np.int8), np.zeros(length.sum(), np.int8), np.zeros(n, np.uint64)
+    step = np.zeros(length.sum(), np.int64)
+    name = (mix64(np.arange(len(parent), dtype=np.uint64) + np.uint64(salt)) >> np.uint64(32)).astype(np.int64) | level.astype(np.int64) << 35
     for up, (leaf, above, taken) in enumerate(found):
         place = length[leaf] - 1 - up
-        node[start[leaf] + place], bit[start[leaf] + place], deep[start[leaf] + place] = above, taken, np.minimum(place, 2)
+        step[start[leaf] + place] = name[above] | taken.astype(np.int64) << 32 | np.minimum(place, 2) << 33
         path[leaf] |= taken.astype(np.uint64) << (63 - place).astype(np.uint64)
-    name = (mix64(node.astype(np.uint64) + np.uint64(salt)) >> np.uint64(32)).astype(np.int64)
-    level = np.clip(np.round(16 * np.log(pair[1, node] / pair[0, node])) + 32, 0, 63).astype(np.int64)
-    return length, path, name | bit.astype(np.int64) << 32 | deep.astype(np.int64) << 33 | level << 35
+    return length, path, step
 
 
 def make_code(words: np.ndarray, spelled: np.ndarray) -> Code:
     """The code of words' counts (the escape's last) and of the spelled bytes' counts; each counts once more."""
-    parts = [np.concatenate(p) for p in zip(_tree(words + 1, 77), _tree(spelled + 1, 1 << 40))]
-    return Code(len(words) - 1, np.cumsum(parts[0]) - parts[0], *parts)
+    return Code(_tree(words + 1), _tree(spelled + 1))
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Where a context's bits are: ``bits`` of slots in all, an owner's ``own`` of them, contexts as hashes of ``bits`` + 4."""
+    """Where a context's bits are: 2**``bits`` slots in all, 2**``own`` of them an owner's; contexts are hashes of ``bits`` + 4."""
 
     bits: int
-
-    @property
-    def own(self) -> int:
-        return min(self.bits, OWNED_BITS)
+    own: int
 
     def hashed(self, context: np.ndarray) -> np.ndarray:
         """Contexts (64 bits, any) as hashes; the highest bits say which owner's they are."""
@@ -141,8 +149,10 @@ class Layout:
 
 
 def layouts(n_bytes: int) -> list[Layout]:
-    bits = slot_bits(n_bytes)
-    return [Layout(bits)] * TABLES + [Layout(max(10, bits - 2))] * TABLES
+    """The tables' layouts: an owner for about 8 MB of text."""
+    bits, owners = slot_bits(n_bytes), round(math.log2(max(1, n_bytes) / 2**23))
+    own = max(10, min(18, bits - max(0, owners)))
+    return [Layout(bits, min(bits, own))] * TABLES + [Layout(max(10, bits - 2), min(max(10, bits - 2), own))] * TABLES
 
 
 def endings(words: list[bytes]) -> np.ndarray:
@@ -192,49 +202,56 @@ def byte_contexts(buf: np.ndarray) -> list[np.ndarray]:
 
 
 class Pairs:
-    """Counts of (context's hash, symbol) keys of one table: sorted, merged as they come."""
+    """Counts of (context's hash, rank of the symbol) keys of one table: sorted, merged as they come.
 
-    def __init__(self):
-        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
+    An entry is a key above its count; a count too large for its bits takes several entries.
+    """
+
+    def __init__(self, layout: Layout):
+        self.room = np.uint64(64 - SYMBOL_BITS - 4 - layout.bits)
+        self.runs: list[np.ndarray] = []
+
+    def entries(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        most = (1 << int(self.room)) - 1
+        if len(counts) and counts.max() > most:
+            times = -(-counts // most)
+            last = np.cumsum(times) - 1
+            keys, split = np.repeat(keys, times), np.full(times.sum(), most)
+            split[last] = counts - (times - 1) * most
+            counts = split
+        return keys << self.room | counts.astype(np.uint64)
 
     def add(self, keys: np.ndarray, counts: np.ndarray | None = None) -> None:
         """Keys in any order, each once or ``counts`` times."""
-        order = np.argsort(keys, kind="stable") if counts is not None else None
-        new = self._summed(np.sort(keys), np.ones(len(keys), np.int64)) if order is None else self._summed(keys[order], counts[order])
-        while self.runs and len(self.runs[-1][0]) <= 2 * len(new[0]):
-            old = self.runs.pop()
-            keys, counts = np.concatenate((old[0], new[0])), np.concatenate((old[1], new[1]))
-            order = np.argsort(keys, kind="stable")
-            new = self._summed(keys[order], counts[order])
+        new = self._summed(keys << self.room | np.uint64(1) if counts is None else self.entries(keys, counts))
+        while self.runs and len(self.runs[-1]) <= 2 * len(new):
+            new = self._summed(np.concatenate((self.runs.pop(), new)))
         self.runs.append(new)
 
-    @staticmethod
-    def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _summed(self, entries: np.ndarray) -> np.ndarray:
+        return self.entries(*self._totals(np.sort(entries)))
+
+    def _totals(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = entries >> self.room, (entries & ((np.uint64(1) << self.room) - np.uint64(1))).astype(np.int64)
         first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
         return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
     def all(self) -> tuple[np.ndarray, np.ndarray]:
         """All keys, sorted, and their counts; then it is empty."""
-        while len(self.runs) > 1:
-            (a, x), (b, y) = self.runs.pop(), self.runs.pop()
-            keys = np.concatenate((a, b))
-            order = np.argsort(keys, kind="stable")
-            self.runs.append(self._summed(keys[order], np.concatenate((x, y))[order]))
-        return self.runs.pop() if self.runs else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        out = self._totals(np.sort(np.concatenate([np.zeros(0, np.uint64), *self.runs])))
+        self.runs.clear()
+        return out
 
 
 PAIRS = "at int, owner int, salt int, keys binary, counts binary"
 
 
-def _planes(x: np.ndarray, width: int, pack) -> bytes:
-    return pack(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1)[:, :width].T).tobytes())
+def _planes(x: np.ndarray, pack) -> bytes:
+    return pack(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), 8).T).tobytes())
 
 
-def _unplanes(raw: bytes, width: int, unpack) -> np.ndarray:
-    flat = np.frombuffer(unpack(raw), np.uint8).reshape(width, -1)
-    out = np.zeros((flat.shape[1], 8), np.uint8)
-    out[:, :width] = flat.T
-    return out.view(np.uint64)[:, 0]
+def _unplanes(raw: bytes, unpack) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(unpack(raw), np.uint8).reshape(8, -1).T).view(np.uint64)[:, 0]
 
 
 def pack_pairs(at: int, layout: Layout, salt: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
@@ -242,61 +259,64 @@ def pack_pairs(at: int, layout: Layout, salt: int, keys: np.ndarray, counts: np.
     pack = zstandard.ZstdCompressor(level=1).compress
     owner = (keys >> np.uint64(SYMBOL_BITS + 4 + layout.own)).astype(np.int64)
     cut = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), owner[1:] != owner[:-1])))
-    rows = []
-    for a, b in zip(cut, [*cut[1:], len(keys)]):
-        rows.append((int(owner[a]), _planes(np.diff(keys[a:b], prepend=np.uint64(0)), 8, pack), _planes(counts[a:b], 8, pack)))
+    rows = [(int(owner[a]), _planes(np.diff(keys[a:b], prepend=np.uint64(0)), pack), _planes(counts[a:b], pack)) for a, b in zip(cut, [*cut[1:], len(keys)])]
     own, packed, times = zip(*rows) if rows else ((), (), ())
-    n = len(rows)
     return pa.RecordBatch.from_arrays(
-        [pa.array([at] * n, pa.int32()), pa.array(own, pa.int32()), pa.array([salt] * n, pa.int32()), pa.array(packed, pa.binary()), pa.array(times, pa.binary())],
+        [pa.array([at] * len(rows), pa.int32()), pa.array(own, pa.int32()), pa.array([salt] * len(rows), pa.int32()), pa.array(packed, pa.binary()), pa.array(times, pa.binary())],
         ["at", "owner", "salt", "keys", "counts"],
     )
 
 
-def _unpack_pairs(batches: Iterator[pa.RecordBatch]) -> tuple[tuple[int, int], Pairs]:
-    """The (table, owner) of a group of packed rows, and its pairs."""
-    unpack, pairs, key, waiting, size = zstandard.ZstdDecompressor().decompress, Pairs(), None, [], 0
+def _unpack_pairs(batches: Iterator[pa.RecordBatch], held: list[Layout]) -> tuple[int, int, Pairs]:
+    """The table and owner of a group of packed rows, and its pairs."""
+    unpack, pairs, at, owner, waiting, size = zstandard.ZstdDecompressor().decompress, None, 0, 0, [], 0
+
+    def flush():
+        if waiting:
+            pairs.add(*map(np.concatenate, zip(*waiting)))
+            waiting.clear()
+
     for b in batches:
         for r in b.to_pylist():
-            key = (r["at"], r["owner"])
-            waiting.append((np.cumsum(_unplanes(r["keys"], 8, unpack), dtype=np.uint64), _unplanes(r["counts"], 8, unpack).astype(np.int64)))
+            at, owner = r["at"], r["owner"]
+            pairs = pairs or Pairs(held[at])
+            waiting.append((np.cumsum(_unplanes(r["keys"], unpack), dtype=np.uint64), _unplanes(r["counts"], unpack).astype(np.int64)))
             size += len(waiting[-1][0])
             if size > 2_000_000:
-                pairs.add(*map(np.concatenate, zip(*waiting)))
-                waiting, size = [], 0
-    if waiting:
-        pairs.add(*map(np.concatenate, zip(*waiting)))
-    return key, pairs
+                flush()
+                size = 0
+    flush()
+    return at, owner, pairs
 
 
-def bit_counts(keys: np.ndarray, counts: np.ndarray, code: Code, layout: Layout, least: int = LEAST_VISITS) -> np.ndarray:
+def bit_counts(keys: np.ndarray, counts: np.ndarray, code: Code, tree: int, layout: Layout, least: int = LEAST_VISITS) -> np.ndarray:
     """Zeros and ones of an owner's slots from its sorted pairs: for each context, down the tree from the root.
 
     A node is kept while training came by it ``least`` times in this context.
     """
-    context, symbol = keys >> np.uint64(SYMBOL_BITS), (keys & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.int64)
-    order = np.lexsort((code.path[symbol], context))
-    context, symbol, counts = context[order], symbol[order], counts[order]
-    first, path = layout.first(context) & ((1 << layout.own) - 1), code.path[symbol]
-    apart = np.ones(len(context), bool)  # begins another node than the entry before
+    mask = (1 << layout.own) - 1
+    context = keys >> np.uint64(SYMBOL_BITS)
+    symbol = code.leaves[tree][(keys & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.int64)] + tree * (code.escape + 1)
+    first, path = layout.first(context) & mask, code.path[symbol]
+    apart = np.ones(len(keys), bool)  # begins another node than the entry before
     apart[1:] = context[1:] != context[:-1]
     total = np.zeros((2, 1 << layout.own))
     depth = 0
     while len(symbol):
         cut = np.flatnonzero(apart)
-        step = code.start[symbol] + depth
-        one = code.node[step] >> 32 & 1
+        one = path >> np.uint64(63 - depth) & np.uint64(1)
         visits = np.add.reduceat(counts, cut)
-        ones = np.add.reduceat(counts * one, cut)
         kept = visits >= least
-        slot = first[cut] ^ (code.node[step[cut]] & ((1 << layout.own) - 1))
-        total[0] += np.bincount(slot[kept], (visits - ones)[kept], 1 << layout.own)
-        total[1] += np.bincount(slot[kept], ones[kept], 1 << layout.own)
+        ones = np.add.reduceat(counts * one.astype(np.int64), cut)[kept]
+        at, visited = cut[kept], visits[kept]
+        slot = first[at] ^ (code.node[code.start[symbol[at]] + depth] & mask)
+        total[0] += np.bincount(slot, visited - ones, mask + 1)
+        total[1] += np.bincount(slot, ones, mask + 1)
         apart[1:] |= one[1:] != one[:-1]
         depth += 1
-        stay = np.repeat(kept, np.diff(np.append(cut, len(symbol)))) & (code.length[symbol] > depth)
+        stay = np.flatnonzero(np.repeat(kept, np.diff(np.append(cut, len(symbol)))) & (code.length[symbol] > depth))
         group = np.cumsum(apart)[stay]
-        context, symbol, counts, first, path = context[stay], symbol[stay], counts[stay], first[stay], path[stay]
+        symbol, counts, first, path = symbol[stay], counts[stay], first[stay], path[stay]
         apart = np.ones(len(symbol), bool)
         apart[1:] = group[1:] != group[:-1]
     return total
@@ -339,6 +359,14 @@ class Stream:
     odds: np.ndarray | None = None
     weights: np.ndarray | None = None
 
+    def __getstate__(self):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        return self.__dict__ | {"tables": [(t.dtype.str, pack(np.ascontiguousarray(t))) for t in self.tables]}
+
+    def __setstate__(self, state):
+        unpack = zstandard.ZstdDecompressor().decompress
+        self.__dict__ = state | {"tables": [np.frombuffer(unpack(raw), kind) for kind, raw in state["tables"]]}
+
 
 GATES = 3 << TABLES
 CELLS = 3 * LEVELS * STATES**TABLES * 2
@@ -526,7 +554,7 @@ def _token_counts(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-ENCODED = "doc_id long, trains boolean, scored boolean, n_tokens long, known long, part double, size long, ids binary, spelled binary, rare array<binary>, times array<long>"
+ENCODED = "row long, doc_id long, trains boolean, scored boolean, n_tokens long, known long, part double, size long, ids binary, spelled binary"
 
 
 def _encode(docs: DataFrame, words: dict[bytes, int], logs: np.ndarray) -> DataFrame:
@@ -535,35 +563,40 @@ def _encode(docs: DataFrame, words: dict[bytes, int], logs: np.ndarray) -> DataF
 
     def encode(batches):
         number, logs = shared.value
-        escape = len(number)
+        escape, row = len(number), TaskContext.get().partitionId() << 40
         for b in _batches(batches, "text", 1_000_000):
             out = []
             for text in b.column("text").to_pylist():
-                found = [*tokens(text), b""]
+                found = tokens(text)
+                found.append(b"")
                 ids = np.fromiter(map(number.get, found, repeat(escape)), np.int32, len(found))
                 other = [found[i] for i in np.flatnonzero(ids == escape).tolist()]
-                rare = Counter(other)
-                size = sum(map(len, found)) + len(found) - (len(found) > 1)
-                out.append((len(found), len(found) - len(other), float(logs.take(ids).sum()), size, ids.tobytes(), b"".join([w + b" " for w in other]), list(rare), list(rare.values())))
-            columns = list(zip(*out))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-            names = ("n_tokens", "known", "part", "size", "ids", "spelled", "rare", "times")
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("trains"), b.column("scored"), *map(pa.array, columns, kinds)], ["doc_id", "trains", "scored", *names])
+                other.append(b"")
+                size = len(b" ".join(found)) + (len(found) == 1)
+                out.append((len(found), len(found) - len(other) + 1, float(logs.take(ids).sum()), size, ids.tobytes(), b" ".join(other)))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.binary(), pa.binary())
+            names = ("n_tokens", "known", "part", "size", "ids", "spelled")
+            numbers = pa.array(np.arange(row, row + b.num_rows))
+            row += b.num_rows
+            yield pa.RecordBatch.from_arrays([numbers, b.column("doc_id"), b.column("trains"), b.column("scored"), *map(pa.array, zip(*out), kinds)], ["row", "doc_id", "trains", "scored", *names])
 
     return docs.mapInArrow(encode, ENCODED)
 
 
-def _word_pairs(encoded: DataFrame, ends: np.ndarray, held: list[Layout], salts: int, most: int = 2_000_000) -> DataFrame:
+def _word_pairs(encoded: DataFrame, code: Code, ends: np.ndarray, held: list[Layout], salts: int, most: int = 4_000_000) -> DataFrame:
     """Packed (context, word) counts of all training texts."""
+    shared = encoded.sparkSession.sparkContext.broadcast((code.rank[: code.escape + 1], ends))
 
     def count(batches):
+        keep_freed_memory()
+        rank, ends = shared.value
         salt = TaskContext.get().partitionId() % salts
         waiting, size = [[] for _ in range(TABLES)], 0
 
         def flush():
             for at, (layout, w) in enumerate(zip(held, waiting)):
                 if w:
-                    pairs = Pairs()
+                    pairs = Pairs(layout)
                     pairs.add(np.concatenate(w))
                     w.clear()
                     yield pack_pairs(at, layout, salt, *pairs.all())
@@ -572,8 +605,9 @@ def _word_pairs(encoded: DataFrame, ends: np.ndarray, held: list[Layout], salts:
             ids = [np.frombuffer(x, np.int32) for x in b.column("ids").to_pylist()]
             sizes = np.array([len(x) for x in ids])
             symbols = np.concatenate(ids)
+            ranks = rank.take(symbols)
             for layout, w, context in zip(held, waiting, word_contexts(symbols, np.cumsum(sizes) - sizes, ends)):
-                w.append(layout.hashed(context) << np.uint64(SYMBOL_BITS) | symbols.astype(np.uint64))
+                w.append(layout.hashed(context) << np.uint64(SYMBOL_BITS) | ranks)
             size += len(symbols)
             if size > most:
                 yield from flush()
@@ -583,20 +617,20 @@ def _word_pairs(encoded: DataFrame, ends: np.ndarray, held: list[Layout], salts:
     return encoded.where("trains").select("ids").mapInArrow(count, PAIRS)
 
 
-def _byte_pairs(counts: DataFrame, words: dict[bytes, int], held: list[Layout], salts: int, first: int) -> DataFrame:
+def _byte_pairs(counts: DataFrame, words: dict[bytes, int], code: Code, held: list[Layout], salts: int) -> DataFrame:
     """Packed (context, byte) counts of all tokens that are spelled, each as often as training holds it."""
-    shared = counts.sparkSession.sparkContext.broadcast(words)
+    shared, rank = counts.sparkSession.sparkContext.broadcast(words), code.rank[code.escape + 1 :]
 
     def count(batches):
         salt = TaskContext.get().partitionId() % salts
-        total = [Pairs() for _ in range(TABLES)]
+        total = [Pairs(layout) for layout in held[TABLES:]]
         for b in slices(batches, 50_000):
             other = [(t, n) for t, n in zip(b.column("token").to_pylist(), b.column("n").to_pylist()) if t not in shared.value]
             if other:
                 buf = np.frombuffer(b"".join([t + b" " for t, _ in other]), np.uint8)
                 times = np.repeat(np.array([n for _, n in other]), [len(t) + 1 for t, _ in other])
                 for layout, pairs, context in zip(held[TABLES:], total, byte_contexts(buf)):
-                    pairs.add(layout.hashed(context) << np.uint64(SYMBOL_BITS) | (buf.astype(np.uint64) + np.uint64(first)), times)
+                    pairs.add(layout.hashed(context) << np.uint64(SYMBOL_BITS) | rank.take(buf), times)
         for at, (layout, pairs) in enumerate(zip(held[TABLES:], total)):
             yield pack_pairs(TABLES + at, layout, salt, *pairs.all())
 
@@ -608,12 +642,13 @@ def _tables(pairs: DataFrame, code: Code, held: list[Layout], salts: int) -> lis
     shared = pairs.sparkSession.sparkContext.broadcast(code)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (at, _), own = _unpack_pairs(batches)
+        at, _, own = _unpack_pairs(batches, held)
         yield pack_pairs(at, held[at], 0, *own.all())
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (at, owner), own = _unpack_pairs(batches)
-        counts = zstandard.ZstdCompressor(level=1).compress(packed_counts(bit_counts(*own.all(), shared.value, held[at])).tobytes())
+        keep_freed_memory()
+        at, owner, own = _unpack_pairs(batches, held)
+        counts = zstandard.ZstdCompressor(level=1).compress(packed_counts(bit_counts(*own.all(), shared.value, at // TABLES, held[at])).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([owner], pa.int32()), pa.array([counts], pa.binary())], ["at", "owner", "counts"])
 
     if salts > 1:
@@ -638,6 +673,7 @@ def _histograms(encoded: DataFrame, model: Model, part: int = 1 << 16) -> tuple[
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([pack(r[1].tobytes()) for r in rows], pa.binary())], ["at", "counts"])
 
     def count(batches):
+        keep_freed_memory()
         model = shared.value
         both = (model.words, model.spelled)
         total, waiting, size = [np.zeros(CELLS, np.int64) for _ in both], [[], []], [0, 0]
@@ -708,7 +744,7 @@ def train(docs: DataFrame, max_words: int = MAX_WORDS) -> Trained:
     salts = 1 + size["bytes"] // (1 << 32)
     code = make_code(n, _spelled_bytes(counts, words))
     ends = endings(list(words))
-    pairs = _word_pairs(encoded, ends, held, salts).unionByName(_byte_pairs(counts, words, held, salts, code.escape + 1))
+    pairs = _word_pairs(encoded, code, ends, held, salts).unionByName(_byte_pairs(counts, words, code, held, salts))
     tables = _tables(pairs, code, held, salts)
     model = Model(code, ends, Stream(0, held[0], tables[:TABLES]), Stream(code.escape + 1, held[-1], tables[TABLES:]))
     for stream, counted in zip((model.words, model.spelled), _histograms(encoded, model)):
@@ -753,18 +789,18 @@ def lm_scores(docs: DataFrame, training: DataFrame | Column) -> DataFrame:
     shared = spark.sparkContext.broadcast(known.model)
 
     def score(batches):
+        keep_freed_memory()
         model = shared.value
         for b in _batches(batches, "ids", GROUP_BYTES):
             scores = model.log10([np.frombuffer(x, np.int32) for x in b.column("ids").to_pylist()], b.column("spelled").to_pylist())
             bits = -scores / math.log10(2) / np.array(b.column("size").to_pylist())
-            kept = ["doc_id", "n_tokens", "known", "part", "rare", "times"]
+            kept = ["row", "doc_id", "n_tokens", "known", "part"]
             yield pa.RecordBatch.from_arrays([*map(b.column, kept), pa.array(scores), pa.array(bits)], [*kept, "score", "bits_per_byte"])
 
-    schema = "doc_id long, n_tokens long, known long, part double, rare array<binary>, times array<long>, score double, bits_per_byte double"
-    found = known.encoded.where("scored").select("doc_id", "n_tokens", "known", "part", "size", "ids", "spelled", "rare", "times").mapInArrow(score, schema)
-    scored = table(found.withColumn("row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("token"), "r.times")
-    more = rare.join(known.counts, "token").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("logs"))
+    encoded = known.encoded.where("scored")
+    scored = encoded.select("row", "doc_id", "n_tokens", "known", "part", "size", "ids", "spelled").mapInArrow(score, "row long, doc_id long, n_tokens long, known long, part double, score double, bits_per_byte double")
+    rare = encoded.select("row", F.explode(F.split(F.col("spelled").cast("string"), " ")).alias("token")).where("token <> ''").select("row", F.col("token").cast("binary").alias("token"))
+    more = rare.join(known.counts, "token").groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n") + 1)).alias("logs"))
     below = math.log10(known.total + known.distinct + 1)
     return scored.join(more, "row", "left").select(
         "doc_id",
