@@ -10,6 +10,7 @@ ranked and placed in parallel.
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_left, bisect_right, insort
 
@@ -169,24 +170,51 @@ class ChunkEncoder:
 
     The tokenizer drops white space and never joins across it, so a text is encoded blank-separated chunk
     by chunk.  A chunk of letters, or of letters and closing punctuation, is two pre-tokens at most; letters
-    not met before go to the library in one call, and bounded caches keep what it says.
+    not met before go to the library in one call, and bounded caches keep what it says.  Words of a-z need
+    no normalizing and hold no pattern but letters, so for them the library skips both.
     """
 
-    def __init__(self, path: str, chunks: int = 500_000, words: int = 600_000):
-        from tokenizers import Tokenizer
+    CLOSING = ".,;:!?|%$&*"
 
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, path: str, chunks: int = 500_000, words: int = 600_000):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.tokenizer = self.plain = Tokenizer.from_file(path)
+        suffix = spec["model"].get("end_of_word_suffix")
+        closes = [t.endswith(suffix) for t, _ in sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])] if suffix else []
+        self.closes = np.array(closes, bool)
+        if suffix and self._plain_for_letters(spec):
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer = None
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.max_chunks, self.max_words = chunks, words
 
-    def _learn(self, words: list[str]) -> None:
+    @staticmethod
+    def _plain_for_letters(spec: dict) -> bool:
+        """Whether normalizing leaves words of a-z alone, and runs of letters are split off whole, then taken as bytes."""
+        normal = (spec["normalizer"] or {}).get("normalizers", [])
+        pieces = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        return {n["type"] for n in normal} <= {"NFC", "Lowercase", "Replace"} and all(n["pattern"] == {"Regex": r"\s+"} for n in normal if n["type"] == "Replace") and [p["type"] for p in pieces] == ["Split", "ByteLevel"] and r"|[\p{L}]+|" in pieces[0]["pattern"].get("Regex", "") and not pieces[1]["use_regex"] and not pieces[1]["add_prefix_space"]
+
+    def _learn(self, words: list[str], tokenizer) -> None:
         """Encode words of letters only, all in one text; each must be one pre-token of it."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        of = np.array(found.word_ids, np.int64)
-        ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(of)).tolist() if len(of) else []
+        if not words:
+            return
+        text = " ".join(words)
+        if len(self.closes):
+            found = tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            ends = (np.flatnonzero(self.closes[ids]) + 1).tolist()
+        else:
+            found = tokenizer.encode(text, add_special_tokens=False)
+            ids, of = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
+            ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(of)).tolist() if len(of) else []
         if len(ends) == len(words):
-            raw, at = np.array(found.ids, "<u4").tobytes(), 0
+            raw, at = ids.tobytes(), 0
             for w, end in zip(words, ends):
                 self.words[w] = raw[4 * at : 4 * end]
                 at = end
@@ -197,31 +225,27 @@ class ChunkEncoder:
         for t, e in zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             into[t] = np.array(e.ids, "<u4").tobytes()
 
-    def _fill(self, new: list[str]) -> None:
+    def _fill(self, new: set[str]) -> None:
         """Put chunks into the cache."""
-        split, odd = [], []
-        words = self.words
+        chunks, words, later, odd = self.chunks, self.words, [], []
         for c in new:
-            core = c.rstrip(".,;:!?|%$&*")
+            core = c.rstrip(self.CLOSING)
             word = core.lower()
-            if word.isalpha() and core.isalpha():
-                if not core.isascii():
-                    word = core
-                split.append((c, word, c[len(core) :]))
-            else:
+            if not word.isalpha() or not core.isalpha():
                 odd.append(c)
-        unknown = {w for _, w, _ in split}.difference(words)
-        odd += {t for _, _, t in split if t}.difference(words)
-        if unknown:
-            self._learn(list(unknown))
-        others: dict[str, bytes] = {}
-        if odd:
-            self._one_by_one(list(dict.fromkeys(odd)), others)
-        chunks = self.chunks
-        chunks.update((c, others[c]) for c in odd)
-        for c, word, tail in split:
-            if tail and tail not in words:
-                words[tail] = others[tail]
+                continue
+            word, tail = word if core.isascii() else core, c[len(core) :]
+            ids, end = words.get(word), words.get(tail) if tail else b""
+            if ids is None or end is None:
+                later.append((c, word, tail))
+            else:
+                chunks[c] = ids + end if tail else ids
+        unknown = {w for _, w, _ in later}.difference(words)
+        self._learn([w for w in unknown if w.isascii()], self.plain)
+        self._learn([w for w in unknown if not w.isascii()], self.tokenizer)
+        self._one_by_one(list({t for _, _, t in later if t}.difference(words)), words)
+        self._one_by_one(odd, chunks)
+        for c, word, tail in later:
             chunks[c] = words[word] + words[tail] if tail else words[word]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -233,14 +257,17 @@ class ChunkEncoder:
             if len(self.words) > self.max_words:
                 self.words.clear()
             chunks = self.chunks
-            new = list(set().union(*split) - chunks.keys())
+            found = [list(map(chunks.get, s)) for s in split]
+            lacking = [i for i, f in enumerate(found) if None in f]
+            new = {c for i in lacking for c, f in zip(split[i], found[i]) if f is None}
             if new:
                 self._fill(new)
-            out += [b"".join(map(chunks.__getitem__, s)) for s in split]
-            for c in new:
-                if len(c) > 64:
-                    del chunks[c]
-                    self.words.pop(c, None)
+                for i in lacking:
+                    found[i] = [chunks[c] if f is None else f for c, f in zip(split[i], found[i])]
+            out += map(b"".join, found)
+            for c in [c for c in new if len(c) > 64]:
+                del chunks[c]
+                self.words.pop(c, None)
         return out
 
 
