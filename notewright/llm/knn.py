@@ -9,7 +9,6 @@ lie in; the k-th score found there goes with it to all other shards.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,7 +17,8 @@ from pyspark.sql import functions as F
 
 from notewright.llm.common import table
 
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "query long, query_id long, vec_id long, score long"
+_LONG = 2**63 - 1
 
 
 class KdTree:
@@ -70,9 +70,9 @@ class KdTree:
                 continue
             a, b = self.span[node]
             scores = self.vectors[a:b] @ query
-            near = range(b - a) if worst is None else np.flatnonzero(scores >= worst[0])
+            near = range(b - a) if worst is None else np.flatnonzero(scores >= worst[0])  # a bound or score past a long is past each kth, too
             for i in near:
-                found = (int(scores[i]), -int(self.ids[a + i]))
+                found = (max(-_LONG - 1, min(_LONG, int(scores[i]))), -int(self.ids[a + i]))
                 if found[1] == -own or floor is not None and found <= floor:
                     continue
                 if len(top) < k:
@@ -82,23 +82,25 @@ class KdTree:
         return top
 
 
-def _matrix(column: pd.Series, exact_in_float: bool) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64 if exact_in_float else np.int64)
+def _exact_kind(*columns: pd.Series) -> type:
+    """What holds all inner products exactly: float64 (fastest), int64 or Python's whole numbers."""
+    most = max((max(int(v.max(initial=0)), -int(v.min(initial=0))) for c in columns for v in c), default=0)
+    top = most * most * max(1, max(len(c.iloc[0]) for c in columns))
+    return np.float64 if top < 2**53 else np.int64 if top < 2**63 else object
 
 
-def _fits(*columns: pd.Series) -> bool:
-    """Whether all inner products are whole numbers that float64 holds exactly."""
-    most = max((int(np.abs(v).max(initial=0)) for c in columns for v in c), default=0)
-    return most * most * max(1, max(len(c.iloc[0]) for c in columns)) < 2**53
+def _matrix(column: pd.Series, kind: type) -> np.ndarray:
+    rows = column.to_numpy()
+    return np.array([[int(x) for x in v] for v in rows], object).reshape(len(rows), -1) if kind is object else np.stack(rows).astype(kind)
 
 
 def quantize(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """vec_id, v: floor(256 * x) of each component.
+    """vec_id, v: floor(256 * x) of each component, x as double.
 
-    Rows take no part whose id or vector is null, or that hold a component that is null, not finite, or so
-    large that floor(256 * x) has more than 31 bits.
+    Rows take no part whose id or vector is null, or that hold a component that is null, not finite, or (what
+    no result could hold) 2**55 or more, so that floor(256 * x) is no long.
     """
-    usable = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 2.0**23)
+    usable = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 2.0**55)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("e"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("e").isNotNull() & F.forall("e", lambda x: F.coalesce(usable(x), F.lit(False))))
     return rows.select("vec_id", F.transform("e", lambda x: F.floor(x * 256.0).cast("long")).alias("v"))
@@ -109,49 +111,52 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
 
     query_id, rank (from 1), vec_id, score: by inner product, ties to the smaller vec_id.  Rows with the
     query's own id are no candidates; vectors meet those of their own dimension only.  A repeated vec_id is
-    as many candidates; a repeated query is answered once.  Fewer candidates than k: all of them.
+    as many candidates; a repeated query row is answered once, an id with several vectors once for each of
+    them.  Fewer candidates than k: all of them.  Products are exact at any size; a score beyond a long is
+    given as the nearest long, and such scores tie.
 
     A task holds one shard (about ``shard_rows``) and one block of queries (about ``block_queries``), so its
     size doesn't grow with the input.
     """
-    vectors, queries = table(vectors, "vectors"), table(queries.distinct(), "queries")
+    vectors = table(vectors, "vectors")
+    queries = table(queries.select("vec_id", "v").distinct().withColumn("query", F.monotonically_increasing_id()), "queries")
     shards = max(1, -(-vectors.count() // shard_rows))
     blocks = max(1, -(-queries.count() // block_queries))
     shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
     sharded = vectors.select(F.size("v").alias("dim"), shard.alias("shard"), "vec_id", "v")
-    asked = queries.select(F.size("v").alias("dim"), shard.alias("home"), "vec_id", "v", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int").alias("block"))
+    asked = queries.select(F.size("v").alias("dim"), shard.alias("home"), "query", "vec_id", "v", F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int").alias("block"))
 
     home = sharded.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).groupBy("dim", "shard", "block")
     own = asked.withColumnRenamed("home", "shard").withColumn("floor", F.lit(None).cast("array<long>"))
     seeds = table(home.cogroup(own.groupBy("dim", "shard", "block")).applyInPandas(_searcher(k), _FOUND), "seeds")
 
-    kth = seeds.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("score", (-F.col("vec_id")).alias("n")))).alias("t"))
-    kth = kth.where(F.size("t") >= k).select(F.col("query_id").alias("vec_id"), F.array(F.element_at("t", -k)["score"], F.element_at("t", -k)["n"]).alias("floor"))
-    away = asked.join(kth, "vec_id", "left").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(F.col("shard") != F.col("home")).drop("home")
+    kth = seeds.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("score", (-F.col("vec_id")).alias("n")))).alias("t"))
+    kth = kth.where(F.size("t") >= k).select("query", F.array(F.element_at("t", -k)["score"], F.element_at("t", -k)["n"]).alias("floor"))
+    away = asked.join(kth, "query", "left").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(F.col("shard") != F.col("home")).drop("home")
     rest = home.cogroup(away.groupBy("dim", "shard", "block")).applyInPandas(_searcher(k), _FOUND)
 
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     best = seeds.unionAll(rest).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
 
 
 def _searcher(k: int):
     def search(shard: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_search(shard, asked, k), columns=["query_id", "vec_id", "score"])
+        return pd.DataFrame(_search(shard, asked, k), columns=["query", "query_id", "vec_id", "score"])
 
     return search
 
 
-def _search(shard: pd.DataFrame, asked: pd.DataFrame, k: int) -> Iterator[tuple[int, int, int]] | list:
+def _search(shard: pd.DataFrame, asked: pd.DataFrame, k: int) -> list[tuple[int, int, int, int]]:
     if shard.empty or asked.empty:
         return []
-    exact = _fits(shard["v"], asked["v"])
-    tree = KdTree(shard["vec_id"].to_numpy(), _matrix(shard["v"], exact))
-    queries = _matrix(asked["v"], exact)
+    kind = _exact_kind(shard["v"], asked["v"])
+    tree = KdTree(shard["vec_id"].to_numpy(), _matrix(shard["v"], kind))
+    queries = _matrix(asked["v"], kind)
     bounds, out = tree.bounds(queries), []
-    for own, q, bound, floor in zip(asked["vec_id"], queries, bounds, asked["floor"]):
+    for number, own, q, bound, floor in zip(asked["query"], asked["vec_id"], queries, bounds, asked["floor"]):
         above = None if floor is None else (int(floor[0]), int(floor[1]))
-        out += [(own, -n, s) for s, n in tree.search(int(own), q, bound, k, above)]
+        out += [(number, own, -n, s) for s, n in tree.search(int(own), q, bound, k, above)]
     return out
 
 
@@ -160,10 +165,11 @@ ORACLE = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(x) >= 8388608)) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT *, row_number() OVER () AS query FROM (SELECT DISTINCT vec_id, v FROM v WHERE vec_id % 50 = 0)),
 p AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+  SELECT q.query, q.vec_id AS query_id, c.vec_id, CAST(greatest(least(coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: CAST(z[1] AS HUGEINT) * z[2])), 0), 9223372036854775807), -9223372036854775808) AS BIGINT) AS score
+  FROM q JOIN v c ON c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

@@ -82,6 +82,24 @@ def test_top_k_edges(spark):
     assert [r["vec_id"] for r in knn.top_k(v, v.where("vec_id = 0"), k=9).collect()] == [1, 2, 2]
 
 
+def test_top_k_of_large_numbers_and_repeated_ids(spark, duck):
+    rng = random.Random(4)
+    rows = [(i % 90, [rng.choice([1.0, 1e7, 3e7, -2e9, 1e6]) * rng.random() for _ in range(3)]) for i in range(200)] + [(0, [1.0, 2.0, 3.0])] * 2
+    rows += [(200, [1e7, 0.0, 0.0]), (201, [3e7, 1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    v = knn.quantize(frame)
+    assert v.count() == len(rows)
+    got = knn.top_k(v, v.where("vec_id % 50 = 0"), k=5, shard_rows=30, block_queries=3).toPandas()
+    own = duck.cursor()
+    embeddings = frame.toPandas()
+    embeddings["embedding"] = embeddings["embedding"].map(list)
+    own.register("large", embeddings)
+    want = own.execute(knn.ORACLE.replace("FROM embeddings", "FROM large")).df()
+    assert rows_of(got) == rows_of(want) and len(got) > 5 * 5
+    huge = knn.quantize(spark.createDataFrame([(0, [2.0**54, 2.0**54]), (1, [2.0**54, 0.0]), (2, [-(2.0**54), 0.0])], "vec_id long, embedding array<double>"))
+    assert [(r["vec_id"], r["score"]) for r in knn.top_k(huge, huge.where("vec_id = 0")).orderBy("rank").collect()] == [(1, 2**63 - 1), (2, -(2**63))]
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.integers(1, 400), st.integers(1, 6), st.integers(0, 10**6))
 def test_tree_search_is_exact(n, dim, seed):
