@@ -1,7 +1,7 @@
 """Quality classifier by co-training of two views.
 
-One classifier sees a document's text content, the other its page metadata
-(language, source, size and layout).  Over some rounds each labels all
+One classifier sees a document's text only, the other its page metadata only
+(language, source, stated size).  Over some rounds each labels all
 unlabelled documents it is sure of for the other; the two, calibrated on labelled
 documents that neither was fitted on, are combined to score all documents.
 """
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from notewright.llm.common import slices, table
 
-SHAPES, SOURCES, LANGS = 192, 48, 16
+SHAPES, SOURCES, LANGS, SIZES = 192, 48, 16, 24
+TEXT_WIDTH, META_WIDTH = SHAPES + 8, LANGS + SOURCES + SIZES + 2
 _SHAPE = ((re.compile(r"[^\W\d_a-zA-Z]"), "a"), (re.compile(r"[a-z]+"), "a"), (re.compile(r"[A-Z]+"), "A"), (re.compile(r"\d+"), "0"), (re.compile(r"(.)\1+"), r"\1"))
 
 
@@ -39,8 +40,8 @@ class Views:
     cache: dict[str, int] = field(default_factory=dict)
 
     def text(self, text: str | None) -> np.ndarray:
-        """Content: shapes of tokens (as shares), variety, repetition, lengths, marks."""
-        out = np.zeros(SHAPES + 6, np.float32)
+        """Content: shapes of tokens (as shares), variety, repetition, lengths, layout of lines."""
+        out = np.zeros(TEXT_WIDTH, np.float32)
         tokens = text.split() if text else []
         if tokens:
             cache = self.cache
@@ -51,19 +52,22 @@ class Views:
             out[:SHAPES] = np.bincount([cache[t] for t in tokens], minlength=SHAPES) / n
             again = sum(map(str.__eq__, tokens, tokens[1:]))
             letters = sum(map(len, tokens))
-            out[SHAPES:] = (len(distinct) / n, again / n, min(letters / n, 50) / 10, math.log1p(n) / 5, max(map(len, distinct)) > 40, len(distinct) / math.sqrt(n) / 10)
+            lines = text.count("\n") + 1
+            layout = (math.log1p(lines) / 3, math.log1p(len(text) / lines) / 5)
+            out[SHAPES:] = (len(distinct) / n, again / n, min(letters / n, 50) / 10, math.log1p(n) / 5, max(map(len, distinct)) > 40, len(distinct) / math.sqrt(n) / 10, *layout)
             if len(cache) > 400_000:
                 cache.clear()
         return out
 
     @staticmethod
-    def meta(lang: str | None, source: str | None, n_chars: int | None, text: str | None) -> np.ndarray:
-        """Page metadata: language, source, stated and real size, layout of lines."""
-        out = np.zeros(LANGS + SOURCES + 5, np.float32)
-        out[zlib.crc32((lang or "").encode()) % LANGS] = 1
-        out[LANGS + zlib.crc32((source or "").encode()) % SOURCES] = 1
-        size, lines = len(text or ""), (text or "").count("\n") + 1
-        out[LANGS + SOURCES :] = (math.log1p(max(n_chars or 0, 0)) / 5, math.log1p(size) / 5, math.log1p(lines) / 3, math.log1p(size / lines) / 5, n_chars is None)
+    def meta(lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
+        """Page metadata: language, source, stated size; nothing of the text itself."""
+        out = np.zeros(META_WIDTH, np.float32)
+        out[zlib.crc32((lang or "").encode("utf-8", "surrogatepass")) % LANGS] = 1
+        out[LANGS + zlib.crc32((source or "").encode("utf-8", "surrogatepass")) % SOURCES] = 1
+        size = max(n_chars or 0, 0)
+        out[LANGS + SOURCES + min(size.bit_length(), SIZES - 1)] = 1
+        out[LANGS + SOURCES + SIZES :] = (math.log1p(size) / 5, n_chars is None)
         return out
 
 
@@ -159,7 +163,7 @@ def _moments(x: np.ndarray) -> np.ndarray:
     return np.concatenate(([len(x)], x.sum(axis=0), (x * x).sum(axis=0)))
 
 
-def co_train_all(text: np.ndarray, meta: np.ndarray, y: np.ndarray, gather: Gather, rounds: int = 4, sure: float = 0.97, steps: int = 12) -> CoTrained | None:
+def co_train_all(text: np.ndarray, meta: np.ndarray, y: np.ndarray, gather: Gather, rounds: int = 3, sure: float = 0.97, steps: int = 6) -> CoTrained | None:
     """Fit both views on labelled rows and on all that each, when ``sure``, labels in the pool for the other.
 
     ``gather`` sums a function of the two views' rows over the whole pool.  Every fifth labelled row only
@@ -198,13 +202,13 @@ def co_train_all(text: np.ndarray, meta: np.ndarray, y: np.ndarray, gather: Gath
 
             n = size["text"] + 1
             total = np.split(gather(newton), [n + n * n])
-            if max([models[v].step(t + models[v].sums(own[v], y[~part])) for v, t in zip(own, total)]) < 0.01:
+            if max([models[v].step(t + models[v].sums(own[v], y[~part])) for v, t in zip(own, total)]) < 0.03:
                 break
     logits = np.stack([np.clip(models[v].logit(x[part]), -15, 15) for v, x in (("text", text), ("meta", meta))], axis=1)
     return CoTrained(models["text"], models["meta"], Logistic.fit(logits, y[part], ridge=0.1), exchanged)
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = 4, sure: float = 0.97) -> CoTrained | None:
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = 3, sure: float = 0.97) -> CoTrained | None:
     """``co_train_all`` with a pool in memory."""
     return co_train_all(text, meta, y, lambda f: f(pool_text, pool_meta), rounds, sure)
 
@@ -214,7 +218,7 @@ def _gather(pool: DataFrame) -> Gather:
 
     def gather(f):
         def run(batches):
-            total = f(np.zeros((0, SHAPES + 6)), np.zeros((0, LANGS + SOURCES + 5)))
+            total = f(np.zeros((0, TEXT_WIDTH)), np.zeros((0, META_WIDTH)))
             for b in slices(batches):
                 views = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.float32).reshape(b.num_rows, -1).astype(np.float64) for c in ("text_view", "meta_view")]
                 total = total + f(*views)
@@ -226,59 +230,47 @@ def _gather(pool: DataFrame) -> Gather:
                 yield pa.RecordBatch.from_arrays([pa.array([sum(total).tobytes()], pa.binary())], ["sums"])
 
         found = pool.select("text_view", "meta_view").mapInArrow(run, "sums binary").repartition(8).mapInArrow(add, "sums binary").collect()
-        empty = f(np.zeros((0, SHAPES + 6)), np.zeros((0, LANGS + SOURCES + 5)))
+        empty = f(np.zeros((0, TEXT_WIDTH)), np.zeros((0, META_WIDTH)))
         return sum((np.frombuffer(r["sums"], np.float64) for r in found), empty)
 
     return gather
 
 
-def _vectors(rows: DataFrame, extra: list[str]) -> DataFrame:
-    """The two feature vectors of each row."""
+def _vectors(docs: DataFrame, extra: list[str]) -> DataFrame:
+    """The two feature vectors of each row as bytes of 32-bit floats, with the columns ``extra``."""
 
     def run(batches):
         v = Views()
-        for b in slices(batches):
-            raw = [b.column(c).to_pylist() for c in ("lang", "source", "n_chars", "text")]
-            columns = [*(b.column(c) for c in extra), pa.array([v.text(t).tolist() for t in raw[3]], pa.list_(pa.float32())), pa.array([v.meta(*r).tolist() for r in zip(*raw)], pa.list_(pa.float32()))]
+        for b in slices(batches, 200):
+            raw = [b.column(c).to_pylist() for c in ("lang", "source", "n_chars")]
+            texts = [v.text(t).tobytes() for t in b.column("text").to_pylist()]
+            columns = [*(b.column(c) for c in extra), pa.array(texts, pa.binary()), pa.array([v.meta(*r).tobytes() for r in zip(*raw)], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, [*extra, "text_view", "meta_view"])
 
-    types = dict(rows.dtypes)
-    return rows.mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in extra) + ", " * bool(extra) + "text_view array<float>, meta_view array<float>")
-
-
-def _packed_vectors(docs: DataFrame) -> DataFrame:
-    """The two feature vectors of each row as bytes of 32-bit floats, with its doc_id."""
-
-    def run(batches):
-        v = Views()
-        for b in slices(batches):
-            raw = [b.column(c).to_pylist() for c in ("lang", "source", "n_chars", "text")]
-            columns = [b.column("doc_id"), pa.array([v.text(t).tobytes() for t in raw[3]], pa.binary()), pa.array([v.meta(*r).tobytes() for r in zip(*raw)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_view", "meta_view"])
-
-    return docs.mapInArrow(run, "doc_id long, text_view binary, meta_view binary")
+    types = dict(docs.dtypes)
+    return docs.mapInArrow(run, "".join(f"{c} {types[c]}, " for c in extra) + "text_view binary, meta_view binary")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000) -> tuple[CoTrained | None, float]:
     """The classifier and the share of good documents among the labelled.
 
     At most ``max_labelled`` labelled documents are used, those of the smallest hashes of doc_id, and all unlabelled
-    ones.  Ids whose crc32 (as text) leaves 2 modulo 4 stay out, so that they can test the result.
+    ones; of several rows with one labelled id, the least (text first) is used.  Ids whose crc32 (as text) leaves 2 modulo 4 stay out, so that they can test the result.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     test = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = known.where(~test).orderBy(*order).limit(max_labelled)
-    rows = docs.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    found = _vectors(rows, ["doc_id", "quality"]).collect()
+    rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("quality", "text", "lang", "source", "n_chars")).alias("r")).select("doc_id", "r.*")
+    found = _vectors(rows, ["doc_id", "quality"]).collect()  # max_labelled rows at most
     found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
     y = np.array([r["quality"] for r in found], np.float64)
     if not len(y):
         return None, 1.0
-    text, meta = (np.array([r[c] for r in found], np.float64) for c in ("text_view", "meta_view"))
+    text, meta = (np.frombuffer(b"".join(r[c] for r in found), np.float32).reshape(len(found), -1).astype(np.float64) for c in ("text_view", "meta_view"))
     held = F.coalesce(test, F.lit(False))  # a null id is unlabelled
-    pool = table(_packed_vectors(docs.where(~held)).join(known.select("doc_id"), "doc_id", "left_anti"), "pool")
+    pool = table(_vectors(docs.where(~held), ["doc_id"]).join(known.select("doc_id"), "doc_id", "left_anti"), "pool")
     return co_train_all(text, meta, y, _gather(pool)), float(y.mean())
 
 
@@ -298,17 +290,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, *
     def score(batches):
         model, share = shared.value
         v = Views()
-        for b in slices(batches):
-            for at in range(0, b.num_rows, 1000):
-                raw = [b.column(c).slice(at, 1000).to_pylist() for c in ("lang", "source", "n_chars", "text")]
-                n = len(raw[0])
-                z = np.zeros((3, n)) + math.log((share + 1e-6) / (1 - share + 1e-6))
-                if model is not None and n:
-                    text, meta = np.array([v.text(t) for t in raw[3]]), np.array([v.meta(*r) for r in zip(*raw)])
-                    z = np.stack((model.text.logit(text), model.meta.logit(meta), model.logit(text, meta)))
-                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-                columns = [b.column("doc_id").slice(at, 1000), b.column("held_out").slice(at, 1000), *(pa.array(x) for x in p), pa.array(p[2] >= threshold)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "text_score", "meta_score", "score", "keep"])
+        for b in slices(batches, 200):
+            raw = [b.column(c).to_pylist() for c in ("lang", "source", "n_chars")]
+            z = np.zeros((3, b.num_rows)) + math.log((share + 1e-6) / (1 - share + 1e-6))
+            if model is not None and b.num_rows:
+                text, meta = np.array([v.text(t) for t in b.column("text").to_pylist()]), np.array([v.meta(*r) for r in zip(*raw)])
+                z = np.stack((model.text.logit(text), model.meta.logit(meta), model.logit(text, meta)))
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            columns = [b.column("doc_id"), b.column("held_out"), *(pa.array(x) for x in p), pa.array(p[2] >= threshold)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "text_score", "meta_score", "score", "keep"])
 
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
     return docs.withColumn("held_out", held).mapInArrow(score, "doc_id long, held_out boolean, text_score double, meta_score double, score double, keep boolean")

@@ -319,7 +319,7 @@ def test_co_training_uses_the_whole_pool(spark):
     """More documents than 400 a class and round can be exchanged, and Spark's sums are those of one block."""
     rng = np.random.default_rng(1)
     y = rng.integers(0, 2, 9000).astype(float)
-    views = [np.zeros((9000, n), np.float32) for n in (quality.SHAPES + 6, quality.LANGS + quality.SOURCES + 5)]
+    views = [np.zeros((9000, n), np.float32) for n in (quality.TEXT_WIDTH, quality.META_WIDTH)]
     for x in views:
         x[:, 0], x[:, 1] = y * 8 - 4 + rng.normal(size=9000), rng.normal(size=9000)
     rows = [(i, bytearray(views[0][i].tobytes()), bytearray(views[1][i].tobytes())) for i in range(200, 9000)]
@@ -372,80 +372,191 @@ def test_lm_scores(spark, odd, empty):
     assert lm_score.lm_scores(odd, empty).count() == len(ODD)
 
 
+class BruteMixing:
+    """The model by plain loops: dictionaries by (table, context, path so far), no slots, a bit at a time.
+
+    Of the operator it takes the words' and bytes' paths, the list of tree words, and the state of a pair of counts.
+    """
+
+    def __init__(self, rows, words, model):
+        self.words, self.code = words, model.code
+        self.counts: dict = {}
+        for t in rows:
+            for steps in self.streams(t):
+                for bits, _, contexts in steps:
+                    for i, bit in enumerate(bits):
+                        for c in contexts:
+                            self.counts.setdefault((c, bits[:i]), [0, 0])[bit] += 1
+        self.cells: tuple[dict, dict] = ({}, {})
+        for t in rows:
+            for cells, steps in zip(self.cells, self.streams(t)):
+                for bit, depth, level, held in (x for step in steps for x in self.bits(step)):
+                    cell = (depth, level >> 2, tuple(self.state(c, bit) for c in held))
+                    cells.setdefault(cell, [0, 0])[bit] += 1
+
+    def path(self, symbol):
+        at = int(self.code.start[symbol])
+        nodes = [int(x) for x in self.code.node[at : at + int(self.code.length[symbol])]]
+        return tuple(x >> 32 & 1 for x in nodes), [x >> 35 for x in nodes]
+
+    def streams(self, text):
+        """The word symbols and the spelled bytes, each as (bits, levels of the trees' odds, contexts)."""
+        split = re.findall(r"[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)) + [""]
+        before, out, spelled = ("begin", None), [], []
+        ends = lambda w: None if w == "?" else w[-2:] if isinstance(w, bytes) else w
+        for w in (x.encode() for x in split):
+            known = w in self.words
+            bits, levels = self.path(self.words[w] if known else self.code.escape)
+            out.append((bits, levels, [(0, before[0]), (1, before), (2, ends(before[0]), ends(before[1]))]))
+            before = (w if known else "?", before[0])
+            for i, x in enumerate(w + b" " if not known else b""):
+                bits, levels = self.path(self.code.escape + 1 + x)
+                spelled.append((bits, levels, [(3, w[max(0, i - 3) : i]), (4, w[max(0, i - 5) : i]), (5, w[:i])]))
+        return out, spelled
+
+    def bits(self, step):
+        bits, levels, contexts = step
+        for i, (bit, level) in enumerate(zip(bits, levels)):
+            held = [self.counts.get((c, bits[:i]), (0, 0)) for c in contexts]
+            yield bit, min(i, 2), level, [c if sum(c) >= lm_score.LEAST_VISITS else (0, 0) for c in held]
+
+    @staticmethod
+    def state(counts, without=None):
+        zeros, ones = counts
+        if max(zeros, ones) > 255:
+            zeros, ones = (math.ceil(n * 255 / max(counts)) for n in counts)
+        elif without is not None and counts[without] and max(counts) < 255:
+            zeros, ones = zeros - (without == 0), ones - (without == 1)
+        return int(lm_score.STATE[ones << 8 | zeros])
+
+    def nats(self, text, model, rate, calm):
+        total = 0.0
+        for stream, steps in zip((model.words, model.spelled), self.streams(text)):
+            held: dict = {}
+            for block in {int(lm_score.block_of(np.array([i]))[0]): 0 for i in range(len(steps))}:
+                moved: dict = {}
+                for i, step in enumerate(steps):
+                    if int(lm_score.block_of(np.array([i]))[0]) != block:
+                        continue
+                    for bit, depth, level, found in self.bits(step):
+                        states = [self.state(c) for c in found]
+                        gate = depth << 3 | sum((s != 0) << (2 - j) for j, s in enumerate(states))
+                        x = np.array([level / 16 - 2, *(stream.odds[j][s] for j, s in enumerate(states))])
+                        w, _ = held.setdefault(gate, [stream.weights[gate].copy(), 0])
+                        p = 1 / (1 + math.exp(-float(w @ x)))
+                        total -= math.log(p if bit else 1 - p)
+                        m = moved.setdefault(gate, [np.zeros(len(x)), 0])
+                        m[0], m[1] = m[0] + (bit - p) * x, m[1] + 1
+                for gate, (pull, n) in moved.items():
+                    held[gate][1] += n
+                    held[gate][0] = held[gate][0] + rate / (calm + held[gate][1]) * pull
+        return total
+
+
+def test_lm_by_brute_force(spark, monkeypatch):
+    """Counts, cells and scores of Spark's model against plain loops, on tables large enough for no two nodes to meet."""
+    monkeypatch.setattr(lm_score, "slot_bits", lambda n, most=30: 22)
+    rng = random.Random(8)
+    nouns = ["cat", "dog", "Tree", "house", "rivière", "x1"]
+    rows = [" ".join(rng.choice(nouns) + rng.choice(["", "", "", "s", "ing", str(rng.randint(0, 50))]) for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string").repartition(3)
+    known = lm_score.train(docs.select("doc_id", "text", (F.col("doc_id") < 60).alias("trains"), F.lit(True).alias("scored")))
+    count = Counter(w for t in rows[:60] for w in [x.encode() for x in t.lower().split()] + [b""])
+    assert known.total == sum(count.values()) and known.distinct == len(count)
+    order = sorted((w for w, n in count.items() if n > 1), key=lambda w: (-count[w], w))
+    brute = BruteMixing(rows[:60], {w: i for i, w in enumerate(order)}, known.model)
+    for stream, cells in zip((known.model.words, known.model.spelled), brute.cells):
+        counted = np.zeros((3, lm_score.LEVELS, *[lm_score.STATES] * 3, 2), np.int64)
+        for (depth, level, states), n in cells.items():
+            counted[(depth, level, *states)] = n
+        own = lm_score.Stream(stream.first_symbol, stream.layout, [])
+        lm_score.fit(counted.ravel(), own)
+        assert np.allclose(own.odds, stream.odds, atol=1e-5) and np.allclose(own.weights, stream.weights, atol=1e-4)
+    got = {r["doc_id"]: r["score"] for r in lm_score.lm_scores(docs, F.col("doc_id") < 60).collect()}
+    for i in [0, 1, 2, *range(60, 80)]:
+        want = -brute.nats(rows[i], known.model, 4.0, 60.0) / math.log(10)
+        assert abs(got[i] - want) < 1e-3 * max(1, abs(want)), i
+
+
+def test_lm_fit_is_the_optimum():
+    rng = np.random.default_rng(2)
+    counted = np.zeros((3, lm_score.LEVELS, *[lm_score.STATES] * 3, 2), np.int64)
+    for _ in range(3000):
+        at = (rng.integers(3), rng.integers(lm_score.LEVELS), *rng.integers(0, 4, 3))
+        counted[at] += rng.integers(0, 5, 2)
+    stream = lm_score.Stream(0, lm_score.Layout(12, 10), [])
+    lm_score.fit(counted.ravel(), stream)
+    cells = np.argwhere(counted.any(axis=-1))
+    for g in range(lm_score.GATES):
+        pull = -lm_score.RIDGE * (stream.weights[g] - [1, 0, 0, 0])
+        for d, level, *s in cells:
+            if d << 3 | (s[0] > 0) << 2 | (s[1] > 0) << 1 | (s[2] > 0) == g:
+                zeros, ones = counted[(d, level, *s)]
+                x = np.array([(level * 4 + 1.5) / 16 - 2, *(stream.odds[j][s[j]] for j in range(3))])
+                pull = pull + x * (ones - (zeros + ones) / (1 + math.exp(-stream.weights[g] @ x)))
+        assert np.abs(pull).max() < 1e-3, g
+
+
 def test_lm_is_a_distribution():
-    """The probabilities of all bytes in one place sum to 1, whatever the texts around."""
-    code = lm_score.huffman(np.bincount(np.frombuffer(b"some text\n", np.uint8), minlength=256))
-    rng = np.random.default_rng(3)
-    odds = [rng.integers(-60, 60, 1 << b).astype(np.int8) for b in lm_score.SLOT_BITS]
-    mixer = lm_score.Mixer(code, odds, rng.normal(size=(lm_score.GATES, len(lm_score.SLOT_BITS))))
-    ends = mixer.log10([b""])[0]
-    first = {b: mixer.log10([bytes([b])])[0] - mixer.log10([bytes([b])])[0] for b in range(256)}
-    assert set(first.values()) == {0.0}
-    steps = []
-    for b in range(256):
-        events = lm_score.Events([bytes([b])], code)
-        x = np.stack([o[s] for o, s in zip(mixer.odds, events.slots)]).astype(np.float32)
-        z = (mixer.weights[lm_score.gates(x, events.depth)].T * x / lm_score.STEP).sum(axis=0)[: code.length[b]]
-        steps.append(np.exp(-np.logaddexp(0, np.where(events.bit[: code.length[b]] == 1, -z, z)).sum()))
-    assert abs(sum(steps) - 1) < 1e-4 and abs(math.log10(steps[lm_score.END]) - ends) < 1e-3
+    """The paths of a tree are a whole code, and the two sides of a bit share its probability."""
+    code = lm_score.make_code(np.array([50, 3, 3, 1, 0, 7]), np.arange(256))
+    for first, n in ((0, 6), (6, 256)):
+        assert sum(2.0 ** -int(x) for x in code.length[first : first + n]) == 1
+        assert len({(int(p), int(k)) for p, k in zip(code.path[first : first + n], code.length[first : first + n])}) == n
+    assert (np.sort(code.rank[:6]) == np.arange(6)).all() and (code.leaves[1][code.rank[6:].astype(int)] == np.arange(256)).all()
+    again = lm_score.Code(*code.__reduce__()[1])
+    assert (again.node == code.node).all() and (again.start == code.start).all()
+    z = np.linspace(-5, 5, 11)
+    assert np.allclose(np.exp(-np.logaddexp(0, -z)) + np.exp(-np.logaddexp(0, z)), 1)
 
 
 def test_lm_beats_uniform_and_learns(spark, texts):
     docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in texts], "doc_id long, text string")
-    got = lm_score.lm_scores(docs, docs.where("doc_id % 5 <> 0")).where("doc_id % 5 = 0 and n_tokens > 50").collect()
-    assert np.median([r["bits_per_byte"] for r in got]) < 3.2
-
-
-def test_lm_slots_grow_and_word_pairs_count(spark, monkeypatch):
-    sizes = [sum(1 << b for b in lm_score.slot_bits(n)) for n in (10**6, 10**9, 3 * 10**10)]
-    assert sizes[0] < sizes[1] < sizes[2] and sizes[2] >= 3 * 3 * 10**10 / lm_score.SLOT_BYTES
-    code = lm_score.huffman(np.ones(256))
-    a, b, c = (lm_score.Events([t], code) for t in (b"aaaaaaa bbbbbbb x", b"ccccccc bbbbbbb x", b"ccccccc bbbbbbb x"))
-    at = slice(int(sum(code.length[x] for x in b"aaaaaaa bbbbbbb")) - 8, -8)
-    assert not any((a.slots[i][at] != b.slots[i][at]).any() for i in range(3))
-    assert (a.slots[3][at] != b.slots[3][at]).any() and (b.slots[3] == c.slots[3]).all()
-    docs = spark.createDataFrame([(f"one two {i} three",) for i in range(300)], "text string")
-    counts = lambda most: {(r["context"], r["part"]): lm_score.zstandard.decompress(r["counts"]) for r in lm_score._bit_counts(docs, code, lm_score.SLOT_BITS, most=most).collect()}
-    dense = counts(10)
-    monkeypatch.setattr(lm_score, "DENSE_BITS", 3)
-    runs = lm_score.Tally(5)
-    for keys in ([3, 3, 9], [9, 60], [3], [1, 2, 3, 4]):
-        runs.add(np.array(keys, np.int32))
-    got = {(at * 8 + i) * 2 + bit: int(n) for at, pair in runs.parts(8) for bit, row in enumerate(pair) for i, n in enumerate(row) if n}
-    assert got == {1: 1, 2: 1, 3: 4, 4: 1, 9: 2, 60: 1} and not runs.held()
-    assert dense and sum(np.frombuffer(v, np.int64).sum() for (i, _), v in dense.items() if i == 3) == sum(len(lm_score.Events([f"one two {i} three".encode()], code).bit) for i in range(300))
-
-
-def test_lm_weights_come_from_all_texts_whole(spark):
-    """Newton steps in Spark reach the optimum over all events; a tail beyond 20,000 characters and a 201st text count."""
-    rng = random.Random(4)
-    rows = [" ".join(rng.choices(["red", "green", "blue", "grey"], k=12)) for _ in range(203)] + ["red " * 6000 + " ".join(rng.choices(["up", "down"], k=400))]
-    docs = spark.createDataFrame([(t,) for t in rows], "text string").repartition(3)
-    raw = [b" ".join(lm_score.tokens(t)) for t in rows]
-    code = lm_score.huffman(np.bincount(np.frombuffer(b"\n".join(raw), np.uint8), minlength=256))
-    events = [lm_score.Events([t], code) for t in raw]
-    zeros, ones = ([sum(np.bincount(e.slots[i][e.bit == bit], minlength=1 << b) for e in events).astype(np.uint32) for i, b in enumerate(lm_score.SLOT_BITS)] for bit in (0, 1))
-    got = lm_score.fit_weights(docs, code, zeros, ones, enough=1e-9)
-    x, gate, bit = [], [], []
-    for e in events:
-        own = np.stack([[np.bincount(s[e.bit == b], minlength=1 << 21)[s] for s in e.slots] for b in (0, 1)])
-        left = [np.maximum(np.stack([c[s] for c, s in zip(counts, e.slots)]).astype(float) - o, 0) for counts, o in zip((zeros, ones), own)]
-        x.append(np.clip(np.round(lm_score.log_odds(*left) * lm_score.STEP), -127, 127) / lm_score.STEP)
-        gate.append(lm_score.gates(x[-1], e.depth))
-        bit.append(e.bit)
-    x, gate, bit = np.concatenate(x, axis=1), np.concatenate(gate), np.concatenate(bit)
-    for g in range(lm_score.GATES):
-        xs, y = x[:, gate == g], bit[gate == g]
-        pull = xs @ (y - 1 / (1 + np.exp(-np.clip(got[g] @ xs, -30, 30)))) - lm_score.RIDGE * (got[g] - 1 / 4)
-        assert np.abs(pull).max() < 1e-3 * max(1, len(y)), g
-
-
-def test_lm_refines_short_texts():
-    code = lm_score.huffman(np.ones(256))
-    odds = [np.random.default_rng(5).integers(-60, 60, 1 << b).astype(np.int8) for b in lm_score.SLOT_BITS]
-    mixer = lm_score.Mixer(code, odds, np.full((lm_score.GATES, len(odds)), 0.25))
-    text = [b"a short text of some dozens of bytes"]
-    assert mixer.log10(text) != mixer.log10(text, rate=0.0)
+    apart = lm_score.lm_scores(docs, docs.where("doc_id % 5 <> 0")).where("doc_id % 5 = 0 and n_tokens > 50").collect()
+    assert np.median([r["bits_per_byte"] for r in apart]) < 3.2
+    flagged = lm_score.lm_scores(docs, F.col("doc_id") % 5 != 0).where("doc_id % 5 = 0 and n_tokens > 50").collect()
+    assert {(r["doc_id"], round(r["score"], 2)) for r in apart} == {(r["doc_id"], round(r["score"], 2)) for r in flagged}
+
+
+def test_lm_slots_grow_and_pairs_merge():
+    sizes = [lm_score.slot_bits(n) for n in (10**6, 10**8, 10**9, 5 * 10**10, 10**14)]
+    assert sizes == sorted(sizes) and sizes[1] == 22 and sizes[3] == 26 and len(set(sizes)) == 5
+    assert all(0 < x.own <= x.bits for n in (0, 1, 10**6, 10**12) for x in lm_score.layouts(n))
+    layout = lm_score.Layout(30, 10)  # 12 bits are left for counts
+    pairs, want = lm_score.Pairs(layout), Counter()
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        keys = rng.integers(0, 50, 200).astype(np.uint64) << np.uint64(40)
+        times = rng.integers(1, 9000, 200)
+        pairs.add(keys, times)
+        pairs.add(keys)
+        for k, n in zip(keys.tolist(), times.tolist()):
+            want[k] += n + 1
+    keys, counts = pairs.all()
+    assert dict(zip(keys.tolist(), counts.tolist())) == want and keys.tolist() == sorted(want)
+    pairs.add(keys, counts)
+    batch = lm_score.pack_pairs(2, layout, 7, *pairs.all())
+    parts = [lm_score._unpack_pairs([batch.slice(i, 1)], [layout] * 3) for i in range(batch.num_rows)]
+    assert dict(x for _, _, p in parts for x in zip(*(v.tolist() for v in p.all()))) == want
+
+
+def test_lm_salted_merge_is_the_same(spark):
+    docs = spark.createDataFrame([(f"one two {i % 40} three",) for i in range(300)], "text string").repartition(4)
+    rows = docs.select(F.lit(1).cast("long").alias("doc_id"), "text", F.lit(True).alias("trains"), F.lit(True).alias("scored"))
+    code = lm_score.make_code(np.array([300, 300, 300, 300, 300]), np.ones(256, np.int64))
+    words = {b"": 0, b"one": 1, b"two": 2, b"three": 3}
+    encoded = lm_score._encode(rows, words, np.zeros(5))
+    held, ends = lm_score.layouts(5000), lm_score.endings(list(words))
+    one, many = (lm_score._tables(lm_score._word_pairs(encoded, code, ends, held, n, most=500), code, held, n) for n in (1, 3))
+    assert all((a == b).all() for a, b in zip(one, many)) and one[0].any() and one[2].any()
+
+
+def test_lm_refines_short_texts(spark, texts):
+    docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in texts], "doc_id long, text string")
+    model = lm_score.train(docs.select("*", F.lit(True).alias("trains"), F.lit(True).alias("scored"))).model
+    ids = [np.arange(12, dtype=np.int32)]
+    still = [lm_score.code_lengths(model.code, *x, rate=0.0) for x in model.streams(ids, [b""])]
+    assert -still[0][0] / math.log(10) != model.log10(ids, [b""])[0]
 
 
 # 9
