@@ -26,6 +26,16 @@ def to_messages(user: Column, codes: Column, system: str = K.SYSTEM_PROMPT) -> C
     return F.array(*(F.struct(F.lit(r).alias("role"), c.alias("content")) for r, c in turns))
 
 
+def sample_metadata(profile: Column, codes: Column, metadata: Column) -> Column:
+    """A sample's metadata (variant): profile, num_codes and the note's own fields, which win where names clash.
+
+    Metadata that is null or no object adds nothing.
+    """
+    more = F.coalesce(F.try_variant_get(metadata, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+    own = F.create_map(F.lit("profile"), profile.cast("variant"), F.lit("num_codes"), F.coalesce(F.size(codes), F.lit(0)).cast("variant"))
+    return F.to_variant_object(F.map_concat(F.map_filter(own, lambda k, v: ~F.map_contains_key(more, k)), more))
+
+
 def structure_error(messages: Column) -> Column:
     """The first fault of a sample's structure; null if it has none: three turns, their roles in order, none blank."""
     roles = F.transform(messages, lambda m: m["role"])
@@ -94,6 +104,13 @@ def chatml_text(messages: Column) -> Column:
     return F.array_join(F.transform(messages, lambda m: F.concat(F.lit("<|im_start|>"), m["role"], F.lit("\n"), m["content"], F.lit("<|im_end|>"))), "\n")
 
 
+def inference_prompt(user: Column, system: str = K.SYSTEM_PROMPT, max_tokens: int | None = None) -> Column:
+    """A system and a user turn as ChatML text, open for the assistant's; cut at ``max_tokens`` estimated tokens."""
+    turns = F.array(*(F.struct(F.lit(r).alias("role"), c.alias("content")) for r, c in (("system", F.lit(system)), ("user", user))))
+    text = F.concat(chatml_text(turns), F.lit("\n<|im_start|>assistant\n"))
+    return text if max_tokens is None else F.substring(text, 1, 4 * max_tokens)
+
+
 def first_content(messages: Column, role: str) -> Column:
     """The content of the first message of a role; null if there is none."""
     return F.try_element_at(F.filter(messages, lambda m: m["role"] == role), F.lit(1))["content"]

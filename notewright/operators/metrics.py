@@ -25,6 +25,11 @@ def per_sample(pairs: DataFrame) -> DataFrame:
     return rows.select("*", precision.alias("precision"), recall.alias("recall"), f1.alias("f1"), exact.alias("exact_match"))
 
 
+def zip_pairs(predicted: DataFrame, truth: DataFrame) -> DataFrame:
+    """(index, predicted, truth) of two lists by position: (index, predicted) and (index, truth).  The longer one's rest is left out."""
+    return predicted.select("index", "predicted").join(truth.select("index", "truth"), "index")
+
+
 def _marks(pairs: DataFrame, labels: list[str] | None = None) -> DataFrame:
     """(label, tp, fp, fn): one shuffle, on the label, of partial sums."""
     found = pairs.select("predicted", "truth", F.explode(F.array_union("predicted", "truth")).alias("label"))

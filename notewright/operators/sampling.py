@@ -110,13 +110,16 @@ def select_for_profiles(requests: DataFrame, catalog: DataFrame, profiles: DataF
     chosen = primary.withColumn("part", F.lit("primary")).unionByName(comorbid.withColumn("part", F.lit("comorbid")))
     have = chosen.groupBy("note_idx").agg(F.count("*").alias("have"))
     short = limits.join(have, "note_idx", "left").select("note_idx", "n_codes", (F.col("n_codes") - F.coalesce("have", F.lit(0))).cast("int").alias("need")).where("need > 0")
-    # The fill starts at a seeded place of one shuffled ring of the billable codes; no note meets the whole catalogue.
+    # The fill is drawn at seeded places of the shuffled billable codes, a note's own; where draws fall on codes it has,
+    # it goes on from the last place.  No note meets the whole catalogue.
     size = catalog.where("is_billable").count()
     ring = seeded_rank(catalog.where("is_billable").select("code"), shuffle_key(seed, F.col("code")), [], ["code"])
     shuffled = ring.select("code", (F.col("rank") - 1).cast("int").alias("at"))
-    start = F.conv(F.substring(shuffle_key(seed, F.col("note_idx")), 1, 8), 16, 10).cast("long") % max(size, 1)
-    spots = short.withColumn("step", F.explode(F.sequence(F.lit(0), F.least(F.lit(max(size, 1)), F.col("n_codes") * 2) - 1)))
-    fill = spots.withColumn("at", ((start + F.col("step")) % max(size, 1)).cast("int")).join(shuffled, "at")
+    drawn = lambda *by: F.conv(F.substring(shuffle_key(seed, F.col("note_idx"), *by), 1, 8), 16, 10).cast("long")
+    spots = short.withColumn("step", F.explode(F.sequence(F.lit(0), 4 * F.col("n_codes") - 1)))
+    spot = F.when(F.col("step") < 2 * F.col("n_codes"), drawn(F.col("step").cast("string"))).otherwise(drawn() + F.col("step"))
+    fill = spots.withColumn("at", (spot % max(size, 1)).cast("int")).join(shuffled, "at")
+    fill = fill.groupBy("note_idx", "need", "code").agg(F.min("step").alias("step"))
     fill = fill.join(chosen.select("note_idx", "code"), ["note_idx", "code"], "left_anti")
     fill = fill.withColumn("place", F.row_number().over(Window.partitionBy("note_idx").orderBy("step"))).where("place <= need")
     return chosen.unionByName(fill.select("note_idx", "code", "place", F.lit("fill").alias("part")))

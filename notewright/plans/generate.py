@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from notewright.constants import BATCH_SUCCESS
 from notewright.operators import prompting, rules, sampling, textgen
 
 
-def generate_notes(requests: DataFrame, catalog: DataFrame, profiles: DataFrame, generate: textgen.Generate = textgen.stub, note_type: str = "PROGRESS_NOTE", seed: int = 42) -> DataFrame:
-    """Notes for requests (note_idx, profile, n_codes): note_idx, profile, prompt, text, n_removed, codes, validation_result.
+def notes_of_codes(asked: DataFrame, generate: textgen.Generate = textgen.stub, note_type: str = "PROGRESS_NOTE", validate: bool = True, retry: bool = False) -> DataFrame:
+    """A note for each row of ``asked`` (note_idx, profile, codes array<struct<code, name, category_name>>).
+
+    note_idx, profile, prompt, codes, text, n_removed and, if ``validate``, validation_result.  Failed generations
+    give no note; with ``retry`` they, and answers that are too short, are tried again first.
+    """
+    asked = asked.select("note_idx", "profile", "codes").withColumn("prompt", prompting.generation_prompt(F.lit(note_type), F.col("codes"), F.lit(None).cast("string")))
+    made = textgen.generate_text(asked, "prompt", "raw", textgen.with_retries(generate) if retry else generate).where(F.col("raw").isNotNull())
+    clean = rules.sanitize(F.col("raw"), F.transform("codes", lambda c: c["code"]))
+    notes = made.withColumn("_s", clean).select("note_idx", "profile", "prompt", "codes", F.col("_s.text").alias("text"), F.col("_s.removed").alias("n_removed"))
+    return rules.validate(notes) if validate else notes
+
+
+def generate_notes(requests: DataFrame, catalog: DataFrame, profiles: DataFrame, generate: textgen.Generate = textgen.stub, note_type: str = "PROGRESS_NOTE", seed: int = 42, validate: bool = True, retry: bool = False) -> DataFrame:
+    """Notes for requests (note_idx, profile, n_codes): what ``notes_of_codes`` gives for the codes chosen.
 
     Requests without any code, and failed generations, give no note.
     """
@@ -18,9 +34,47 @@ def generate_notes(requests: DataFrame, catalog: DataFrame, profiles: DataFrame,
     full = chosen.join(catalog.select("code", "name", "category_name"), "code").select("note_idx", F.struct(rank.alias("r"), "place", "code", "name", "category_name").alias("c"))
     codes = full.groupBy("note_idx").agg(F.array_sort(F.collect_list("c")).alias("c"))
     codes = codes.select("note_idx", F.transform("c", lambda c: F.struct(c["code"].alias("code"), c["name"].alias("name"), c["category_name"].alias("category_name"))).alias("codes"))
-    asked = requests.select("note_idx", "profile").join(codes, "note_idx")
-    asked = asked.withColumn("prompt", prompting.generation_prompt(F.lit(note_type), F.col("codes"), F.lit(None).cast("string")))
-    made = textgen.generate_text(asked, "prompt", "raw", generate).where(F.col("raw").isNotNull())
-    clean = rules.sanitize(F.col("raw"), F.transform("codes", lambda c: c["code"]))
-    notes = made.withColumn("_s", clean).select("note_idx", "profile", "prompt", "codes", F.col("_s.text").alias("text"), F.col("_s.removed").alias("n_removed"))
-    return rules.validate(notes)
+    return notes_of_codes(requests.select("note_idx", "profile").join(codes, "note_idx"), generate, note_type, validate, retry)
+
+
+def batch_requests(profiles: DataFrame, per_profile: int, n_codes: int = 3) -> DataFrame:
+    """``per_profile`` requests for each of ``profiles`` (profile): note_idx (md5 of profile and number), profile, n_codes."""
+    numbered = profiles.select("profile", F.explode(F.sequence(F.lit(1), F.lit(per_profile))).alias("i"))
+    return numbered.select(F.md5(F.concat_ws("|", "profile", F.col("i").cast("string"))).alias("note_idx"), "profile", F.lit(n_codes).alias("n_codes"))
+
+
+def batch_stats(requests: DataFrame, notes: DataFrame) -> DataFrame:
+    """By profile: asked, generated, valid, validation_rate (per cent); a profile whose notes all failed has zeros."""
+    made = notes.groupBy("profile").agg(F.count("*").alias("generated"), F.count_if("validation_result.is_valid").alias("valid"))
+    asked = requests.groupBy("profile").agg(F.count("*").alias("asked"))
+    rows = asked.join(made, "profile", "left").fillna(0, ["generated", "valid"])
+    return rows.select("profile", "asked", "generated", "valid", F.coalesce(F.try_divide(F.col("valid") * 100.0, F.col("generated")), F.lit(0.0)).alias("validation_rate"))
+
+
+def common_issues(notes: DataFrame, n: int = 5) -> DataFrame:
+    """The ``n`` most frequent issues and warnings of invalid notes: issue, occurrences; ties by issue."""
+    r = F.col("validation_result")
+    issues = notes.where(~r["is_valid"]).select(F.explode(F.concat(r["critical_issues"], r["warnings"])).alias("issue"))
+    return issues.groupBy("issue").agg(F.count("*").alias("occurrences")).orderBy(F.desc("occurrences"), "issue").limit(n)
+
+
+@dataclass
+class Batch:
+    notes: DataFrame
+    stats: DataFrame
+    issues: DataFrame
+    succeeded: bool
+
+
+def multi_profile_batch(catalog: DataFrame, profiles: DataFrame, per_profile: int = 10, n_codes: int = 3, generate: textgen.Generate = textgen.stub, seed: int = 42, retry: bool = False, names: list[str] | None = None) -> Batch:
+    """Notes for several profiles; a failure costs its own note only.  The batch succeeds with four fifths of the notes asked for.
+
+    ``names`` chooses among ``profiles``; they may name profiles that are not there, which are filled at random.
+    """
+    spark = catalog.sparkSession
+    wanted = profiles.select("profile") if names is None else spark.createDataFrame([(n,) for n in names], "profile string")
+    requests = batch_requests(wanted, per_profile, n_codes)
+    notes = generate_notes(requests, catalog, profiles, generate, seed=seed, retry=retry)
+    stats = batch_stats(requests, notes)
+    total = stats.agg(F.sum("asked").alias("asked"), F.sum("generated").alias("generated")).head()
+    return Batch(notes, stats, common_issues(notes), (total["generated"] or 0) >= BATCH_SUCCESS * (total["asked"] or 0))

@@ -2,14 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.operators import chat, split
+from notewright import constants as K
+from notewright.operators import chat, split, stats
+from notewright.sources import notes as note_source
+from notewright.sources import sinks
+
+
+def to_samples(notes: DataFrame, context: list[tuple[str, Column, Column]] | None = None, system: str = K.SYSTEM_PROMPT) -> DataFrame:
+    """Samples (note_id, profile, messages, metadata) of notes (note_id, clinical_text, icd10_codes, profile and perhaps metadata)."""
+    messages = chat.to_messages(chat.user_message(F.col("clinical_text"), context), F.col("icd10_codes"), system)
+    given = F.col("metadata") if "metadata" in notes.columns else F.lit(None).cast("variant")
+    return notes.select("note_id", "profile", messages.alias("messages"), chat.sample_metadata(F.col("profile"), F.col("icd10_codes"), given).alias("metadata"))
+
+
+def prepare(notes: DataFrame, max_tokens: int = 1024, validation_ratio: float = 0.2, seed: int = 42, context: list[tuple[str, Column, Column]] | None = None, system: str = K.SYSTEM_PROMPT) -> DataFrame:
+    """Samples (note_id, profile, messages, metadata, split) of notes that pass the gate."""
+    return split.stratified_split(chat.keep_valid(to_samples(notes, context, system), max_tokens), "profile", "note_id", validation_ratio, seed)
+
+
+@dataclass
+class Prepared:
+    """What a preparation found and wrote: one-row frames of lengths and of the gate, faults by note, counts by split."""
+
+    lengths: dict
+    gate: dict
+    errors: DataFrame
+    sizes: dict[str, int]
+    train: str
+    validation: str
 
 
-def prepare(notes: DataFrame, max_tokens: int = 1024, validation_ratio: float = 0.2, seed: int = 42, context: list[tuple[str, Column, Column]] | None = None) -> DataFrame:
-    """Samples (note_id, profile, messages, split) of notes (note_id, clinical_text, icd10_codes, profile) that pass the gate."""
-    messages = chat.to_messages(chat.user_message(F.col("clinical_text"), context), F.col("icd10_codes"))
-    samples = notes.select("note_id", "profile", messages.alias("messages"))
-    return split.stratified_split(chat.keep_valid(samples, max_tokens), "profile", "note_id", validation_ratio, seed)
+def prepare_dataset(spark: SparkSession, raw_path: str, out_dir: str, mode: str = "failfast", max_tokens: int = 1024, validation_ratio: float = 0.2, seed: int = 42, context: list[tuple[str, Column, Column]] | None = None) -> Prepared:
+    """Raw notes to two folders of JSONL below ``out_dir``, train and validation: load, sum up, convert, gate, split, write."""
+    notes = note_source.load_notes(note_source.normalize_notes(note_source.read_raw_notes(spark, raw_path)), mode)
+    samples = to_samples(notes, context).withColumn("pos", F.monotonically_increasing_id())
+    parts = {"train": f"{out_dir}/train.jsonl", "validation": f"{out_dir}/validation.jsonl"}
+    done = prepare(notes, max_tokens, validation_ratio, seed, context)
+    for name, path in parts.items():
+        sinks.write_samples(done.where(F.col("split") == name), path)
+    sizes = {name: note_source.read_samples(spark, path).count() for name, path in parts.items()}
+    return Prepared(stats.length_stats(notes).head().asDict(), chat.dataset_stats(samples, max_tokens).head().asDict(), chat.dataset_errors(samples, max_tokens), sizes, **parts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -505,18 +507,22 @@ def gate_errors(spark, d):
 # --- Registry, events, whole plans ---
 
 
+def _even_sql(x: str) -> str:
+    """Half-even rounding to two places of a double as it is written."""
+    d = f"(CAST(CAST({x} AS VARCHAR) AS DECIMAL(24, 16)) * 100)"
+    return f"CAST(CASE WHEN {d} - floor({d}) = 0.5 THEN floor({d}) + floor({d}) % 2 ELSE round({d}) END AS DOUBLE) / 100"
+
+
 @_query(f"""WITH m AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{m[0]}', {m[6]})" for i, m in enumerate(K.MODELS))}) AS x(i, variant, v)),
   e AS (SELECT p_partkey, variant, CAST(v AS DOUBLE) AS v, CAST(v AS DOUBLE) * 0.02 AS l, (p_size % 4 + 1) * CAST(0.5 AS DOUBLE) * (128 * (p_partkey % 8 + 1)) / 512 AS a FROM part JOIN m ON p_partkey % 3 = m.i)
-  SELECT p_partkey, variant, round(v + l + l * 1.5 + a, 6) AS total_gb, v + l + l * 1.5 + a <= 6 AS fits_6gb FROM e""")
+  SELECT p_partkey, variant, {_even_sql("l")} AS lora_gb, {_even_sql("l * 1.5")} AS optimizer_gb, {_even_sql("a")} AS activations_gb, {_even_sql("v + l + l * 1.5 + a")} AS total_gb, v + l + l * 1.5 + a <= 6 AS fits_6gb FROM e""")
 def vram_estimate(spark, d):
     """Memory for a batch and length drawn from each part."""
     rows = _read(spark, d, "part").select("p_partkey", (F.col("p_partkey") % 3).alias("i"), (F.col("p_size") % 4 + 1).alias("batch"), (128 * (F.col("p_partkey") % 8 + 1)).alias("seq"))
     models = registry.models(spark).withColumn("i", F.array_position(F.array(*(F.lit(m[0]) for m in K.MODELS)), F.col("variant")) - 1)
     joined = rows.join(F.broadcast(models), "i")  # three rows
     est = registry.memory_estimate(F.col("min_vram_gb"), F.col("batch"), F.col("seq"))
-    lora = F.col("min_vram_gb") * 0.02
-    total = F.col("min_vram_gb") + lora + lora * 1.5 + F.col("batch") * 0.5 * F.col("seq") / 512
-    return joined.select("p_partkey", "variant", F.round(total, 6).alias("total_gb"), est["fits_6gb"].alias("fits_6gb"))
+    return joined.select("p_partkey", "variant", *(c.alias(k) for k, c in est.items() if k != "model_gb"))
 
 
 @_query("""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS "timestamp", CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level, event_type AS message, json_extract_string(props, '$.k') AS k FROM events""")
@@ -554,8 +560,79 @@ def _echo(prompt: str) -> str:
     return prompt
 
 
-@_query()
+_FOUND_SQL = f"""ev AS (SELECT doc_id AS i, list_distinct(regexp_extract_all({_USER_SQL}, '\\b([A-Z][0-9]{{2}}(?:\\.[0-9]{{1,4}})?)\\b')) AS p, list_distinct([ c.code for c in codes ]) AS t FROM notes)"""
+
+
+@_query(f"""WITH {_NOTES_SQL}, {_FOUND_SQL}, s AS (SELECT i, len([ x for x in p if list_contains(t, x) ]) AS tp, len(p) AS np, len(t) AS nt FROM ev)
+  SELECT i AS "index", CAST(tp AS INTEGER) AS tp, CAST(np - tp AS INTEGER) AS fp, CAST(nt - tp AS INTEGER) AS fn, tp = np AND tp = nt AS exact_match FROM s""")
 def evaluate_samples(spark, d):
     """Predict from the stored user turns, parse and score."""
     samples = _samples(spark, d).withColumnRenamed("doc_id", "note_id")
     return metrics.per_sample(evaluate.predictions(samples, _echo)).select("index", F.size("true_positives").alias("tp"), F.size("false_positives").alias("fp"), F.size("false_negatives").alias("fn"), "exact_match")
+
+
+def _scratch(spark, name: str) -> str:
+    """A new path below the cluster's shared folder; a temporary one only on a single machine that names none."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        found = "file://" + tempfile.mkdtemp(prefix="spark-")
+    return f"{found}/{name}-{uuid.uuid4().hex}"
+
+
+def _with_metadata(spark, d) -> DataFrame:
+    """Notes as the loader gives them; the metadata of every third clashes with what the sample adds."""
+    extra = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('{"source": "s'), F.col("doc_id"), F.lit('", "num_codes": 99}'))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit('{"source": "s'), F.col("doc_id"), F.lit('"}')))
+    return _notes(spark, d).select(F.col("doc_id").cast("string").alias("note_id"), F.col("text").alias("clinical_text"), F.transform("codes", lambda c: c["code"]).alias("icd10_codes"), F.col("lang").alias("profile"), F.parse_json(extra).alias("metadata"))
+
+
+_META_SQL = "doc_id, lang AS profile, CASE WHEN doc_id % 3 = 0 THEN '99' ELSE CAST(len(codes) AS VARCHAR) END AS num_codes, CASE WHEN doc_id % 3 <> 2 THEN 's' || CAST(doc_id AS VARCHAR) END AS source"
+
+
+def _metadata_of(samples: DataFrame) -> DataFrame:
+    get = lambda k: F.try_variant_get("metadata", f"$.{k}", "string").alias(k)
+    return samples.select(F.col("note_id").cast("long").alias("doc_id"), get("profile"), get("num_codes"), get("source"))
+
+
+@_query(f"WITH {_NOTES_SQL} SELECT {_META_SQL} FROM notes")
+def sample_metadata(spark, d):
+    """Profile, number of codes and the note's own fields, which win."""
+    return _metadata_of(prepare.to_samples(_with_metadata(spark, d)))
+
+
+@_query(f"WITH {_GATE_SQL}, ok AS (SELECT g.doc_id, g.lang, n.codes FROM gate g JOIN notes n USING (doc_id) WHERE len(errors) = 0) SELECT {_META_SQL}, md5({_JSON_SQL}) AS answer_md5, 3 AS n_turns FROM ok")
+def write_read_samples(spark, d):
+    """Prepared samples written as JSONL and read back."""
+    path = _scratch(spark, "samples")
+    sinks.write_samples(prepare.prepare(_with_metadata(spark, d), context=[("encounter_type", F.lit(True), F.col("profile"))]), path)
+    back = note_source.read_samples(spark, path)
+    return _metadata_of(back).join(back.select(F.col("note_id").cast("long").alias("doc_id"), F.md5(chat.first_content(F.col("messages"), "assistant")).alias("answer_md5"), F.size("messages").alias("n_turns")), "doc_id")
+
+
+@_query(f"""WITH {_PAIRS_SQL.replace("FROM pairs)", "FROM pairs WHERE i % 3 <> 0 AND i % 5 <> 0)")} SELECT label, tp, fp, fn FROM cls""")
+def eval_zip(spark, d):
+    """Predictions and truths of unequal length, paired by position."""
+    pairs = _pairs(spark, d)
+    return metrics.per_class(metrics.zip_pairs(pairs.where(F.col("index") % 3 != 0), pairs.where(F.col("index") % 5 != 0))).select("label", "tp", "fp", "fn")
+
+
+@_query(f"""WITH {_NOTES_SQL}, {_FOUND_SQL}, s AS (SELECT unnest(list_distinct(list_concat(p, t))) AS label, p, t FROM ev),
+  c AS (SELECT label, count(*) FILTER (WHERE list_contains(p, label) AND list_contains(t, label)) AS tp, count(*) FILTER (WHERE NOT list_contains(t, label)) AS fp, count(*) FILTER (WHERE NOT list_contains(p, label)) AS fn FROM s GROUP BY label)
+  SELECT label, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM c""")
+def evaluate_report(spark, d):
+    """Predict, parse, score, write: the classes of the report as it was written."""
+    samples = _samples(spark, d).withColumnRenamed("doc_id", "note_id")
+    path = _scratch(spark, "report")
+    evaluate.evaluate_samples(samples, _echo, path, template=False, model="echo")
+    doc = spark.read.text(f"{path}/metrics.json", wholetext=True).select(F.from_json("value", "per_class map<string,struct<precision:double,recall:double,f1:double>>").alias("m"))
+    rows = doc.select(F.explode("m.per_class").alias("label", "r"))
+    return rows.select("label", *(F.round(F.col(f"r.{c}"), 6).alias(c) for c in ("precision", "recall", "f1")))
+
+
+@_query(f"WITH {_CAT_SQL}, pf AS (SELECT DISTINCT lang AS profile FROM documents) SELECT profile, CAST(20 AS BIGINT) AS asked, CAST(20 AS BIGINT) AS generated FROM pf")
+def multi_profile_batch(spark, d):
+    """Twenty notes for each language of the documents as a profile; none fails with the offline generator."""
+    names = _read(spark, d, "documents").select(F.col("lang").alias("profile")).distinct()
+    asked = generate.batch_requests(names, 20)
+    return generate.batch_stats(asked, generate.generate_notes(asked, _catalog(spark, d), _profiles(spark))).select("profile", "asked", "generated")

@@ -18,7 +18,9 @@ def write_json_array(rows: DataFrame, path: str, order: str | None = None) -> No
 
 
 def write_samples(samples: DataFrame, path: str) -> None:
-    """JSONL of messages, note_id, metadata, in parallel files."""
+    """JSONL of messages, note_id, metadata, in parallel files; samples without metadata get null."""
+    if "metadata" not in samples.columns:
+        samples = samples.withColumn("metadata", F.lit(None).cast("variant"))
     samples.select("messages", "note_id", "metadata").write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 

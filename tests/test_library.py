@@ -13,6 +13,8 @@ from notewright.errors import CodeNotFoundError, ConfigurationError, DatasetLoad
 from notewright.eventlog import EventLog
 from notewright.functions import parsing, text
 from notewright.operators import catalog, chat, metrics, registry, rules, sampling, split, stats, textgen
+from notewright.plans import generate as generate_plan
+from notewright.plans import prepare as prepare_plan
 from notewright.sources import catalog as catalog_source
 from notewright.sources import notes as note_source
 from notewright.sources import sinks
@@ -199,3 +201,70 @@ def test_event_log():
     log.event("epoch_end", epoch=1)
     first, second = map(json.loads, out.getvalue().splitlines())
     assert (first["run"], first["value"], second["run"], second["epoch"]) == (2, 0.5, 1, 1) and first["timestamp"].endswith("Z")
+
+
+def _raw_notes(spark, path):
+    notes = [{"id": f"n{i}", "text": "The patient was seen today. " * 8, "codes": ["E11.9", "I10"][: 1 + i % 2], "profile": "a" if i % 4 else "b", "ward": i} for i in range(40)]
+    notes.append({"id": "bad", "text": "Seen today.", "codes": ["S52.501A"], "profile": "a"})
+    spark.createDataFrame([(json.dumps({"notes": notes}),)], "value string").coalesce(1).write.text(path)
+
+
+def test_prepare_dataset_writes_both_files(spark, tmp_path):
+    _raw_notes(spark, f"file://{tmp_path}/raw")
+    done = prepare_plan.prepare_dataset(spark, f"file://{tmp_path}/raw", f"file://{tmp_path}/out")
+    assert done.sizes == {"train": 32, "validation": 8} and done.gate == {"total_samples": 41, "valid_samples": 40, "invalid_samples": 1}
+    assert [r["note_id"] for r in done.errors.collect()] == ["bad"] and done.lengths["median_chars"] > 100
+    train, validation = (note_source.read_samples(spark, p).selectExpr("note_id", "try_variant_get(metadata, '$.ward', 'int') AS ward", "try_variant_get(metadata, '$.num_codes', 'int') AS n").collect() for p in (done.train, done.validation))
+    assert sorted(r["ward"] for r in train + validation) == list(range(40)) and all(r["n"] == 1 + r["ward"] % 2 and r["note_id"] == f"n{r['ward']}" for r in train + validation)
+
+
+def test_batch_isolates_failures(spark):
+    cat = catalog.dedup(spark.createDataFrame([(f"A{i:02}", f"ailment number {i}", True, "c", i) for i in range(30)], "code string, name string, is_billable boolean, category_name string, pos long"))
+
+    def flaky(prompt):
+        if "number 7 " in prompt or "number 7\n" in prompt:
+            raise RuntimeError("no answer")
+        return textgen.stub(prompt)
+
+    profiles = sampling.profile_table(spark)
+    batch = generate_plan.multi_profile_batch(cat, profiles, per_profile=6, n_codes=2, generate=flaky, names=["default", "oncology", "unheard"])
+    rows = {r["profile"]: r for r in batch.stats.collect()}
+    assert set(rows) == {"default", "oncology", "unheard"} and all(r["asked"] == 6 and r["generated"] <= 6 for r in rows.values())
+    assert batch.notes.count() == sum(r["generated"] for r in rows.values()) and batch.succeeded == (batch.notes.count() >= 0.8 * 18)
+    assert batch.issues.columns == ["issue", "occurrences"]
+
+    def dead(prompt):
+        raise RuntimeError("no answer")
+
+    assert not generate_plan.multi_profile_batch(cat, profiles, 2, generate=dead, names=["default"]).succeeded
+    codes = spark.createDataFrame([("x", "default", [("A01", "ailment number 1", None)])], "note_idx string, profile string, codes array<struct<code string, name string, category_name string>>")
+    single = generate_plan.notes_of_codes(codes, validate=False).head()
+    assert "ailment number 1" in single["text"] and "validation_result" not in single.asDict()
+
+
+def test_fill_differs_between_notes(spark):
+    """Random selection: notes share no run of codes, and each gets as many as it asks for."""
+    cat = catalog.dedup(spark.createDataFrame([(f"A{i:03}", f"n{i}", True, "c", i) for i in range(200)], "code string, name string, is_billable boolean, category_name string, pos long"))
+    requests = spark.createDataFrame([(i, "x", 5) for i in range(100)], "note_idx long, profile string, n_codes int")
+    rows = sampling.Selector(cat).select(requests, "random").collect()
+    by_note = {}
+    for r in rows:
+        by_note.setdefault(r["note_idx"], set()).add(r["code"])
+    assert len(by_note) == 100 and all(len(v) == 5 for v in by_note.values())
+    shared = [len(by_note[i] & by_note[j]) for i in range(100) for j in range(i)]
+    assert sum(shared) / len(shared) < 0.25 and max(shared) <= 4  # 5 * 5 / 200 = 0.125 expected
+
+
+def test_inference_prompt_and_zip(spark):
+    got = one(spark, chat.inference_prompt(F.col("u"), "sys"), u="ask")
+    assert got == "<|im_start|>system\nsys<|im_end|>\n<|im_start|>user\nask<|im_end|>\n<|im_start|>assistant\n"
+    assert one(spark, chat.inference_prompt(F.col("u"), "sys", 3), u="ask") == got[:12]
+    left = spark.createDataFrame([(i, ["A"]) for i in range(4)], "index int, predicted array<string>")
+    right = spark.createDataFrame([(i, ["A"]) for i in range(3)], "index int, truth array<string>")
+    assert metrics.zip_pairs(left, right).count() == 3
+
+
+def test_metadata_edges(spark):
+    rows = [("p", ["A01"], '{"profile": "own", "x": [1, 2]}'), (None, None, None), ("p", [], "[1]"), ("p", ["A"], '"text"')]
+    df = spark.createDataFrame(rows, "p string, c array<string>, m string").select(F.to_json(chat.sample_metadata(F.col("p"), F.col("c"), F.parse_json("m"))).alias("j"))
+    assert [json.loads(r["j"]) for r in df.collect()] == [{"profile": "own", "num_codes": 1, "x": [1, 2]}, {"profile": None, "num_codes": 0}, {"profile": "p", "num_codes": 0}, {"profile": "p", "num_codes": 1}]
