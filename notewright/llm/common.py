@@ -20,9 +20,11 @@ _WORD_TABLE = bytes(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a temporary one only where none is configured (tests)."""
+    """The cluster's shared scratch folder; a temporary one only on a single machine where none is configured (tests)."""
     found = spark.conf.get(CHECKPOINT_CONF, None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set(CHECKPOINT_CONF, found)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -390,7 +390,7 @@ def layout_bits(code: Code, stream: Stream, symbols: np.ndarray, contexts: list[
 
 def gates(node: np.ndarray, states: list[np.ndarray]) -> np.ndarray:
     """The weight set of each bit: by depth (0, 1, more) and which contexts have been seen."""
-    out = node >> 33 & 3
+    out = (node >> 33 & 3).astype(np.uint8)
     for s in states:
         out <<= 1
         out |= s != 0
@@ -459,7 +459,7 @@ def block_of(place: np.ndarray) -> np.ndarray:
 
 
 def code_lengths(code: Code, stream: Stream, symbols: np.ndarray, contexts: list[np.ndarray], sizes: np.ndarray, rate: float = 4.0, calm: float = 60.0) -> np.ndarray:
-    """Nats of each text's symbols, ``sizes`` of them in turn; a text's weights are refined after each of its blocks.
+    """Nats of each text's symbols, ``sizes`` of them in turn; the weights of a text's contexts are refined after each of its blocks.
 
     All texts go a block at a time together: their bits lie in the order of blocks, texts, symbols.
     """
@@ -491,7 +491,7 @@ def code_lengths(code: Code, stream: Stream, symbols: np.ndarray, contexts: list
             z *= sign[i:j]
             seen += np.bincount(own, minlength=len(seen))
             slow = rate / (calm + seen)
-            for w, row in zip(held, x):
+            for w, row in zip(held[1:], x[1:]):
                 w -= slow * np.bincount(own, z * row[i:j], len(seen))
         i = j
     np.log(lost, out=lost)

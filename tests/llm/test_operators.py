@@ -449,7 +449,7 @@ class BruteMixing:
                         m[0], m[1] = m[0] + (bit - p) * x, m[1] + 1
                 for gate, (pull, n) in moved.items():
                     held[gate][1] += n
-                    held[gate][0] = held[gate][0] + rate / (calm + held[gate][1]) * pull
+                    held[gate][0] = held[gate][0] + rate / (calm + held[gate][1]) * pull * [0, 1, 1, 1]  # the tree's own weight stays
         return total
 
 
