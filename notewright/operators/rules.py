@@ -19,11 +19,18 @@ def sanitize(text: Column, codes: Column) -> Column:
         found = F.size(F.regexp_extract_all(state["text"], pattern, F.lit(0)))
         return F.struct(F.regexp_replace(state["text"], pattern, F.lit("")).alias("text"), (state["removed"] + found).alias("removed"))
 
-    start = F.struct(text.alias("text"), F.lit(0).alias("removed"))
-    listed = F.aggregate(codes, start, lambda s, c: out(s, F.concat(F.lit(r"(?iu)[\(\[\s]*"), quoted(c), F.lit(r"[\)\]\s]*"))))
-    general = out(listed, F.lit(K.CODE_SANITIZE))
-    clean = F.regexp_replace(F.regexp_replace(F.regexp_replace(general["text"], r" {2,}", " "), r"\(\s*\)|\[\s*\]", ""), r"(?m)^\s*:\s*", "")
-    return F.struct(strip(clean).alias("text"), general["removed"].alias("removed"))
+    def one(state: Column, code: Column) -> Column:
+        """Without one code; its pattern is tried only on a text that holds it in some case."""
+        holds = F.lower(state["text"]).contains(F.lower(code)) | F.upper(state["text"]).contains(F.upper(code))
+        return F.when(holds, out(state, F.concat(F.lit(r"(?iu)[\(\[\s]*"), quoted(code), F.lit(r"[\)\]\s]*")))).otherwise(state)
+
+    def rest(state: Column) -> Column:
+        general = F.regexp_replace(state["text"], K.CODE_SANITIZE, "")
+        clean = F.regexp_replace(F.regexp_replace(F.regexp_replace(general, r" {2,}", " "), r"\(\s*\)|\[\s*\]", ""), r"(?m)^\s*:\s*", "")
+        found = F.size(F.regexp_extract_all(state["text"], F.lit(K.CODE_SANITIZE), F.lit(0)))
+        return F.struct(strip(clean).alias("text"), (state["removed"] + found).alias("removed"))
+
+    return F.aggregate(codes, F.struct(text.alias("text"), F.lit(0).alias("removed")), one, rest)
 
 
 def code_visibility(text: Column, codes: Column) -> Column:

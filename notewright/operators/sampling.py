@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from notewright.constants import PROFILES
 from notewright.errors import InsufficientCodesError
 
+#: Profiles with their hits are broadcast, so their number has a bound.
+MAX_PROFILES = 10_000
+
 
 def shuffle_key(seed: int | str, *parts: Column) -> Column:
     """The place of a row in a seeded shuffle."""
@@ -62,67 +65,71 @@ def profile_table(spark) -> DataFrame:
     return spark.createDataFrame([(k, *v) for k, v in PROFILES.items()], schema)
 
 
-def _matches(requests: DataFrame, catalog: DataFrame, terms: str, per_term: int, seed: int) -> DataFrame:
-    """(note_idx, code, term_rank, ord): the first ``per_term`` hits of each of a request's terms, in shuffled order."""
-    asked = requests.select("note_idx", F.explode(terms).alias("term"))
-    order = Window.partitionBy("note_idx").orderBy(shuffle_key(seed, F.col("note_idx"), F.col("term")), "term")
-    asked = asked.withColumn("term_rank", F.row_number().over(order))
-    distinct = asked.select("term").distinct()
+def _profile_hits(profiles: DataFrame, catalog: DataFrame, per_term: int) -> DataFrame:
+    """profile, ratio, primary, comorbid: each term with the codes of its first ``per_term`` hits in catalogue order."""
+    if profiles.limit(MAX_PROFILES + 1).count() > MAX_PROFILES:
+        raise ValueError(f"more than {MAX_PROFILES} profiles")
+    none = F.array().cast("array<string>")
+    asked = profiles.select("profile", "comorbidity_ratio", F.coalesce("primary_search_terms", none).alias("p"), F.coalesce("comorbidity_terms", none).alias("c"))
+    distinct = asked.select(F.explode(F.concat("p", "c")).alias("term")).distinct()
     rows = catalog.where("is_billable").select("code", "ord", F.lower("name").alias("n"), F.lower(F.coalesce("category_name", F.lit(""))).alias("c"))
-    # The terms are a few dozen constants of the profiles; the catalogue stays where it is.
+    # The terms come from a number of profiles that is checked; the catalogue stays where it is.
     hits = rows.join(F.broadcast(distinct), F.expr("contains(n, lower(term)) or contains(c, lower(term))"))
-    first = Window.partitionBy("term").orderBy("ord")
-    hits = hits.withColumn("hit", F.row_number().over(first)).where(F.col("hit") <= per_term)
-    return asked.join(F.broadcast(hits.select("term", "code", "ord")), "term").select("note_idx", "code", "term_rank", "ord")
+    hits = hits.withColumn("hit", F.row_number().over(Window.partitionBy("term").orderBy("ord"))).where(F.col("hit") <= per_term)
+    listed = hits.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("hit", "code"))).alias("h"))
+    found = listed.agg(F.map_from_entries(F.collect_list(F.struct("term", F.col("h.code")))).alias("hits"))  # one row
+    with_codes = lambda terms: F.transform(terms, lambda t: F.struct(t.alias("term"), F.coalesce(F.try_element_at("hits", t), none).alias("codes")))
+    guided = F.size("p") > 0
+    return asked.crossJoin(F.broadcast(found)).select(
+        "profile",
+        F.when(guided, F.coalesce("comorbidity_ratio", F.lit(0.0))).otherwise(0.0).alias("ratio"),
+        with_codes("p").alias("primary"),
+        F.when(guided, with_codes("c")).alias("comorbid"),
+    )
 
 
-def _first_per_note(rows: DataFrame, limit: str) -> DataFrame:
-    """Each code once, at its best place; the first ``limit`` (a column) of a note, with place."""
-    once = rows.groupBy("note_idx", "code", limit).agg(F.min(F.struct("term_rank", "ord")).alias("at"))
-    order = Window.partitionBy("note_idx").orderBy("at", "code")
-    return once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= F.col(limit)).select("note_idx", "code", "place")
+def _in_seeded_order(terms: str, seed: int, per_term: int) -> Column:
+    """The distinct codes of a request's terms, terms in its own seeded order, of each the first ``per_term``."""
+    placed = F.transform(F.coalesce(terms, F.array()), lambda t: F.struct(shuffle_key(seed, F.col("note_idx"), t["term"]).alias("k"), t["term"].alias("term"), t["codes"].alias("codes")))
+    return F.array_distinct(F.flatten(F.transform(F.array_sort(placed), lambda t: F.slice(t["codes"], 1, per_term))))
 
 
 def select_for_profiles(requests: DataFrame, catalog: DataFrame, profiles: DataFrame, seed: int = 42, primary_hits: int = 10, comorbid_hits: int = 5) -> DataFrame:
-    """Codes of each request (note_idx, profile, n_codes): note_idx, code, part (primary, comorbid, fill), place.
+    """Codes of each request (note_idx, profile, n_codes): note_idx, code, place, part (primary, comorbid, fill).
 
     A share of the codes, cut to a whole number, is for comorbidities.  Terms are tried in a seeded order, each with
     its first hits in catalogue order; what is short is filled from the other billable codes in seeded order.
     An unknown profile, or one without terms, is filled alone.  A request may get fewer codes than it asks for
-    only if the catalogue has fewer.
+    only if the catalogue has fewer.  ``note_idx`` is unique; there are at most ``MAX_PROFILES`` profiles.
+
+    The hits of all terms are found once; a request then chooses among those of its profile without a shuffle, and
+    only what is left to fill meets the catalogue, by its place in a shuffle of it.
     """
-    default = F.broadcast(profiles.select("profile", "primary_search_terms", "comorbidity_ratio", "comorbidity_terms"))
-    asked = requests.join(default, "profile", "left")
-    none = F.array().cast("array<string>")
-    share = F.floor(F.col("n_codes") * F.coalesce("comorbidity_ratio", F.lit(0.0))).cast("int")
-    guided = F.size(F.coalesce("primary_search_terms", none)) > 0
-    asked = asked.select(
-        "note_idx",
-        "n_codes",
-        F.coalesce("primary_search_terms", none).alias("primary_terms"),
-        F.when(guided, F.coalesce("comorbidity_terms", none)).otherwise(none).alias("comorbid_terms"),
-        F.when(guided, share).otherwise(0).alias("k_com"),
-    ).withColumn("k_pri", F.col("n_codes") - F.col("k_com"))
-    limits = asked.select("note_idx", "n_codes", "k_pri", "k_com")
-    primary = _first_per_note(_matches(asked, catalog, "primary_terms", primary_hits, seed).join(limits, "note_idx"), "k_pri")
-    comorbid = _matches(asked.where("k_com > 0"), catalog, "comorbid_terms", comorbid_hits, seed + 1)
-    comorbid = _first_per_note(comorbid.join(primary.select("note_idx", "code"), ["note_idx", "code"], "left_anti").join(limits, "note_idx"), "k_com")
-    chosen = primary.withColumn("part", F.lit("primary")).unionByName(comorbid.withColumn("part", F.lit("comorbid")))
-    have = chosen.groupBy("note_idx").agg(F.count("*").alias("have"))
-    short = limits.join(have, "note_idx", "left").select("note_idx", "n_codes", (F.col("n_codes") - F.coalesce("have", F.lit(0))).cast("int").alias("need")).where("need > 0")
+    guide = F.broadcast(_profile_hits(profiles, catalog, max(primary_hits, comorbid_hits)))
+    asked = requests.join(guide, "profile", "left")
+    share = F.floor(F.col("n_codes") * F.coalesce("ratio", F.lit(0.0))).cast("int")
+    primary = F.slice(_in_seeded_order("primary", seed, primary_hits), 1, F.greatest(F.col("n_codes") - share, F.lit(0)))
+    asked = asked.select("note_idx", "n_codes", share.alias("share"), primary.alias("first"), "comorbid")
+    other = F.slice(F.array_except(_in_seeded_order("comorbid", seed + 1, comorbid_hits), "first"), 1, F.greatest("share", F.lit(0)))
+    asked = asked.select("note_idx", "n_codes", "first", other.alias("second"))
+
+    named = lambda codes, part: F.transform(codes, lambda c, i: F.struct(c.alias("code"), (i + 1).alias("place"), F.lit(part).alias("part")))
+    chosen = asked.select("note_idx", F.inline(F.concat(named("first", "primary"), named("second", "comorbid"))))
+
     # The fill is drawn at seeded places of the shuffled billable codes, a note's own; where draws fall on codes it has,
     # it goes on from the last place.  No note meets the whole catalogue.
-    size = catalog.where("is_billable").count()
-    ring = seeded_rank(catalog.where("is_billable").select("code"), shuffle_key(seed, F.col("code")), [], ["code"])
+    codes = catalog.where("is_billable").select("code")
+    ring = seeded_rank(codes, shuffle_key(seed, F.col("code")), [], ["code"])
     shuffled = ring.select("code", (F.col("rank") - 1).cast("int").alias("at"))
+    short = asked.select("note_idx", "n_codes", F.concat("first", "second").alias("have")).withColumn("need", F.col("n_codes") - F.size("have")).where("need > 0")
     drawn = lambda *by: F.conv(F.substring(shuffle_key(seed, F.col("note_idx"), *by), 1, 8), 16, 10).cast("long")
     spots = short.withColumn("step", F.explode(F.sequence(F.lit(0), 4 * F.col("n_codes") - 1)))
     spot = F.when(F.col("step") < 2 * F.col("n_codes"), drawn(F.col("step").cast("string"))).otherwise(drawn() + F.col("step"))
-    fill = spots.withColumn("at", (spot % max(size, 1)).cast("int")).join(shuffled, "at")
-    fill = fill.groupBy("note_idx", "need", "code").agg(F.min("step").alias("step"))
-    fill = fill.join(chosen.select("note_idx", "code"), ["note_idx", "code"], "left_anti")
-    fill = fill.withColumn("place", F.row_number().over(Window.partitionBy("note_idx").orderBy("step"))).where("place <= need")
-    return chosen.unionByName(fill.select("note_idx", "code", "place", F.lit("fill").alias("part")))
+    size = F.broadcast(codes.agg(F.count("*").alias("size")).where("size > 0"))  # one row at most
+    fill = spots.crossJoin(size).withColumn("at", (spot % F.col("size")).cast("int")).join(shuffled, "at")
+    fill = fill.groupBy("note_idx").agg(F.array_sort(F.collect_list(F.struct("step", "code"))).alias("f"), F.first("have").alias("have"), F.first("need").alias("need"))
+    rest = F.slice(F.array_except(F.col("f.code"), "have"), 1, F.col("need"))
+    return chosen.unionByName(fill.select("note_idx", F.inline(named(rest, "fill"))))
 
 
 class Selector:

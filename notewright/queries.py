@@ -186,7 +186,33 @@ def _profiles(spark) -> DataFrame:
     return spark.createDataFrame(own, sampling.profile_table(spark).schema)
 
 
-@_query()
+_HEX = "CAST('0x' || substr(md5({0}), 1, 8) AS BIGINT)"
+_SELECT_SQL = f"""{_CAT_SQL},
+req AS (SELECT doc_id AS note_idx, CASE doc_id % 4 WHEN 0 THEN 'tools' WHEN 1 THEN 'colors' WHEN 2 THEN 'default' ELSE 'unheard' END AS profile,
+  CAST(2 + {_HEX.format("'42-' || CAST(doc_id AS VARCHAR)")} % 4 AS INTEGER) AS n_codes FROM documents),
+quota AS (SELECT *, CAST(floor(n_codes * CASE profile WHEN 'tools' THEN 0.4 WHEN 'colors' THEN 0.75 ELSE 0 END) AS INTEGER) AS k_com FROM req),
+term(profile, kind, term) AS (VALUES ('tools', 'p', 'bolt'), ('tools', 'p', 'gear'), ('tools', 'p', 'ring'), ('tools', 'c', 'widget'),
+  ('colors', 'p', 'red'), ('colors', 'p', 'blue'), ('colors', 'p', 'hot'), ('colors', 'c', 'small'), ('colors', 'c', 'large')),
+hit AS (SELECT profile, kind, term, code, ord, row_number() OVER (PARTITION BY profile, kind, term ORDER BY ord) AS h
+  FROM cat JOIN term ON contains(lower(cat.name), term) OR contains(lower(coalesce(category_name, '')), term) WHERE is_billable),
+cand AS (SELECT note_idx, kind, code, n_codes, k_com, {{'k': md5(CASE kind WHEN 'p' THEN '42-' ELSE '43-' END || CAST(note_idx AS VARCHAR) || '-' || term), 't': term, 'o': ord}} AS rk
+  FROM quota JOIN hit USING (profile) WHERE h <= CASE kind WHEN 'p' THEN 10 ELSE 5 END),
+best AS (SELECT note_idx, kind, code, n_codes, k_com, min(rk) AS rk FROM cand GROUP BY ALL),
+pri AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY note_idx ORDER BY rk) AS place FROM best WHERE kind = 'p') WHERE place <= n_codes - k_com),
+com AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY note_idx ORDER BY rk) AS place FROM best b WHERE kind = 'c'
+  AND NOT EXISTS (SELECT 1 FROM pri WHERE pri.note_idx = b.note_idx AND pri.code = b.code)) WHERE place <= k_com),
+chosen AS (SELECT note_idx, code, place, 'primary' AS part FROM pri UNION ALL SELECT note_idx, code, place, 'comorbid' FROM com),
+ring AS (SELECT code, row_number() OVER (ORDER BY md5('42-' || code), code) - 1 AS spot FROM cat WHERE is_billable),
+need AS (SELECT note_idx, n_codes, n_codes - (SELECT count(*) FROM chosen WHERE chosen.note_idx = req.note_idx) AS need FROM req),
+draw AS (SELECT note_idx, need, step, (CASE WHEN step < 2 * n_codes THEN {_HEX.format("'42-' || CAST(note_idx AS VARCHAR) || '-' || CAST(step AS VARCHAR)")}
+  ELSE {_HEX.format("'42-' || CAST(note_idx AS VARCHAR)")} + step END) % (SELECT count(*) FROM ring) AS spot FROM (SELECT *, unnest(range(0, 4 * n_codes)) AS step FROM need WHERE need > 0)),
+drawn AS (SELECT note_idx, need, code, min(step) AS step FROM draw JOIN ring USING (spot) GROUP BY ALL),
+fill AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY note_idx ORDER BY step) AS place FROM drawn d
+  WHERE NOT EXISTS (SELECT 1 FROM chosen WHERE chosen.note_idx = d.note_idx AND chosen.code = d.code)) WHERE place <= need),
+sel AS (SELECT note_idx, code, CAST(place AS INTEGER) AS place, part FROM chosen UNION ALL SELECT note_idx, code, CAST(place AS INTEGER), 'fill' FROM fill)"""
+
+
+@_query(f"WITH {_SELECT_SQL} SELECT note_idx, code, place, part FROM sel")
 def profile_select(spark, d):
     return sampling.select_for_profiles(_requests(spark, d), _catalog(spark, d), _profiles(spark))
 
@@ -211,12 +237,14 @@ def prompt_build(spark, d):
 # --- Rules over notes ---
 
 
-@_query(f"""WITH {_NOTES_SQL}, s0 AS (SELECT doc_id, text AS t0, codes FROM notes),
-  s1 AS (SELECT doc_id, codes, t0, [regexp_escape(c.code) for c in codes] AS q FROM s0),
-  s2 AS (SELECT doc_id, list_reduce(list_prepend({{'t': t0, 'n': 0, 'c': ''}}, list_transform(q, lambda c: {{'t': '', 'n': 0, 'c': c}})),
-    lambda a, x: {{'t': regexp_replace(a.t, '[\\(\\[\\s]*' || x.c || '[\\)\\]\\s]*', '', 'gi'), 'n': CAST(a.n + len(regexp_extract_all(a.t, '(?i)[\\(\\[\\s]*' || x.c || '[\\)\\]\\s]*')) AS INTEGER), 'c': ''}}) AS r FROM s1),
-  s3 AS (SELECT doc_id, r.n + len(regexp_extract_all(r.t, '\\b[A-Z]\\d{{2}}\\.?\\d{{0,4}}[A-Z]?\\b')) AS removed, regexp_replace(r.t, '\\b[A-Z]\\d{{2}}\\.?\\d{{0,4}}[A-Z]?\\b', '', 'g') AS t FROM s2)
-  SELECT doc_id, CAST(removed AS INTEGER) AS removed, md5(trim(regexp_replace(regexp_replace(regexp_replace(t, ' {{2,}}', ' ', 'g'), '\\(\\s*\\)|\\[\\s*\\]', '', 'g'), '(?m)^\\s*:\\s*', '', 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS text_md5 FROM s3""")
+_CLEAN_SQL = r"""s1 AS (SELECT doc_id, t0, [regexp_escape(c.code) for c in codes] AS q FROM s0),
+  s2 AS (SELECT doc_id, list_reduce(list_prepend({'t': t0, 'n': 0, 'c': ''}, list_transform(q, lambda c: {'t': '', 'n': 0, 'c': c})),
+    lambda a, x: {'t': regexp_replace(a.t, '[\(\[\s]*' || x.c || '[\)\]\s]*', '', 'gi'), 'n': CAST(a.n + len(regexp_extract_all(a.t, '(?i)[\(\[\s]*' || x.c || '[\)\]\s]*')) AS INTEGER), 'c': ''}) AS r FROM s1),
+  s3 AS (SELECT doc_id, r.n + len(regexp_extract_all(r.t, '\b[A-Z]\d{2}\.?\d{0,4}[A-Z]?\b')) AS removed, regexp_replace(r.t, '\b[A-Z]\d{2}\.?\d{0,4}[A-Z]?\b', '', 'g') AS t FROM s2),
+  clean AS (SELECT doc_id, CAST(removed AS INTEGER) AS removed, trim(regexp_replace(regexp_replace(regexp_replace(t, ' {2,}', ' ', 'g'), '\(\s*\)|\[\s*\]', '', 'g'), '(?m)^\s*:\s*', '', 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM s3)"""
+
+
+@_query(f"WITH {_NOTES_SQL}, s0 AS (SELECT doc_id, text AS t0, codes FROM notes), {_CLEAN_SQL} SELECT doc_id, removed, md5(t) AS text_md5 FROM clean")
 def sanitize_text(spark, d):
     clean = rules.sanitize(F.col("text"), F.transform("codes", lambda c: c["code"]))
     return _notes(spark, d).select("doc_id", clean.alias("s")).select("doc_id", F.col("s.removed").alias("removed"), F.md5("s.text").alias("text_md5"))
@@ -261,9 +289,10 @@ def uncertainty_flags(spark, d):
     return _notes(spark, d).select("doc_id", _joined(rules.uncertainty(F.col("text"), F.col("codes"))).alias("warnings"))
 
 
-_VALID_SQL = f"""{_NOTES_SQL}, {_NEG_SQL}, {_UNC_SQL},
+_CHECK_SQL = f"""{_NEG_SQL}, {_UNC_SQL},
 chk AS (SELECT doc_id, lang, list_concat({_LEAK_SQL}, {_SHORT_SQL}) AS crit, list_concat(coalesce(neg_list, []), coalesce(unc_list, [])) AS warn FROM notes LEFT JOIN neg USING (doc_id) LEFT JOIN unc USING (doc_id)),
 val AS (SELECT *, CAST(CASE WHEN len(crit) = 0 THEN greatest(0, 100 - 10 * len(warn)) ELSE 0 END AS DOUBLE) AS score FROM chk)"""
+_VALID_SQL = f"{_NOTES_SQL}, {_CHECK_SQL}"
 
 
 @_query(f"WITH {_VALID_SQL} SELECT doc_id, len(crit) = 0 AND score >= 70 AS is_valid, score AS confidence_score, CAST(len(crit) AS INTEGER) AS n_critical, CAST(len(warn) AS INTEGER) AS n_warnings FROM val")
@@ -548,7 +577,14 @@ def prepare_training_data(spark, d):
     return prepare.prepare(notes, context=context).select("note_id", "profile", "split")
 
 
-@_query()
+_MADE_SQL = f"""{_SELECT_SQL}, own AS (SELECT note_idx AS doc_id, list({{'code': code, 'name': cat.name}} ORDER BY CASE part WHEN 'primary' THEN 0 WHEN 'comorbid' THEN 1 ELSE 2 END, place) AS codes
+  FROM sel JOIN cat USING (code) GROUP BY note_idx),
+s0 AS (SELECT doc_id, codes, 'Subjective: ' || array_to_string([ 'The patient was seen for ' || lower(c.name) || ' and examined with care.' for c in codes ], ' ')
+  || ' Objective: vital signs are stable. Plan: follow up in two weeks.' AS t0 FROM own), {_CLEAN_SQL},
+notes AS (SELECT doc_id, profile AS lang, t AS text, removed, codes FROM clean JOIN own USING (doc_id) JOIN req ON note_idx = doc_id), {_CHECK_SQL}"""
+
+
+@_query(f"WITH {_MADE_SQL} SELECT doc_id AS note_idx, notes.lang AS profile, md5(text) AS text_md5, CAST(len(codes) AS INTEGER) AS n_codes, removed AS n_removed, len(crit) = 0 AND score >= 70 AS is_valid, score AS confidence_score FROM notes JOIN val USING (doc_id)")
 def generate_notes(spark, d):
     """A note for each document's request, by the offline text generator."""
     made = generate.generate_notes(_requests(spark, d), _catalog(spark, d), _profiles(spark))
