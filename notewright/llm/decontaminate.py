@@ -10,13 +10,14 @@ and only a direct comparison counts as an occurrence.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import ascii_words, slices
+from notewright.llm.common import ascii_words, slices, table
 
 
 class WuManber:
@@ -58,19 +59,51 @@ def windows_of(words: list[bytes], window: int) -> list[tuple[bytes, ...]]:
     return [tuple(words[i : i + window]) for i in range(len(words) - window + 1)]
 
 
-def _blocks(benchmark: DataFrame, window: int, max_windows: int) -> Iterator[dict]:
-    """Parts of the benchmark of at most ``max_windows`` windows each: {window: item ids}."""
-    part: dict = {}
-    for r in benchmark.toLocalIterator(prefetchPartitions=False):
-        for p in windows_of(ascii_words(r["text"]), window):
-            part.setdefault(p, set()).add(r["item_id"])
-            if len(part) >= max_windows:
-                yield part
-                part = {}
-    if part:
+def _windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """The distinct (window, item_id) of the benchmark; a window is its words with blanks between."""
+
+    def cut(batches):
+        for b in slices(batches, 100):
+            ids, keys = [], []
+            for item, text in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist()):
+                found = {b" ".join(p) for p in windows_of(ascii_words(text), window)}
+                keys += found
+                ids += [item] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], ["window", "item_id"])
+
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    return items.mapInArrow(cut, "window binary, item_id long").distinct()
+
+
+def _parts(benchmark: DataFrame, window: int, max_windows: int) -> Iterator[dict]:
+    """The windows, cut by a Spark job, in parts of about ``max_windows``, one at least: {window: item ids}; only one is in the driver at a time."""
+    rows = table(_windows(benchmark, window), "windows")
+    n = max(1, -(-rows.count() // max_windows))
+    if n > 1:  # a window of many items goes to several parts
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("window", "item_id"), F.lit(n)).cast("int"))
+        rows = table(rows.repartition("part"), "window-parts", ["part"])
+    for i in range(n):
+        part: dict = {}
+        for r in (rows.where(F.col("part") == i) if n > 1 else rows).toLocalIterator():
+            part.setdefault(tuple(bytes(r["window"]).split(b" ")), set()).add(r["item_id"])
         yield part
 
 
+def _in_passes(state: DataFrame, parts: Iterator[dict], search: Callable[[DataFrame, Broadcast], DataFrame], chained: int = 4) -> DataFrame:
+    """``state`` searched for each part in turn.  After ``chained`` parts it is written and their broadcasts are freed, so the
+    Python workers of a task and what executors hold don't grow with the benchmark."""
+    held: list[Broadcast] = []
+    for part in parts:
+        if len(held) == chained:
+            state = table(state, "searched")
+            for b in held:
+                b.destroy()
+            held = []
+        held.append(state.sparkSession.sparkContext.broadcast(part))
+        state = search(state, held[-1])
+    return state
+
+
 def _merge(spans: list[int]) -> list[int]:
     """Union of half-open spans [a, b, a, b, ...], sorted."""
     out: list[int] = []
@@ -92,22 +125,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_w
     repeated: each document row is searched by itself; a repeated item id is named once; an item without
     an id still hits words but can't be named.  An empty benchmark hits nothing.  Other columns are ignored.
 
-    The benchmark is broadcast in parts of at most ``max_windows`` windows.  A larger benchmark takes one
-    narrow pass over the documents per part, each adding to the spans and items found before; no shuffle.
+    The benchmark's windows are cut by a Spark job and broadcast in parts of about ``max_windows``.  A larger
+    benchmark takes one narrow pass over the documents per part, each adding to the spans and items found before
+    (written every few parts); the documents are not shuffled.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     state = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         F.array().cast("array<long>").alias("hit_spans"),
         F.array().cast("array<long>").alias("items"),
     )
-    searched = False
-    for part in _blocks(items, window, max_windows):
-        state, searched = _search(state, spark.sparkContext.broadcast(part)), True
-    if not searched:
-        state = _search(state, spark.sparkContext.broadcast({}))
+    state = _in_passes(state, _parts(benchmark, window, max_windows), _search)
     n_hit = F.aggregate(F.transform("hit_spans", lambda x, i: F.when(i % 2 == 1, x).otherwise(-x)), F.lit(0).cast("long"), lambda a, x: a + x)
     names = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     out = state.withColumn("n_hit", n_hit)
@@ -150,10 +178,7 @@ def _search(state: DataFrame, part) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_windows: int = 200_000) -> DataFrame:
     """The rows of ``docs``, all columns, in which no benchmark window occurs; as ``contamination`` otherwise."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    for part in _blocks(items, window, max_windows):
-        docs = docs.mapInArrow(_without(docs.sparkSession.sparkContext.broadcast(part)), docs.schema)
-    return docs
+    return _in_passes(docs, _parts(benchmark, window, max_windows), lambda rows, part: rows.mapInArrow(_without(part), rows.schema))
 
 
 def _without(part):
