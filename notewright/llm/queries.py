@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat_format, decontaminate, jaccard, knn, line_dedup, lm_score, pack, quality, token_count, toxicity
+from notewright.llm import chat_format, decontaminate, jaccard, knn, line_dedup, lm_score, pack, quality, token_count, toxicity, vector_codes
 
 
 def tokenizer_path(name: str) -> str:
@@ -81,9 +81,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_conversations(turns))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings: four parts of 256 entries, four rounds."""
+    coded = vector_codes.compress(_read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_pack, op6_quality, op7_toxicity, op8_lm_score, op9_line_dedup, op10_chat_format)}
+    return {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_pack, op6_quality, op7_toxicity, op8_lm_score, op9_line_dedup, op10_chat_format, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": knn.ORACLE, "op3_decontaminate": decontaminate.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op10_chat_format": chat_format.ORACLE}
+    return {"op1_top_k": knn.ORACLE, "op3_decontaminate": decontaminate.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op10_chat_format": chat_format.ORACLE, "op13_vector_codes": vector_codes.oracle()}
