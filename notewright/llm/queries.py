@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat_format, decontaminate, jaccard, knn, line_dedup, lm_score, pack, quality, sharding, token_count, toxicity, vector_codes
+from notewright.llm import chat_format, decontaminate, jaccard, knn, line_dedup, lm_score, pack, phrases, quality, sharding, token_count, toxicity, vector_codes
 
 
 def tokenizer_path(name: str) -> str:
@@ -81,6 +81,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_conversations(turns))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language of all documents."""
+    return phrases.mine_phrases(_read(spark, sf_dir, "documents"), longest=4, least=30, top=2000)
+
+
 def op12_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards whose numbers of rows are at most one apart."""
     return sharding.shard_documents(_read(spark, sf_dir, "documents"), shards=16, law="rows")
@@ -93,8 +98,8 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_pack, op6_quality, op7_toxicity, op8_lm_score, op9_line_dedup, op10_chat_format, op12_ring_shards, op13_vector_codes)}
+    return {f.__name__: f for f in (op1_top_k, op2_token_counts, op3_decontaminate, op4_jaccard_join, op5_pack, op6_quality, op7_toxicity, op8_lm_score, op9_line_dedup, op10_chat_format, op11_phrases, op12_ring_shards, op13_vector_codes)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": knn.ORACLE, "op3_decontaminate": decontaminate.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op10_chat_format": chat_format.ORACLE, "op13_vector_codes": vector_codes.oracle()}
+    return {"op1_top_k": knn.ORACLE, "op3_decontaminate": decontaminate.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op10_chat_format": chat_format.ORACLE, "op11_phrases": phrases.ORACLE, "op13_vector_codes": vector_codes.oracle()}
