@@ -39,11 +39,6 @@ _SMALL_ROWS, _SMALL_BYTES = 200_000, 16_000_000
 _COUNTED = "lang string, size int, phrase binary, n long, h long"
 
 
-def pieces(data: bytes) -> list[bytes]:
-    """The words of a text, with ``_END`` before, between and after its pieces."""
-    return data.translate(_PIECES).replace(_END, b" . ").split()
-
-
 def chunks(texts: list[bytes]) -> Iterator[bytes]:
     """Texts joined, and long ones cut, where a piece ends."""
     group, size = [], 0
