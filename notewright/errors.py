@@ -42,6 +42,9 @@ class RateLimitError(TextGenerationError):
 class ContentFilteredError(TextGenerationError): ...
 
 
+class CallBudgetError(TextGenerationError): ...
+
+
 class ValidationError(NotewrightError): ...
 
 

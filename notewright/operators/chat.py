@@ -20,6 +20,18 @@ def user_message(text: Column, context: list[tuple[str, Column, Column]] | None
     return F.when(said == "", body).otherwise(F.concat(said, F.lit("\n\n"), body))
 
 
+def metadata_context(metadata: Column) -> list[tuple[str, Column, Column]]:
+    """Context lines of what a note's metadata (variant) tells of age, gender and encounter; a key whose value is null counts."""
+    fields = F.coalesce(F.try_variant_get(metadata, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+
+    def line(label: str, key: str):
+        value = F.try_variant_get(metadata, f"$.{key}", "string")
+        kind = F.schema_of_variant(F.try_variant_get(metadata, f"$.{key}", "variant"))
+        return label, F.map_contains_key(fields, key), F.when(kind == "BOOLEAN", F.initcap(value)).otherwise(value)
+
+    return [line(label, key) for label, key in K.CONTEXT_LINES.items()]
+
+
 def to_messages(user: Column, codes: Column, system: str = K.SYSTEM_PROMPT) -> Column:
     """array<struct<role, content>> of system, user and assistant."""
     turns = (("system", F.lit(system)), ("user", user), ("assistant", json_codes(codes)))
@@ -99,18 +111,45 @@ def dataset_errors(samples: DataFrame, max_tokens: int = 512, pos: str = "pos")
     return faulty.groupBy("note_id").agg(F.max_by("errors", pos).alias("errors"))
 
 
+def templated(messages: Column, template: str = "chatml", to_answer: bool = False) -> Column:
+    """Messages as the text of a template of ``constants.TEMPLATES``; with ``to_answer`` open for the assistant's turn.
+
+    Where a template has no system turn, that text and a blank line go before the next message's.
+    """
+    if template not in K.TEMPLATES:
+        raise ValueError(f"unknown template {template!r}; one of {list(K.TEMPLATES)}")
+    t = K.TEMPLATES[template]
+    role = lambda m: F.coalesce(*(F.when(m["role"] == a, b) for a, b in t["roles"].items()), m["role"])
+    if not t["system_turn"]:
+        told = F.filter(messages, lambda m: m["role"] == "system")
+        rest = F.filter(messages, lambda m: m["role"] != "system")
+        before = F.array_join(F.transform(told, lambda m: F.concat(m["content"], F.lit("\n\n"))), "")
+        messages = F.transform(rest, lambda m, i: F.struct(m["role"].alias("role"), F.concat(F.when(i == 0, before).otherwise(""), m["content"]).alias("content")))
+    turns = F.transform(messages, lambda m: F.concat(F.lit(t["begin"]), role(m), F.lit(t["after_role"]), m["content"], F.lit(t["end"])))
+    return F.concat(F.lit(t["start"]), F.array_join(turns, t["between"]), F.lit(t["open"] if to_answer else ""))
+
+
 def chatml_text(messages: Column) -> Column:
     """Messages as ChatML text."""
-    return F.array_join(F.transform(messages, lambda m: F.concat(F.lit("<|im_start|>"), m["role"], F.lit("\n"), m["content"], F.lit("<|im_end|>"))), "\n")
+    return templated(messages)
 
 
-def inference_prompt(user: Column, system: str = K.SYSTEM_PROMPT, max_tokens: int | None = None) -> Column:
-    """A system and a user turn as ChatML text, open for the assistant's; cut at ``max_tokens`` estimated tokens."""
+def inference_prompt(user: Column, system: str = K.SYSTEM_PROMPT, max_tokens: int | None = None, template: str = "chatml") -> Column:
+    """A system and a user turn as a template's text, open for the assistant's; cut at ``max_tokens`` estimated tokens
+    (``tokens.cut_tokens`` cuts at real ones)."""
     turns = F.array(*(F.struct(F.lit(r).alias("role"), c.alias("content")) for r, c in (("system", F.lit(system)), ("user", user))))
-    text = F.concat(chatml_text(turns), F.lit("\n<|im_start|>assistant\n"))
+    text = templated(turns, template, to_answer=True)
     return text if max_tokens is None else F.substring(text, 1, 4 * max_tokens)
 
 
+def model_prompt(user: Column, variant: Column, system: str = K.SYSTEM_PROMPT) -> Column:
+    """``inference_prompt`` in the template of each row's model (of ``constants.MODELS``); null for an unknown one."""
+    by_template: dict[str, list[str]] = {}
+    for m in K.MODELS:
+        by_template.setdefault(m[8], []).append(m[0])
+    return F.coalesce(*(F.when(variant.isin(*names), inference_prompt(user, system, template=t)) for t, names in by_template.items()))
+
+
 def first_content(messages: Column, role: str) -> Column:
     """The content of the first message of a role; null if there is none."""
     return F.try_element_at(F.filter(messages, lambda m: m["role"] == role), F.lit(1))["content"]

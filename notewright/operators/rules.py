@@ -47,38 +47,61 @@ def minimum_length(text: Column, least: int = K.MIN_NOTE_CHARS) -> Column:
     return F.when(F.length(strip(text)) < least, F.array(said)).otherwise(F.array().cast("array<string>"))
 
 
-def _cued(text: Column, codes: Column, width: int, cue: str) -> Column:
-    """Codes whose key word stands somewhere in the text with a cue within ``width`` characters before it."""
+#: Characters before a key word in which a cue counts.
+NEGATION_WIDTH, UNCERTAINTY_WIDTH = 60, 50
+
+
+def cues(text: Column, codes: Column) -> Column:
+    """array<struct<code, word, negated, uncertain>>: each code's key word (null without one), and whether some place of it
+    in the text has a cue of negation, or of uncertainty, shortly before it.  Each key word's places are found once for both.
+    """
     low = F.lower(text)
+    any_negation, any_uncertainty = low.rlike(K.NEGATION), low.rlike(K.UNCERTAINTY)  # most texts lack one or both
 
-    def has(c: Column) -> Column:
+    def of(c: Column) -> Column:
         word = keyword(c["name"])
-        cued = F.exists(windows_before(low, word, width), lambda w: w.rlike(cue))
-        return F.when(word.isNull() | ~low.contains(word), False).otherwise(cued)
+        windows = F.when(word.isNotNull() & low.contains(word) & (any_negation | any_uncertainty), windows_before(low, word, NEGATION_WIDTH))
+        flags = F.aggregate(
+            windows,
+            F.struct(F.lit(False).alias("negated"), F.lit(False).alias("uncertain")),
+            lambda s, w: F.struct((s["negated"] | w.rlike(K.NEGATION)).alias("negated"), (s["uncertain"] | F.right(w, F.lit(UNCERTAINTY_WIDTH)).rlike(K.UNCERTAINTY)).alias("uncertain")),
+        )
+        return F.struct(c["code"].alias("code"), word.alias("word"), flags.alias("flags"))
 
-    return F.filter(codes, has)
+    return F.transform(codes, of)
 
 
-def negation(text: Column, codes: Column) -> Column:
+def negation_warnings(cues: Column) -> Column:
     """Warnings for diagnoses that may be negated; one per code at most."""
-    return F.transform(_cued(text, codes, 60, K.NEGATION), lambda c: F.concat(F.lit("POSSIBLE_NEGATION: '"), keyword(c["name"]), F.lit("' may be negated (code: "), c["code"], F.lit(")")))
+    found = F.filter(cues, lambda c: F.coalesce(c["flags"]["negated"], F.lit(False)))
+    return F.transform(found, lambda c: F.concat(F.lit("POSSIBLE_NEGATION: '"), c["word"], F.lit("' may be negated (code: "), c["code"], F.lit(")")))
 
 
-def uncertainty(text: Column, codes: Column) -> Column:
+def uncertainty_warnings(cues: Column) -> Column:
     """Warnings for definitive codes under uncertain language; symptoms (R) and factors (Z) are let pass."""
-    definite = F.filter(codes, lambda c: ~first_character(c["code"]).isin("R", "Z"))
-    cued = _cued(text, definite, 50, K.UNCERTAINTY)
-    return F.transform(cued, lambda c: F.concat(F.lit("UNCERTAIN_DIAGNOSIS: '"), keyword(c["name"]), F.lit("' has uncertainty language but "), c["code"], F.lit(" is definitive")))
+    found = F.filter(cues, lambda c: F.coalesce(c["flags"]["uncertain"], F.lit(False)) & ~first_character(c["code"]).isin("R", "Z"))
+    return F.transform(found, lambda c: F.concat(F.lit("UNCERTAIN_DIAGNOSIS: '"), c["word"], F.lit("' has uncertainty language but "), c["code"], F.lit(" is definitive")))
+
+
+def negation(text: Column, codes: Column) -> Column:
+    """``negation_warnings`` of a text."""
+    return negation_warnings(cues(text, codes))
+
+
+def uncertainty(text: Column, codes: Column) -> Column:
+    """``uncertainty_warnings`` of a text."""
+    return uncertainty_warnings(cues(text, codes))
 
 
-def validate(notes: DataFrame, text: str = "text", codes: str = "codes", threshold: int = K.PASS_CONFIDENCE) -> DataFrame:
+def validate(notes: DataFrame, text: str = "text", codes: str = "codes", threshold: float = K.PASS_CONFIDENCE) -> DataFrame:
     """Adds validation_result: is_valid, confidence_score, critical_issues, warnings, validation_source.
 
     Any critical issue makes a note invalid with confidence 0; else each warning costs 10 of 100.
     """
     t, c = F.col(text), F.col(codes)
-    checked = notes.withColumn("_critical", F.concat(code_visibility(t, c), minimum_length(t))).withColumn("_warnings", F.concat(negation(t, c), uncertainty(t, c)))
+    checked = notes.withColumn("_critical", F.concat(code_visibility(t, c), minimum_length(t))).withColumn("_cues", cues(t, c))
+    checked = checked.withColumn("_warnings", F.concat(negation_warnings(F.col("_cues")), uncertainty_warnings(F.col("_cues"))))
     clean = F.size("_critical") == 0
     score = F.when(clean, F.greatest(F.lit(0), 100 - K.WARNING_COST * F.size("_warnings"))).otherwise(0).cast("double")
     result = F.struct((clean & (score >= threshold)).alias("is_valid"), score.alias("confidence_score"), F.col("_critical").alias("critical_issues"), F.col("_warnings").alias("warnings"), F.lit("rule_based").alias("validation_source"))
-    return checked.withColumn("validation_result", result).drop("_critical", "_warnings")
+    return checked.withColumn("validation_result", result).drop("_critical", "_cues", "_warnings")

@@ -65,6 +65,32 @@ def profile_table(spark) -> DataFrame:
     return spark.createDataFrame([(k, *v) for k, v in PROFILES.items()], schema)
 
 
+def _grams(text: Column, size: Column | int) -> Column:
+    """The distinct substrings of ``size`` characters; for 0 the empty one."""
+    size = size if isinstance(size, Column) else F.lit(size)
+    places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, size)))
+
+
+def term_hits(catalog: DataFrame, terms: DataFrame, size: int = 3) -> DataFrame:
+    """(term, code, ord): the codes whose name or category holds a term (of ``terms``), in any case, literally.
+
+    The catalogue's substrings of ``size`` characters (fewer for shorter terms) that occur in terms are its index; a term is
+    looked up by its rarest one, and what is found is compared in full.  Terms are few enough to be broadcast.
+    """
+    asked = terms.select("term", F.lower("term").alias("_low")).where(F.col("term").isNotNull())
+    pieces = asked.select("term", "_low", F.explode(_grams(F.col("_low"), F.least(F.length("_low"), F.lit(size)))).alias("gram"))
+    lengths = [r["n"] for r in asked.select(F.least(F.length("_low"), F.lit(size)).alias("n")).distinct().collect()]  # four values at most
+    rows = catalog.select("code", "ord", F.lower(F.coalesce("name", F.lit(""))).alias("n"), F.lower(F.coalesce("category_name", F.lit(""))).alias("c"))
+    parts = [_grams(F.col(t), k) for t in ("n", "c") for k in lengths] or [F.array().cast("array<string>")]
+    wanted = F.broadcast(pieces.select("gram").distinct())
+    index = rows.select("*", F.explode(F.array_distinct(F.flatten(F.array(*parts)))).alias("gram")).join(wanted, "gram", "left_semi")
+    frequent = index.groupBy("gram").agg(F.count("*").alias("n_codes"))
+    rarest = pieces.join(frequent, "gram", "left").groupBy("term", "_low").agg(F.min_by("gram", F.struct(F.coalesce("n_codes", F.lit(0)), "gram")).alias("gram"))
+    found = index.join(F.broadcast(rarest), "gram").where(F.expr("contains(n, _low) OR contains(c, _low)"))
+    return found.select("term", "code", "ord")
+
+
 def _profile_hits(profiles: DataFrame, catalog: DataFrame, per_term: int) -> DataFrame:
     """profile, ratio, primary, comorbid: each term with the codes of its first ``per_term`` hits in catalogue order."""
     if profiles.limit(MAX_PROFILES + 1).count() > MAX_PROFILES:
@@ -72,9 +98,7 @@ def _profile_hits(profiles: DataFrame, catalog: DataFrame, per_term: int) -> Dat
     none = F.array().cast("array<string>")
     asked = profiles.select("profile", "comorbidity_ratio", F.coalesce("primary_search_terms", none).alias("p"), F.coalesce("comorbidity_terms", none).alias("c"))
     distinct = asked.select(F.explode(F.concat("p", "c")).alias("term")).distinct()
-    rows = catalog.where("is_billable").select("code", "ord", F.lower("name").alias("n"), F.lower(F.coalesce("category_name", F.lit(""))).alias("c"))
-    # The terms come from a number of profiles that is checked; the catalogue stays where it is.
-    hits = rows.join(F.broadcast(distinct), F.expr("contains(n, lower(term)) or contains(c, lower(term))"))
+    hits = term_hits(catalog.where("is_billable"), distinct)
     hits = hits.withColumn("hit", F.row_number().over(Window.partitionBy("term").orderBy("ord"))).where(F.col("hit") <= per_term)
     listed = hits.groupBy("term").agg(F.array_sort(F.collect_list(F.struct("hit", "code"))).alias("h"))
     found = listed.agg(F.map_from_entries(F.collect_list(F.struct("term", F.col("h.code")))).alias("hits"))  # one row

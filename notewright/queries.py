@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notewright import constants as K
+from notewright.errors import ContentFilteredError, RateLimitError, TextGenerationError
 from notewright.functions import parsing, text
-from notewright.operators import catalog, chat, metrics, prompting, records, registry, rules, sampling, split, stats
+from notewright.operators import catalog, chat, metrics, prompting, records, registry, rules, sampling, split, stats, textgen, tokens
 from notewright.plans import evaluate, generate, prepare
+from notewright.sources import catalog as catalog_source
 from notewright.sources import notes as note_source
 from notewright.sources import sinks
+from notewright.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -187,10 +188,9 @@ def _profiles(spark) -> DataFrame:
 
 
 _HEX = "CAST('0x' || substr(md5({0}), 1, 8) AS BIGINT)"
-_SELECT_SQL = f"""{_CAT_SQL},
-req AS (SELECT doc_id AS note_idx, CASE doc_id % 4 WHEN 0 THEN 'tools' WHEN 1 THEN 'colors' WHEN 2 THEN 'default' ELSE 'unheard' END AS profile,
-  CAST(2 + {_HEX.format("'42-' || CAST(doc_id AS VARCHAR)")} % 4 AS INTEGER) AS n_codes FROM documents),
-quota AS (SELECT *, CAST(floor(n_codes * CASE profile WHEN 'tools' THEN 0.4 WHEN 'colors' THEN 0.75 ELSE 0 END) AS INTEGER) AS k_com FROM req),
+_REQ_SQL = f"""req AS (SELECT doc_id AS note_idx, CASE doc_id % 4 WHEN 0 THEN 'tools' WHEN 1 THEN 'colors' WHEN 2 THEN 'default' ELSE 'unheard' END AS profile,
+  CAST(2 + {_HEX.format("'42-' || CAST(doc_id AS VARCHAR)")} % 4 AS INTEGER) AS n_codes FROM documents)"""
+_CHOSEN_SQL = f"""quota AS (SELECT *, CAST(floor(n_codes * CASE profile WHEN 'tools' THEN 0.4 WHEN 'colors' THEN 0.75 ELSE 0 END) AS INTEGER) AS k_com FROM req),
 term(profile, kind, term) AS (VALUES ('tools', 'p', 'bolt'), ('tools', 'p', 'gear'), ('tools', 'p', 'ring'), ('tools', 'c', 'widget'),
   ('colors', 'p', 'red'), ('colors', 'p', 'blue'), ('colors', 'p', 'hot'), ('colors', 'c', 'small'), ('colors', 'c', 'large')),
 hit AS (SELECT profile, kind, term, code, ord, row_number() OVER (PARTITION BY profile, kind, term ORDER BY ord) AS h
@@ -210,6 +210,7 @@ drawn AS (SELECT note_idx, need, code, min(step) AS step FROM draw JOIN ring USI
 fill AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY note_idx ORDER BY step) AS place FROM drawn d
   WHERE NOT EXISTS (SELECT 1 FROM chosen WHERE chosen.note_idx = d.note_idx AND chosen.code = d.code)) WHERE place <= need),
 sel AS (SELECT note_idx, code, CAST(place AS INTEGER) AS place, part FROM chosen UNION ALL SELECT note_idx, code, CAST(place AS INTEGER), 'fill' FROM fill)"""
+_SELECT_SQL = f"{_CAT_SQL}, {_REQ_SQL}, {_CHOSEN_SQL}"
 
 
 @_query(f"WITH {_SELECT_SQL} SELECT note_idx, code, place, part FROM sel")
@@ -222,12 +223,12 @@ def profile_select(spark, d):
 _LINES_SQL = "string_agg(CAST(i AS VARCHAR) || '. ' || name || CASE WHEN coalesce(category_name, '') <> '' THEN ' (Category: ' || category_name || ')' ELSE '' END, chr(10) ORDER BY i)"
 
 
-@_query(f"""WITH {_RAW_SQL}, g AS (SELECT pos % 500 AS note_idx, row_number() OVER (PARTITION BY pos % 500 ORDER BY pos) AS i, code, name, category_name FROM raw),
+@_query(f"""WITH {_RAW_SQL}, g AS (SELECT pos // 4 AS note_idx, row_number() OVER (PARTITION BY pos // 4 ORDER BY pos) AS i, code, name, category_name FROM raw),
   l AS (SELECT note_idx, {_LINES_SQL} AS lines, string_agg('- ' || code || ': ' || name, chr(10) ORDER BY i) AS dashes FROM g GROUP BY note_idx)
   SELECT note_idx, 'Write a realistic Progress Note. Never write a diagnosis code.' || chr(10) || chr(10) || 'Diagnoses:' || chr(10) || lines || chr(10) || chr(10)
     || 'Sections: Subjective, Objective, Assessment, Plan' || chr(10) || chr(10) || 'Context: None' || chr(10) AS prompt, dashes FROM l""")
 def prompt_build(spark, d):
-    rows = _raw_catalog(spark, d).select((F.col("pos") % 500).alias("note_idx"), F.struct("pos", "code", "name", "category_name").alias("c"))
+    rows = _raw_catalog(spark, d).select(F.expr("pos div 4").alias("note_idx"), F.struct("pos", "code", "name", "category_name").alias("c"))
     grouped = rows.groupBy("note_idx").agg(F.array_sort(F.collect_list("c")).alias("codes"))
     prompt = prompting.generation_prompt(F.lit("PROGRESS_NOTE"), F.col("codes"), F.lit(""))
     asked = F.regexp_extract(prompting.validation_prompt(F.lit("-"), F.col("codes")), r"(?s)Codes:\n(.*)\n\nAnswer", 1)
@@ -577,13 +578,18 @@ def prepare_training_data(spark, d):
     return prepare.prepare(notes, context=context).select("note_id", "profile", "split")
 
 
-_MADE_SQL = f"""{_SELECT_SQL}, own AS (SELECT note_idx AS doc_id, list({{'code': code, 'name': cat.name}} ORDER BY CASE part WHEN 'primary' THEN 0 WHEN 'comorbid' THEN 1 ELSE 2 END, place) AS codes
-  FROM sel JOIN cat USING (code) GROUP BY note_idx),
+def _made_sql(req: str, having: str = "true") -> str:
+    """Notes of the requests ``req``, as the offline generator makes them, but for those whose codes fail ``having``."""
+    return f"""{_CAT_SQL}, {req}, {_CHOSEN_SQL}, own AS (SELECT note_idx AS doc_id, list({{'code': code, 'name': cat.name}} ORDER BY CASE part WHEN 'primary' THEN 0 WHEN 'comorbid' THEN 1 ELSE 2 END, place) AS codes
+  FROM sel JOIN cat USING (code) GROUP BY note_idx HAVING {having}),
 s0 AS (SELECT doc_id, codes, 'Subjective: ' || array_to_string([ 'The patient was seen for ' || lower(c.name) || ' and examined with care.' for c in codes ], ' ')
   || ' Objective: vital signs are stable. Plan: follow up in two weeks.' AS t0 FROM own), {_CLEAN_SQL},
 notes AS (SELECT doc_id, profile AS lang, t AS text, removed, codes FROM clean JOIN own USING (doc_id) JOIN req ON note_idx = doc_id), {_CHECK_SQL}"""
 
 
+_MADE_SQL = _made_sql(_REQ_SQL)
+
+
 @_query(f"WITH {_MADE_SQL} SELECT doc_id AS note_idx, notes.lang AS profile, md5(text) AS text_md5, CAST(len(codes) AS INTEGER) AS n_codes, removed AS n_removed, len(crit) = 0 AND score >= 70 AS is_valid, score AS confidence_score FROM notes JOIN val USING (doc_id)")
 def generate_notes(spark, d):
     """A note for each document's request, by the offline text generator."""
@@ -607,16 +613,6 @@ def evaluate_samples(spark, d):
     return metrics.per_sample(evaluate.predictions(samples, _echo)).select("index", F.size("true_positives").alias("tp"), F.size("false_positives").alias("fp"), F.size("false_negatives").alias("fn"), "exact_match")
 
 
-def _scratch(spark, name: str) -> str:
-    """A new path below the cluster's shared folder; a temporary one only on a single machine that names none."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a shared folder")
-        found = "file://" + tempfile.mkdtemp(prefix="spark-")
-    return f"{found}/{name}-{uuid.uuid4().hex}"
-
-
 def _with_metadata(spark, d) -> DataFrame:
     """Notes as the loader gives them; the metadata of every third clashes with what the sample adds."""
     extra = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('{"source": "s'), F.col("doc_id"), F.lit('", "num_codes": 99}'))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit('{"source": "s'), F.col("doc_id"), F.lit('"}')))
@@ -640,7 +636,7 @@ def sample_metadata(spark, d):
 @_query(f"WITH {_GATE_SQL}, ok AS (SELECT g.doc_id, g.lang, n.codes FROM gate g JOIN notes n USING (doc_id) WHERE len(errors) = 0) SELECT {_META_SQL}, md5({_JSON_SQL}) AS answer_md5, 3 AS n_turns FROM ok")
 def write_read_samples(spark, d):
     """Prepared samples written as JSONL and read back."""
-    path = _scratch(spark, "samples")
+    path = scratch_path(spark, "samples")
     sinks.write_samples(prepare.prepare(_with_metadata(spark, d), context=[("encounter_type", F.lit(True), F.col("profile"))]), path)
     back = note_source.read_samples(spark, path)
     return _metadata_of(back).join(back.select(F.col("note_id").cast("long").alias("doc_id"), F.md5(chat.first_content(F.col("messages"), "assistant")).alias("answer_md5"), F.size("messages").alias("n_turns")), "doc_id")
@@ -659,16 +655,238 @@ def eval_zip(spark, d):
 def evaluate_report(spark, d):
     """Predict, parse, score, write: the classes of the report as it was written."""
     samples = _samples(spark, d).withColumnRenamed("doc_id", "note_id")
-    path = _scratch(spark, "report")
+    path = scratch_path(spark, "report")
     evaluate.evaluate_samples(samples, _echo, path, template=False, model="echo")
     doc = spark.read.text(f"{path}/metrics.json", wholetext=True).select(F.from_json("value", "per_class map<string,struct<precision:double,recall:double,f1:double>>").alias("m"))
     rows = doc.select(F.explode("m.per_class").alias("label", "r"))
     return rows.select("label", *(F.round(F.col(f"r.{c}"), 6).alias(c) for c in ("precision", "recall", "f1")))
 
 
-@_query(f"WITH {_CAT_SQL}, pf AS (SELECT DISTINCT lang AS profile FROM documents) SELECT profile, CAST(20 AS BIGINT) AS asked, CAST(20 AS BIGINT) AS generated FROM pf")
+_BATCH_SQL = """req AS (SELECT md5(profile || '|' || CAST(i AS VARCHAR)) AS note_idx, profile, 3 AS n_codes FROM (SELECT profile, unnest(range(1, n + 1)) AS i FROM (
+  SELECT CASE doc_id % 4 WHEN 0 THEN 'tools' WHEN 1 THEN 'colors' WHEN 2 THEN 'default' ELSE 'unheard' END AS profile, count(*) // 2 AS n FROM documents GROUP BY 1)))"""
+
+
+def _sometimes(prompt: str) -> str:
+    """The offline generator, which refuses prompts of one category."""
+    if "(Category: Brand#3)" in prompt:
+        raise ContentFilteredError("blocked")
+    return textgen.stub(prompt)
+
+
+def _asked(spark, d) -> DataFrame:
+    """Profiles, each with half as many notes as it has documents."""
+    return _requests(spark, d).groupBy("profile").agg(F.floor(F.count("*") / 2).alias("n_notes"))
+
+
+@_query(f"""WITH {_made_sql(_BATCH_SQL, "NOT bool_or(coalesce(category_name, '') = 'Brand#3')")}, ok AS (SELECT doc_id, len(crit) = 0 AND score >= 70 AS valid FROM val),
+  g AS (SELECT req.profile, count(*) AS asked, count(ok.doc_id) AS generated, count(*) FILTER (WHERE valid) AS valid FROM req LEFT JOIN ok ON ok.doc_id = req.note_idx GROUP BY 1)
+  SELECT profile, asked, generated, valid, round(coalesce(valid * 100.0 / nullif(generated, 0), 0), 6) AS validation_rate FROM g""")
 def multi_profile_batch(spark, d):
-    """Twenty notes for each language of the documents as a profile; none fails with the offline generator."""
-    names = _read(spark, d, "documents").select(F.col("lang").alias("profile")).distinct()
-    asked = generate.batch_requests(names, 20)
-    return generate.batch_stats(asked, generate.generate_notes(asked, _catalog(spark, d), _profiles(spark))).select("profile", "asked", "generated")
+    """A batch over several profiles whose generator refuses some prompts: what was asked, generated and valid."""
+    requests = generate.batch_requests(_asked(spark, d), None, 3)
+    return _rounded(generate.run_batch(requests, _catalog(spark, d), _profiles(spark), scratch_path(spark, "batch"), _sometimes).stats)
+
+
+@_query(f"""WITH {_made_sql(_BATCH_SQL)}, bad AS (SELECT note_idx FROM sel JOIN cat USING (code) WHERE category_name = 'Brand#3' GROUP BY 1)
+  SELECT note_idx, profile, 'ContentFilteredError: blocked' AS error FROM req WHERE note_idx IN (SELECT note_idx FROM bad)""")
+def batch_failures(spark, d):
+    """The requests of such a batch that failed, after a second run over the same folder: it asks for these only."""
+    requests, path = generate.batch_requests(_asked(spark, d), None, 3), scratch_path(spark, "batch")
+    for _ in range(2):
+        batch = generate.run_batch(requests, _catalog(spark, d), _profiles(spark), path, _sometimes, waves=2)
+    return batch.failures
+
+
+class _Unsteady:
+    """A generator by the number that is the prompt: 0 always refuses, 1 is rate-limited first, 2 fails first, 3 answers too shortly first."""
+
+    def __init__(self):
+        self.prompt, self.n = None, 0
+
+    def __call__(self, prompt: str) -> str:
+        self.prompt, self.n = prompt, self.n + 1 if prompt == self.prompt else 1
+        form = int(prompt) % 5
+        if form == 0:
+            raise ContentFilteredError("blocked")
+        if form == 1 and self.n == 1:
+            raise RateLimitError("quota", retry_after=0.001)
+        if form == 2 and self.n == 1:
+            raise TextGenerationError("no answer")
+        return "short" if form == 3 and self.n == 1 else f"An answer that is long enough to be taken for a note: {prompt}"
+
+
+def _no_wait(seconds: float) -> None:
+    """Instead of sleeping."""
+
+
+@_query("""SELECT count(*) AS prompts, count(*) FILTER (WHERE doc_id % 5 <> 0) AS answered, CAST(sum(CASE doc_id % 5 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) AS BIGINT) AS total_calls,
+  CAST(sum(CASE doc_id % 5 WHEN 0 THEN 9 WHEN 2 THEN 1 ELSE 0 END) AS BIGINT) AS failed_calls, count(*) FILTER (WHERE doc_id % 5 = 1) AS limited_calls,
+  round(sum(CASE doc_id % 5 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) * 100.0 / sum(CASE doc_id % 5 WHEN 0 THEN 9 WHEN 2 THEN 2 WHEN 3 THEN 2 ELSE 1 END), 6) AS success_rate FROM documents""")
+def client_rates(spark, d):
+    """Calls of a client that retries an unsteady generator, a prompt for each document."""
+    asked = _read(spark, d, "documents").select("doc_id", F.col("doc_id").cast("string").alias("prompt"))
+    made = textgen.generate_text(asked, "prompt", "said", textgen.with_retries(_Unsteady(), sleep=_no_wait))
+    return _rounded(textgen.client_rates(made, "said"))
+
+
+# --- Files, templates, whole preparation ---
+
+
+@_query(f"""WITH {_VALID_SQL}, v AS (SELECT doc_id, 'note_' || strftime(make_timestamp(doc_id * 1000000), '%Y%m%d_%H%M%S') || '_' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 8) AS note_id, len(crit) = 0 AND score >= 70 AS ok FROM val)
+  SELECT row_number() OVER (ORDER BY note_id) - 1 AS pos, note_id, md5(text) AS text_md5, array_to_string([ c.code for c in codes ], ',') AS codes, lang AS profile, CASE WHEN ok THEN 'VALID' ELSE 'INVALID' END AS status
+  FROM v JOIN notes USING (doc_id)""")
+def save_load_notes(spark, d):
+    """Note records saved as one JSON array in many parts, and read back by byte ranges."""
+    path = sinks.save_notes(records.serialized(_records(spark, d)), scratch_path(spark, "saved"))
+    notes = note_source.normalize_notes(note_source.read_raw_notes(spark, path), ("profile", "generation_profile"))
+    return notes.select("pos", "note_id", F.md5("clinical_text").alias("text_md5"), _joined(F.col("icd10_codes"), ",").alias("codes"), "profile", F.try_variant_get("metadata", "$.validation_status", "string").alias("status"))
+
+
+@_query(f"""WITH {_RAW_SQL} SELECT row_number() OVER (ORDER BY pos) - 1 AS pos, code, name, is_billable, CASE WHEN pos % 3 = 1 THEN NULL ELSE category_name END AS category_name FROM raw""")
+def read_catalog(spark, d):
+    """Parts written as a catalogue under varying names of the fields, and read by byte ranges."""
+    rows, path, form = _raw_catalog(spark, d), scratch_path(spark, "catalog"), F.col("pos") % 3
+    named = lambda name, column, *forms: F.when(form.isin(*forms), F.col(column)).alias(name)
+    fields = [named("code", "code", 1, 2), named("icd10_code", "code", 0), named("name", "name", 1, 2), named("icd10_name", "name", 0), "is_billable", named("category_description", "category_name", 0), named("category_name", "category_name", 2)]
+    lines = rows.select("pos", F.to_json(F.struct(*fields)).alias("item"))  # without fields that are null, which would count
+    ends = F.broadcast(rows.agg(F.min("pos").alias("lo"), F.max("pos").alias("hi")))  # one row
+    text = F.concat(F.when(F.col("pos") == F.col("lo"), "[").otherwise(""), "item", F.when(F.col("pos") == F.col("hi"), "]").otherwise(","))
+    lines.crossJoin(ends).repartitionByRange("pos").sortWithinPartitions("pos").select(text.alias("value")).write.text(path)
+    return catalog_source.read_catalog(spark, path).select("pos", "code", "name", "is_billable", "category_name")
+
+
+_TURN_SQL = {
+    "chatml": f"'<|im_start|>system' || chr(10) || '{K.SYSTEM_PROMPT}' || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || text || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)",
+    "gemma": f"'<bos><start_of_turn>user' || chr(10) || '{K.SYSTEM_PROMPT}' || chr(10) || chr(10) || text || '<end_of_turn>' || chr(10) || '<start_of_turn>model' || chr(10)",
+}
+
+
+@_query(f"""SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'phi3' WHEN 1 THEN 'gemma2b' ELSE 'qwen1.5' END AS variant, md5(CASE WHEN doc_id % 3 = 1 THEN {_TURN_SQL['gemma']} ELSE {_TURN_SQL['chatml']} END) AS prompt_md5 FROM documents""")
+def model_prompts(spark, d):
+    """Every document as a prompt in the template of one of the three models."""
+    variant = F.array(*(F.lit(m[0]) for m in K.MODELS))[(F.col("doc_id") % 3).cast("int")]
+    rows = _read(spark, d, "documents").select("doc_id", variant.alias("variant"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.select("doc_id", "variant", F.md5(chat.model_prompt(F.col("text"), F.col("variant"))).alias("prompt_md5"))
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query()
+def cut_prompts(spark, d):
+    """Prompts cut at 512 tokens of a real tokenizer."""
+    asked = _read(spark, d, "documents").select("doc_id", chat.inference_prompt(F.coalesce("text", F.lit(""))).alias("prompt"))
+    cut = tokens.cut_tokens(asked, "prompt", _tokenizer(), 512)
+    return cut.select("doc_id", "n_tokens", "kept_tokens", F.length("cut").alias("cut_chars"), F.md5("cut").alias("cut_md5"))
+
+
+_BAD_SQL = "CASE WHEN doc_id % 7 = 0 THEN 'clinical_text is null' WHEN doc_id % 11 = 0 THEN 'icd10_codes is null' WHEN doc_id % 13 = 0 THEN 'metadata is no object' END"
+
+
+@_query(f"""WITH {_NOTES_SQL}, b AS (SELECT *, {_BAD_SQL} AS bad FROM notes) SELECT doc_id, 'Note ' || CAST(doc_id AS VARCHAR) || ': ' || bad AS error, CASE WHEN bad IS NULL THEN 3 ELSE 0 END AS n_turns,
+  CASE WHEN bad IS NULL THEN md5('Analyze this clinical note:' || chr(10) || chr(10) || text) END AS user_md5 FROM b""")
+def convert_batch(spark, d):
+    """Notes as samples, some of which can't be: errors stay beside good samples."""
+    i = F.col("doc_id")
+    notes = _notes(spark, d).select(
+        i.alias("note_id"),
+        F.when(i % 7 != 0, F.col("text")).alias("clinical_text"),
+        F.when(i % 11 != 0, F.transform("codes", lambda c: c["code"])).alias("icd10_codes"),
+        F.col("lang").alias("profile"),
+        F.parse_json(F.when(i % 13 == 0, "[1]").when(i % 2 == 0, '{"ward": 5}')).alias("metadata"),
+    )
+    m = F.col("messages")
+    return prepare.convert(notes).select(F.col("note_id").alias("doc_id"), "error", F.when(m.isNotNull(), F.size(m)).otherwise(0).alias("n_turns"), F.md5(chat.first_content(m, "user")).alias("user_md5"))
+
+
+@_query("""WITH l AS (SELECT doc_id, text, list_filter([CASE WHEN doc_id % 2 = 0 THEN 'Patient age: ' || CASE WHEN doc_id % 3 = 0 THEN 'None' ELSE CAST(doc_id % 90 AS VARCHAR) END END,
+    CASE WHEN doc_id % 5 < 2 THEN 'Gender: ' || CASE doc_id % 5 WHEN 0 THEN 'female' ELSE 'male' END END, CASE WHEN doc_id % 7 = 0 THEN 'Encounter: ' || source END], lambda x: x IS NOT NULL) AS lines FROM documents)
+  SELECT doc_id, md5(array_to_string(lines, chr(10)) || CASE WHEN len(lines) > 0 THEN chr(10) || chr(10) ELSE '' END || 'Analyze this clinical note:' || chr(10) || chr(10) || coalesce(text, '')) AS user_md5 FROM l""")
+def context_lines(spark, d):
+    """Age, gender and encounter of a note's metadata, null values among them, as lines before the note."""
+    i = F.col("doc_id")
+    field = lambda when, key, value: F.when(when, F.concat(F.lit(f'"{key}": '), value))
+    fields = [
+        field(i % 2 == 0, "age", F.when(i % 3 == 0, "null").otherwise((i % 90).cast("string"))),
+        field(i % 5 < 2, "gender", F.when(i % 5 == 0, '"female"').otherwise('"male"')),
+        field(i % 7 == 0, "encounter_type", F.concat(F.lit('"'), "source", F.lit('"'))),
+    ]
+    meta = F.parse_json(F.concat(F.lit("{"), F.concat_ws(", ", *fields), F.lit("}")))
+    rows = _read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), meta.alias("metadata"))
+    return rows.select("doc_id", F.md5(chat.user_message(F.col("text"), chat.metadata_context(F.col("metadata")))).alias("user_md5"))
+
+
+@_query("""SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 'Invalid JSON' WHEN 2 THEN 'JSON missing ''icd10_codes'' key' WHEN 3 THEN 'JSON missing ''icd10_codes'' key' WHEN 4 THEN '''icd10_codes'' must be a list'
+  WHEN 5 THEN 'Empty icd10_codes list' WHEN 6 THEN 'Invalid ICD-10 codes: [''x' || CAST(doc_id AS VARCHAR) || ''']' ELSE 'Invalid JSON' END AS error FROM documents""")
+def answer_errors(spark, d):
+    """Assistant turns with each kind of fault."""
+    forms = ['{"icd10_codes": ["I10"]}', '{"icd10_codes": ["I10"', '["I10"]', '{"codes": ["I10"]}', '{"icd10_codes": "I10"}', '{"icd10_codes": []}']
+    answer = F.when(F.col("doc_id") % 8 == 6, F.concat(F.lit('{"icd10_codes": ["I10", "x'), F.col("doc_id").cast("string"), F.lit('"]}'))).when(F.col("doc_id") % 8 == 7, "")
+    for k, form in enumerate(forms):
+        answer = answer.when(F.col("doc_id") % 8 == k, form)
+    return _read(spark, d, "documents").select("doc_id", chat.assistant_error(answer).alias("error"))
+
+
+_LOADED_SQL = """ld AS (SELECT doc_id, lang, codes, text FROM notes WHERE trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '')"""
+
+
+@_query(f"""WITH {_GATE_SQL.replace(_USER_SQL, _USER_SQL.replace("encounter_type", "Encounter"))}, {_LOADED_SQL}, ok AS (SELECT doc_id, lang FROM gate WHERE len(errors) = 0 AND doc_id IN (SELECT doc_id FROM ld)), {_split_sql('ok', 'lang')},
+  c AS (SELECT unnest(codes).code AS code FROM ld)
+  SELECT 'notes of documents' AS dataset_name, (SELECT count(*) FROM ld) AS total_notes, (SELECT count(*) FROM c) AS total_codes, (SELECT count(DISTINCT code) FROM c) AS unique_codes, round((SELECT count(*) FROM c) / (SELECT count(*) FROM ld), 6) AS avg_codes_per_note,
+  min(length(text)) AS min_chars, max(length(text)) AS max_chars, round(avg(length(text)), 6) AS mean_chars, list_sort(list(length(text)))[count(*) // 2 + 1] AS median_chars, count(*) AS total_samples, (SELECT count(*) FROM ok) AS valid_samples,
+  count(*) - (SELECT count(*) FROM ok) AS invalid_samples, (SELECT count(*) FROM spl WHERE split = 'train') AS n_train, (SELECT count(*) FROM spl WHERE split = 'validation') AS n_validation FROM ld""")
+def prepare_summary(spark, d):
+    """A raw file of notes loaded, summed up, converted, gated, split and written: all numbers of the summary."""
+    raw = _notes(spark, d).select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("narrative"), F.transform("codes", lambda c: c["code"]).alias("codes"), F.col("lang").alias("profile"), F.col("lang").alias("encounter_type"))
+    path = scratch_path(spark, "raw")
+    sinks.write_json_array(raw, f"{path}/notes of documents.json", "id")
+    done = prepare.prepare_dataset(spark, f"{path}/notes of documents.json", f"{path}/out", "drop")
+    kinds = "dataset_name string, total_notes long, total_codes long, unique_codes long, avg_codes_per_note double, min_chars long, max_chars long, mean_chars double, median_chars long, total_samples long, valid_samples long, invalid_samples long, n_train long, n_validation long"
+    return _rounded(spark.createDataFrame([done.row()], kinds))
+
+
+# --- Fixed classes and lists of unequal length ---
+
+_FIXED_SQL = """lab AS (SELECT DISTINCT p_brand AS label FROM part WHERE p_brand <> 'Brand#3' UNION SELECT 'none-' || r_name FROM region),
+fix AS (SELECT label, coalesce(tp, 0) AS tp, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn, coalesce(precision, 0) AS precision, coalesce(recall, 0) AS recall, coalesce(f1, 0) AS f1 FROM lab LEFT JOIN cls USING (label))"""
+
+
+def _labels(spark, d) -> DataFrame:
+    """Classes: all brands but one, and some that never occur."""
+    brands = _read(spark, d, "part").select(F.col("p_brand").alias("label")).where("label <> 'Brand#3'")
+    return brands.unionAll(_read(spark, d, "region").select(F.concat(F.lit("none-"), "r_name").alias("label"))).distinct()
+
+
+@_query(f"WITH {_PAIRS_SQL}, {_FIXED_SQL} SELECT {_ROUNDED} FROM fix")
+def eval_fixed_labels(spark, d):
+    """Per class over a fixed list of classes, of which some never occur."""
+    return _rounded(metrics.per_class(_pairs(spark, d), _labels(spark, d)))
+
+
+_SUMMED_SQL = """round(tp / (tp + fp), 6) AS precision_micro, round(tp / (tp + fn), 6) AS recall_micro, round(2 * tp / (2 * tp + fp + fn), 6) AS f1_micro, round(pm, 6) AS precision_macro, round(rm, 6) AS recall_macro, round(fm, 6) AS f1_macro"""
+_TOTAL_SQL = "a AS (SELECT count(*) AS num_classes, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn, avg(precision) AS pm, avg(recall) AS rm, avg(f1) AS fm FROM {0})"
+
+
+@_query(f"""WITH {_PAIRS_SQL}, {_FIXED_SQL}, {_TOTAL_SQL.format("fix")} SELECT (SELECT count(*) FROM pr) AS num_samples, round((SELECT count(*) FILTER (WHERE p = t) / count(*) FROM pr), 6) AS exact_match_accuracy, num_classes, {_SUMMED_SQL} FROM a""")
+def eval_fixed_summary(spark, d):
+    """The rates over these classes: those that never occur count as zeros in the macro rates."""
+    return _rounded(metrics.summary(_pairs(spark, d), _labels(spark, d)))
+
+
+@_query(f"""WITH {_PAIRS_SQL.replace("FROM pairs)", "FROM pairs WHERE i % 3 <> 0 AND i % 5 <> 0)")}, {_TOTAL_SQL.format("cls")}, np AS (SELECT count(DISTINCT l_orderkey) AS n FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 3 <> 0)
+  SELECT n AS num_samples, round((SELECT count(*) FILTER (WHERE p = t) FROM pr) / n, 6) AS exact_match_accuracy, num_classes, {_SUMMED_SQL} FROM a, np""")
+def eval_zip_summary(spark, d):
+    """Lists of unequal length: exact matches are a share of the predictions."""
+    pairs = _pairs(spark, d)
+    return _rounded(metrics.zip_summary(pairs.where(F.col("index") % 3 != 0), pairs.where(F.col("index") % 5 != 0)))
+
+
+@_query(f"""WITH {_CAT_SQL}, t AS (SELECT DISTINCT substr(p_name, CAST(1 + p_partkey % 5 AS INTEGER), CAST(p_partkey % 6 AS INTEGER)) AS term FROM part) SELECT term, count(*) AS n_codes, min(ord) AS first_ord
+  FROM cat JOIN t ON contains(lower(cat.name), lower(term)) OR contains(lower(coalesce(category_name, '')), lower(term)) GROUP BY term""")
+def term_search(spark, d):
+    """Terms of 0 to 5 characters looked up in the catalogue by their rarest trigram."""
+    terms = _read(spark, d, "part").select(F.substring(F.col("p_name"), (1 + F.col("p_partkey") % 5).cast("int"), (F.col("p_partkey") % 6).cast("int")).alias("term")).distinct()
+    return sampling.term_hits(_catalog(spark, d), terms).groupBy("term").agg(F.count("*").alias("n_codes"), F.min("ord").alias("first_ord"))

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from notewright.errors import DatasetLoadError
+from notewright.sources.json_array import read_array
 
 SCHEMA = "code string, name string, is_billable boolean, category_code string, category_name string, diagnosis_category string, hcc_raf double"
 
@@ -34,16 +33,5 @@ def normalize(rows: DataFrame, variant: str = "doc", pos: str = "pos") -> DataFr
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array file as catalogue rows with their position; ``DatasetLoadError`` if it can't be read.
-
-    The array is parsed once as a variant and exploded with its positions.
-    """
-    try:
-        text = spark.read.text(path, wholetext=True)
-    except AnalysisException as e:
-        raise DatasetLoadError("catalogue not found", path=path) from e
-    parsed = text.select(F.try_parse_json("value").alias("doc"))
-    if parsed.where(F.col("doc").isNull() | ~F.schema_of_variant("doc").startswith("ARRAY")).head(1):
-        raise DatasetLoadError("catalogue is no JSON array", path=path)
-    parsed.createOrReplaceTempView("_catalog_text")
-    return normalize(spark.sql("SELECT e.pos, e.value AS doc FROM _catalog_text, LATERAL variant_explode(doc) e"))
+    """A JSON array as catalogue rows with their position, read by many tasks; ``DatasetLoadError`` if it can't be read."""
+    return normalize(read_array(spark, path).elements.select("pos", F.parse_json("text").alias("doc")))

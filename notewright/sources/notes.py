@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notewright.functions.text import falsy_array, falsy_coalesce, strip
+from notewright.sources.json_array import read_array
 
 #: Accepted spellings of the fields.
 ID_KEYS = ("note_id", "id")
@@ -14,15 +18,27 @@ CODE_KEYS = ("icd10_codes", "assigned_icd10_codes", "codes", "icd_codes")
 SAMPLE_SCHEMA = "messages array<struct<role:string,content:string>>, note_id string, metadata variant"
 
 
+@dataclass
+class Dataset:
+    """Raw notes (pos, doc) and the dataset's name."""
+
+    name: str
+    raw: DataFrame
+
+
+def read_dataset(spark: SparkSession, path: str) -> Dataset:
+    """The notes of a JSON array, or of an object's ``notes``, read by many tasks; ``DatasetLoadError`` for anything else.
+
+    The name is the object's ``dataset_name``, else the file's without its extension.
+    """
+    found = read_array(spark, path, "notes")
+    stem = re.sub(r"(?<=.)\.[^.]*$", "", path.rstrip("/").rsplit("/", 1)[-1])
+    return Dataset(stem if found.name is None else found.name, found.elements.select("pos", F.parse_json("text").alias("doc")))
+
+
 def read_raw_notes(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, doc): the notes of a JSON array, or of an object's ``notes``; an error for any other shape."""
-    text = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("doc"))
-    kind = F.schema_of_variant("doc")
-    inner = F.try_variant_get("doc", "$.notes", "variant")
-    notes = F.when(kind.startswith("ARRAY"), F.col("doc")).when(kind.startswith("OBJECT") & inner.isNotNull(), inner)
-    shaped = text.select(F.coalesce(notes, F.raise_error(F.lit("expected a JSON array, or an object with notes")).cast("variant")).alias("doc"))
-    shaped.createOrReplaceTempView("_raw_notes")
-    return spark.sql("SELECT e.pos, e.value AS doc FROM _raw_notes, LATERAL variant_explode(doc) e")
+    """(pos, doc) of ``read_dataset``."""
+    return read_dataset(spark, path).raw
 
 
 def normalize_notes(raw: DataFrame, profile_keys: tuple[str, ...] = ("profile",)) -> DataFrame:

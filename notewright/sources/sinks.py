@@ -6,15 +6,55 @@ import html
 import json
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from notewright.sources.scratch import table
 
-def write_json_array(rows: DataFrame, path: str, order: str | None = None) -> None:
-    """One text file holding a JSON array, nulls written; for results small enough for one file."""
-    item = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
-    listed = F.array_sort(F.collect_list(F.struct(F.col(order) if order else F.lit(0), item.alias("j"))))["j"]
-    rows.agg(F.concat(F.lit("[\n"), F.array_join(listed, ",\n"), F.lit("\n]"))).coalesce(1).write.mode("overwrite").text(path)
+
+def _array_lines(batches):
+    """Lines of one part: an item each, a comma after all but the array's last, brackets around its first and last."""
+    held, first = None, True
+    for b in batches:
+        lines = []
+        for item, begins, ends in zip(*(b.column(c).to_pylist() for c in ("item", "begins", "ends"))):
+            if held is not None:
+                lines.append(held[0] + ",")
+            if first and begins:
+                lines.append("[")
+            held, first = (item, ends), False
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([held[0], "]"] if held[1] else [held[0] + ","], pa.string())], ["value"])
+
+
+def write_json_array(rows: DataFrame, path: str, order: str | list[str] | None = None) -> None:
+    """A folder of text files that follow each other by name and together are one JSON array, nulls written.
+
+    Rows are sorted by ``order`` by ranges, so each part is written by a task of its own; without it they keep their order
+    and are written to a scratch table first.  No rows give an empty array.
+    """
+    if order is None:
+        rows, keys = table(rows.select("*", F.monotonically_increasing_id().alias("_at")), "items"), ["_at"]
+    else:
+        keys = [order] if isinstance(order, str) else order
+    written = [c for c in rows.columns if c != "_at"]
+    keyed = rows.select(F.struct(*keys).alias("k"), F.to_json(F.struct(*written), {"ignoreNullFields": "false"}).alias("item"))
+    ends = keyed.agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    if ends.head()["lo"] is None:
+        rows.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1).write.mode("overwrite").text(path)
+        return
+    by = [F.col(f"k.{c}") for c in keys]
+    marked = keyed.crossJoin(F.broadcast(ends)).select("k", "item", (F.col("k") == F.col("lo")).alias("begins"), (F.col("k") == F.col("hi")).alias("ends"))  # one row
+    marked.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_array_lines, "value string").write.mode("overwrite").text(path)
+
+
+def save_notes(notes: DataFrame, out_dir: str, prefix: str = "clinical_notes", at: datetime | None = None) -> str:
+    """Saves note records (``records.serialized``) as a JSON array by note_id, under a name stamped with the time; its path."""
+    path = f"{out_dir.rstrip('/')}/{prefix}_{(at or datetime.now()):%Y%m%d_%H%M%S}.json"
+    write_json_array(notes, path, "note_id")
+    return path
 
 
 def write_samples(samples: DataFrame, path: str) -> None:
