@@ -95,19 +95,21 @@ def _matrix(column: pd.Series, kind: type) -> np.ndarray:
 
 
 def quantize(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """vec_id, v: floor(256 * x) of each component, x as double.
+    """vec_id, v: floor(256 * x) of each component, x as double; whole numbers, as doubles, which hold them exactly.
 
-    Rows take no part whose id or vector is null, or that hold a component that is null, not finite, or (what
-    no result could hold) 2**55 or more, so that floor(256 * x) is no long.
+    Rows take no part whose id or vector is null, or that hold a component that is null or not finite.  So does a row with a
+    double of 2**1016 or more, 256 times which is beyond a double; no float is that large.
     """
-    usable = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 2.0**55)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("e"))
-    rows = rows.where(F.col("vec_id").isNotNull() & F.col("e").isNotNull() & F.forall("e", lambda x: F.coalesce(usable(x), F.lit(False))))
-    return rows.select("vec_id", F.transform("e", lambda x: F.floor(x * 256.0).cast("long")).alias("v"))
+    scaled = F.transform(F.col(vec_col).cast("array<double>"), lambda x: F.when(F.isnan(x), None).otherwise(x * 256.0))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), scaled.alias("e"))
+    usable = F.forall("e", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    # The floor of a double beyond 2**53 is itself; Spark's own goes by way of a long.
+    rows = rows.where(F.col("vec_id").isNotNull() & F.col("e").isNotNull() & usable)
+    return rows.select("vec_id", F.transform("e", lambda x: F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x)).alias("v"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = 2048, block_queries: int = 2048) -> DataFrame:
-    """The k best rows of ``vectors`` (vec_id, v array<long>) for each row of ``queries`` (the same columns).
+    """The k best rows of ``vectors`` (vec_id, v array<double> of whole numbers) for each row of ``queries`` (the same columns).
 
     query_id, rank (from 1), vec_id, score: by inner product, ties to the smaller vec_id.  Rows with the
     query's own id are no candidates; vectors meet those of their own dimension only.  A repeated vec_id is
