@@ -1,9 +1,10 @@
 """Toxicity scores by noisy-channel deobfuscation.
 
-A token that hides letters (leetspeak, separators, repetition, letters spaced
-out) becomes a lattice of the characters it may stand for; Viterbi decoding
-under a character trigram model restores it, and the restored text is scored by
-word and word-beginning features learned from labelled documents.
+A token that hides letters (leetspeak, separators, repetition), or several
+neighbouring tokens that blanks cut a word into, become a lattice of the characters
+they may stand for, blanks among them; Viterbi decoding under a character trigram
+model restores it, and the restored text is scored by word and word-beginning
+features learned from labelled documents.
 """
 
 from __future__ import annotations
@@ -33,6 +34,10 @@ _RUN = re.compile(r"(.)\1*", re.DOTALL)
 _LONG_RUN = re.compile(r"(.)\1\1", re.DOTALL)
 _DOUBLE = re.compile(r"(.)\1", re.DOTALL)
 LM_BITS = 18
+#: Letters that one disguise may stand for count as one when words cut by blanks are looked for.
+_ALIKE = {"l": "i", "g": "b"}
+_OUTLINE = bytes(ord(_ALIKE.get(c := LEET.get(chr(b), chr(b).lower())[0], c)) if b < 128 and chr(b) not in "*#" else b for b in range(256))
+_DROPPED = bytes(b for b in range(128) if not chr(b).isalnum() and (chr(b) not in LEET or chr(b) in "*#"))
 BEGIN, END = 2, 3
 
 
@@ -112,6 +117,15 @@ def readings(token: str, model: CharModel, least: int) -> list[str]:
     return found
 
 
+def outline(text: str) -> bytes:
+    """A lower-cased text as letters only: disguises as a letter they stand for, blanks and marks left out, runs drawn together."""
+    for sign in "€£¡":
+        if sign in text:
+            text = text.replace(sign, LEET[sign])
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(_OUTLINE, _DROPPED), np.uint8)
+    return raw[np.flatnonzero(np.diff(raw, prepend=np.uint8(0) if not len(raw) else raw[0] ^ 1))].tobytes()
+
+
 def restore(token: str, model: CharModel) -> str:
     """The most likely reading of ``token``."""
     return readings(token, model, len(token))[-1] if token else ""
@@ -144,6 +158,9 @@ class Scorer:
     def __post_init__(self):
         self.cache: dict[str, tuple[str, ...]] = {}
         self.whole = [f[1:] for f in self.weights if f[0] == "=" and len(f) > 4]
+        words = {f.lstrip("=") for f in self.weights if len(f.lstrip("=")) > 4} | set(self.whole)
+        self.outlines = {outline(w) for w in words if len(outline(w)) > 3}
+        self.begun = {o[:n] for o in self.outlines for n in range(1, len(o) + 1)}
 
     def _hits(self, word: str) -> list[str]:
         """The strongest feature of a word, if it has any."""
@@ -168,6 +185,23 @@ class Scorer:
         word = restore(letters, self.model)
         return self._hits(word) + ["=" + w for w in self.whole if w in word]
 
+    def cut_up(self, tokens: list[str]) -> list[str]:
+        """Features of words that blanks cut into several tokens, whole tokens each: the lattice of such a window, blanks
+        among its characters, is decoded where its outline is a known word's."""
+        found = []
+        for i, t in enumerate(tokens[:-1]):
+            if outline(t) not in self.begun:
+                continue
+            for j in range(i + 2, len(tokens) + 1):
+                window = " ".join(tokens[i:j])
+                o = outline(window)
+                if o in self.outlines:
+                    word = restore(_EDGE.sub("", window), self.model)
+                    found += self._hits(word) + ["=" + w for w in self.whole if w == word]
+                if o not in self.begun:
+                    break
+        return found
+
     def features(self, text: str | None) -> set[str]:
         tokens = text.lower().split() if text else []
         found, cache = set(), self.cache
@@ -188,6 +222,10 @@ class Scorer:
                 if len(run) >= 4:
                     found.update(self.spaced("".join(tokens[j] for j in run)))
                 run = [i]
+        if not found and tokens:
+            drawn = outline(" ".join(tokens))
+            if any(o in drawn for o in self.outlines):
+                found.update(self.cut_up(tokens))
         return found
 
     def score(self, text: str | None) -> float:

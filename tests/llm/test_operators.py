@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -385,6 +386,29 @@ def test_co_training_uses_the_whole_pool(spark):
     assert np.allclose(one.text.weights, many.text.weights, atol=1e-3) and np.allclose(one.meta.weights, many.meta.weights, atol=1e-3)
 
 
+@pytest.mark.parametrize("token", ["5tu", "1d1", "a.b", "aab", "s t", "$$a", "6o|", "x-y z", "*ll", "b", "aaa1"])
+def test_viterbi_against_all_readings(token):
+    """No reading of the lattice has a higher probability than the one decoded."""
+    rng = np.random.default_rng(7)
+    model = toxicity.CharModel(rng.integers(0, 50, 1 << toxicity.LM_BITS), rng.integers(50, 99, 1 << toxicity.LM_BITS), {})
+
+    def score(text):
+        s, a, b = 0.0, toxicity.BEGIN, toxicity.BEGIN
+        for c in [*map(ord, text), toxicity.END]:
+            s, a, b = s + model.log_prob(a, b, c), b, c
+        return s
+
+    best = {}
+    for ways in itertools.product(*toxicity.lattice(token)):
+        text = "".join(t for t, _ in ways)
+        best[text] = max(best.get(text, -1e9), score(text) + sum(w for _, w in ways))
+    assert best[toxicity.restore(token, model)] >= max(best.values()) - 1e-9
+
+
+def test_outline():
+    assert toxicity.outline("s. 5t upp 1 d") == b"stupid" and toxicity.outline("") == b"" and toxicity.outline("wo€l") == b"woei" and toxicity.outline(" .-") == b""
+
+
 def test_toxicity(spark, odd, empty, labels):
     got = toxicity.toxicity_scores(odd, labels).collect()
     assert len(got) == len(ODD) and all(0 <= r["score"] <= 1 for r in got)
@@ -392,9 +416,9 @@ def test_toxicity(spark, odd, empty, labels):
     assert toxicity.toxicity_scores(odd, labels.limit(0)).where("predicted = 1").count() == 0
     docs, known = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     scorer = toxicity.train(docs, known)
-    for bad in ("an 1d10t said", "m o r o n", "stuuupid", "$tup1d", "p4thetic!!", "w-o-r-t-h-l-e-s-s", "L.0.S.3.R"):
+    for bad in ("an 1d10t said", "m o r o n", "stuuupid", "$tup1d", "p4thetic!!", "w-o-r-t-h-l-e-s-s", "L.0.S.3.R", "st upid", "so stu pid, he", "s tup id", "you 5t up1d thing", "s. t. u. p. i. d.", "wor th 1ess"):
         assert scorer.score(bad) >= 0.3, bad
-    for good in ("The mail is abc12@x.com", "key 4f9a-77b1 of 2012", "", None, "a b c"):
+    for good in ("The mail is abc12@x.com", "key 4f9a-77b1 of 2012", "", None, "a b c", "must upidate", "a mor onion", "his tupid"):
         assert scorer.score(good) < 0.3, good
     tested = toxicity.toxicity_scores(docs, known).join(known, "doc_id").where("held_out")
     wrong = tested.where("predicted <> toxic").count()
