@@ -733,3 +733,19 @@ def test_pipeline_stages(spark):
         assert docs.columns == columns and got == dict(rows), name
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
     assert {r["doc_id"] for r in packed.select("doc_id").collect()} == set(dict(rows))
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd, empty, tmp_path):
+    """Null ids and texts, repeated rows, clashing columns, a long text: packed whole; nothing gives nothing."""
+    for name, docs in (("odd", odd), ("empty", empty)):
+        path = f"file://{tmp_path}/{name}"
+        docs.withColumn("n_chars", F.when(F.col("doc_id") != 7, F.col("n_chars"))).write.parquet(f"{path}/documents.parquet")
+        spark.read.parquet(f"{DATA}/labels.parquet").write.parquet(f"{path}/labels.parquet")
+        spark.createDataFrame([(1, None), (None, ""), (2, "no such words in any of them at all here today")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+        got = sorted(corpus_pipeline.run(spark, path).collect(), key=str)
+        assert (len(got) > 0) == (name == "odd")
+        if name == "odd":
+            ids = {r["doc_id"] for r in got}
+            # The line that 3, 4 and a null id share stays in 4, whose two rows are copies; what is left without words stays.
+            assert ids == {None, 1, 2, 3, 4, 7, 8, 9, 10, 11} and {i: [r["length"] > 1 for r in got if r["doc_id"] == i] for i in (3, 4)} == {3: [False], 4: [True]}
+            assert all(r["length"] <= 2048 for r in got) and sum(r["length"] for r in got if r["doc_id"] == 9) > 40_000
