@@ -1,7 +1,8 @@
 """A training corpus from the documents table: filter, dedup, decontaminate and pack.
 
 Each stage takes what its predecessor kept and returns the columns of documents,
-but for the last, which returns the packed pieces.
+but for the last, which returns the packed pieces.  Other columns of documents are
+left out.  An empty table gives no rows at any stage.
 """
 
 from __future__ import annotations
@@ -21,29 +22,46 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go."""
+    """Documents that score as toxic go.
+
+    Null and empty texts score as texts without any sign, and stay.  Rows that repeat an id, or have none, are scored each
+    by their own text.  Of several labels of an id the largest counts; a null one says nothing.
+    """
     return toxicity.remove_toxic(_documents(docs), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share stay in one; n_chars follows the text."""
+    """Lines that many documents share stay in one, that of the largest doc_id; n_chars follows the text.
+
+    Null texts stay null.  Rows with one doc_id are one document, and all are cleaned; rows without are one, smaller than
+    any other.  n_chars stays as it was, null or not, where no line goes.
+    """
     cleaned = line_dedup.dedup_lines(_documents(docs))
     size = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("rest.n_chars"))
     return cleaned.select("doc_id", "text", "rest.lang", "rest.source", size.alias("n_chars"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays, that of the smallest doc_id; of rows with that id and one text, one.
+
+    Texts without words, null or empty, are no duplicates of anything, and stay.
+    """
     return jaccard.one_of_each(_documents(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of the benchmark go."""
+    """Documents that hold a window of the benchmark go.
+
+    Texts and items without words, null or empty, hold and are no window.  Rows are judged each by their own text.
+    """
     return decontaminate.remove_contaminated(_documents(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into sequences of at most 2048 tokens."""
+    """What is left, packed into sequences of at most 2048 tokens.
+
+    A null text counts as empty: one closing token.  Rows that repeat an id, or have none, are packed each.
+    """
     return pack.pack_documents(_documents(docs), tokenizer_path("word_bpe_49k.json"))
 
 
