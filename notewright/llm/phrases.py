@@ -2,41 +2,50 @@
 
 The corpus is dealt into a few shards that are scanned in turn, round and round.
 Words are counted from the start.  A longer phrase becomes active in the step after
-both its beginning and its end (one word shorter each) have reached the threshold in
-what was scanned so far, and is counted for one full cycle of shards, whichever shard
-that begins with; lengths are thus counted side by side, in one scan.
-
-What has reached the threshold is told to the scans by a bit filter of fixed size,
-to which bits are only ever added.  So each phrase passes from some step on, and for
-the scans of a step "active" means: it passes the filter now, and did not a cycle ago.
-A filter that passes too much costs counting and nothing else: every phrase that it
-passes is counted for a whole cycle, so all counts are exact.
+both its beginning and its end (one word shorter each) have reached the threshold, and
+is counted for one full cycle of shards, whichever shard that begins with; lengths are
+thus counted side by side, in one scan.
+
+A phrase reaches the threshold when one shard holds its share of it (the threshold by
+the number of shards, rounded up): whatever reaches it in all reaches its share
+somewhere.  So no step needs the counts of another, and phrases that are rare in every
+shard, which are nearly all, are forgotten after their one shuffle.  What has reached
+the threshold is told to the scans by a bit filter of fixed size, to which bits are
+only ever added: "active" means that a phrase passes now and did not a cycle ago.  Scans
+count by the filter's bits; tasks send their counts, packed, to owners of ranges of bits.
+Phrases that share a bit are counted together, which costs counting and nothing else.
+
+An exact check follows: one more scan counts, by their words, the phrases that reached
+their share.  Scans see words as hashes only, computed for a whole chunk at once.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from notewright.llm.common import mix64, scratch_path, slices, table
+from notewright.llm.common import _powers, mix64, scratch_path, slices, table
 
 #: Bytes of text as letters of pieces: A-Z lower-cased, what ends a piece as ".", a tab as a blank.
 _PIECES = bytes(ord(".") if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _END = b"."
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-#: Text at a time, words and phrases that a task holds before it passes their counts on, and bits of a word's number.
-_CHUNK, _WORDS, _PHRASES, _BITS = 2_000_000, 400_000, 1_000_000, 21
+#: Text at a time, counts that a task holds before it passes them on, and bytes of names.
+_CHUNK, _COUNTS, _NAMES = 2_000_000, 2_000_000, 200_000_000
+#: Bits that one owner counts: a power of two; and the most that a count is told as.
+_RANGE, _ENOUGH = 20, 255
 #: Filters have 2**20 bits at least and 2**30 (128 MB) at most.
 _FEWEST, _MOST = 20, 30
 #: The counts of phrases are broadcast with at most so many rows and bytes of phrases; else joined by shuffles.
-_SMALL_ROWS, _SMALL_BYTES = 200_000, 16_000_000
-_COUNTED = "lang string, size int, phrase binary, n long, h long"
+_SMALL_ROWS, _SMALL_BYTES = 1_000_000, 32_000_000
+#: What bytes stand for in the two hashes of a word.
+_BYTES = [mix64(np.arange(256, dtype=np.uint64) + np.uint64(k)) for k in (1, 1 << 40)]
 
 
 def chunks(texts: list[bytes]) -> Iterator[bytes]:
@@ -58,227 +67,242 @@ def chunks(texts: list[bytes]) -> Iterator[bytes]:
 
 
 class BitFilter:
-    """A set of 64-bit hashes with two bits each; may hold more than was added."""
+    """A set of hashes with one bit each; may hold more than was added."""
 
     def __init__(self, bits: int):
-        self.words = np.zeros(max(1, (1 << bits) >> 6), np.uint64)
-        self.mask = np.uint64((1 << bits) - 1)
+        self.bits = bits
+        self.words = np.zeros(max(1, (1 << bits) >> 3), np.uint8)
 
-    def __contains__(self, h) -> bool:
-        return bool(self.has(np.array([h], np.uint64))[0])
+    def places(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - self.bits)).astype(np.uint32)
 
     def has(self, h: np.ndarray) -> np.ndarray:
-        found = np.ones(len(h), bool)
-        for p in (h & self.mask, (h >> np.uint64(32)) & self.mask):
-            found &= (self.words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
-        return found
-
-    def with_words(self, at: np.ndarray, bits: np.ndarray) -> BitFilter:
-        out = BitFilter(0)
-        out.words, out.mask = self.words.copy(), self.mask
-        out.words[at] |= bits
+        p = self.places(h)
+        return (self.words[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+
+    def with_bits(self, places: np.ndarray) -> BitFilter:
+        out = BitFilter(self.bits)
+        np.copyto(out.words, self.words)
+        np.bitwise_or.at(out.words, places >> 3, (1 << (places & 7)).astype(np.uint8))
         return out
 
 
-def _places(h: Column, bits: int) -> Column:
-    """The two (word, bit) places of a hash in a filter."""
-    both = F.array(F.lit(0).cast("long") + h.bitwiseAND(F.lit((1 << bits) - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit((1 << bits) - 1)))
-    return F.transform(both, lambda p: F.struct(F.shiftright(p, 6).alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)).cast("int")).alias("bit")))
-
-
-def distinct_rows(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows of a matrix of word numbers, and the sums of ``n`` over equal ones."""
-    if not len(ids):
-        return ids, n
-    keys = [ids[:, i].astype(np.int64) for i in range(ids.shape[1])]
-    if ids.max() < 1 << _BITS:
-        packed = []
-        for i in range(0, len(keys), 3):
-            key = keys[i]
-            for k in keys[i + 1 : i + 3]:
-                key = key << _BITS | k
-            packed.append(key)
-        keys = packed
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = reduce(np.logical_or, (k[order][1:] != k[order][:-1] for k in keys))
-    starts = np.flatnonzero(fresh)
-    return ids[order[starts]], np.add.reduceat(n[order], starts)
-
-
-class Counter:
-    """Counts of one language in one task: of all words, where asked for, and of active phrases."""
-
-    def __init__(self, lang: str, longest: int, now: BitFilter, old: BitFilter, words: bool):
-        self.lang, self.longest, self.now, self.old, self.count_words = lang, longest, now, old, words
-        self.seed = xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass"))
-        self.reset()
-
-    def reset(self) -> None:
-        self.names: list[bytes] = [_END]
-        self.number = _Numbers(self.names)
-        self.hashes, self.reached, self.before = np.zeros(1, np.uint64), np.zeros(1, bool), np.zeros(1, bool)
-        self.n_words = np.zeros(1, np.int64)
-        self.found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        self.held = 0
-
-    def add(self, data: bytes) -> None:
-        said = data.replace(_END, b" . ").split()
-        ids = np.fromiter(map(self.number.__getitem__, said), np.int32, len(said))
-        fresh = self.names[len(self.hashes) :]
-        if fresh:
-            h = np.array([xxhash.xxh3_64_intdigest(w, self.seed) for w in fresh], np.uint64)
-            self.hashes = np.concatenate((self.hashes, h))
-            self.reached, self.before = np.concatenate((self.reached, self.now.has(h))), np.concatenate((self.before, self.old.has(h)))
-        if self.count_words:
-            n = np.bincount(ids, minlength=len(self.names))
-            n[: len(self.n_words)] += self.n_words
-            self.n_words = n
-        reached, before, h = self.reached[ids], self.before[ids], self.hashes[ids]
-        at = np.arange(len(ids))  # where a phrase begins whose last word is ``size - 1`` words on
-        first = h
-        for size in range(2, self.longest + 1):
-            both = np.zeros(len(ids), bool)
-            both[:-1] = reached[:-1] & reached[1:]  # beginning and end have reached the threshold
-            done = np.zeros(len(ids), bool)
-            done[:-1] = before[:-1] & before[1:]  # and had a cycle ago
-            at = np.flatnonzero(both)
+class Scan:
+    """The words of a chunk of one language: their hashes, where they begin and end, and which go on to the next in one piece."""
+
+    def __init__(self, data: bytes, lang: str):
+        self.data = data
+        self.seed = np.uint64(xxhash.xxh3_64_intdigest(lang.encode("utf-8", "surrogatepass")))
+        buf = np.frombuffer(data, np.uint8)
+        ends = np.cumsum(buf == _END[0], dtype=np.int32)
+        edges = np.flatnonzero(np.diff(((buf != 32) & (buf != _END[0])).view(np.int8), prepend=0, append=0))
+        self.starts, self.ends = edges[0::2], edges[1::2]
+        self.joined = ends[self.starts[1:]] == ends[self.ends[:-1] - 1]
+        self.hash = self._hashes(_BYTES[0])
+
+    def _hashes(self, values: np.ndarray) -> np.ndarray:
+        buf = np.frombuffer(self.data, np.uint8)
+        with np.errstate(over="ignore"):
+            p, q = _powers(len(buf) + 1)
+            prefix = np.zeros(len(buf) + 1, np.uint64)
+            np.cumsum(values[buf] * p[: len(buf)], out=prefix[1:])
+            return mix64((prefix[self.ends] - prefix[self.starts]) * q[self.starts] + (self.ends - self.starts).astype(np.uint64) + self.seed)
+
+    def other(self) -> np.ndarray:
+        """A second hash of each word, independent of the first."""
+        return self._hashes(_BYTES[1])
+
+    def phrases(self, longest: int, now: BitFilter, old: BitFilter | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """By size from 2 on: where phrases begin whose beginning and end pass ``now``, and not both ``old``; and their hashes."""
+        h, n = self.hash, len(self.hash)
+        key, both = h, self.joined
+        for size in range(2, longest + 1):
+            reached = now.has(key) if size == 2 else reached
+            before = (old.has(key) if old else np.zeros(n, bool)) if size == 2 else before
+            at = np.flatnonzero(reached[:-1] & reached[1:] & both)
             if not len(at):
-                break
-            active = at[~done[at]]
-            if len(active):
-                rows, n = distinct_rows(np.stack([ids[active + i] for i in range(size)], axis=1), np.ones(len(active), np.int64))
-                self.found.setdefault(size, []).append((rows, n))
-                self.held += len(rows)
-            if size < self.longest:
-                with np.errstate(over="ignore"):
-                    own = mix64(first[at] * _MULTIPLIER + h[at + size - 1])
-                first = np.zeros(len(ids), np.uint64)
-                first[at] = own
-                reached, before = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
-                reached[at], before[at] = self.now.has(own), self.old.has(own)
-        if self.held > _PHRASES:
-            self.merge()
-
-    def merge(self) -> None:
-        for size, parts in self.found.items():
-            self.found[size] = [distinct_rows(np.concatenate([r for r, _ in parts]), np.concatenate([n for _, n in parts]))]
-        self.held = sum(len(r) for parts in self.found.values() for r, _ in parts)
-
-    def full(self) -> bool:
-        return len(self.names) > _WORDS or self.held > _PHRASES
-
-    def counted(self) -> Iterator[pa.RecordBatch]:
-        """What was counted; then begins anew."""
-        self.merge()
-        if self.count_words:
-            ids = np.flatnonzero(self.n_words)
-            yield from self._rows(1, ids[ids > 0][:, None], self.n_words[ids[ids > 0]])
-        for size, ((ids, n),) in self.found.items():
-            yield from self._rows(size, ids, n)
-        self.reset()
-
-    def _rows(self, size: int, ids: np.ndarray, n: np.ndarray, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+                return
+            with np.errstate(over="ignore"):
+                own = mix64(key[at] * _MULTIPLIER + h[at + size - 1])
+            active = ~(before[at] & before[at + 1])
+            yield size, at[active], own[active]
+            if size < longest:
+                key = np.zeros(n, np.uint64)
+                key[at] = own
+                reached, before, both = np.zeros(n, bool), np.zeros(n, bool), np.True_
+                reached[at] = now.has(own)
+                if old:
+                    before[at] = old.has(own)
+
+    def named(self, at: np.ndarray, size: int, keys: np.ndarray, other: np.ndarray) -> Iterator[tuple[bytes, int, int]]:
+        """Distinct phrases of ``size`` words that begin ``at``: name, count and hash.  Two hashes tell them apart."""
+        check = other[at]
         with np.errstate(over="ignore"):
-            h = self.hashes[ids[:, 0]]
             for i in range(1, size):
-                h = mix64(h * _MULTIPLIER + self.hashes[ids[:, i]])
-        for a in range(0, len(ids), rows):
-            names = [b" ".join([self.names[i] for i in row]) for row in ids[a : a + rows].tolist()]
-            m = len(names)
-            columns = [pa.array([self.lang] * m, pa.string()), pa.array([size] * m, pa.int32()), pa.array(names, pa.binary()), pa.array(n[a : a + rows]), pa.array(h[a : a + rows].view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "size", "phrase", "n", "h"])
-
+                check = mix64(check * _MULTIPLIER + other[at + i])
+        order = np.lexsort((check, keys))
+        k, c = keys[order], check[order]
+        first = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])))) if len(k) else order
+        n = np.diff(first, append=len(order))
+        a, b = self.starts[at[order[first]]].tolist(), self.ends[at[order[first]] + size - 1].tolist()
+        for x, y, m, h in zip(a, b, n.tolist(), k[first].tolist()):
+            yield b" ".join(self.data[x:y].split()) if size > 1 else self.data[x:y], m, h
+
+
+def _texts_by_lang(batches) -> Iterator[dict[str, list[bytes]]]:
+    for b in slices(batches, 500):
+        out: dict[str, list[bytes]] = {}
+        for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
+            out.setdefault(lang, []).append(text)
+        yield out
+
+
+def _packed(places: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorted places and their counts by owner: places within its range, and counts of a byte, which is enough for any share."""
+    owner = places >> _RANGE
+    starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else []
+    rows = []
+    for a, b in zip(starts, [*starts[1:], len(owner)]):
+        rows.append((int(owner[a]), (places[a:b] & ((1 << _RANGE) - 1)).astype("<u4").tobytes(), np.minimum(n[a:b], _ENOUGH).astype(np.uint8).tobytes()))
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary()))], ["owner", "places", "n"])
+
+
+def _reached(shard: DataFrame, longest: int, filters, words: bool, share: int) -> DataFrame:
+    """(place): the filter's bits whose words, if asked for, and active phrases ``shard`` holds ``share`` times or more."""
 
-class _Numbers(dict):
-    """Numbers words as they come; ``names`` has them by number."""
-
-    def __init__(self, names: list[bytes]):
-        super().__init__({w: i for i, w in enumerate(names)})
-        self.names = names
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = at = len(self.names)
-        self.names.append(word)
-        return at
+    def run(batches):
+        now, old = filters.value
+        found, counts, held = [], [], 0
 
+        def counted():
+            nonlocal found, counts, held
+            if found:
+                places, at = np.unique(np.concatenate(found), return_inverse=True)
+                yield from _packed(places, np.bincount(at, np.concatenate(counts), len(places)))
+            found, counts, held = [], [], 0
 
-def _scan(shard: DataFrame, longest: int, filters, words: bool) -> DataFrame:
-    """Counts of one shard: lang, size, phrase, n, h."""
+        for by_lang in _texts_by_lang(batches):
+            for lang, texts in by_lang.items():
+                for data in chunks(texts):
+                    scan = Scan(data, lang)
+                    for h in ([scan.hash] if words else []) + [h for _, _, h in scan.phrases(longest, now, old)]:
+                        places, n = np.unique(now.places(h), return_counts=True)
+                        found.append(places)
+                        counts.append(n)
+                        held += len(places)
+                    if held > _COUNTS:
+                        yield from counted()
+        yield from counted()
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros(1 << _RANGE, np.uint32)
+        for places, n in zip(rows.column("places").to_pylist(), rows.column("n").to_pylist()):
+            total[np.frombuffer(places, "<u4")] += np.frombuffer(n, np.uint8)
+        place = np.flatnonzero(total >= share) + (rows.column("owner")[0].as_py() << _RANGE)
+        return pa.table({"place": pa.array(place, pa.int64())})
+
+    return shard.mapInArrow(run, "owner long, places binary, n binary").groupBy("owner").applyInArrow(add, "place long")
+
+
+def _named(docs: DataFrame, longest: int, final, owners: int, least: int) -> DataFrame:
+    """(lang, size, phrase, f): exact counts of the words and phrases that pass ``final``, from ``least`` on; of size 0 the
+    number of all words.  Tasks send names and counts, packed, to owners of ranges of hashes, who add them up by name."""
 
     def run(batches):
-        now, old = filters.value
-        own: dict[str, Counter] = {}
-        for b in slices(batches, 500):
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                by_lang.setdefault(lang, []).append(text)
+        passes = final.value
+        shift = 64 - owners.bit_length() + 1
+        found: dict[tuple[str, int], dict[bytes, list[int]]] = {}
+        held = 0
+
+        def counted():
+            nonlocal held
+            for (lang, size), names in found.items():
+                by_owner: dict[int, list[tuple[bytes, int]]] = {}
+                for name, (n, h) in names.items():
+                    by_owner.setdefault(h >> shift, []).append((name, n))
+                for owner, rows in by_owner.items():
+                    rows.sort()
+                    packed = (owner, lang, size, zlib.compress(b"\n".join([name for name, _ in rows]), 1), zlib.compress(np.array([n for _, n in rows], "<u8").tobytes(), 1))
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(packed, (pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary()))], ["owner", "lang", "size", "names", "n"])
+            found.clear()
+            held = 0
+
+        def add(lang: str, size: int, rows) -> None:
+            nonlocal held
+            names = found.setdefault((lang, size), {})
+            for name, n, h in rows:
+                if name in names:
+                    names[name][0] += n
+                else:
+                    names[name] = [n, h]
+                    held += len(name) + 250  # with what a dictionary needs
+
+        for by_lang in _texts_by_lang(batches):
             for lang, texts in by_lang.items():
-                c = own.get(lang) or own.setdefault(lang, Counter(lang, longest, now, old, words))
                 for data in chunks(texts):
-                    c.add(data)
-                    if c.full():
-                        yield from c.counted()
-            if sum(len(c.names) for c in own.values()) > 2 * _WORDS:  # many languages
-                for c in own.values():
-                    yield from c.counted()
-                own.clear()
-        for c in own.values():
-            yield from c.counted()
-
-    counted = shard.mapInArrow(run, _COUNTED)
-    return counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.first("h").alias("h"))
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionAll, frames)
-
-
-def count_phrases(docs: DataFrame, longest: int = 4, least: int = 30, shards: int = 4) -> tuple[DataFrame, DataFrame]:
+                    scan = Scan(data, lang)
+                    add(lang, 0, [(b"", len(scan.hash), 0)])
+                    other, at = scan.other(), np.flatnonzero(passes.has(scan.hash))
+                    add(lang, 1, scan.named(at, 1, scan.hash[at], other))
+                    for size, at, h in scan.phrases(longest, passes):
+                        own = passes.has(h)
+                        add(lang, size, scan.named(at[own], size, h[own], other))
+                    if held > _NAMES:
+                        yield from counted()
+        yield from counted()
+
+    def total(rows: pa.Table) -> pa.Table:
+        out: dict[tuple[str, int], dict[bytes, int]] = {}
+        for lang, size, names, n in zip(*(rows.column(c).to_pylist() for c in ("lang", "size", "names", "n"))):
+            own = out.setdefault((lang, size), {})
+            for name, m in zip(zlib.decompress(names).split(b"\n"), np.frombuffer(zlib.decompress(n), "<u8").tolist()):
+                own[name] = own.get(name, 0) + m
+        found = [(lang, size, name, n) for (lang, size), names in out.items() for name, n in names.items() if n >= least or size == 0]
+        columns = list(zip(*found)) or [[]] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.int64()))], names=["lang", "size", "phrase", "f"])
+
+    packed = docs.mapInArrow(run, "owner long, lang string, size int, names binary, n binary")
+    counted = packed.groupBy("owner").applyInArrow(total, "lang string, size int, phrase binary, f long")
+    return counted.select("lang", "size", F.col("phrase").cast("string").alias("phrase"), "f")
+
+
+def count_phrases(docs: DataFrame, longest: int = 4, least: int = 30, shards: int = 3) -> tuple[DataFrame, DataFrame]:
     """Exact counts by dynamic itemset counting: (lang, size, phrase, f) with f >= ``least``, and (lang, n) of all words.
 
     ``docs`` has lang and text (binary), neither null.  A phrase's occurrences are contiguous, within pieces, overlaps included.
     """
     spark = docs.sparkSession
+    if not 0 < -(-least // shards) <= _ENOUGH:
+        raise ValueError(f"a shard's share of the threshold must be 1 to {_ENOUGH}")
     path = scratch_path(spark, "phrase-shards")
     dealt = docs.select("lang", "text", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
     dealt.write.option("compression", "zstd").partitionBy("shard").parquet(path)
     dealt = spark.read.schema("lang string, text binary, shard int").parquet(path)
     size = dealt.agg(F.sum(F.octet_length("text")).alias("size")).head()["size"] or 0
     bits = min(_MOST, max(_FEWEST, (size // 8).bit_length()))
-    filters, steps = [BitFilter(bits)], []
-    none = filters[0]
-    while True:
-        t = len(steps)
-        now, old = filters[t], filters[t - shards] if t >= shards else none
-        if t >= shards and np.array_equal(now.words, old.words):
-            break  # all that is active has completed its cycle
-        shared = spark.sparkContext.broadcast((now, old))
-        steps.append(table(_scan(dealt.where(F.col("shard") == t % shards).select("lang", "text"), longest, shared, t < shards), f"phrases-{t}"))
-        shared.unpersist()
-        cycle = _union(steps[max(0, t + 1 - shards) :]).where(F.col("size") < longest)
-        if t >= shards:
-            cycle = cycle.where(F.col("size") > 1)
-        reached = cycle.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.first("h").alias("h")).where(F.col("n") >= least)
-        set_bits = reached.select(F.inline(_places(F.col("h"), bits))).groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()  # the filter's words at most
-        filters.append(now.with_words(set_bits.column("at").to_numpy(), set_bits.column("bit").to_numpy().view(np.uint64)))
+    none = BitFilter(bits)
+    filters, t = [none], 0
+    while t < shards or not np.array_equal(filters[t].words, filters[t - shards].words):  # until all that is active has completed its cycle
+        shared = spark.sparkContext.broadcast((filters[t], filters[t - shards] if t >= shards else none))
+        shard = dealt.where(F.col("shard") == t % shards).select("lang", "text")
+        reached = _reached(shard, longest, shared, t < shards, -(-least // shards))
+        filters.append(filters[t].with_bits(reached.toArrow().column("place").to_numpy()))  # the filter's bits at most
         if t >= shards:
             filters[t - shards] = none  # not needed again
-    counts = _union(steps).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    counts = table(counts.select("lang", "size", F.col("phrase").cast("string").alias("phrase"), "f"), "phrase-counts")
-    words = _union(steps[:shards]).where(F.col("size") == 1).groupBy("lang").agg(F.sum("n").alias("n"))
-    return counts, words
+        shared.unpersist()
+        t += 1
+    final = spark.sparkContext.broadcast(filters[t])
+    counts = table(_named(dealt.select("lang", "text"), longest, final, 1 << min(12, max(4, bits - 20)), least), "phrase-counts")
+    final.unpersist()
+    return counts.where(F.col("size") > 0), counts.where(F.col("size") == 0).select("lang", F.col("f").alias("n"))
 
 
 def _with_part(cuts: DataFrame, counts: DataFrame, part: str, name: str, small: bool) -> DataFrame:
-    """Adds the count of the phrase in column ``part``.  A part of very many candidates meets sixteen copies of its count."""
+    """Adds the count of the phrase in column ``part``.  Where counts are too many to be broadcast, a word that very many
+    candidates begin or end with makes a large partition, which adaptive execution splits."""
     found = counts.select(F.col("lang").alias("_lang"), F.col("phrase").alias("_part"), F.col("f").alias(name))
-    same = (F.col("lang") == F.col("_lang")) & (F.col(part) == F.col("_part"))
-    if small:
-        return cuts.join(F.broadcast(found), same).drop("_lang", "_part")
-    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    salted = cuts.withColumn("_salt", F.pmod(F.xxhash64("phrase", "k"), F.lit(16)).cast("int"))
-    return salted.join(copies, same & (F.col("_salt") == F.col("_copy"))).drop("_lang", "_part", "_copy", "_salt")
+    return cuts.join(F.broadcast(found) if small else found, (F.col("lang") == F.col("_lang")) & (F.col(part) == F.col("_part"))).drop("_lang", "_part")
 
 
 def score_candidates(counts: DataFrame, scale: int = 2_000_000) -> DataFrame:
@@ -303,7 +327,7 @@ def contained(counts: DataFrame) -> DataFrame:
     return inner.select("lang", F.array_join(F.slice("w", F.col("i"), F.col("m")), " ").alias("phrase"), "f").groupBy("lang", "phrase").agg(F.max("f").alias("f"))
 
 
-def mine_phrases(docs: DataFrame, longest: int = 4, least: int = 30, top: int | None = 2000, share: int = 80, scale: int = 2_000_000, shards: int = 4) -> DataFrame:
+def mine_phrases(docs: DataFrame, longest: int = 4, least: int = 30, top: int | None = 2000, share: int = 80, scale: int = 2_000_000, shards: int = 3) -> DataFrame:
     """Collocations of ``docs`` (text, lang): lang, rank, phrase, a, l, r, n, score.
 
     Texts, A-Z lower-cased, fall into pieces at ``.,;:!?`` and line ends, and these into words at blanks and tabs.

@@ -64,7 +64,7 @@ def test_full_filters_and_small_buffers_change_nothing(spark, monkeypatch):
     """A filter that passes almost everything, buffers of a few words, and joins by shuffles: the same counts."""
     rows = corpus(120, 5)
     want = brute(rows, 4, 6, 2000)
-    for name, value in (("_FEWEST", 6), ("_MOST", 6), ("_CHUNK", 50), ("_WORDS", 5), ("_PHRASES", 10), ("_SMALL_ROWS", 0)):
+    for name, value in (("_FEWEST", 6), ("_MOST", 6), ("_CHUNK", 50), ("_NAMES", 50), ("_COUNTS", 10), ("_SMALL_ROWS", 0)):
         monkeypatch.setattr(phrases, name, value)
     docs = frame(spark, rows).select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     counts, words = phrases.count_phrases(docs, 4, 6, 4)
@@ -80,30 +80,33 @@ def test_phrases_of_nothing(spark):
     assert mined(spark, []) == [] and mined(spark, [("en", None), (None, "")]) == [] and mined(spark, [("en", "a b c")]) == []
 
 
-def test_a_phrase_is_counted_for_one_cycle(spark):
-    """Each shard's scan counts a phrase once: the sums of all steps are its occurrences, and no phrase is in more steps than a cycle has."""
-    rows = corpus(160)
-    steps = []
-    real = phrases.table
-    with pytest.MonkeyPatch.context() as m:
-        m.setattr(phrases, "table", lambda df, name, *a: steps.append((name, real(df, name, *a))) or steps[-1][1])
-        mined(spark, rows, least=5, shards=4)
-    scans = [df.where("size > 1").collect() for name, df in steps if re.fullmatch(r"phrases-\d+", name)]
-    seen = Counter((r["lang"], bytes(r["phrase"])) for s in scans for r in s)
-    first = {}
-    for t, s in enumerate(scans):
-        for r in s:
-            first.setdefault((r["lang"], bytes(r["phrase"])), t)
-            assert t - first[r["lang"], bytes(r["phrase"])] < 4
-    assert max(seen.values()) <= 4 and len(set(first.values())) > 2  # lengths begin at several steps
+def test_phrases_are_counted_for_one_cycle(spark):
+    """A scan counts what passes now and did not a cycle ago; all lengths at once."""
+    rows = [("en", "a b c d e")] * 12 + [("en", "f g")] * 3 + [("en", "x y z")] * 12
+    none, full = phrases.BitFilter(10), phrases.BitFilter(10)
+    full.words[:] = 255
 
+    def at(now, old):
+        return [(size, at.tolist()) for size, at, _ in phrases.Scan(b"a b c.d e f g", "en").phrases(4, now, old)]
+
+    assert at(full, none) == at(full, None) == [(2, [0, 1, 3, 4, 5]), (3, [0, 3, 4]), (4, [3])]
+    assert [x for _, x in at(full, full)] == [[], [], []] and at(none, none) == []
+    assert mined(spark, rows, least=10, shards=3) == brute(rows, 4, 10, 2000)
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.lists(st.integers(0, 3), min_size=2, max_size=4), max_size=30), st.integers(2, 4), st.booleans())
-def test_distinct_rows(rows, size, large):
-    ids = np.array([(r * 4)[:size] for r in rows], np.int32).reshape(-1, size) * (1 << 22 if large else 1)
-    got, n = phrases.distinct_rows(ids, np.ones(len(ids), np.int64))
-    assert dict(zip(map(tuple, got.tolist()), n.tolist())) == Counter(map(tuple, ids.tolist()))
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="aB. \t\n,é", max_size=60), st.integers(1, 3))
+def test_scan_finds_words_and_phrases(text, size):
+    """Words, the ends of pieces, and distinct phrases with their counts, whatever blanks are between words."""
+    data = text.encode().translate(phrases._PIECES)
+    scan = phrases.Scan(data, "en")
+    words = [[w for w in p.split()] for p in data.split(b".")]
+    assert [data[a:b] for a, b in zip(scan.starts.tolist(), scan.ends.tolist())] == [w for p in words for w in p]
+    full = phrases.BitFilter(8)
+    full.words[:] = 255
+    found = [(1, np.arange(len(scan.hash)), scan.hash), *scan.phrases(3, full)]
+    got = {name: n for m, at, h in found if m == size for name, n, _ in scan.named(at, m, h, scan.other())}
+    assert got == Counter(b" ".join(p[i : i + size]) for p in words for i in range(len(p) - size + 1))
 
 
 @settings(max_examples=60, deadline=None)
@@ -114,3 +117,11 @@ def test_chunks_lose_nothing(texts, size):
         m.setattr(phrases, "_CHUNK", size)
         got = [w for c in phrases.chunks(raw) for p in c.split(b".") for w in [p.split()] if w]
     assert sorted(got) == sorted(w for t in raw for p in t.translate(phrases._PIECES).split(b".") for w in [p.split()] if w)  # short texts may come later
+
+
+def test_counts_are_packed_whole():
+    """Owners get every place once, with counts of up to a byte."""
+    places, n = np.array([1, 5, 2**20 - 1, 2**20, 7 * 2**20 + 3], np.uint32), np.array([1, 300, 2, 3, 4])
+    rows = [r for b in phrases._packed(places, n) for r in b.to_pylist()]
+    got = [(r["owner"] * 2**20 + int(p), int(c)) for r in rows for p, c in zip(np.frombuffer(r["places"], "<u4"), np.frombuffer(r["n"], np.uint8))]
+    assert got == [(1, 1), (5, 255), (2**20 - 1, 2), (2**20, 3), (7 * 2**20 + 3, 4)] and list(phrases._packed(places[:0], n[:0])) == []
