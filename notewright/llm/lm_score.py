@@ -7,7 +7,7 @@ predicted by several models: the tree's own counts, and hashed contexts of the
 words, or of the bytes of the word, before it.  A hashed slot's counts of zeros
 and ones over the whole training corpus are a state, whose log odds come from
 what followed that state in training.  The log odds are combined by weights that
-a gate chooses (how deep the bit lies, which contexts have been seen); while a
+a gate chooses (how deep the bit lies, how well its contexts are known); while a
 text is read, each gate's weights are refined block by block from the bits
 already coded.  The total of code lengths is the text's log probability: bits
 per byte, or log10 as asked.
@@ -42,17 +42,16 @@ MAX_WORDS = (1 << SYMBOL_BITS) - 512  # symbols of the word tree; other tokens a
 TABLES = 3  # of words: the word before, the two before, their last letters; of bytes: the last three, the last five, the word so far
 LEVELS = 16
 GROUP_BYTES = 200_000  # word numbers of the texts that are laid out together
-LEAST_VISITS = 6  # bits of a context that training met less often are not kept
 STATES = 32
 
 
 def slot_bits(n_bytes: int, most: int = 30) -> int:
     """Slots of a word context, as a power of two, for ``n_bytes`` of training text.
 
-    They grow as the text's square root, as vocabularies do: 2**22 for 100 MB, 2**26 for 50 GB; ``most`` bounds
+    They grow as the text's square root, as vocabularies do: 2**23 for 100 MB, 2**27 for 50 GB; ``most`` bounds
     a task's memory (a slot is two bytes while weights are fitted, then one).  A byte context has a quarter of them.
     """
-    return max(12, min(most, int(22.5 + 0.5 * math.log2(max(1, n_bytes) / 2**27))))
+    return max(12, min(most, int(23.5 + 0.5 * math.log2(max(1, n_bytes) / 2**27))))
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -289,11 +288,8 @@ def _unpack_pairs(batches: Iterator[pa.RecordBatch], held: list[Layout]) -> tupl
     return at, owner, pairs
 
 
-def bit_counts(keys: np.ndarray, counts: np.ndarray, code: Code, tree: int, layout: Layout, least: int = LEAST_VISITS) -> np.ndarray:
-    """Zeros and ones of an owner's slots from its sorted pairs: for each context, down the tree from the root.
-
-    A node is kept while training came by it ``least`` times in this context.
-    """
+def bit_counts(keys: np.ndarray, counts: np.ndarray, code: Code, tree: int, layout: Layout) -> np.ndarray:
+    """Zeros and ones of an owner's slots from its sorted pairs: for each context, down the tree from the root."""
     mask = (1 << layout.own) - 1
     context = keys >> np.uint64(SYMBOL_BITS)
     symbol = code.leaves[tree][(keys & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.int64)] + tree * (code.escape + 1)
@@ -306,15 +302,13 @@ def bit_counts(keys: np.ndarray, counts: np.ndarray, code: Code, tree: int, layo
         cut = np.flatnonzero(apart)
         one = path >> np.uint64(63 - depth) & np.uint64(1)
         visits = np.add.reduceat(counts, cut)
-        kept = visits >= least
-        ones = np.add.reduceat(counts * one.astype(np.int64), cut)[kept]
-        at, visited = cut[kept], visits[kept]
-        slot = first[at] ^ (code.node[code.start[symbol[at]] + depth] & mask)
-        total[0] += np.bincount(slot, visited - ones, mask + 1)
+        ones = np.add.reduceat(counts * one.astype(np.int64), cut)
+        slot = first[cut] ^ (code.node[code.start[symbol[cut]] + depth] & mask)
+        total[0] += np.bincount(slot, visits - ones, mask + 1)
         total[1] += np.bincount(slot, ones, mask + 1)
         apart[1:] |= one[1:] != one[:-1]
         depth += 1
-        stay = np.flatnonzero(np.repeat(kept, np.diff(np.append(cut, len(symbol)))) & (code.length[symbol] > depth))
+        stay = np.flatnonzero(code.length[symbol] > depth)
         group = np.cumsum(apart)[stay]
         symbol, counts, first, path = symbol[stay], counts[stay], first[stay], path[stay]
         apart = np.ones(len(symbol), bool)
@@ -344,6 +338,10 @@ def _states() -> tuple[np.ndarray, np.ndarray]:
 
 STATE, STATE_WITHOUT = _states()
 
+#: What a gate sees of a state: never met, one side once or twice, one side more often, both sides.
+KIND = np.array([0] + 2 * [1, 1, 2, 2, 2, 2] + [3] * (STATES - 13), np.uint8)
+KINDS = 4
+
 
 # Bits and their mixing
 
@@ -368,7 +366,7 @@ class Stream:
         self.__dict__ = state | {"tables": [np.frombuffer(unpack(raw), kind) for kind, raw in state["tables"]]}
 
 
-GATES = 3 << TABLES
+GATES = 3 * KINDS**TABLES
 CELLS = 3 * LEVELS * STATES**TABLES * 2
 
 
@@ -389,11 +387,11 @@ def layout_bits(code: Code, stream: Stream, symbols: np.ndarray, contexts: list[
 
 
 def gates(node: np.ndarray, states: list[np.ndarray]) -> np.ndarray:
-    """The weight set of each bit: by depth (0, 1, more) and which contexts have been seen."""
+    """The weight set of each bit: by depth (0, 1, more) and the kinds of the contexts' states."""
     out = (node >> 33 & 3).astype(np.uint8)
     for s in states:
-        out <<= 1
-        out |= s != 0
+        out *= KINDS
+        out += KIND.take(s)
     return out
 
 
@@ -433,7 +431,7 @@ def fit(counted: np.ndarray, stream: Stream, passes: int = 30) -> None:
     x = np.stack([(index[1] * 4 + 1.5) / 16 - 2, *(stream.odds[i][index[2 + i]] for i in range(TABLES))])
     gate = index[0].copy()
     for i in range(TABLES):
-        gate = gate << 1 | (index[2 + i] != 0)
+        gate = gate * KINDS + KIND[index[2 + i]]
     start = np.array([1.0] + [0.0] * TABLES)
     stream.weights = np.tile(start, (GATES, 1))
     for g in range(GATES):
@@ -459,7 +457,7 @@ def block_of(place: np.ndarray) -> np.ndarray:
 
 
 def code_lengths(code: Code, stream: Stream, symbols: np.ndarray, contexts: list[np.ndarray], sizes: np.ndarray, rate: float = 4.0, calm: float = 60.0) -> np.ndarray:
-    """Nats of each text's symbols, ``sizes`` of them in turn; the weights of a text's contexts are refined after each of its blocks.
+    """Nats of each text's symbols, ``sizes`` of them in turn; a text's weights are refined after each of its blocks.
 
     All texts go a block at a time together: their bits lie in the order of blocks, texts, symbols.
     """
@@ -491,7 +489,7 @@ def code_lengths(code: Code, stream: Stream, symbols: np.ndarray, contexts: list
             z *= sign[i:j]
             seen += np.bincount(own, minlength=len(seen))
             slow = rate / (calm + seen)
-            for w, row in zip(held[1:], x[1:]):
+            for w, row in zip(held, x):
                 w -= slow * np.bincount(own, z * row[i:j], len(seen))
         i = j
     np.log(lost, out=lost)
