@@ -42,6 +42,8 @@ _CHUNK, _COUNTS, _NAMES = 2_000_000, 2_000_000, 200_000_000
 _RANGE, _ENOUGH = 20, 255
 #: Filters have 2**20 bits at least and 2**30 (128 MB) at most.
 _FEWEST, _MOST = 20, 30
+#: Bytes of a word from which its second hash is not a sum.
+_LONG = 32
 #: The counts of phrases are broadcast with at most so many rows and bytes of phrases; else joined by shuffles.
 _SMALL_ROWS, _SMALL_BYTES = 1_000_000, 32_000_000
 #: What bytes stand for in the two hashes of a word.
@@ -109,11 +111,18 @@ class Scan:
             return mix64((prefix[self.ends] - prefix[self.starts]) * q[self.starts] + (self.ends - self.starts).astype(np.uint64) + self.seed)
 
     def other(self) -> np.ndarray:
-        """A second hash of each word, independent of the first."""
-        return self._hashes(_BYTES[1])
+        """A second hash of each word, independent of the first; of long words, for which texts can be made that both sums
+        take for one, by their bytes one by one."""
+        h = self._hashes(_BYTES[1])
+        for i in np.flatnonzero(self.ends - self.starts > _LONG).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(self.data[self.starts[i] : self.ends[i]])
+        return h
 
     def phrases(self, longest: int, now: BitFilter, old: BitFilter | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """By size from 2 on: where phrases begin whose beginning and end pass ``now``, and not both ``old``; and their hashes."""
+        """By size from 2 on: where phrases begin that a scan by ``now`` counts and one by ``old`` does not; and their hashes.
+
+        A phrase is counted if its beginning and its end (one word shorter each) are counted and pass, words always being counted.
+        It is not enough that both pass: they may do so by bits of others, before they are counted."""
         h, n = self.hash, len(self.hash)
         key, both = h, self.joined
         for size in range(2, longest + 1):
@@ -124,15 +133,15 @@ class Scan:
                 return
             with np.errstate(over="ignore"):
                 own = mix64(key[at] * _MULTIPLIER + h[at + size - 1])
-            active = ~(before[at] & before[at + 1])
-            yield size, at[active], own[active]
+            counted = before[at] & before[at + 1]
+            yield size, at[~counted], own[~counted]
             if size < longest:
                 key = np.zeros(n, np.uint64)
                 key[at] = own
                 reached, before, both = np.zeros(n, bool), np.zeros(n, bool), np.True_
                 reached[at] = now.has(own)
                 if old:
-                    before[at] = old.has(own)
+                    before[at] = counted & old.has(own)
 
     def named(self, at: np.ndarray, size: int, keys: np.ndarray, other: np.ndarray) -> Iterator[tuple[bytes, int, int]]:
         """Distinct phrases of ``size`` words that begin ``at``: name, count and hash.  Two hashes tell them apart."""

@@ -125,3 +125,25 @@ def test_counts_are_packed_whole():
     rows = [r for b in phrases._packed(places, n) for r in b.to_pylist()]
     got = [(r["owner"] * 2**20 + int(p), int(c)) for r in rows for p, c in zip(np.frombuffer(r["places"], "<u4"), np.frombuffer(r["n"], np.uint8))]
     assert got == [(1, 1), (5, 255), (2**20 - 1, 2), (2**20, 3), (7 * 2**20 + 3, 4)] and list(phrases._packed(places[:0], n[:0])) == []
+
+
+def test_a_scan_counts_what_its_filter_adds():
+    """Whatever bits phrases share: a scan counts what one by the new filter alone counts, but for what one by the old alone counted."""
+    rng = np.random.default_rng(3)
+    data = b" ".join(b"w%d" % i if i % 17 else b"." for i in rng.integers(0, 60, 800).tolist())
+    scan = phrases.Scan(data, "en")
+    for bits in (5, 6, 7, 8, 9) * 8:
+        none = phrases.BitFilter(bits)
+        old = none.with_bits(rng.integers(0, 1 << bits, (1 << bits) // 2))
+        now = old.with_bits(rng.integers(0, 1 << bits, (1 << bits) // 4))
+        every, before, got = ({(size, i) for size, at, _ in scan.phrases(4, *f) for i in at.tolist()} for f in ((now,), (old,), (now, old)))
+        assert got == every - before
+
+
+def test_long_words_of_equal_sums_are_told_apart(spark):
+    """Thue-Morse words: sums of bytes times powers of any odd number agree."""
+    one = "a"
+    for _ in range(11):
+        one += one.translate(str.maketrans("ab", "ba"))
+    rows = [("en", f"x {one} y")] * 31 + [("en", f"x {one.translate(str.maketrans('ab', 'ba'))} y")] * 33
+    assert mined(spark, rows) == brute(rows, 4, 30, 2000)
