@@ -33,6 +33,7 @@ _PIECES = re.compile(r"[^\W\d_]+", re.UNICODE)
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
 _LONG_RUN = re.compile(r"(.)\1\1", re.DOTALL)
 _DOUBLE = re.compile(r"(.)\1", re.DOTALL)
+_BYTE_RUN = re.compile(rb"(.)\1+", re.DOTALL)
 LM_BITS = 18
 #: Letters that one disguise may stand for count as one when words cut by blanks are looked for.
 _ALIKE = {"l": "i", "g": "b"}
@@ -48,13 +49,16 @@ def _slots(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 def trigram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed counts of character trigrams, and of their first two, over the words of lower-cased texts."""
-    words = [f"\x02\x02{w}\x03" for t in texts for w in _PIECES.findall(t)]
-    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    words: Counter = Counter()
+    for t in texts:
+        words.update(_PIECES.findall(t))
+    codes = np.frombuffer("".join([f"\x02\x02{w}\x03" for w in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    times = np.repeat(np.array(list(words.values()), np.int64), [len(w) + 3 for w in words])  # a word's trigrams count as often as it
     a, b, c = codes[:-2], codes[1:-1], codes[2:]
     ok = (c != BEGIN) & (b != END) & (a != END)
-    a, b, c = a[ok], b[ok], c[ok]
+    a, b, c, n = a[ok], b[ok], c[ok], times[2:][ok]
     size = 1 << LM_BITS
-    return np.bincount(_slots(a, b, c).astype(np.int64), minlength=size), np.bincount(_slots(a, b, np.zeros_like(c)).astype(np.int64), minlength=size)
+    return tuple(np.bincount(_slots(a, b, x).astype(np.int64), n, size).astype(np.int64) for x in (c, np.zeros_like(c)))
 
 
 class CharModel:
@@ -122,8 +126,7 @@ def outline(text: str) -> bytes:
     for sign in "€£¡":
         if sign in text:
             text = text.replace(sign, LEET[sign])
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(_OUTLINE, _DROPPED), np.uint8)
-    return raw[np.flatnonzero(np.diff(raw, prepend=np.uint8(0) if not len(raw) else raw[0] ^ 1))].tobytes()
+    return _BYTE_RUN.sub(rb"\1", text.encode("utf-8", "surrogatepass").translate(_OUTLINE, _DROPPED))
 
 
 def restore(token: str, model: CharModel) -> str:
@@ -157,25 +160,58 @@ class Scorer:
 
     def __post_init__(self):
         self.cache: dict[str, tuple[str, ...]] = {}
+        self.beginners: set[str] = set()  # tokens of the cache whose outline begins a known word's
+        self.stems = {f.lstrip("=") for f in self.weights}
+        self.leads = {w[:n] for w in self.stems for n in range(1, len(w) + 1)}
+        self.three = {w[:3] for w in self.stems}
+        self.stands: dict[str, tuple[str, bool]] = {}
         self.whole = [f[1:] for f in self.weights if f[0] == "=" and len(f) > 4]
         words = {f.lstrip("=") for f in self.weights if len(f.lstrip("=")) > 4} | set(self.whole)
         self.outlines = {outline(w) for w in words if len(outline(w)) > 3}
         self.begun = {o[:n] for o in self.outlines for n in range(1, len(o) + 1)}
+        self.idle = {c for c in map(chr, range(128)) if outline(c) and outline(c) not in self.begun}
 
     def _hits(self, word: str) -> list[str]:
         """The strongest feature of a word, if it has any."""
-        found = [f for f in word_features(word) if f in self.weights] if len(word) > 2 else []
+        found = [f for f in word_features(word) if f in self.weights] if len(word) > 2 and word[:3] in self.three else []
         return [max(found, key=lambda f: (self.weights[f], f))] if found else []
 
+    def may_hit(self, token: str) -> bool:
+        """Whether a reading of ``token``, likely or not, begins with a known word or beginning: without, none has a feature."""
+        ends = {""}
+        for run in _RUN.finditer(token):
+            c = run.group(1)
+            if c not in self.stands:
+                if len(self.stands) > 10_000:
+                    self.stands.clear()
+                letters = (c if c.isalpha() else "") + LEET.get(c, "")
+                self.stands[c] = letters, c in _SEPARATORS or c in "_ " or not letters
+            letters, dropped = self.stands[c]
+            more = run.end() - run.start() > 1
+            new = set(ends) if dropped else set()
+            for e in ends:
+                for x in letters:
+                    for longer in (e + x, e + x + x) if more else (e + x,):
+                        if longer in self.leads:
+                            if longer in self.stems:
+                                return True
+                            new.add(longer)
+            if not new:
+                return False
+            ends = new
+        return False
+
     def token(self, token: str) -> tuple[str, ...]:
         """Features of a lower-cased token, as it stands and restored."""
+        if token.isalpha() and not _DOUBLE.search(token):
+            return tuple(self._hits(token))
         core = _EDGE.sub("", token)
         tail = _LEAD.sub("", token)[len(core) :]
         while tail and tail[-1] not in LEET:
             tail = tail[:-1]
         plain = core.isalpha() and not _LONG_RUN.search(core)
         found = self._hits(core) if plain else [f for p in _PIECES.findall(core) for f in self._hits(p)]
-        if any(c.isalpha() for c in core) and (tail or not plain or (not found and _DOUBLE.search(core))):
+        if (tail or not plain or (not found and _DOUBLE.search(core))) and any(c.isalpha() for c in core) and self.may_hit(core + tail):
             for word in readings(core + tail, self.model, len(core)):
                 found += self._hits(word)
         return tuple(found)
@@ -185,17 +221,25 @@ class Scorer:
         word = restore(letters, self.model)
         return self._hits(word) + ["=" + w for w in self.whole if w in word]
 
-    def cut_up(self, tokens: list[str]) -> list[str]:
-        """Features of words that blanks cut into several tokens, whole tokens each: the lattice of such a window, blanks
-        among its characters, is decoded where its outline is a known word's."""
-        found = []
+    def cut_up(self, tokens: list[str], beginners: set[str]) -> list[str]:
+        """Features of words that blanks cut into several tokens, whole tokens each, the first one of ``beginners``: the lattice
+        of such a window, blanks among its characters, is decoded where its outline is a known word's."""
+        found, outlines = [], {}
+
+        def of(t: str) -> bytes:
+            if t not in outlines:
+                outlines[t] = outline(t)
+            return outlines[t]
+
         for i, t in enumerate(tokens[:-1]):
-            if outline(t) not in self.begun:
+            if t not in beginners:
                 continue
-            for j in range(i + 2, len(tokens) + 1):
-                window = " ".join(tokens[i:j])
-                o = outline(window)
+            o = of(t)
+            for j in range(i + 1, len(tokens)):
+                x = of(tokens[j])
+                o += x[1:] if x[:1] == o[-1:] else x  # the outline of both
                 if o in self.outlines:
+                    window = " ".join(tokens[i : j + 1])
                     word = restore(_EDGE.sub("", window), self.model)
                     found += self._hits(word) + ["=" + w for w in self.whole if w == word]
                 if o not in self.begun:
@@ -204,16 +248,20 @@ class Scorer:
 
     def features(self, text: str | None) -> set[str]:
         tokens = text.lower().split() if text else []
-        found, cache = set(), self.cache
-        for t in set(tokens):
+        found, cache, distinct, long = set(), self.cache, set(tokens), set()
+        for t in distinct:
             hits = cache.get(t)
             if hits is None:
                 hits = self.token(t)
+                begins = t[0] not in self.idle and outline(t) in self.begun
                 if len(t) <= 40:
                     cache[t] = hits
-            found.update(hits)
-        if len(cache) > 300_000:
-            cache.clear()
+                    if begins:
+                        self.beginners.add(t)
+                elif begins:
+                    long.add(t)
+            if hits:
+                found.update(hits)
         run: list[int] = []
         for i in [i for i, t in enumerate(tokens) if len(t) == 1] + [-1]:
             if run and i == run[-1] + 1:
@@ -223,9 +271,12 @@ class Scorer:
                     found.update(self.spaced("".join(tokens[j] for j in run)))
                 run = [i]
         if not found and tokens:
-            drawn = outline(" ".join(tokens))
-            if any(o in drawn for o in self.outlines):
-                found.update(self.cut_up(tokens))
+            beginners = (self.beginners & distinct) | long
+            if beginners:
+                found.update(self.cut_up(tokens, beginners))
+        if len(cache) > 200_000:
+            cache.clear()
+            self.beginners.clear()
         return found
 
     def score(self, text: str | None) -> float:
@@ -286,7 +337,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Sco
             for t in b.column("text").to_pylist():
                 texts.append((t or "").lower())
                 size += len(texts[-1])
-                if size > 200_000:
+                if size > 1_000_000:
                     x, y = trigram_counts(texts)
                     tri, bi, texts, size = tri + x, bi + y, [], 0
             x, y = trigram_counts(texts)

@@ -409,6 +409,22 @@ def test_outline():
     assert toxicity.outline("s. 5t upp 1 d") == b"stupid" and toxicity.outline("") == b"" and toxicity.outline("wo€l") == b"woei" and toxicity.outline(" .-") == b""
 
 
+def test_only_what_may_be_a_known_word_is_decoded(monkeypatch):
+    """Nothing plain is decoded, and what is not decoded has no reading with a feature."""
+    rng = np.random.default_rng(4)
+    model = toxicity.CharModel(rng.integers(0, 50, 1 << toxicity.LM_BITS), rng.integers(50, 99, 1 << toxicity.LM_BITS), {"stupid": 9, "loser": 9})
+    scorer = toxicity.Scorer({"=stupid": 4.0, "stupi": 3.0, "loser": 3.0, "=bad": 2.0}, -3.0, model)
+    letters, disguises = "stupidloserba", "5$7|013@.-* é"
+    tokens = ["".join(rng.choice(list(letters + disguises)) for _ in range(rng.integers(1, 9))).strip() for _ in range(400)]
+    tokens += ["5tupid", "s.t.u.p.1.d", "stuuupid", "l0oser!", "b@d", "b-a-d!"]
+    got = [scorer.token(t) for t in tokens]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(toxicity.Scorer, "may_hit", lambda self, token: True)
+        assert got == [scorer.token(t) for t in tokens] and any(got)
+    monkeypatch.setattr(toxicity, "readings", None)  # a call would fail
+    assert scorer.features("Hello, little apple! It's all good: 1,300 (or more) well-known books|letters...") == set()
+
+
 def test_toxicity(spark, odd, empty, labels):
     got = toxicity.toxicity_scores(odd, labels).collect()
     assert len(got) == len(ODD) and all(0 <= r["score"] <= 1 for r in got)
