@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,36 @@ def keep_freed_memory() -> None:
         mallopt(-3, 32 << 20)  # M_MMAP_THRESHOLD
 
 
+#: What operators keep in this Python worker for their next task in it, by operator.
+_KEPT: dict[str, dict] = {}
+
+
+def kept(owner: str) -> dict:
+    """What ``owner`` keeps in this Python worker.  What other operators kept goes: workers serve one operator after the
+    other, and would hold the caches of all beside the executor's memory."""
+    for other in [o for o in _KEPT if o != owner]:
+        del _KEPT[other]
+    return _KEPT.setdefault(owner, {})
+
+
+def tidy(owner: str) -> Callable:
+    """For functions over Arrow batches: begins without what other operators kept, and at the end gives memory back to the system,
+    where the library can."""
+
+    def wrap(run):
+        @functools.wraps(run)
+        def whole(batches):
+            kept(owner)
+            yield from run(batches)
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+        return whole
+
+    return wrap
+
+
 def ascii_words(text: str | None) -> list[bytes]:
     """The words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of a text with A-Z lower-cased, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").translate(_WORD_TABLE).split() if text else []

@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import ascii_words, slices, table
+from notewright.llm.common import ascii_words, slices, table, tidy
 
 
 class WuManber:
@@ -152,6 +152,7 @@ def _searchers(windows) -> list[WuManber]:
 
 
 def _search(state: DataFrame, part) -> DataFrame:
+    @tidy("decontaminate")
     def search(batches):
         owners = part.value
         searchers = _searchers(owners)
@@ -182,6 +183,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10,
 
 
 def _without(part):
+    @tidy("decontaminate")
     def clean(batches):
         searchers = _searchers(part.value)
         for b in slices(batches):

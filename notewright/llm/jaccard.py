@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import mix64, shingle_sets, slices, table
+from notewright.llm.common import mix64, shingle_sets, slices, table, tidy
 from notewright.llm.components import components
 
 
@@ -62,6 +62,7 @@ class MinHasher:
 
 
 def _signatures(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
+    @tidy("jaccard")
     def sign(batches):
         hasher = MinHasher(bands, rows)
         for b in slices(batches):
@@ -141,6 +142,7 @@ def _verify(width: int, threshold: Fraction):
         roots = _roots(linked)
         return fps, (linked @ copies).tolist(), [fps[i] for i in roots]
 
+    @tidy("jaccard")
     def run(batches):
         key, block, out = None, [], ([], [], [])
 

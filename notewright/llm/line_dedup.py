@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notewright.llm.common import slices, table
+from notewright.llm.common import slices, table, tidy
 
 _STRIP = b" \t\n\x0b\x0c\r"
 _RUN = "h1 long, h2 long, n_docs long, max_doc long"
@@ -40,6 +40,7 @@ def line_hash(line: bytes, min_chars: int) -> bytes | None:
 def document_keys(docs: DataFrame, min_chars: int) -> DataFrame:
     """The distinct line keys of each row of ``docs``: doc_id, h1, h2."""
 
+    @tidy("line_dedup")
     def keys(batches):
         for b in slices(batches):
             ids, found = [], []
@@ -146,6 +147,7 @@ def drop_lines(docs: DataFrame, lost: DataFrame, min_chars: int = 20) -> DataFra
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), rest.alias("rest"))
     joined = rows.withColumn("_id", F.coalesce("doc_id", F.lit(_NO_ID))).join(per_doc, "_id", "left").select("doc_id", "text", "rest", "lost")
 
+    @tidy("line_dedup")
     def clean(batches):
         for b in slices(batches):
             n_lines, n_dropped, sha, kept_text = [], [], [], []

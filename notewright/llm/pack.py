@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notewright.llm.common import slices, table
+from notewright.llm.common import kept, slices, table, tidy
 
 CAPACITY = 2048
 
@@ -271,14 +271,12 @@ class ChunkEncoder:
         return out
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
 def encoder(path: str) -> ChunkEncoder:
-    """The encoder of a file, kept by the Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+    """The encoder of a file, kept by the Python worker until another operator's task comes."""
+    encoders = kept("pack")
+    if path not in encoders:
+        encoders[path] = ChunkEncoder(path)
+    return encoders[path]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -288,6 +286,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
+    @tidy("pack")
     def cut(batches):
         e = encoder(tokenizer_path)
         for b in slices(batches):
@@ -323,6 +322,7 @@ def best_fit_pack(pieces: DataFrame, capacity: int = CAPACITY, rows_per_group: i
     ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*names)))
     ranked = ranked.join(starts, ["length", "_salt"]).select(*names, (F.col("_start") + F.col("_rank") - 1).alias("_rank"))
 
+    @tidy("pack")
     def place(batches):
         at = shared.value
         span = int(at["first"].max(initial=0)) + 2

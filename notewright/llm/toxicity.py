@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.common import mix64, slices, table
+from notewright.llm.common import mix64, slices, table, tidy
 
 #: What a character may stand for.
 LEET = {
@@ -330,6 +330,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Sco
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
+    @tidy("toxicity")
     def trigrams(batches):
         tri = bi = np.zeros(1 << LM_BITS, np.int64)
         for b in slices(batches):
@@ -357,6 +358,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Sco
     sample = rows.join(F.broadcast(known), "doc_id").where(F.col("text").isNotNull())
     sample = table(sample.groupBy("text").agg(F.max("toxic").alias("toxic")), "labelled")
 
+    @tidy("toxicity")
     def count(batches):
         seen: Counter = Counter()
         bad: Counter = Counter()
@@ -371,6 +373,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> Sco
     stats = {r["feature"]: (r["pos"], r["neg"]) for r in stats.where("pos >= 3 and neg <= 0.05 * pos").collect()}
     shared = spark.sparkContext.broadcast(stats)
 
+    @tidy("toxicity")
     def keep(batches):
         for b in slices(batches):
             pairs = [sorted(feature_contexts(t, shared.value)) for t in b.column("text").to_pylist()]
@@ -396,6 +399,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
     shared = docs.sparkSession.sparkContext.broadcast((scorer.weights, scorer.base, scorer.model))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", 4).alias("held_out"), F.col("text").cast("string").alias("text"))
 
+    @tidy("toxicity")
     def score(batches):
         s = Scorer(*shared.value)
         for b in slices(batches):
@@ -410,6 +414,7 @@ def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max
     scorer = train(docs, labels, max_labelled)
     shared = docs.sparkSession.sparkContext.broadcast((scorer.weights, scorer.base, scorer.model))
 
+    @tidy("toxicity")
     def clean(batches):
         s = Scorer(*shared.value)
         for b in slices(batches):

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -409,6 +410,23 @@ def test_outline():
     assert toxicity.outline("s. 5t upp 1 d") == b"stupid" and toxicity.outline("") == b"" and toxicity.outline("wo€l") == b"woei" and toxicity.outline(" .-") == b""
 
 
+def test_workers_keep_nothing_of_other_operators(spark):
+    """A tokenizer's caches stay for tasks of its own operator only."""
+    path = queries.tokenizer_path("word_bpe_49k.json")
+
+    def run(batches):
+        from notewright.llm.common import tidy
+
+        list(batches)
+        own = [pack.encoder(path) is pack.encoder(path)]
+        list(tidy("pack")(list)([]))
+        one = pack.encoder(path)
+        list(tidy("other")(lambda b: iter(b))([]))
+        yield pa.RecordBatch.from_pydict({"same": own, "kept": [pack.encoder(path) is one]})
+
+    assert [tuple(r) for r in spark.range(1).coalesce(1).mapInArrow(run, "same boolean, kept boolean").collect()] == [(True, False)]
+
+
 def test_only_what_may_be_a_known_word_is_decoded(monkeypatch):
     """Nothing plain is decoded, and what is not decoded has no reading with a feature."""
     rng = np.random.default_rng(4)
