@@ -21,10 +21,8 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +41,7 @@ TABLES = 3  # of words: the word before, the two before, their last letters; of
 LEVELS = 16
 GROUP_BYTES = 200_000  # word numbers of the texts that are laid out together
 STATES = 32
+NEAR = 5  # steps of a path whose slots lie together, in 2**NEAR in a row: a cache line or two
 
 
 def slot_bits(n_bytes: int, most: int = 30) -> int:
@@ -54,9 +53,12 @@ def slot_bits(n_bytes: int, most: int = 30) -> int:
     return max(12, min(most, int(23.5 + 0.5 * math.log2(max(1, n_bytes) / 2**27))))
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, as UTF-8; the end is not among them."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of all texts in a row, A-Z lower-cased, as UTF-8, without the texts' ends; where each text's begin (and the last's end)."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, bounds = words.flatten(), words.offsets.to_numpy().astype(np.int64)
+    kept = pc.greater(pc.binary_length(flat), 0)  # blanks at a text's ends leave empty ones
+    return flat.filter(kept).cast(pa.binary()), np.concatenate(([0], np.cumsum(kept.to_numpy(zero_copy_only=False))))[bounds - bounds[0]]
 
 
 # Symbols and their bits
@@ -66,8 +68,8 @@ class Code:
     """Huffman codes of words (symbols from 0, the escape last of them) and of the 256 bytes (the symbols after).
 
     By symbol: where its path starts, its length, its bits from the highest down, its rank among its tree's leaves in
-    the order of paths (``leaves`` leads back).  By step of all paths, as bits of a number from the lowest up: a hash
-    of the node (32 bits), the bit taken there (1), how deep it lies (2: 0, 1, or 2 for more), the log odds of a one by
+    the order of paths (``leaves`` leads back).  By step of all paths, as bits of a number from the lowest up: the
+    node's name (32 bits), the bit taken there (1), how deep it lies (2: 0, 1, or 2 for more), the log odds of a one by
     the tree's counts (6: sixteenths above -2).  Tasks get the two trees and derive the rest.
     """
 
@@ -104,6 +106,26 @@ def _tree(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(parent, np.int32), np.array(side, np.int8), level.astype(np.int8)
 
 
+def _names(parent: np.ndarray, side: np.ndarray, salt: int) -> np.ndarray:
+    """The nodes' names (32 bits): a hash of the node ``NEAR`` levels or fewer up where its group begins, then its place there."""
+    depth = np.zeros(len(parent), np.int64)
+    node, at = np.arange(len(parent) - 1), parent[:-1]
+    while len(node):
+        depth[node] += 1
+        below = at != len(parent) - 1
+        node, at = node[below], parent[at[below]]
+    order = np.argsort(depth, kind="stable")
+    cut = np.searchsorted(depth[order], np.arange(depth.max() + 2))
+    group = (mix64(np.arange(len(parent), dtype=np.uint64) + np.uint64(salt)) >> np.uint64(32)).astype(np.int64) >> NEAR << NEAR
+    place = np.ones(len(parent), np.int64)
+    for d in range(1, int(depth.max()) + 1):
+        if d % NEAR:
+            node = order[cut[d] : cut[d + 1]]
+            group[node] = group[parent[node]]
+            place[node] = 2 * place[parent[node]] + side[node]
+    return group | place
+
+
 def _paths(parent: np.ndarray, side: np.ndarray, level: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lengths and paths of a tree's leaves, and their steps."""
     root = len(parent) - 1
@@ -117,7 +139,7 @@ def _paths(parent: np.ndarray, side: np.ndarray, level: np.ndarray, salt: int) -
         leaf, at = leaf[at != root], at[at != root]
     start = np.cumsum(length) - length
     step = np.zeros(length.sum(), np.int64)
-    name = (mix64(np.arange(len(parent), dtype=np.uint64) + np.uint64(salt)) >> np.uint64(32)).astype(np.int64) | level.astype(np.int64) << 35
+    name = _names(parent, side, salt) | level.astype(np.int64) << 35
     for up, (leaf, above, taken) in enumerate(found):
         place = length[leaf] - 1 - up
         step[start[leaf] + place] = name[above] | taken.astype(np.int64) << 32 | np.minimum(place, 2) << 33
@@ -237,7 +259,8 @@ class Pairs:
 
     def all(self) -> tuple[np.ndarray, np.ndarray]:
         """All keys, sorted, and their counts; then it is empty."""
-        out = self._totals(np.sort(np.concatenate([np.zeros(0, np.uint64), *self.runs])))
+        runs = self.runs or [np.zeros(0, np.uint64)]
+        out = self._totals(runs[0] if len(runs) == 1 else np.sort(np.concatenate(runs)))
         self.runs.clear()
         return out
 
@@ -288,32 +311,20 @@ def _unpack_pairs(batches: Iterator[pa.RecordBatch], held: list[Layout]) -> tupl
     return at, owner, pairs
 
 
-def bit_counts(keys: np.ndarray, counts: np.ndarray, code: Code, tree: int, layout: Layout) -> np.ndarray:
-    """Zeros and ones of an owner's slots from its sorted pairs: for each context, down the tree from the root."""
+def bit_counts(keys: np.ndarray, counts: np.ndarray, code: Code, tree: int, layout: Layout, most: int = 200_000) -> np.ndarray:
+    """Zeros and ones of an owner's slots from its pairs, ``most`` of them at a time: each step of a pair's path counts as often as the pair."""
     mask = (1 << layout.own) - 1
-    context = keys >> np.uint64(SYMBOL_BITS)
-    symbol = code.leaves[tree][(keys & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.int64)] + tree * (code.escape + 1)
-    first, path = layout.first(context) & mask, code.path[symbol]
-    apart = np.ones(len(keys), bool)  # begins another node than the entry before
-    apart[1:] = context[1:] != context[:-1]
-    total = np.zeros((2, 1 << layout.own))
-    depth = 0
-    while len(symbol):
-        cut = np.flatnonzero(apart)
-        one = path >> np.uint64(63 - depth) & np.uint64(1)
-        visits = np.add.reduceat(counts, cut)
-        ones = np.add.reduceat(counts * one.astype(np.int64), cut)
-        slot = first[cut] ^ (code.node[code.start[symbol[cut]] + depth] & mask)
-        total[0] += np.bincount(slot, visits - ones, mask + 1)
-        total[1] += np.bincount(slot, ones, mask + 1)
-        apart[1:] |= one[1:] != one[:-1]
-        depth += 1
-        stay = np.flatnonzero(code.length[symbol] > depth)
-        group = np.cumsum(apart)[stay]
-        symbol, counts, first, path = symbol[stay], counts[stay], first[stay], path[stay]
-        apart = np.ones(len(symbol), bool)
-        apart[1:] = group[1:] != group[:-1]
-    return total
+    total = np.zeros(2 << layout.own)
+    for i in range(0, len(keys), most):
+        key = keys[i : i + most]
+        symbol = code.leaves[tree].take((key & np.uint64((1 << SYMBOL_BITS) - 1)).astype(np.int64)) + tree * (code.escape + 1)
+        n_bits, step = steps(code, symbol)
+        node = code.node.take(step)
+        slot = np.repeat(layout.first(key >> np.uint64(SYMBOL_BITS)) & mask, n_bits)
+        slot ^= node & mask
+        slot |= (node >> 32 & 1) << layout.own
+        total += np.bincount(slot, np.repeat(counts[i : i + most].astype(float), n_bits), len(total))
+    return total.reshape(2, -1)
 
 
 def packed_counts(total: np.ndarray) -> np.ndarray:
@@ -370,12 +381,17 @@ GATES = 3 * KINDS**TABLES
 CELLS = 3 * LEVELS * STATES**TABLES * 2
 
 
-def layout_bits(code: Code, stream: Stream, symbols: np.ndarray, contexts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of symbols in a row: how many bits each has; the nodes of all bits; what each table holds for every bit."""
-    symbols = symbols + stream.first_symbol
+def steps(code: Code, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of symbols (numbered through both trees) in a row: how many bits each has; where all bits' steps are."""
     n_bits = code.length.take(symbols)
     step = np.repeat(code.start.take(symbols) - (np.cumsum(n_bits) - n_bits), n_bits)
     step += np.arange(len(step))
+    return n_bits, step
+
+
+def layout_bits(code: Code, stream: Stream, symbols: np.ndarray, contexts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of symbols in a row: how many bits each has; the nodes of all bits; what each table holds for every bit."""
+    n_bits, step = steps(code, symbols + stream.first_symbol)
     node = code.node.take(step)
     name = node & ((1 << stream.layout.own) - 1)
     held = []
@@ -386,25 +402,22 @@ def layout_bits(code: Code, stream: Stream, symbols: np.ndarray, contexts: list[
     return n_bits, node, held
 
 
-def gates(node: np.ndarray, states: list[np.ndarray]) -> np.ndarray:
-    """The weight set of each bit: by depth (0, 1, more) and the kinds of the contexts' states."""
-    out = (node >> 33 & 3).astype(np.uint8)
-    for s in states:
-        out *= KINDS
-        out += KIND.take(s)
-    return out
+#: The kinds of each triple of states, as one number.
+KINDS_OF = np.zeros(1, np.int64)
+for _ in range(TABLES):
+    KINDS_OF = np.add.outer(KINDS_OF * KINDS, KIND.astype(np.int64)).ravel()
+KINDS_OF = KINDS_OF.astype(np.uint8)
 
 
 def cells(node: np.ndarray, counts: list[np.ndarray]) -> np.ndarray:
     """The cell of each bit: depth, level of the tree's log odds, states without the bit itself, bit."""
-    cell = node >> 33 & 3
-    cell *= LEVELS
-    cell += node >> 37
+    cell = (node >> 33 & 3) * LEVELS
+    cell |= node >> 37
     bit = node >> 32 & 1
     without = bit << 16
     for held in counts:
-        cell *= STATES
-        cell += STATE_WITHOUT.take(without | held)
+        cell <<= 5
+        cell |= STATE_WITHOUT.take(without | held)
     cell <<= 1
     cell |= bit
     return cell
@@ -459,41 +472,77 @@ def block_of(place: np.ndarray) -> np.ndarray:
 def code_lengths(code: Code, stream: Stream, symbols: np.ndarray, contexts: list[np.ndarray], sizes: np.ndarray, rate: float = 4.0, calm: float = 60.0) -> np.ndarray:
     """Nats of each text's symbols, ``sizes`` of them in turn; a text's weights are refined after each of its blocks.
 
-    All texts go a block at a time together: their bits lie in the order of blocks, texts, symbols.
+    All texts go a block at a time together.  A block's bits are brought into the order of gates and texts, where those
+    of one weight set lie in a row.
     """
     n = len(sizes)
     text = np.repeat(np.arange(n), sizes)
     block = block_of(np.arange(len(symbols)) - np.repeat(np.cumsum(sizes) - sizes, sizes))
     order = np.argsort(block, kind="stable")
-    n_bits, node, states = layout_bits(code, stream, symbols[order], [c[order] for c in contexts])
-    texts = np.repeat(text[order], n_bits)
-    set_of = texts * GATES
-    set_of += gates(node, states)
-    x = [TREE_ODDS.take(node >> 35), *(odds.take(s) for odds, s in zip(stream.odds, states))]
-    sign = (1 - 2 * (node >> 32 & 1)).astype(np.float32)  # -1 where the bit is 1
-    held = [np.tile(w, n).astype(np.float32) for w in stream.weights.T]
-    seen, lost = np.zeros(n * GATES), np.empty(len(sign), np.float32)
-    bounds = np.cumsum(n_bits)[np.searchsorted(block[order], np.arange(int(block.max()) + 1), side="right") - 1] if len(symbols) else []
-    i = 0
-    for j in bounds:
-        own = set_of[i:j]
-        z = held[0].take(own) * x[0][i:j]
-        for w, row in zip(held[1:], x[1:]):
-            z += w.take(own) * row[i:j]
-        z *= sign[i:j]
-        np.minimum(z, 60, out=z)
-        np.exp(z, out=z)
-        np.add(z, 1, out=lost[i:j])
-        if j < len(sign):
-            z /= lost[i:j]
-            z *= sign[i:j]
-            seen += np.bincount(own, minlength=len(seen))
-            slow = rate / (calm + seen)
-            for w, row in zip(held, x):
-                w -= slow * np.bincount(own, z * row[i:j], len(seen))
-        i = j
-    np.log(lost, out=lost)
-    return np.bincount(texts, lost, n)
+    bounds = np.searchsorted(block[order], np.arange(int(block.max()) + 2)).tolist() if len(symbols) else [0]
+    symbols, text, contexts = symbols[order], text[order], [c[order] for c in contexts]
+    held = np.repeat(stream.weights.astype(np.float32), n, axis=0)  # by gate and text
+    odds = np.stack(np.broadcast_arrays(0, *(o.reshape(-1, *[1] * (TABLES - 1 - k)) for k, o in enumerate(stream.odds))), axis=-1)
+    odds = np.ascontiguousarray(odds.reshape(-1, 1 + TABLES), np.float32)  # by triple of states, the tree's place first
+    seen, total = np.zeros(n * GATES), np.zeros(n)
+    for at, to in _runs(bounds):
+        i, j = bounds[at], bounds[to]
+        n_bits, node, states = layout_bits(code, stream, symbols[i:j], [c[i:j] for c in contexts])
+        cell = states[0].astype(np.uint16)
+        for s in states[1:]:
+            cell <<= 5
+            cell |= s
+        gate = (node >> 33 & 3).astype(np.uint8)
+        gate *= np.uint8(KINDS**TABLES)
+        gate += KINDS_OF.take(cell)
+        packed = gate.astype(np.int64)  # the weight set, the level of the tree's log odds, the bit, the states
+        packed *= n
+        packed += np.repeat(text[i:j], n_bits)
+        packed <<= 22
+        packed |= (node >> 35) << 16 | (node >> 32 & 1) << 15
+        packed |= cell
+        ends = np.concatenate(([0], np.cumsum(n_bits)))[np.array(bounds[at : to + 1]) - i].tolist()
+        for a, b in zip(ends[:-1], ends[1:]):
+            own = packed[a:b].take(np.argsort(gate[a:b], kind="stable"))  # sets of weights in a row
+            low = own.astype(np.int32)
+            own >>= 22
+            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            times = np.diff(first, append=len(own))
+            own = own[first]
+            x = odds.take(low & 0x7FFF, axis=0)
+            x[:, 0] = TREE_ODDS.take(low >> 16 & 63)
+            low >>= 14
+            low &= 2
+            sign = np.float32(1) - low  # -1 where the bit is 1
+            now = held.take(own, axis=0)
+            parts = np.repeat(now, times, axis=0)
+            parts *= x
+            z = parts[:, 0] + parts[:, 1]
+            for k in range(2, 1 + TABLES):
+                z += parts[:, k]
+            z *= sign
+            np.minimum(z, 60, out=z)
+            np.exp(z, out=z)
+            lost = z + np.float32(1)
+            total += np.bincount(own % n, np.add.reduceat(np.log(lost), first), n)
+            if to + 1 < len(bounds) or b < ends[-1]:
+                z /= lost
+                z *= sign
+                seen[own] += times
+                slow = rate / (calm + seen[own])
+                for k in range(1 + TABLES):
+                    now[:, k] -= slow * np.add.reduceat(z * x[:, k], first)
+                held[own] = now
+    return total
+
+
+def _runs(bounds: list[int], most: int = 10_000) -> Iterator[tuple[int, int]]:
+    """Blocks (from, to) that are laid out together: about ``most`` symbols, or one block."""
+    at = 0
+    for to in range(1, len(bounds)):
+        if to + 1 == len(bounds) or bounds[to + 1] - bounds[at] > most:
+            yield at, to
+            at = to
 
 
 @dataclass
@@ -521,9 +570,9 @@ class Model:
 # The job
 
 
-def _batches(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut where the bytes of ``column`` exceed ``most``; no value is cut."""
-    for b in slices(batches):
+def _batches(batches: Iterator[pa.RecordBatch], column: str, most: int, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of at most ``rows``, cut where the bytes of ``column`` exceed ``most``; no value is cut."""
+    for b in slices(batches, rows):
         size = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)) // most
         cut = np.flatnonzero(np.diff(size, prepend=-1, append=-1))
         for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
@@ -534,49 +583,73 @@ def _token_counts(training: DataFrame) -> DataFrame:
     """Counts of the tokens, the end as the empty one: (token, n)."""
 
     def count(batches):
-        seen: Counter = Counter()
+        seen, size, texts = [], 0, 0
 
         def rows():
-            found = list(seen.items())
+            found = pc.value_counts(pa.chunked_array(seen, pa.binary()))
             seen.clear()
-            return pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.binary()), pa.array([n for _, n in found], pa.int64())], ["token", "n"])
+            return pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["token", "n"])
 
         for b in _batches(batches, "text", 1_000_000):
-            texts = b.column("text").to_pylist()
-            seen.update(b"\n".join([t.encode("utf-8", "surrogatepass") for t in texts if t]).lower().split())
-            seen[b""] += len(texts)
-            if len(seen) > 400_000:
+            seen.append(tokens(b.column("text"))[0])
+            size += seen[-1].nbytes
+            texts += b.num_rows
+            if size > 64_000_000:
                 yield rows()
+                size = 0
         yield rows()
+        if texts:
+            yield pa.RecordBatch.from_arrays([pa.array([b""], pa.binary()), pa.array([texts], pa.int64())], ["token", "n"])
 
     return training.select("text").mapInArrow(count, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def _binary(data: bytes, bounds: np.ndarray) -> pa.Array:
+    """Values that lie in a row in ``data``."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
+
+
 ENCODED = "row long, doc_id long, trains boolean, scored boolean, n_tokens long, known long, part double, size long, ids binary, spelled binary"
 
 
 def _encode(docs: DataFrame, words: dict[bytes, int], logs: np.ndarray) -> DataFrame:
     """Each text (doc_id, text, trains, scored) as words' numbers and the other tokens' bytes, with sums over its common tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast((words, logs))
+    shared = docs.sparkSession.sparkContext.broadcast((pa.array(list(words), pa.binary()), logs, words[b""]))
 
     def encode(batches):
-        number, logs = shared.value
-        escape, row = len(number), TaskContext.get().partitionId() << 40
-        for b in _batches(batches, "text", 1_000_000):
-            out = []
-            for text in b.column("text").to_pylist():
-                found = tokens(text)
-                found.append(b"")
-                ids = np.fromiter(map(number.get, found, repeat(escape)), np.int32, len(found))
-                other = [found[i] for i in np.flatnonzero(ids == escape).tolist()]
-                other.append(b"")
-                size = len(b" ".join(found)) + (len(found) == 1)
-                out.append((len(found), len(found) - len(other) + 1, float(logs.take(ids).sum()), size, ids.tobytes(), b" ".join(other)))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.binary(), pa.binary())
-            names = ("n_tokens", "known", "part", "size", "ids", "spelled")
-            numbers = pa.array(np.arange(row, row + b.num_rows))
+        known, logs, end = shared.value
+        escape, row = len(known), TaskContext.get().partitionId() << 40
+        for b in _batches(batches, "text", 4_000_000, 5000):
+            found, bounds = tokens(b.column("text"))
+            number = pc.fill_null(pc.index_in(found, known), escape)
+            first = bounds[:-1] + np.arange(b.num_rows)  # an end follows each text
+            n_tokens = np.diff(bounds) + 1
+            last = first + n_tokens - 1
+            ids = np.full(len(found) + b.num_rows, end, np.int32)
+            inner = np.ones(len(ids), bool)
+            inner[last] = False
+            ids[inner] = number.to_numpy()
+            other = ids == escape
+            spelled = pc.binary_join_element_wise(found.filter(pa.array(other[inner])), b"", b" ")  # a blank ends each
+            rare = np.concatenate(([0], np.cumsum(other)))[np.append(first, len(ids))]
+            length = np.zeros(len(ids), np.int64)
+            length[inner] = pc.binary_length(found).to_numpy()
+            size = np.add.reduceat(length, first) + n_tokens - 1 + (n_tokens == 1)
+            spelled_at = np.concatenate(([0], np.cumsum(pc.binary_length(spelled).to_numpy())))[rare]
+            columns = [
+                np.arange(row, row + b.num_rows),
+                b.column("doc_id"),
+                b.column("trains"),
+                b.column("scored"),
+                n_tokens,
+                n_tokens - np.diff(rare),
+                np.add.reduceat(logs.take(ids), first),
+                size,
+                _binary(ids.tobytes(), 4 * np.append(first, len(ids))),
+                _binary(b"".join(spelled.to_pylist()), spelled_at),
+            ]
             row += b.num_rows
-            yield pa.RecordBatch.from_arrays([numbers, b.column("doc_id"), b.column("trains"), b.column("scored"), *map(pa.array, zip(*out), kinds)], ["row", "doc_id", "trains", "scored", *names])
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["row", "doc_id", "trains", "scored", "n_tokens", "known", "part", "size", "ids", "spelled"])
 
     return docs.mapInArrow(encode, ENCODED)
 

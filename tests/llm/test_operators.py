@@ -685,6 +685,57 @@ def test_lm_salted_merge_is_the_same(spark):
     assert all((a == b).all() for a, b in zip(one, many)) and one[0].any() and one[2].any()
 
 
+def test_lm_tokens_of_many_texts():
+    texts = ["", None, " ", "A b\x0bC\x1cd\x0c e\r\n", "\x85x Y É İ", "one", "  lead", "trail  ", "a\x00b \x1f q"]
+    for some in (texts, texts[3:7], []):
+        found, bounds = lm_score.tokens(pa.array(texts, pa.string()).slice(3, 4) if len(some) == 4 else pa.array(some, pa.string()))
+        want = [re.findall(rb"[^\x20\x09-\x0d]+", (t or "").encode().lower()) for t in some]
+        assert [found[i:j].to_pylist() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())] == want
+
+
+def test_lm_near_steps_share_slots_and_count_by_pair():
+    """Steps of a path lie in runs of slots, no two nodes of a run in one; bits are counted as by plain loops."""
+    rng = np.random.default_rng(8)
+    code = lm_score.make_code(rng.integers(0, 10**6, 3000), rng.integers(0, 1000, 256))
+    place: dict = {}
+    for symbol in range(3000):
+        at, n = int(code.start[symbol]), int(code.length[symbol])
+        names = [int(x) & 0xFFFFFFFF for x in code.node[at : at + n]]
+        path = tuple(int(x) >> 32 & 1 for x in code.node[at : at + n])
+        for i in range(0, n, lm_score.NEAR):
+            run = names[i : i + lm_score.NEAR]
+            assert len({x >> lm_score.NEAR for x in run}) == 1
+            for j, x in enumerate(run):
+                assert place.setdefault(path[: i + j], x) == x
+    for d in range(0, 20, lm_score.NEAR):
+        runs: dict = {}
+        for p, x in place.items():
+            if d <= len(p) < d + lm_score.NEAR:
+                runs.setdefault(p[:d], []).append(x)
+        assert all(len(set(x)) == len(x) for x in runs.values())
+    layout = lm_score.Layout(14, 12)
+    context = layout.hashed(rng.integers(0, 40, 500).astype(np.uint64))
+    keys = np.unique(context << np.uint64(lm_score.SYMBOL_BITS) | rng.integers(0, 3000, 500).astype(np.uint64))
+    keys = keys[keys >> np.uint64(lm_score.SYMBOL_BITS + 4 + layout.own) == 1]
+    counts, want = rng.integers(1, 9, len(keys)), np.zeros((2, 1 << layout.own))
+    for key, n in zip(keys, counts.tolist()):
+        symbol = int(code.leaves[0][int(key) & (1 << lm_score.SYMBOL_BITS) - 1])
+        first = int(layout.first(np.array([key >> np.uint64(lm_score.SYMBOL_BITS)]))[0])
+        for x in code.node[code.start[symbol] : code.start[symbol] + code.length[symbol]].tolist():
+            want[x >> 32 & 1, (first ^ x) & (1 << layout.own) - 1] += n
+    assert len(keys) > 50 and all((lm_score.bit_counts(keys, counts, code, 0, layout, most) == want).all() for most in (7, 10**6))
+
+
+def test_lm_scores_of_texts_alone_and_together(spark, texts):
+    """Texts longer than what is laid out at once, and short ones, score alike in any company."""
+    docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in texts], "doc_id long, text string")
+    model = lm_score.train(docs.select("*", F.lit(True).alias("trains"), F.lit(True).alias("scored"))).model
+    rng = np.random.default_rng(4)
+    ids = [rng.integers(0, model.code.escape, n).astype(np.int32) for n in (40_000, 1, 9, 700)]
+    together = model.log10(ids, [b""] * 4)
+    assert np.allclose(together, [model.log10([x], [b""])[0] for x in ids], rtol=1e-5)
+
+
 def test_lm_refines_short_texts(spark, texts):
     docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in texts], "doc_id long, text string")
     model = lm_score.train(docs.select("*", F.lit(True).alias("trains"), F.lit(True).alias("scored"))).model
